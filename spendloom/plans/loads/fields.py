@@ -28,7 +28,7 @@ class Options:
     false, which are otherwise missing.  ``mirror`` folds dates before 1970.
     """
 
-    tz: str = "America/Denver"
+    tz: str = "UTC"
     keep_falsy: bool = False
     mirror: bool = False
 
