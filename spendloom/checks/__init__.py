@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("views",)
+MODULES = ("functions", "relational", "merges", "views")
 
 
 def load_all() -> None:

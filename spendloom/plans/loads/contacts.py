@@ -12,7 +12,7 @@ from spendloom.functions.paths import path_value
 from spendloom.operators.joins import matching_list
 from spendloom.operators.merge import highwater_prune, replace_by_key
 from spendloom.operators.reshape import explode_items
-from spendloom.plans.loads.fields import Item, Options, at, local_day, project
+from spendloom.plans.loads.fields import Item, Options, at, key, local_day, project
 from spendloom.plans.views import hubspot_contacts
 from spendloom.sources.pages import read_documents, read_pages
 from spendloom.store import Table
@@ -37,7 +37,7 @@ def version(name: str, part: str) -> tuple[str | int, ...]:
 
 # Profile property behind each staging column.
 INFO_ITEMS: tuple[Item, ...] = (
-    at(whole("VID"), "vid"),
+    key(whole("VID"), "vid"),
     at(text("FIRST_NAME"), *prop("firstname")),
     at(text("LAST_NAME"), *prop("lastname")),
     local_day(day("CREATED_DATE"), *prop("createdate")),

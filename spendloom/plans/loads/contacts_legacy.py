@@ -12,12 +12,12 @@ from spendloom.operators.joins import matching_list, stale_keys, without_keys
 from spendloom.operators.merge import classify, delete_cascade
 from spendloom.operators.reshape import explode_children, explode_items
 from spendloom.plans.loads.contacts import prop, version
-from spendloom.plans.loads.fields import Item, Options, at, contract_of, local_time, project
+from spendloom.plans.loads.fields import Item, Options, at, contract_of, key, local_time, project
 from spendloom.store import Table
 
 # Profile property behind each stored column.
 ITEMS: tuple[Item, ...] = (
-    at(whole("VID"), "vid"),
+    key(whole("VID"), "vid"),
     local_time("BIRTHDATE", *prop("birthdate")),
     local_time("CREATED_AT", *prop("createdate")),
     at(text("LIFECYCLE_STAGE"), *version("lifecyclestage", "value")),

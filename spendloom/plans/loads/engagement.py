@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spendloom.contracts import text, whole
 from spendloom.functions.paths import path_value
 from spendloom.operators.reshape import explode_children
-from spendloom.plans.loads.fields import Item, Options, at, clean, contract_of, local_time, project
+from spendloom.plans.loads.fields import Item, Options, at, clean, contract_of, key, local_time, project
 
 _PERSON = "struct<email string, firstName string, lastName string>"
 ENGAGEMENT = (
@@ -76,7 +76,7 @@ ENROLMENTS = (
 
 # Document path behind each stored column.
 WORKFLOW_ITEMS: tuple[Item, ...] = (
-    at(whole("VID"), "vid"),
+    key(whole("VID"), "vid"),
     at(whole("TRIGGER_ID"), "_set", "trigger", 0, "id"),
     at(text("TRIGGER_TYPE"), "_set", "trigger", 0, "type"),
     at(text("TRIGGER_NAME"), "_set", "trigger", 0, "name"),
@@ -125,8 +125,8 @@ CAMPAIGN_DETAIL = (
     "processingState string, lastProcessingFinishedAt bigint"
 )
 CAMPAIGN_ITEMS: tuple[Item, ...] = (
-    at(whole("ID"), "id"),
-    at(whole("APP_ID"), "appId"),
+    key(whole("ID"), "id"),
+    key(whole("APP_ID"), "appId"),
     at(text("SUBJECT"), "subject"),
     at(text("NAME"), "name"),
     at(text("APP_NAME"), "appName"),

@@ -10,7 +10,7 @@ from spendloom.contracts import Contract, Field, text
 from spendloom.functions.dates import epoch_ms_local_date, epoch_ms_local_ts
 from spendloom.functions.paths import Path, path_value, path_value_clean
 
-VALUE, CLEAN, LOCAL_DAY, LOCAL_TIME = "value", "clean", "local day", "local time"
+VALUE, KEY, CLEAN, LOCAL_DAY, LOCAL_TIME = "value", "key", "clean", "local day", "local time"
 
 
 @dataclass(frozen=True)
@@ -37,6 +37,11 @@ def at(field: Field, *path: str | int) -> Item:
     return Item(field, path)
 
 
+def key(field: Field, *path: str | int) -> Item:
+    """An id, for which 0 is a value like any other."""
+    return Item(field, path, KEY)
+
+
 def clean(name: str, *path: str | int) -> Item:
     return Item(text(name), path, CLEAN)
 
@@ -62,7 +67,7 @@ def project(df: DataFrame, items: tuple[Item, ...], options: Options = Options()
 def _column(df: DataFrame, item: Item, options: Options) -> Column:
     if item.kind == CLEAN:
         return path_value_clean(df, item.path, options.keep_falsy)
-    value = path_value(df, item.path, options.keep_falsy)
+    value = path_value(df, item.path, options.keep_falsy or item.kind == KEY)
     if item.kind == LOCAL_DAY:
         return epoch_ms_local_date(value, options.tz, options.mirror)
     if item.kind == LOCAL_TIME:
