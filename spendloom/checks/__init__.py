@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("functions", "relational", "merges", "views")
+MODULES = ("functions", "relational", "sources", "merges", "views", "loads")
 
 
 def load_all() -> None:

@@ -10,6 +10,10 @@ from pyspark.sql import types as T
 
 ERRORS = "_errors"
 
+# Text lengths of the rejects table.
+MAX_ERROR = 1000
+MAX_RAW = 2_000_000
+
 
 @dataclass(frozen=True)
 class Field:
@@ -98,9 +102,9 @@ class Contract:
         good = tagged.filter(F.size(ERRORS) == 0).select(*self.names)
         bad = tagged.filter(F.size(ERRORS) > 0).select(
             F.col("_row_nr").alias("ROW_NR"),
-            F.array_join(ERRORS, "; ").alias("ERROR_TEXT"),
-            F.lit(False).alias("TRUNCATED"),
-            F.col("_raw").alias("CSV_DATA"),
+            F.left(F.array_join(ERRORS, "; "), F.lit(MAX_ERROR)).alias("ERROR_TEXT"),
+            (F.char_length("_raw") > MAX_RAW).alias("TRUNCATED"),
+            F.left("_raw", F.lit(MAX_RAW)).alias("CSV_DATA"),
         )
         return good, bad
 

@@ -6,7 +6,7 @@ are what existing reports and loads expect.
 
 from __future__ import annotations
 
-from spendloom.contracts.contract import Contract, day, flag, moment, money, number, rate, text, whole
+from spendloom.contracts.contract import MAX_ERROR, MAX_RAW, Contract, day, flag, moment, money, number, rate, text, whole
 
 # --- paid ads ---------------------------------------------------------------
 
@@ -392,7 +392,7 @@ GRADS1718 = Contract(
 
 ERROR_TABLE = Contract(
     "ERROR_TABLE",
-    (whole("ROW_NR"), text("ERROR_TEXT", 1000), flag("TRUNCATED"), text("CSV_DATA", 2_000_000)),
+    (whole("ROW_NR"), text("ERROR_TEXT", MAX_ERROR), flag("TRUNCATED"), text("CSV_DATA", MAX_RAW)),
 )
 
 MARKETING_ETL_ERRORS = Contract(

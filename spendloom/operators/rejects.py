@@ -5,32 +5,32 @@ from __future__ import annotations
 import datetime as dt
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendloom.contracts.tables import ERROR_TABLE, MARKETING_ETL_ERRORS
+from spendloom.contracts.contract import MAX_ERROR, MAX_RAW
+from spendloom.contracts.tables import MARKETING_ETL_ERRORS
 from spendloom.sources.pages import CORRUPT
 from spendloom.store import Table
 
-MAX_RAW = next(f.max_length for f in ERROR_TABLE.fields if f.name == "CSV_DATA")
 
-
-def as_rejects(df: DataFrame, reason: str, raw: str, row_nr: str | None = None) -> DataFrame:
+def as_rejects(df: DataFrame, reason: Column, raw: str, row_nr: str | None = None) -> DataFrame:
     """Rows in the rejects layout; raw text beyond the column's length is cut and marked."""
     line = F.col(raw)
     return df.select(
         (F.col(row_nr) if row_nr else F.lit(None)).cast("decimal(18,0)").alias("ROW_NR"),
-        F.lit(reason).alias("ERROR_TEXT"),
+        F.left(reason, F.lit(MAX_ERROR)).alias("ERROR_TEXT"),
         (F.char_length(line) > MAX_RAW).alias("TRUNCATED"),
         F.left(line, F.lit(MAX_RAW)).alias("CSV_DATA"),
     )
 
 
 def split_unreadable(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Parsed rows, and the raw lines the reader could not parse."""
+    """Parsed rows, and the raw lines the reader could not parse with what it made of them."""
     good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = as_rejects(df.filter(F.col(CORRUPT).isNotNull()), "unreadable", CORRUPT)
-    return good, bad
+    partial = F.to_json(F.struct(*[F.col(f"`{c}`") for c in good.columns]))
+    reason = F.concat(F.lit("unreadable, taken as "), partial)
+    return good, as_rejects(df.filter(F.col(CORRUPT).isNotNull()), reason, CORRUPT)
 
 
 def failures(df: DataFrame, when, step, message) -> DataFrame:

@@ -61,6 +61,6 @@ def extract(report: DataFrame, as_of, days: int = WINDOW_DAYS) -> tuple[DataFram
 def run(spark: SparkSession, landing: str, staging: Table, production: Table, rejects: Table, as_of) -> DataFrame:
     good, bad = extract(read_csv_report(spark, landing, tuple(HEADERS)), as_of)
     staging.replace(good)
-    rejects.append_nonempty(bad)
+    rejects.append(bad)
     production.append(rows_to_insert(production.read(), staging.read(), KEYS, "AD_DATE"))
     return production.read()

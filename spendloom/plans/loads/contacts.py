@@ -105,13 +105,13 @@ def run(
     """``landing`` holds ids and profiles; ``staging`` ids, info and programs."""
     ids, bad_ids = extract_ids(read_pages(spark, landing["ids"], "contacts", ID_RECORD, **read))
     staging["ids"].replace(highwater_prune(ids, "MODIFIED_DATE", production.read(), "LAST_MODIFIED_DATE"))
-    rejects.append_nonempty(bad_ids)
+    rejects.append(bad_ids)
 
     documents = read_documents(spark, landing["profiles"], PROFILE, **read)
     due = matching_list(documents, F.col("vid"), staging["ids"].read(), F.col("VID"))
     for name, (good, bad) in (("info", extract_info(due, as_of, options)), ("programs", extract_programs(due))):
         staging[name].replace(good)
-        rejects.append_nonempty(bad)
+        rejects.append(bad)
 
     batch = hubspot_contacts(
         {
@@ -128,5 +128,5 @@ def run_initial(spark: SparkSession, landing: str, staging: Table, rejects: Tabl
     """Full load of the id list."""
     ids, bad = extract_ids(read_pages(spark, landing, "contacts", ID_RECORD, **read))
     staging.replace(ids)
-    rejects.append_nonempty(bad)
+    rejects.append(bad)
     return staging.read()

@@ -60,6 +60,6 @@ def to_production(staged: DataFrame) -> DataFrame:
 def run(spark: SparkSession, landing: str, staging: Table, production: Table, rejects: Table, as_of, **read) -> DataFrame:
     good, bad = extract(read_pages(spark, landing, "data", RECORD, **read), as_of)
     staging.replace(good)
-    rejects.append_nonempty(bad)
+    rejects.append(bad)
     production.append(rows_to_insert(production.read(), to_production(staging.read()), KEYS, "AD_DATE"))
     return production.read()

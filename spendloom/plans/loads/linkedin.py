@@ -12,7 +12,7 @@ from spendloom.contracts.tables import (
     STG_LINKEDIN_CAMPAIGNS_UPDATED,
     STG_LINKEDIN_LINK,
 )
-from spendloom.functions.dates import date_from_parts, epoch_ms_ts
+from spendloom.functions.dates import date_from_parts, epoch_ms_date
 from spendloom.functions.numbers import fill_zero
 from spendloom.functions.text import trailing, trailing_digits, urn
 from spendloom.operators.filters import differs, trailing_window
@@ -101,7 +101,7 @@ def _campaigns(campaigns: DataFrame, accounts: DataFrame) -> DataFrame:
     ours = matching_list(campaigns, F.col("account"), accounts, urn(ACCOUNT_URN, F.col("id")))
     named = select_renamed(flatten(ours), CAMPAIGN_FIELDS)
     days = ("CREATED_DATE", "MODIFIED_DATE", "START_DATE", "END_DATE")
-    return named.withColumns({c: epoch_ms_ts(F.col(c)) for c in days})
+    return named.withColumns({c: epoch_ms_date(F.col(c)) for c in days})
 
 
 def extract_campaigns(campaigns: DataFrame, accounts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -119,7 +119,7 @@ def extract_links(creatives: DataFrame, campaigns: DataFrame, nine_digits: bool
     ours = matching_list(creatives, F.col("campaign"), campaigns, urn(CAMPAIGN_URN, F.col("ID")))
     id_ = trailing(F.col("campaign"), 9) if nine_digits else trailing_digits(F.col("campaign"))
     named = select_renamed(flatten(ours.withColumn("campaign", id_)), CREATIVE_FIELDS)
-    stamped = named.withColumns({c: epoch_ms_ts(F.col(c)) for c in ("CREATED_DATE", "MODIFIED_DATE")})
+    stamped = named.withColumns({c: epoch_ms_date(F.col(c)) for c in ("CREATED_DATE", "MODIFIED_DATE")})
     return STG_LINKEDIN_LINK.enforce(stamped)
 
 
@@ -185,7 +185,7 @@ def run(
     for name, extract in steps:
         good, bad = extract()
         staging[name].replace(good)
-        rejects.append_nonempty(bad)
+        rejects.append(bad)
     batch = to_production(*(staging[n].read() for n in ("creatives", "campaigns", "ads")))
     production.replace(merged(production.read(), batch))
     return production.read()

@@ -65,6 +65,6 @@ def merged(production: DataFrame, staged: DataFrame) -> DataFrame:
 def run(spark: SparkSession, landing: str, staging: Table, production: Table, rejects: Table, **read) -> DataFrame:
     good, bad = extract(read_array(spark, landing, RECORD, **read))
     staging.replace(good)
-    rejects.append_nonempty(bad)
+    rejects.append(bad)
     production.replace(merged(production.read(), staging.read()))
     return production.read()

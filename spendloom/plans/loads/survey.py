@@ -46,6 +46,6 @@ def run(spark: SparkSession, landing: str, staging: Table, production: Table, re
     """An empty batch leaves production untouched."""
     good, bad = extract(read_pages(spark, landing, "data", RECORD, **read), as_of)
     staging.replace(good)
-    rejects.append_nonempty(bad)
+    rejects.append(bad)
     production.append_nonempty(rows_to_insert(production.read(), staging.read(), KEYS, "RESPONSE_DATE"))
     return production.read()

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from spendloom.contracts import Contract
@@ -41,7 +42,7 @@ def read_target(spark: SparkSession, target: str, contract: Contract) -> DataFra
     root = jvm.org.apache.hadoop.fs.Path(target)
     if not root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
         return contract.empty(spark).withColumn(BATCH, F.lit(None).cast("bigint"))
-    schema = contract.schema.add(BATCH, "bigint")
+    schema = contract.schema.add(BATCH, T.LongType())
     return spark.read.schema(schema).parquet(target).select(*contract.names, BATCH)
 
 
