@@ -21,9 +21,11 @@ from spendloom.contracts.tables import (
     STG_FACEBOOK_ADS_0818,
     STG_HUBSPOT_CONTACTS,
     STG_HUBSPOT_CONTACTS_INFO,
+    STG_HUBSPOT_CONTACTS_VIEW,
     STG_HUBSPOT_PROGRAMS,
     STG_HUBSPOT_SOCIAL_POSTS,
     STG_LINKEDIN_ADS,
+    STG_LINKEDIN_ADS_VIEW,
     STG_LINKEDIN_CAMPAIGNS_UPDATED,
     STG_LINKEDIN_LINK,
 )
@@ -212,6 +214,7 @@ def pipe_linkedin(spark, sf):
         "campaigns": new_table(spark, STG_LINKEDIN_CAMPAIGNS_UPDATED),
         "creatives": new_table(spark, STG_LINKEDIN_LINK),
         "ads": new_table(spark, STG_LINKEDIN_ADS),
+        "batch": new_table(spark, STG_LINKEDIN_ADS_VIEW),
     }
     production = new_table(spark, LINKEDIN_ADS, _span(older, "AD_DATE"))
     loaded = linkedin.run(
@@ -415,6 +418,7 @@ def pipe_contacts(spark, sf):
         "ids": new_table(spark, STG_HUBSPOT_CONTACTS),
         "info": new_table(spark, STG_HUBSPOT_CONTACTS_INFO),
         "programs": new_table(spark, STG_HUBSPOT_PROGRAMS),
+        "batch": new_table(spark, STG_HUBSPOT_CONTACTS_VIEW),
     }
     loaded = contacts.run(
         spark,
@@ -743,10 +747,8 @@ def _report(spark, rows, report, name):
     """Land rows of a report one per page, load them, and return the stored table."""
     matrix = rows.select(F.array(F.array(*[F.col(c).cast("string") for c in rows.columns])).alias("rows"))
     pages = read_documents(spark, landing.land_documents(matrix, name), POSITIONAL_PAGE, **LINES)
-    good, bad = web_analytics.extract(pages, report)
     stored = new_table(spark, report[0])
-    stored.replace(good)
-    new_rejects(spark).append(bad)
+    stored.stage(web_analytics.extract(pages, report), new_rejects(spark))
     return stored.read()
 
 

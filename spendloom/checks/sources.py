@@ -116,7 +116,7 @@ def incremental_landing(spark, sf):
 
     def load():
         records = landed_pages(spark, path, "data", survey.RECORD, multi_line=False)
-        prepare = lambda batch: survey.extract(batch, "2100-01-01", 100_000)[0]
+        prepare = lambda batch: survey.extract(batch, "2100-01-01", 100_000).good
         query = merge_new_files(records, prepare, target, checkpoint, ASK_NICELY_RESPONSES, survey.KEYS, "RESPONSE_DATE")
         query.awaitTermination()
 
@@ -286,10 +286,10 @@ def contract_table(spark, sf):
         F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("SPEND"),
         "o_orderkey",
     )
-    good, bad = STG_FACEBOOK_ADS_0818.enforce(sent, row_nr="o_orderkey")
-    stored = landing.new_rejects(spark)
-    stored.append(bad)
-    fine = good.select("AD_ID", F.lit(None).cast("string").alias("problem"), "SPEND")
+    checked = STG_FACEBOOK_ADS_0818.enforce(sent, row_nr="o_orderkey")
+    staged, stored = landing.new_table(spark, STG_FACEBOOK_ADS_0818), landing.new_rejects(spark)
+    staged.stage(checked, stored)
+    fine = staged.read().select("AD_ID", F.lit(None).cast("string").alias("problem"), "SPEND")
     return fine.unionByName(
         stored.read().select(
             F.col("ROW_NR").alias("AD_ID"),
@@ -310,9 +310,9 @@ def contract_table(spark, sf):
 def contract_course_typed(spark, sf):
     units = F.when(F.col("CAMPUS_CD") == "R", "variable").otherwise(F.col("UNITS_MAXIMUM"))
     listed = domain.courses_text(spark, sf).withColumn("UNITS_MAXIMUM", units)
-    good, bad = courses.typed(listed, F.col("ACADEMIC_YEAR"))
-    return good.select("CLASS_NUM", "CAMPUS_CD", "ACADEMIC_YEAR", "ENRL_TOT", "UNITS_MAXIMUM").unionByName(
-        bad.select(
+    checked = courses.typed(listed, F.col("ACADEMIC_YEAR"))
+    return checked.good.select("CLASS_NUM", "CAMPUS_CD", "ACADEMIC_YEAR", "ENRL_TOT", "UNITS_MAXIMUM").unionByName(
+        checked.bad.select(
             F.get_json_object("CSV_DATA", "$.CLASS_NUM").alias("CLASS_NUM"),
             F.col("ERROR_TEXT").alias("CAMPUS_CD"),
             F.lit(None).cast("decimal(18,0)").alias("ACADEMIC_YEAR"),

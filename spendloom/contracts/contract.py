@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,6 +56,22 @@ def flag(name: str) -> Field:
     return Field(name, T.BooleanType())
 
 
+@dataclass(frozen=True)
+class Checked:
+    """A batch held to a contract.
+
+    ``seen`` counts the faulty rows while the good ones are written, so that a
+    clean batch needs no second pass.
+    """
+
+    good: DataFrame
+    bad: DataFrame
+    seen: Observation
+
+    def map_good(self, change: Callable[[DataFrame], DataFrame]) -> Checked:
+        return replace(self, good=change(self.good))
+
+
 @dataclass(frozen=True)
 class Contract:
     """Columns are bound by name and stored in the declared order."""
@@ -93,20 +110,22 @@ class Contract:
         errors = F.array_compact(F.array(*faults)) if faults else F.array().cast("array<string>")
         return df.select(*values, *keep, errors.alias(ERRORS))
 
-    def enforce(self, df: DataFrame, row_nr: str | None = None) -> tuple[DataFrame, DataFrame]:
+    def enforce(self, df: DataFrame, row_nr: str | None = None) -> Checked:
         """Rows that meet the contract, and the others in the rejects layout."""
         raw = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
         number_ = F.col(row_nr).cast("decimal(18,0)") if row_nr else F.lit(None).cast("decimal(18,0)")
         kept = df.withColumns({"_row_nr": number_, "_raw": raw})
         tagged = self.tag(kept, keep=("_row_nr", "_raw"))
-        good = tagged.filter(F.size(ERRORS) == 0).select(*self.names)
+        seen = Observation()
+        watched = tagged.observe(seen, F.count_if(F.size(ERRORS) > 0).alias("faulty"))
+        good = watched.filter(F.size(ERRORS) == 0).select(*self.names)
         bad = tagged.filter(F.size(ERRORS) > 0).select(
             F.col("_row_nr").alias("ROW_NR"),
             F.left(F.array_join(ERRORS, "; "), F.lit(MAX_ERROR)).alias("ERROR_TEXT"),
             (F.char_length("_raw") > MAX_RAW).alias("TRUNCATED"),
             F.left("_raw", F.lit(MAX_RAW)).alias("CSV_DATA"),
         )
-        return good, bad
+        return Checked(good, bad, seen)
 
     def conform(self, df: DataFrame) -> DataFrame:
         """Contract columns in order; a value that does not fit fails the job.

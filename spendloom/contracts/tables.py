@@ -208,6 +208,9 @@ STG_LINKEDIN_ADS = Contract(
     ),
 )
 
+# Rows of the campaign view as staged for one load; production is laid out by day.
+STG_LINKEDIN_ADS_VIEW = Contract("STG_LINKEDIN_ADS_VIEW", LINKEDIN_ADS.fields)
+
 STG_LINKEDIN_LINK = Contract(
     "STG_LINKEDIN_CAMPAIGN_CREATIVE_LINK",
     (
@@ -301,6 +304,8 @@ STG_HUBSPOT_CONTACTS_INFO = Contract(
     tuple(f for f in HUBSPOT_CONTACTS.fields if f.name != "ACADEMIC_PROGRAM"),
 )
 
+STG_HUBSPOT_CONTACTS_VIEW = Contract("STG_HUBSPOT_CONTACTS_VIEW", HUBSPOT_CONTACTS.fields)
+
 STG_HUBSPOT_PROGRAMS = Contract(
     "STG_HUBSPOT_CONTACTS_ACADEMIC_PROGRAMS",
     (whole("VID"), text("ACADEMIC_PROGRAM", 100)),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendloom.contracts import Checked
 from spendloom.contracts.tables import GOOGLE_ADWORDS
 from spendloom.functions.numbers import micros, percent
 from spendloom.operators.filters import trailing_window
@@ -46,7 +47,7 @@ PERCENTS = ("CLICK_THROUGH_RATE", "ENGAGEMENT_RATE", "PERCENT_INTERACTIONS_NEW",
 MICROS = ("COST", "COST_PER_CONVERSION")
 
 
-def extract(report: DataFrame, as_of, days: int = WINDOW_DAYS) -> tuple[DataFrame, DataFrame]:
+def extract(report: DataFrame, as_of, days: int = WINDOW_DAYS) -> Checked:
     """Staging rows of the trailing window, and rejects (percent text without a number among them)."""
     named = select_renamed(report, HEADERS)
     # A value that does not convert keeps its text, so that the contract rejects the row.
@@ -54,13 +55,10 @@ def extract(report: DataFrame, as_of, days: int = WINDOW_DAYS) -> tuple[DataFram
         {c: F.coalesce(percent(F.col(c)).cast("string"), F.col(c)) for c in PERCENTS}
         | {c: F.coalesce(micros(F.col(c)).cast("string"), F.col(c)) for c in MICROS}
     )
-    good, bad = GOOGLE_ADWORDS.enforce(cleaned)
-    return trailing_window(good, "AD_DATE", as_of, days), bad
+    return GOOGLE_ADWORDS.enforce(cleaned).map_good(lambda good: trailing_window(good, "AD_DATE", as_of, days))
 
 
 def run(spark: SparkSession, landing: str, staging: Table, production: Table, rejects: Table, as_of) -> DataFrame:
-    good, bad = extract(read_csv_report(spark, landing, tuple(HEADERS)), as_of)
-    staging.replace(good)
-    rejects.append(bad)
+    staging.stage(extract(read_csv_report(spark, landing, tuple(HEADERS)), as_of), rejects)
     production.append(rows_to_insert(production.read(), staging.read(), KEYS, "AD_DATE"))
     return production.read()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendloom.contracts import day, text, whole
+from spendloom.contracts import Checked, day, text, whole
 from spendloom.contracts.tables import STG_HUBSPOT_CONTACTS, STG_HUBSPOT_CONTACTS_INFO, STG_HUBSPOT_PROGRAMS
 from spendloom.functions.dates import epoch_ms_date
 from spendloom.functions.paths import path_value
@@ -67,7 +67,7 @@ INFO_ITEMS: tuple[Item, ...] = (
 )
 
 
-def extract_ids(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+def extract_ids(records: DataFrame) -> Checked:
     """Contact ids with name and day of last change, and rejects."""
     named = records.select(
         F.col("vid").alias("VID"),
@@ -78,13 +78,13 @@ def extract_ids(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return STG_HUBSPOT_CONTACTS.enforce(named)
 
 
-def extract_info(profiles: DataFrame, as_of, options: Options = Options()) -> tuple[DataFrame, DataFrame]:
+def extract_info(profiles: DataFrame, as_of, options: Options = Options()) -> Checked:
     """Contact details stamped with the load day, and rejects."""
     row = profiles.select(*project(profiles, INFO_ITEMS, options), F.lit(str(as_of)).alias("IMPORT_DATE"))
     return STG_HUBSPOT_CONTACTS_INFO.enforce(row)
 
 
-def extract_programs(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
+def extract_programs(profiles: DataFrame) -> Checked:
     """One row per program of a contact, and rejects; a contact without any has one NULL row."""
     listed = profiles.select(
         F.col("vid").alias("VID"), path_value(profiles, prop("academic_program")).alias("_programs")
@@ -102,31 +102,30 @@ def run(
     options: Options = Options(),
     **read,
 ) -> DataFrame:
-    """``landing`` holds ids and profiles; ``staging`` ids, info and programs."""
-    ids, bad_ids = extract_ids(read_pages(spark, landing["ids"], "contacts", ID_RECORD, **read))
-    staging["ids"].replace(highwater_prune(ids, "MODIFIED_DATE", production.read(), "LAST_MODIFIED_DATE"))
-    rejects.append(bad_ids)
+    """``landing`` holds ids and profiles; ``staging`` ids, info, programs and batch."""
+    ids = extract_ids(read_pages(spark, landing["ids"], "contacts", ID_RECORD, **read))
+    stored = production.read()
+    recent = ids.map_good(lambda good: highwater_prune(good, "MODIFIED_DATE", stored, "LAST_MODIFIED_DATE"))
+    staging["ids"].stage(recent, rejects)
 
     documents = read_documents(spark, landing["profiles"], PROFILE, **read)
     due = matching_list(documents, F.col("vid"), staging["ids"].read(), F.col("VID"))
-    for name, (good, bad) in (("info", extract_info(due, as_of, options)), ("programs", extract_programs(due))):
-        staging[name].replace(good)
-        rejects.append(bad)
+    staging["info"].stage(extract_info(due, as_of, options), rejects)
+    staging["programs"].stage(extract_programs(due), rejects)
 
-    batch = hubspot_contacts(
+    view = hubspot_contacts(
         {
             "HUBSPOT_CONTACTS_INFO": staging["info"].read(),
             "HUBSPOT_CONTACTS": staging["ids"].read(),
             "HUBSPOT_CONTACTS_ACADEMIC_PROGRAMS": staging["programs"].read(),
         }
     )
-    production.replace(replace_by_key(production.read(), batch, KEYS))
+    staging["batch"].replace(view)
+    production.replace(replace_by_key(stored, staging["batch"].read(), KEYS))
     return production.read()
 
 
 def run_initial(spark: SparkSession, landing: str, staging: Table, rejects: Table, **read) -> DataFrame:
     """Full load of the id list."""
-    ids, bad = extract_ids(read_pages(spark, landing, "contacts", ID_RECORD, **read))
-    staging.replace(ids)
-    rejects.append(bad)
+    staging.stage(extract_ids(read_pages(spark, landing, "contacts", ID_RECORD, **read)), rejects)
     return staging.read()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendloom.contracts import Checked
 from spendloom.contracts.tables import FACEBOOK_ADS, RETIRED_FACEBOOK_FIELDS, STG_FACEBOOK_ADS_0818
 from spendloom.functions.text import leading
 from spendloom.operators.filters import trailing_window
@@ -43,10 +44,9 @@ FIELDS = {
 RECORD = ", ".join(f"{field} string" for field in FIELDS)
 
 
-def extract(records: DataFrame, as_of, days: int = WINDOW_DAYS) -> tuple[DataFrame, DataFrame]:
+def extract(records: DataFrame, as_of, days: int = WINDOW_DAYS) -> Checked:
     """Staging rows of the trailing window, and rejects."""
-    good, bad = STG_FACEBOOK_ADS_0818.enforce(select_renamed(records, FIELDS))
-    return trailing_window(good, "DATE_START", as_of, days), bad
+    return STG_FACEBOOK_ADS_0818.enforce(select_renamed(records, FIELDS)).map_good(lambda good: trailing_window(good, "DATE_START", as_of, days))
 
 
 def to_production(staged: DataFrame) -> DataFrame:
@@ -58,8 +58,6 @@ def to_production(staged: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, landing: str, staging: Table, production: Table, rejects: Table, as_of, **read) -> DataFrame:
-    good, bad = extract(read_pages(spark, landing, "data", RECORD, **read), as_of)
-    staging.replace(good)
-    rejects.append(bad)
+    staging.stage(extract(read_pages(spark, landing, "data", RECORD, **read), as_of), rejects)
     production.append(rows_to_insert(production.read(), to_production(staging.read()), KEYS, "AD_DATE"))
     return production.read()

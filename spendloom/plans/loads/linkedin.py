@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendloom.contracts import Checked
 from spendloom.contracts.tables import (
     LINKEDIN_ADS,
     STG_LINKEDIN_ADS,
@@ -104,13 +105,13 @@ def _campaigns(campaigns: DataFrame, accounts: DataFrame) -> DataFrame:
     return named.withColumns({c: epoch_ms_date(F.col(c)) for c in days})
 
 
-def extract_campaigns(campaigns: DataFrame, accounts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def extract_campaigns(campaigns: DataFrame, accounts: DataFrame) -> Checked:
     """Staged campaigns of the given accounts, and rejects."""
     kept = _campaigns(campaigns, business_accounts(accounts))
     return STG_LINKEDIN_CAMPAIGNS_UPDATED.enforce(kept.select(*STG_LINKEDIN_CAMPAIGNS_UPDATED.names))
 
 
-def extract_links(creatives: DataFrame, campaigns: DataFrame, nine_digits: bool = False) -> tuple[DataFrame, DataFrame]:
+def extract_links(creatives: DataFrame, campaigns: DataFrame, nine_digits: bool = False) -> Checked:
     """Campaign-creative pairs of the staged campaigns, and rejects.
 
     The campaign id is the number that ends the URN; ``nine_digits`` takes its
@@ -125,7 +126,7 @@ def extract_links(creatives: DataFrame, campaigns: DataFrame, nine_digits: bool
 
 def extract_ads(
     analytics: DataFrame, links: DataFrame, as_of, days: int = WINDOW_DAYS, zero_missing: bool = False
-) -> tuple[DataFrame, DataFrame]:
+) -> Checked:
     """Daily metrics of active creatives over the window, the running day included, and rejects.
 
     ``analytics`` carries the creative's URN as ``creative``, from the page.
@@ -143,8 +144,9 @@ def extract_ads(
     named = select_renamed(dated, ANALYTICS_FIELDS)
     if zero_missing:
         named = fill_zero(named, [c for c in named.columns if c not in ("CREATIVE_ID", "AD_DATE", "COST")])
-    good, bad = STG_LINKEDIN_ADS.enforce(named)
-    return trailing_window(good, "AD_DATE", as_of, days, include_today=True), bad
+    return STG_LINKEDIN_ADS.enforce(named).map_good(
+        lambda good: trailing_window(good, "AD_DATE", as_of, days, include_today=True)
+    )
 
 
 def to_production(links: DataFrame, campaigns: DataFrame, ads: DataFrame) -> DataFrame:
@@ -161,6 +163,21 @@ def merged(production: DataFrame, batch: DataFrame) -> DataFrame:
     return kept.unionByName(rows_to_insert(kept, batch, KEYS, "AD_DATE"))
 
 
+def load(production: Table, batch: DataFrame) -> None:
+    """The same merge in place: the newest day's partition is replaced, the other days only grow.
+
+    The day goes first.  A load that stops between the two steps leaves that day
+    the newest, and the next load replaces it again.
+    """
+    newest = production.read().agg(F.max("AD_DATE")).first()[0]
+    day = F.col("AD_DATE")
+    if newest is None:
+        return production.append(batch)
+    production.replace_partition(batch.filter(day == F.lit(newest)), newest)
+    others = batch.filter((day != F.lit(newest)) | day.isNull())
+    production.append(rows_to_insert(production.read(), others, KEYS, "AD_DATE"))
+
+
 def run(
     spark: SparkSession,
     landing: dict[str, str],
@@ -170,7 +187,10 @@ def run(
     as_of,
     **read,
 ) -> DataFrame:
-    """``landing`` and ``staging`` are keyed by accounts (landing only), campaigns, creatives and ads."""
+    """``landing`` is keyed by accounts, campaigns, creatives and ads, ``staging`` by the last three and batch.
+
+    The joined batch is written before the merge, which reads it several times.
+    """
     accounts = read_pages(spark, landing["accounts"], "elements", ACCOUNT, **read)
     campaigns = read_pages(spark, landing["campaigns"], "elements", CAMPAIGN, **read)
     creatives = read_pages(spark, landing["creatives"], "elements", CREATIVE, **read)
@@ -183,11 +203,9 @@ def run(
         ("ads", lambda: extract_ads(analytics, staging["creatives"].read(), as_of)),
     )
     for name, extract in steps:
-        good, bad = extract()
-        staging[name].replace(good)
-        rejects.append(bad)
-    batch = to_production(*(staging[n].read() for n in ("creatives", "campaigns", "ads")))
-    production.replace(merged(production.read(), batch))
+        staging[name].stage(extract(), rejects)
+    staging["batch"].replace(to_production(*(staging[n].read() for n in ("creatives", "campaigns", "ads"))))
+    load(production, staging["batch"].read())
     return production.read()
 
 

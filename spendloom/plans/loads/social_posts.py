@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendloom.contracts import Checked
 from spendloom.contracts.tables import HUBSPOT_SOCIAL_POSTS, STG_HUBSPOT_SOCIAL_POSTS
 from spendloom.functions.dates import epoch_ms_date
 from spendloom.functions.lookups import campaign_program, channel_name
@@ -37,7 +38,7 @@ RECORD = (
 )
 
 
-def extract(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+def extract(records: DataFrame) -> Checked:
     """Staged posts and rejects; the channel is the part of its key before the colon."""
     named = select_renamed(flatten(records), FIELDS)
     cleaned = named.withColumns(
@@ -63,8 +64,6 @@ def merged(production: DataFrame, staged: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, landing: str, staging: Table, production: Table, rejects: Table, **read) -> DataFrame:
-    good, bad = extract(read_array(spark, landing, RECORD, **read))
-    staging.replace(good)
-    rejects.append(bad)
+    staging.stage(extract(read_array(spark, landing, RECORD, **read)), rejects)
     production.replace(merged(production.read(), staging.read()))
     return production.read()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendloom.contracts import Checked
 from spendloom.contracts.tables import ASK_NICELY_RESPONSES
 from spendloom.functions.dates import epoch_s_date
 from spendloom.functions.text import unescape
@@ -29,12 +30,11 @@ FIELDS = {
 RECORD = ", ".join(f"{field} string" for field in (*FIELDS, "comment"))
 
 
-def extract(records: DataFrame, as_of, days: int = WINDOW_DAYS) -> tuple[DataFrame, DataFrame]:
+def extract(records: DataFrame, as_of, days: int = WINDOW_DAYS) -> Checked:
     """Staging rows of the trailing window, and rejects."""
     named = select_renamed(records, FIELDS)
     dated = named.withColumn("RESPONSE_DATE", epoch_s_date(F.col("RESPONSE_DATE")))
-    good, bad = ASK_NICELY_RESPONSES.enforce(dated)
-    return trailing_window(good, "RESPONSE_DATE", as_of, days), bad
+    return ASK_NICELY_RESPONSES.enforce(dated).map_good(lambda good: trailing_window(good, "RESPONSE_DATE", as_of, days))
 
 
 def comments(records: DataFrame) -> DataFrame:
@@ -44,8 +44,6 @@ def comments(records: DataFrame) -> DataFrame:
 
 def run(spark: SparkSession, landing: str, staging: Table, production: Table, rejects: Table, as_of, **read) -> DataFrame:
     """An empty batch leaves production untouched."""
-    good, bad = extract(read_pages(spark, landing, "data", RECORD, **read), as_of)
-    staging.replace(good)
-    rejects.append(bad)
+    staging.stage(extract(read_pages(spark, landing, "data", RECORD, **read), as_of), rejects)
     production.append_nonempty(rows_to_insert(production.read(), staging.read(), KEYS, "RESPONSE_DATE"))
     return production.read()

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendloom.contracts import Contract, Field, day, rate, text, whole
+from spendloom.contracts import Checked, Contract, Field, day, rate, text, whole
 from spendloom.functions.dates import report_date
 from spendloom.functions.text import DIRECT, NO_MEDIUM, NOT_SET, blank_to_null, remove, substitute
 from spendloom.sources.tabular import rows_to_columns
@@ -90,7 +90,7 @@ TRAFFIC = _report(
 )
 
 
-def extract(pages: DataFrame, report: tuple[Contract, tuple[ReportColumn, ...]]) -> tuple[DataFrame, DataFrame]:
+def extract(pages: DataFrame, report: tuple[Contract, tuple[ReportColumn, ...]]) -> Checked:
     """Stored rows of a report, and rejects."""
     contract, columns = report
     named = rows_to_columns(pages, tuple(contract.names))

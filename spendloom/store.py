@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendloom.contracts import Contract
+from spendloom.contracts import Checked, Contract
 
 
 class Table:
@@ -55,6 +55,20 @@ class Table:
         versions = self._committed()
         self._write(df, self._folder(versions[-1] + 1 if versions else 1), "overwrite")
 
+    def replace_partition(self, df: DataFrame, value) -> None:
+        """New content of one partition; the others are not read or written."""
+        versions = self._committed()
+        if not versions:
+            return self.append(df)
+        (column,) = self.contract.partition_by
+        folder = self._folder(versions[-1])
+        if df.isEmpty():
+            jvm = self.spark._jvm
+            path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{column}={value}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        else:
+            self._write(df, folder, "overwrite", partitionOverwriteMode="dynamic")
+
     def truncate(self) -> None:
         self.replace(self.contract.empty(self.spark))
 
@@ -66,12 +80,18 @@ class Table:
             folder = jvm.org.apache.hadoop.fs.Path(self._folder(version))
             folder.getFileSystem(conf).delete(folder, True)
 
-    def _write(self, df: DataFrame, folder: str, mode: str) -> None:
+    def stage(self, batch: Checked, rejects: Table) -> None:
+        """Replace the content by a checked batch, and append its rejects if there are any."""
+        self.replace(batch.good)
+        if batch.seen.get["faulty"]:
+            rejects.append(batch.bad)
+
+    def _write(self, df: DataFrame, folder: str, mode: str, **options: str) -> None:
         typed = self.contract.conform(df)
         parts = self.contract.partition_by
         if parts:
             # One day may hold a large share of the batch: rebalancing splits
             # large days over tasks and gathers small ones into whole files.
             typed = typed.hint("rebalance", *parts)
-        writer = typed.write.mode(mode)
+        writer = typed.write.mode(mode).options(**options)
         (writer.partitionBy(*parts) if parts else writer).parquet(folder)
