@@ -45,14 +45,15 @@ def absent_rows(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFr
     """
     keyed = all_present(keys)
     unmatched = source.filter(keyed).join(present_keys(target, source, keys), keys, "left_anti")
-    return unmatched.unionByName(source.filter(~keyed))
+    return unmatched.select(*source.columns).union(source.filter(~keyed))
 
 
 def without_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows whose key is not in the source; rows with a NULL key part stay."""
     keyed = all_present(keys)
     gone = source.select(*keys).filter(keyed).distinct()
-    return target.filter(keyed).join(gone, keys, "left_anti").unionByName(target.filter(~keyed))
+    kept = target.filter(keyed).join(gone, keys, "left_anti").select(*target.columns)
+    return kept.union(target.filter(~keyed))
 
 
 def matching_list(df: DataFrame, key: Column, ids: DataFrame, id_key: Column) -> DataFrame:
