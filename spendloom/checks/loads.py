@@ -19,6 +19,7 @@ from spendloom.contracts.tables import (
     HUBSPOT_SOCIAL_POSTS,
     LINKEDIN_ADS,
     STG_FACEBOOK_ADS_0818,
+    STG_GOOGLE_ADWORDS,
     STG_HUBSPOT_CONTACTS,
     STG_HUBSPOT_CONTACTS_INFO,
     STG_HUBSPOT_CONTACTS_VIEW,
@@ -47,10 +48,10 @@ from spendloom.sources.pages import read_documents, read_pages
 from spendloom.sources.tabular import POSITIONAL_PAGE
 
 LOCAL = Options(tz=TZ)
-CUTOFF = domain.CUTOFF
-AS_OF = "1999-01-15"
-# Stored ads lie in a short span before the cutoff: the load works on day partitions.
-SINCE = "1998-12-01"
+# The ads begin in January 1995.  Those of that month are stored, and all are
+# landed two weeks into the next.
+CUTOFF = "1995-02-01"
+AS_OF = "1995-02-15"
 
 
 def _local(millis: str) -> str:
@@ -58,9 +59,8 @@ def _local(millis: str) -> str:
     return f"strftime(make_timestamp(CAST({millis} AS BIGINT) * 1000) - INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S')"
 
 
-def _span(df, day: str):
-    d = F.col(day)
-    return df.filter((d >= F.lit(SINCE).cast("date")) & (d < F.lit(CUTOFF).cast("date")))
+def _before(df, day: str):
+    return df.filter(F.col(day) < F.lit(CUTOFF).cast("date"))
 
 
 # --- paid ads -----------------------------------------------------------------------
@@ -69,7 +69,7 @@ def _span(df, day: str):
 @check(
     "pipe_facebook",
     with_(sent=domain.SQL["facebook_ads"].replace(" FROM orders", ", o_orderstatus FROM orders"))
-    + f""", prd AS (SELECT * FROM sent WHERE AD_DATE >= DATE '{SINCE}' AND AD_DATE < DATE '{CUTOFF}')
+    + f""", prd AS (SELECT * FROM sent WHERE AD_DATE < DATE '{CUTOFF}')
     SELECT AD_ID, CAST(AD_DATE AS VARCHAR) AS AD_DATE, PROGRAM_NAME, CLICKS + 1000 AS CLICKS,
       CAST(SPEND AS DOUBLE) AS SPEND, TOTAL_ACTIONS FROM prd
     UNION ALL SELECT AD_ID, CAST(AD_DATE AS VARCHAR), LEFT(CAMPAIGN_NAME, 4), CLICKS, CAST(SPEND AS DOUBLE), NULL
@@ -90,7 +90,7 @@ def pipe_facebook(spark, sf):
         F.col("IMPRESSIONS").cast("string").alias("impressions"),
         F.col("SPEND").cast("string").alias("spend"),
     )
-    stored = _span(ads, "AD_DATE").withColumn("CLICKS", F.col("CLICKS") + 1000)
+    stored = _before(ads, "AD_DATE").withColumn("CLICKS", F.col("CLICKS") + 1000)
     loaded = facebook.run(
         spark,
         landing.land_pages(sent, "data", "insights"),
@@ -106,7 +106,7 @@ def pipe_facebook(spark, sf):
 @check(
     "pipe_adwords",
     with_(sent=domain.SQL["google_adwords"])
-    + f""", prd AS (SELECT * FROM sent WHERE AD_DATE >= DATE '{SINCE}' AND AD_DATE < DATE '{CUTOFF}')
+    + f""", prd AS (SELECT * FROM sent WHERE AD_DATE < DATE '{CUTOFF}')
     SELECT AD_ID, CAST(AD_DATE AS VARCHAR) AS AD_DATE, HEADLINE, CLICKS + 1000 AS CLICKS, CAST(COST AS DOUBLE) AS COST,
       CAST(NULL AS DOUBLE) AS CLICK_THROUGH_RATE FROM prd
     UNION ALL SELECT AD_ID, CAST(AD_DATE AS VARCHAR), HEADLINE, CLICKS, CAST(COST AS DOUBLE),
@@ -115,11 +115,11 @@ def pipe_facebook(spark, sf):
       AND NOT EXISTS (SELECT 1 FROM prd p WHERE p.AD_ID = s.AD_ID AND p.AD_DATE = s.AD_DATE)""",
 )
 def pipe_adwords(spark, sf):
-    stored = _span(domain.google_adwords(spark, sf), "AD_DATE").withColumn("CLICKS", F.col("CLICKS") + 1000)
+    stored = _before(domain.google_adwords(spark, sf), "AD_DATE").withColumn("CLICKS", F.col("CLICKS") + 1000)
     loaded = adwords.run(
         spark,
         landing.land_csv(adwords_report(spark, sf), "report"),
-        new_table(spark, GOOGLE_ADWORDS),
+        new_table(spark, STG_GOOGLE_ADWORDS),
         new_table(spark, GOOGLE_ADWORDS, stored),
         new_rejects(spark),
         AS_OF,
@@ -186,13 +186,13 @@ LINKEDIN_SQL = """WITH sent AS (SELECT o_custkey AS CAMPAIGN_ID, CAST(l_shipdate
       CAST(l_quantity AS BIGINT) AS CLICKS, CAST(l_extendedprice AS DECIMAL(18,2)) AS COST, o_orderstatus, n_regionkey
       FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
       JOIN nation ON n_nationkey = c_nationkey),
-    prd AS (SELECT * FROM sent WHERE AD_DATE >= DATE '1998-12-01' AND AD_DATE < DATE '1999-01-01'),
+    prd AS (SELECT * FROM sent WHERE AD_DATE < DATE '1995-02-01'),
     kept AS (SELECT * FROM prd WHERE AD_DATE <> (SELECT MAX(AD_DATE) FROM prd))
     SELECT CAMPAIGN_ID, CAST(AD_DATE AS VARCHAR) AS AD_DATE, CAST(NULL AS VARCHAR) AS PROGRAM,
       CAST(NULL AS VARCHAR) AS CREATED_DATE, CREATIVE_ID, CLICKS + 1000 AS CLICKS, CAST(COST AS DOUBLE) AS COST FROM kept
     UNION ALL SELECT CAMPAIGN_ID, CAST(AD_DATE AS VARCHAR), PROGRAM, CAST(CREATED_DATE AS VARCHAR), CREATIVE_ID, CLICKS,
       CAST(COST AS DOUBLE) FROM sent s
-    WHERE o_orderstatus = 'O' AND n_regionkey <> 0 AND AD_DATE BETWEEN DATE '1999-01-15' - 150 AND DATE '1999-01-15'
+    WHERE o_orderstatus = 'O' AND n_regionkey <> 0 AND AD_DATE BETWEEN DATE '1995-02-15' - 150 AND DATE '1995-02-15'
       AND NOT EXISTS (SELECT 1 FROM kept k WHERE k.CAMPAIGN_ID = s.CAMPAIGN_ID AND k.AD_DATE = s.AD_DATE)"""
 
 
@@ -216,7 +216,7 @@ def pipe_linkedin(spark, sf):
         "ads": new_table(spark, STG_LINKEDIN_ADS),
         "batch": new_table(spark, STG_LINKEDIN_ADS_VIEW),
     }
-    production = new_table(spark, LINKEDIN_ADS, _span(older, "AD_DATE"))
+    production = new_table(spark, LINKEDIN_ADS, _before(older, "AD_DATE"))
     loaded = linkedin.run(
         spark, linkedin_landing(spark, sf), staging, production, new_rejects(spark), AS_OF, **LINES
     )
@@ -258,6 +258,7 @@ def pipe_linkedin_variant(spark, sf):
 )
 def pipe_survey(spark, sf):
     # Stored up to the 11th; the window of seven days overlaps it.
+    as_of = "1999-01-15"
     older = domain.responses(spark, sf).filter(F.col("RESPONSE_DATE") < F.lit("1999-01-12").cast("date"))
     loaded = survey.run(
         spark,
@@ -265,7 +266,7 @@ def pipe_survey(spark, sf):
         new_table(spark, ASK_NICELY_RESPONSES),
         new_table(spark, ASK_NICELY_RESPONSES, older.withColumn("ANSWER", F.col("ANSWER") + 100)),
         new_rejects(spark),
-        AS_OF,
+        as_of,
         **LINES,
     )
     return loaded.select("RESPONSE_ID", "RESPONSE_DATE", "SEGMENT", "EMAIL", "ANSWER")

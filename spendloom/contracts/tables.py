@@ -40,6 +40,9 @@ GOOGLE_ADWORDS = Contract(
     partition_by=("AD_DATE",),
 )
 
+# Staged rows have the same columns; only production is laid out by day.
+STG_GOOGLE_ADWORDS = Contract("STG_GOOGLE_ADWORDS", GOOGLE_ADWORDS.fields)
+
 FACEBOOK_ADS = Contract(
     "FACEBOOK_ADS",
     (
@@ -419,7 +422,7 @@ STAGING = (
     STG_FACEBOOK_ADS_0818,
     STG_LINKEDIN_CAMPAIGNS,
     STG_LINKEDIN_CAMPAIGNS_UPDATED,
-    GOOGLE_ADWORDS,
+    STG_GOOGLE_ADWORDS,
     STG_LINKEDIN_ADS,
     STG_LINKEDIN_LINK,
     ASK_NICELY_RESPONSES,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendloom.contracts import Checked
-from spendloom.contracts.tables import GOOGLE_ADWORDS
+from spendloom.contracts.tables import STG_GOOGLE_ADWORDS
 from spendloom.functions.numbers import micros, percent
 from spendloom.operators.filters import trailing_window
 from spendloom.operators.merge import rows_to_insert
@@ -55,7 +55,7 @@ def extract(report: DataFrame, as_of, days: int = WINDOW_DAYS) -> Checked:
         {c: F.coalesce(percent(F.col(c)).cast("string"), F.col(c)) for c in PERCENTS}
         | {c: F.coalesce(micros(F.col(c)).cast("string"), F.col(c)) for c in MICROS}
     )
-    return GOOGLE_ADWORDS.enforce(cleaned).map_good(lambda good: trailing_window(good, "AD_DATE", as_of, days))
+    return STG_GOOGLE_ADWORDS.enforce(cleaned).map_good(lambda good: trailing_window(good, "AD_DATE", as_of, days))
 
 
 def run(spark: SparkSession, landing: str, staging: Table, production: Table, rejects: Table, as_of) -> DataFrame:

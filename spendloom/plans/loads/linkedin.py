@@ -169,12 +169,12 @@ def load(production: Table, batch: DataFrame) -> None:
     The day goes first.  A load that stops between the two steps leaves that day
     the newest, and the next load replaces it again.
     """
-    newest = production.read().agg(F.max("AD_DATE")).first()[0]
-    day = F.col("AD_DATE")
-    if newest is None:
+    days = production.partitions()
+    if not days:
         return production.append(batch)
-    production.replace_partition(batch.filter(day == F.lit(newest)), newest)
-    others = batch.filter((day != F.lit(newest)) | day.isNull())
+    day, newest = F.col("AD_DATE"), F.lit(days[-1]).cast("date")
+    production.replace_partition(batch.filter(day == newest), days[-1])
+    others = batch.filter((day != newest) | day.isNull())
     production.append(rows_to_insert(production.read(), others, KEYS, "AD_DATE"))
 
 

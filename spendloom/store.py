@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spendloom.contracts import Checked, Contract
 
+# Folder name Spark gives to rows whose partition column is NULL.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 class Table:
     def __init__(self, spark: SparkSession, path: str, contract: Contract):
@@ -55,6 +58,18 @@ class Table:
         versions = self._committed()
         self._write(df, self._folder(versions[-1] + 1 if versions else 1), "overwrite")
 
+    def partitions(self) -> list[str]:
+        """Values of the partition column, from the folder names; rows without a value not included."""
+        versions = self._committed()
+        if not versions:
+            return []
+        (column,) = self.contract.partition_by
+        jvm = self.spark._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self._folder(versions[-1])}/{column}=*")
+        fs = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName().partition("=")[2] for s in fs.globStatus(pattern) or []]
+        return sorted(n for n in names if n != NO_VALUE)
+
     def replace_partition(self, df: DataFrame, value) -> None:
         """New content of one partition; the others are not read or written."""
         versions = self._committed()

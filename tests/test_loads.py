@@ -79,7 +79,7 @@ def test_adwords(spark, tmp_path, new):
         for row in (adwords.HEADERS, line.values(), broken.values()):
             out.write(",".join(row) + "\n")
     bad = new(t.ERROR_TABLE)
-    got = adwords.run(spark, str(tmp_path), new(t.GOOGLE_ADWORDS), new(t.GOOGLE_ADWORDS), bad, "2018-09-01")
+    got = adwords.run(spark, str(tmp_path), new(t.STG_GOOGLE_ADWORDS), new(t.GOOGLE_ADWORDS), bad, "2018-09-01")
     (row,) = got.collect()
     assert (float(row.CLICK_THROUGH_RATE), float(row.COST), row.ENGAGEMENT_RATE) == (0.0525, 1.23, None)
     assert [r.ERROR_TEXT for r in bad.read().collect()] == ["CLICK_THROUGH_RATE: not a decimal(18,10)"]
