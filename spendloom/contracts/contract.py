@@ -92,7 +92,7 @@ class Contract:
         return spark.createDataFrame([], self.schema)
 
     def tag(self, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-        """Typed columns plus an array of what was wrong with the row.
+        """Typed columns plus what was wrong with the row, as text that is empty for a good one.
 
         Empty text counts as missing.  Contract columns the batch lacks become
         typed NULLs, which is how retired source fields are stored.
@@ -107,7 +107,7 @@ class Contract:
             values.append(value.alias(field.name))
             if fault is not None:
                 faults.append(fault)
-        errors = F.array_compact(F.array(*faults)) if faults else F.array().cast("array<string>")
+        errors = F.concat_ws("; ", *faults) if faults else F.lit("")
         return df.select(*values, *keep, errors.alias(ERRORS))
 
     def enforce(self, df: DataFrame, row_nr: str | None = None) -> Checked:
@@ -117,11 +117,11 @@ class Contract:
         kept = df.withColumns({"_row_nr": number_, "_raw": raw})
         tagged = self.tag(kept, keep=("_row_nr", "_raw"))
         seen = Observation()
-        watched = tagged.observe(seen, F.count_if(F.size(ERRORS) > 0).alias("faulty"))
-        good = watched.filter(F.size(ERRORS) == 0).select(*self.names)
-        bad = tagged.filter(F.size(ERRORS) > 0).select(
+        watched = tagged.observe(seen, F.count_if(F.col(ERRORS) != "").alias("faulty"))
+        good = watched.filter(F.col(ERRORS) == "").select(*self.names)
+        bad = tagged.filter(F.col(ERRORS) != "").select(
             F.col("_row_nr").alias("ROW_NR"),
-            F.left(F.array_join(ERRORS, "; "), F.lit(MAX_ERROR)).alias("ERROR_TEXT"),
+            F.left(ERRORS, F.lit(MAX_ERROR)).alias("ERROR_TEXT"),
             (F.char_length("_raw") > MAX_RAW).alias("TRUNCATED"),
             F.left("_raw", F.lit(MAX_RAW)).alias("CSV_DATA"),
         )

@@ -56,6 +56,21 @@ def without_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
     return kept.union(target.filter(~keyed))
 
 
+def left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on equal names in which a hot key can be split on either side.
+
+    AQE splits both sides of an inner join, but only the left one of a left
+    join.  So matches come from an inner join, the rows without a match from an
+    anti-join with the distinct keys, and rows with a missing key pass by.
+    """
+    keyed = all_present(keys)
+    present = left.filter(keyed)
+    matched = present.join(right, keys)
+    alone = present.join(right.select(*keys).distinct(), keys, "left_anti")
+    rest = alone.select(*left.columns).union(left.filter(~keyed))
+    return matched.unionByName(rest, allowMissingColumns=True)
+
+
 def matching_list(df: DataFrame, key: Column, ids: DataFrame, id_key: Column) -> DataFrame:
     """Rows whose (computed) key is in an id list, each once."""
     wanted = ids.select(id_key.alias("_id")).distinct()
@@ -67,9 +82,9 @@ def stale_keys(
 ) -> DataFrame:
     """Distinct keys with no loaded row, or for which ``stale(stored_at, loaded_at)`` holds.
 
-    Loaded rows are reduced to their key and time before the join.
+    Both sides are reduced to distinct keys and times before the join.
     """
-    seen = loaded.select(F.col(key).alias("_key"), F.col(loaded_at).alias("_at")).distinct()
-    joined = stored.select(key, stored_at).join(seen, F.col(key) == F.col("_key"), "left")
-    due = stale(F.col(stored_at), F.col("_at")) | F.col("_key").isNull()
+    seen = loaded.select(key, F.col(loaded_at).alias("_at"), F.lit(True).alias("_seen")).distinct()
+    joined = left_join(stored.select(key, stored_at).distinct(), seen, [key])
+    due = stale(F.col(stored_at), F.col("_at")) | F.col("_seen").isNull()
     return joined.filter(due).select(key).distinct()

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendloom.operators.filters import largest, smallest
-from spendloom.operators.joins import absent_rows, all_present, without_keys
+from spendloom.operators.joins import absent_rows, all_present, left_join, without_keys
 
 
 def rows_to_insert(target: DataFrame, source: DataFrame, keys: list[str], prune_by: str | None = None) -> DataFrame:
@@ -109,12 +109,11 @@ def highwater_prune(staged: DataFrame, staged_day: str, target: DataFrame, targe
 
 def classify(source: DataFrame, stored: DataFrame, key: str, source_at: str, stored_at: str) -> DataFrame:
     """Source rows marked new, modified or unchanged against the stored copy."""
-    known = stored.select(F.col(key).alias("_key"), F.col(stored_at).alias("_at")).distinct()
+    known = stored.select(key, F.col(stored_at).alias("_at")).distinct()
     state = (
         F.when(F.col("_at").isNull(), "new").when(F.col(source_at) > F.col("_at"), "modified").otherwise("unchanged")
     )
-    joined = source.join(known, F.col(key) == F.col("_key"), "left")
-    return joined.select(*source.columns, state.alias("STATE"))
+    return left_join(source, known, [key]).select(*source.columns, state.alias("STATE"))
 
 
 def delete_cascade(parent: DataFrame, child: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

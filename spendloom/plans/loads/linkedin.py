@@ -17,7 +17,7 @@ from spendloom.functions.dates import date_from_parts, epoch_ms_date
 from spendloom.functions.numbers import fill_zero
 from spendloom.functions.text import trailing, trailing_digits, urn
 from spendloom.operators.filters import differs, trailing_window
-from spendloom.operators.joins import matching_list
+from spendloom.operators.joins import left_join, matching_list
 from spendloom.operators.merge import delete_latest_day, rows_to_insert
 from spendloom.operators.reshape import flatten, select_renamed
 from spendloom.plans.views import linkedin_ads
@@ -215,5 +215,7 @@ def scheduled_campaigns(
     """Variant with schedule and total budget, beside the creation day already stored."""
     ours = business_accounts(accounts, F.col("id") == excluded_account)
     current = STG_LINKEDIN_CAMPAIGNS.conform(_campaigns(campaigns, ours))
-    known = stored.select(F.col("ID").alias("STORED_ID"), F.col("CREATED_DATE").alias("STORED_CREATED_DATE")).distinct()
-    return current.join(known, F.col("ID") == F.col("STORED_ID"), "left")
+    known = stored.select(
+        "ID", F.col("ID").alias("STORED_ID"), F.col("CREATED_DATE").alias("STORED_CREATED_DATE")
+    ).distinct()
+    return left_join(current, known, ["ID"])

@@ -9,7 +9,7 @@ from spendloom.contracts import Contract, day, number, text, whole
 from spendloom.functions.lookups import program_name
 from spendloom.functions.numbers import safe_ratio
 from spendloom.functions.text import leading
-from spendloom.operators.joins import spread_key
+from spendloom.operators.joins import left_join, spread_key
 from spendloom.operators.reshape import union_branches
 
 Tables = dict[str, DataFrame]
@@ -154,7 +154,7 @@ def hubspot_contacts(tables: Tables) -> DataFrame:
     info = tables["HUBSPOT_CONTACTS_INFO"]
     staged = tables["HUBSPOT_CONTACTS"].select("VID")
     programs = tables["HUBSPOT_CONTACTS_ACADEMIC_PROGRAMS"].select("VID", "ACADEMIC_PROGRAM")
-    joined = info.join(staged, "VID").join(programs, "VID", "left")
+    joined = left_join(info.join(staged, "VID"), programs, ["VID"])
     rest = [c for c in info.columns if c not in ("VID", "FIRST_NAME", "LAST_NAME")]
     return joined.select("VID", "FIRST_NAME", "LAST_NAME", "ACADEMIC_PROGRAM", *rest)
 

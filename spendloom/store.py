@@ -44,7 +44,11 @@ class Table:
     def append(self, df: DataFrame) -> None:
         """Add rows to the current version; existing files stay as they are."""
         versions = self._committed()
-        self._write(df, self._folder(versions[-1] if versions else 1), "append")
+        if versions:
+            self._write(df, self._folder(versions[-1]), "append")
+        else:
+            # What an unfinished first load left behind goes.
+            self._write(df, self._folder(1), "overwrite")
 
     def append_nonempty(self, df: DataFrame) -> bool:
         """Add rows if there are any; says whether it did."""

@@ -174,3 +174,12 @@ def test_trailing_window_bounds(make, values):
 def test_differs_keeps_missing(make, values):
     df = make([("PERSONAL",), ("BUSINESS",), (None,)], "type string")
     assert values(df.filter(filters.differs(F.col("type"), "PERSONAL"))) == [(None,), ("BUSINESS",)]
+
+
+def test_left_join(make, values):
+    left = make([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, l string")
+    right = make([(1, "x"), (1, "y"), (3, "z"), (None, "n")], "k int, r string")
+    got = joins.left_join(left, right, ["k"])
+    assert values(got) == values(left.join(right, "k", "left"))
+    assert got.columns == ["k", "l", "r"]
+    assert joins.left_join(left, right.limit(0), ["k"]).count() == 4
