@@ -44,8 +44,7 @@ from spendloom.plans.loads import (
     web_analytics,
 )
 from spendloom.plans.loads.fields import Options
-from spendloom.sources.pages import read_documents, read_pages
-from spendloom.sources.tabular import POSITIONAL_PAGE
+from spendloom.sources.pages import read_pages
 
 LOCAL = Options(tz=TZ)
 # The ads begin in January 1995.  Those of that month are stored, and all are
@@ -484,9 +483,8 @@ def pipe_contacts_legacy_cdc(spark, sf):
     programs = new_table(
         spark, contacts_legacy.HS_CONTACT_PROGRAM, known.select(vid, F.lit("OLD").alias("ACADEMIC_PROGRAM"))
     )
-    records = read_pages(spark, contact_ids(spark, sf), "contacts", contacts.ID_RECORD, **LINES)
-    documents = read_documents(spark, profiles(spark, sf), contacts.PROFILE, **LINES)
-    people, listed = contacts_legacy.run(records, documents, stored, programs, "2018-02-01 00:00:00", LOCAL)
+    landed = {"ids": contact_ids(spark, sf), "profiles": profiles(spark, sf)}
+    people, listed = contacts_legacy.run(spark, landed, stored, programs, "2018-02-01 00:00:00", LOCAL, **LINES)
     none = F.lit(None).cast("string")
     return people.select(F.lit("contact").alias("T"), "VID", "LAST_NAME", "UPDATED_AT", "BIRTHDATE").unionByName(
         listed.select(
@@ -512,18 +510,15 @@ def pipe_contacts_legacy_cdc(spark, sf):
 def pipe_contact_forms(spark, sf):
     people = table(spark, sf, "customer")
     vid = F.col("c_custkey").alias("VID")
-    stored = people.select(vid, F.lit("2018-01-10 00:00:00").alias("UPDATED_AT"))
-    seen = F.when(F.col("c_nationkey") < 5, "2018-01-20 00:00:00").otherwise("2018-01-01 00:00:00")
-    forms = contacts_legacy.HS_CONTACT_FORMS.conform(
-        people.filter(F.col("c_nationkey") <= 12).select(vid, F.lit("OLD").alias("FORM"), seen.alias("UPDATEDAT"))
+    stored = new_table(
+        spark, contacts_legacy.HS_CONTACTS, people.select(vid, F.lit("2018-01-10 00:00:00").alias("UPDATED_AT"))
     )
-    documents = read_documents(spark, profiles(spark, sf), contacts.PROFILE, **LINES)
-    reloaded = contacts_legacy.refreshed_forms(
-        contacts_legacy.HS_CONTACTS.conform(stored), forms, documents, "2018-02-01 00:00:00", options=LOCAL
+    seen = F.when(F.col("c_nationkey") < 5, "2018-01-20 00:00:00").otherwise("2018-01-01 00:00:00")
+    older = people.filter(F.col("c_nationkey") <= 12).select(vid, F.lit("OLD").alias("FORM"), seen.alias("UPDATEDAT"))
+    forms = new_table(spark, contacts_legacy.HS_CONTACT_FORMS, older)
+    return contacts_legacy.run_forms(
+        spark, profiles(spark, sf), stored, forms, "2018-02-01 00:00:00", LOCAL, **LINES
     )
-    table_ = new_table(spark, contacts_legacy.HS_CONTACT_FORMS, forms)
-    table_.replace(reloaded)
-    return table_.read()
 
 
 # --- engagements, workflows, email campaigns ------------------------------------------------
@@ -561,10 +556,9 @@ def pipe_engagements(spark, sf):
             F.lit("").alias("subject"),
         ).alias("metadata"),
     )
-    records = read_pages(spark, landing.land_pages(sent, "results", "engagements"), "results", engagement.ENGAGEMENT, **LINES)
     stored = new_table(spark, engagement.HS_CONTACT_ENGAGEMENTS)
-    stored.replace(engagement.engagements(records, LOCAL))
-    return stored.read().select(
+    path = landing.land_pages(sent, "results", "engagements")
+    return engagement.run_engagements(spark, path, stored, LOCAL, **LINES).select(
         "ENGAGEMENT_ID",
         "ACTIVE",
         "CREATED_AT",
@@ -602,11 +596,9 @@ def pipe_contact_workflow(spark, sf):
         ),
     )
     docs = table(spark, sf, "customer").select(F.col("c_custkey").alias("vid"), F.array(flow, flow).alias("workflows"))
-    enrolments = read_documents(spark, landing.land_documents(docs, "enrolments"), engagement.ENROLMENTS, **LINES)
-    ids = read_pages(spark, contact_ids(spark, sf), "contacts", contacts.ID_RECORD, **LINES)
+    landed = {"ids": contact_ids(spark, sf), "enrolments": landing.land_documents(docs, "enrolments")}
     stored = new_table(spark, engagement.HS_CONTACT_WORKFLOW)
-    stored.replace(engagement.contact_workflow(ids, enrolments, LOCAL))
-    return stored.read().select(
+    return engagement.run_workflows(spark, landed, stored, LOCAL, **LINES).select(
         "VID",
         "TRIGGER_ID",
         "TRIGGER_TYPE",
@@ -640,13 +632,12 @@ def pipe_email_campaigns(spark, sf):
         F.col("o_orderstatus").alias("processingState"),
         (F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint") * DAY_MS).alias("lastProcessingFinishedAt"),
     )
-    ids = read_pages(
-        spark, landing.land_pages(listed, "campaigns", "campaign_ids"), "campaigns", engagement.CAMPAIGN_ID_RECORD, **LINES
-    )
-    found = read_documents(spark, landing.land_documents(details, "campaigns"), engagement.CAMPAIGN_DETAIL, **LINES)
+    landed = {
+        "ids": landing.land_pages(listed, "campaigns", "campaign_ids"),
+        "details": landing.land_documents(details, "campaigns"),
+    }
     stored = new_table(spark, engagement.HS_CAMPAIGNS)
-    stored.replace(engagement.email_campaigns(ids, found, LOCAL))
-    return stored.read().select(
+    return engagement.run_campaigns(spark, landed, stored, LOCAL, **LINES).select(
         "ID", "APP_ID", "SUBJECT", "SENT", "OPEN", "PROCESSING_STATE", "LAST_PROCESSING_FINISHED_AT"
     )
 
@@ -654,11 +645,9 @@ def pipe_email_campaigns(spark, sf):
 # --- content -----------------------------------------------------------------------------
 
 
-def _reload(spark, sent, record_path, record, contract, rows):
-    path = landing.land_pages(sent, record_path, contract.name.lower())
-    stored = new_table(spark, contract)
-    stored.replace(rows(read_pages(spark, path, record_path, record, **LINES), LOCAL))
-    return stored.read()
+def _reload(spark, sent, listing):
+    path = landing.land_pages(sent, listing.record_path, listing.contract.name.lower())
+    return content.run(spark, path, listing, new_table(spark, listing.contract), LOCAL, **LINES)
 
 
 @check(
@@ -677,7 +666,7 @@ def pipe_blogs(spark, sf):
         F.col("page_id").alias("id"),
         F.lit(3).alias("portal_id"),
     )
-    return _reload(spark, sent, "objects", content.BLOG, content.HS_BLOGS, content.blogs)
+    return _reload(spark, sent, content.BLOGS)
 
 
 @check(
@@ -697,7 +686,7 @@ def pipe_blog_posts(spark, sf):
         F.col("text").alias("html_title"),
         F.col("lang").alias("label"),
     )
-    loaded = _reload(spark, sent, "objects", content.BLOG_POST, content.HS_BLOG_POSTS, content.blog_posts)
+    loaded = _reload(spark, sent, content.BLOG_POSTS)
     return loaded.select(
         "ANALYTICS_PAGE_ID", "AUTHOR", "AUTHOR_AT", "COMMENT_COUNT", "CURRENTLY_PUBLISHED", "HTML_TITLE", "LABEL"
     )
@@ -717,7 +706,7 @@ def pipe_keywords(spark, sf):
         F.lit(0).alias("leads"),
         (F.col("p_partkey") * 1000 + _STAMP_BASE).alias("created_at"),
     )
-    return _reload(spark, sent, "keywords", content.KEYWORD, content.HS_KEYWORDS, content.keywords)
+    return _reload(spark, sent, content.KEYWORDS)
 
 
 @check(
@@ -738,7 +727,7 @@ def pipe_workflows(spark, sf):
         F.struct(F.col("s_nationkey").alias("enrolled"), F.lit(5).alias("active")).alias("contactListIds"),
         F.struct(F.lit(6).alias("active"), F.lit(0).alias("enrolled")).alias("contactCounts"),
     )
-    return _reload(spark, sent, "workflows", content.WORKFLOW, content.HS_WORKFLOWS, content.workflows)
+    return _reload(spark, sent, content.WORKFLOWS)
 
 
 # --- web analytics ---------------------------------------------------------------------------
@@ -747,10 +736,8 @@ def pipe_workflows(spark, sf):
 def _report(spark, rows, report, name):
     """Land rows of a report one per page, load them, and return the stored table."""
     matrix = rows.select(F.array(F.array(*[F.col(c).cast("string") for c in rows.columns])).alias("rows"))
-    pages = read_documents(spark, landing.land_documents(matrix, name), POSITIONAL_PAGE, **LINES)
-    stored = new_table(spark, report[0])
-    stored.stage(web_analytics.extract(pages, report), new_rejects(spark))
-    return stored.read()
+    path = landing.land_documents(matrix, name)
+    return web_analytics.run(spark, path, report, new_table(spark, report[0]), new_rejects(spark), **LINES)
 
 
 @check(

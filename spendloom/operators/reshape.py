@@ -18,8 +18,8 @@ def select_renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def load_stamp(df: DataFrame, column: str, as_of=None) -> DataFrame:
-    """Load day or time; without ``as_of`` the day the job runs."""
-    return df.withColumn(column, F.current_date() if as_of is None else F.lit(as_of))
+    """Load day; without ``as_of`` the day the job runs."""
+    return df.withColumn(column, F.current_date() if as_of is None else F.lit(str(as_of)).cast("date"))
 
 
 def null_columns(df: DataFrame, columns: dict[str, T.DataType]) -> DataFrame:

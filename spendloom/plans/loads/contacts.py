@@ -15,7 +15,7 @@ from spendloom.operators.reshape import explode_items
 from spendloom.plans.loads.fields import Item, Options, at, key, local_day, project
 from spendloom.plans.views import hubspot_contacts
 from spendloom.sources.pages import read_documents, read_pages
-from spendloom.store import Table
+from spendloom.store import Table, written
 
 KEYS = ["VID"]
 
@@ -109,7 +109,7 @@ def run(
     staging["ids"].stage(recent, rejects)
 
     documents = read_documents(spark, landing["profiles"], PROFILE, **read)
-    due = matching_list(documents, F.col("vid"), staging["ids"].read(), F.col("VID"))
+    due = written(matching_list(documents, F.col("vid"), staging["ids"].read(), F.col("VID")), "profiles")
     staging["info"].stage(extract_info(due, as_of, options), rejects)
     staging["programs"].stage(extract_programs(due), rejects)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendloom.contracts import Contract, text, whole
@@ -11,9 +11,10 @@ from spendloom.functions.paths import path_value
 from spendloom.operators.joins import matching_list, stale_keys, without_keys
 from spendloom.operators.merge import classify, delete_cascade
 from spendloom.operators.reshape import explode_children, explode_items
-from spendloom.plans.loads.contacts import prop, version
+from spendloom.plans.loads.contacts import ID_RECORD, PROFILE, prop, version
 from spendloom.plans.loads.fields import Item, Options, at, contract_of, key, local_time, project
-from spendloom.store import Table
+from spendloom.sources.pages import read_documents, read_pages
+from spendloom.store import Table, written
 
 # Profile property behind each stored column.
 ITEMS: tuple[Item, ...] = (
@@ -85,19 +86,24 @@ def program_rows(profiles: DataFrame) -> DataFrame:
 
 
 def run(
-    records: DataFrame,
-    profiles: DataFrame,
+    spark: SparkSession,
+    landing: dict[str, str],
     contacts: Table,
     programs: Table,
     loaded_at: str,
     options: Options = Options(),
+    **read,
 ) -> tuple[DataFrame, DataFrame]:
-    """Delete modified contacts with their programs, insert new and modified ones from their profiles."""
-    changed = changes(listed(records, options), contacts.read())
+    """Delete modified contacts with their programs, insert new and modified ones from their profiles.
+
+    Changes and profiles are written first: both tables are replaced from the same ones.
+    """
+    records = read_pages(spark, landing["ids"], "contacts", ID_RECORD, **read)
+    profiles = read_documents(spark, landing["profiles"], PROFILE, **read)
+    changed = written(changes(listed(records, options), contacts.read()), "changes")
     modified = changed.filter(F.col("STATE") == "modified").select("VID")
     kept_contacts, kept_programs = delete_cascade(contacts.read(), programs.read(), modified, "VID")
-    due = matching_list(profiles, F.col("vid"), changed, F.col("VID"))
-    # Both results derive from the stored contacts, so the child is replaced first.
+    due = written(matching_list(profiles, F.col("vid"), changed, F.col("VID")), "profiles")
     programs.replace(kept_programs.unionByName(program_rows(due)))
     contacts.replace(kept_contacts.unionByName(contact_rows(due, loaded_at, options)))
     return contacts.read(), programs.read()
@@ -129,3 +135,17 @@ def refreshed_forms(
     due = stale_keys(contacts, forms, "VID", "UPDATED_AT", "UPDATEDAT", stale)
     fresh = form_rows(matching_list(profiles, F.col("vid"), due, F.col("VID")), loaded_at, options)
     return without_keys(forms, due, ["VID"]).unionByName(fresh)
+
+
+def run_forms(
+    spark: SparkSession,
+    profiles: str,
+    contacts: Table,
+    forms: Table,
+    loaded_at: str,
+    options: Options = Options(),
+    **read,
+) -> DataFrame:
+    documents = read_documents(spark, profiles, PROFILE, **read)
+    forms.replace(refreshed_forms(contacts.read(), forms.read(), documents, loaded_at, options=options))
+    return forms.read()

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendloom.contracts import text, whole
+from spendloom.contracts import Contract, text, whole
 from spendloom.plans.loads.fields import Item, Options, at, contract_of, local_time, project
+from spendloom.sources.pages import read_pages
+from spendloom.store import Table
 
 BLOG = (
     "absolute_url string, analytics_page_id string, category_id bigint, created_date_time bigint, html_title string, "
@@ -98,3 +103,28 @@ def keywords(records: DataFrame, options: Options = Options()) -> DataFrame:
 def workflows(records: DataFrame, options: Options = Options()) -> DataFrame:
     blank = [F.lit(None).cast("string").alias(f.name) for f in STEP_COLUMNS]
     return HS_WORKFLOWS.conform(records.select(*project(records, WORKFLOW_ITEMS, options), *blank))
+
+
+@dataclass(frozen=True)
+class Listing:
+    """Where a list's records are in its pages, and what is stored of them."""
+
+    record_path: str
+    record: str
+    contract: Contract
+    rows: Callable[[DataFrame, Options], DataFrame]
+
+
+BLOGS = Listing("objects", BLOG, HS_BLOGS, blogs)
+BLOG_POSTS = Listing("objects", BLOG_POST, HS_BLOG_POSTS, blog_posts)
+KEYWORDS = Listing("keywords", KEYWORD, HS_KEYWORDS, keywords)
+WORKFLOWS = Listing("workflows", WORKFLOW, HS_WORKFLOWS, workflows)
+
+
+def run(
+    spark: SparkSession, landing: str, listing: Listing, stored: Table, options: Options = Options(), **read
+) -> DataFrame:
+    """Full reload of one list from all its landed pages."""
+    records = read_pages(spark, landing, listing.record_path, listing.record, **read)
+    stored.replace(listing.rows(records, options))
+    return stored.read()

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendloom.contracts import text, whole
 from spendloom.functions.paths import path_value
 from spendloom.operators.reshape import explode_children
+from spendloom.plans.loads.contacts import ID_RECORD
 from spendloom.plans.loads.fields import Item, Options, at, clean, contract_of, key, local_time, project
+from spendloom.sources.pages import read_documents, read_pages
+from spendloom.store import Table
 
 _PERSON = "struct<email string, firstName string, lastName string>"
 ENGAGEMENT = (
@@ -142,3 +145,30 @@ def email_campaigns(ids: DataFrame, details: DataFrame, options: Options = Optio
     """Details of each listed campaign."""
     listed = details.join(ids.select("id", "appId"), ["id", "appId"])
     return HS_CAMPAIGNS.conform(listed.select(*project(listed, CAMPAIGN_ITEMS, options)))
+
+
+def run_engagements(
+    spark: SparkSession, landing: str, stored: Table, options: Options = Options(), **read
+) -> DataFrame:
+    stored.replace(engagements(read_pages(spark, landing, "results", ENGAGEMENT, **read), options))
+    return stored.read()
+
+
+def run_workflows(
+    spark: SparkSession, landing: dict[str, str], stored: Table, options: Options = Options(), **read
+) -> DataFrame:
+    """``landing`` holds contact ids and their enrolments."""
+    contacts = read_pages(spark, landing["ids"], "contacts", ID_RECORD, **read)
+    found = read_documents(spark, landing["enrolments"], ENROLMENTS, **read)
+    stored.replace(contact_workflow(contacts, found, options))
+    return stored.read()
+
+
+def run_campaigns(
+    spark: SparkSession, landing: dict[str, str], stored: Table, options: Options = Options(), **read
+) -> DataFrame:
+    """``landing`` holds campaign ids and details."""
+    ids = read_pages(spark, landing["ids"], "campaigns", CAMPAIGN_ID_RECORD, **read)
+    details = read_documents(spark, landing["details"], CAMPAIGN_DETAIL, **read)
+    stored.replace(email_campaigns(ids, details, options))
+    return stored.read()

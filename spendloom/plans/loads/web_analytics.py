@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendloom.contracts import Checked, Contract, Field, day, rate, text, whole
 from spendloom.functions.dates import report_date
 from spendloom.functions.text import DIRECT, NO_MEDIUM, NOT_SET, blank_to_null, remove, substitute
-from spendloom.sources.tabular import rows_to_columns
+from spendloom.sources.pages import read_documents
+from spendloom.sources.tabular import POSITIONAL_PAGE, rows_to_columns
+from spendloom.store import Table
 
 
 def _unset(col: Column) -> Column:
@@ -98,6 +100,19 @@ def extract(pages: DataFrame, report: tuple[Contract, tuple[ReportColumn, ...]])
     return contract.enforce(cleaned)
 
 
+def run(
+    spark: SparkSession,
+    landing: str,
+    report: tuple[Contract, tuple[ReportColumn, ...]],
+    stored: Table,
+    rejects: Table,
+    **read,
+) -> DataFrame:
+    """Full reload of one report from all its landed pages."""
+    stored.stage(extract(read_documents(spark, landing, POSITIONAL_PAGE, **read), report), rejects)
+    return stored.read()
+
+
 def _cleaned(column: ReportColumn) -> Column:
     value = column.rule(F.col(column.field.name))
     return value if column.rule is report_date else blank_to_null(value)

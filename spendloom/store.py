@@ -10,11 +10,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from spendloom.contracts import Checked, Contract
+from spendloom.session import scratch_path
 
 # Folder name Spark gives to rows whose partition column is NULL.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, computed once and read back from the shared folder."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 class Table:
     def __init__(self, spark: SparkSession, path: str, contract: Contract):
         self.spark = spark

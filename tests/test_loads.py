@@ -263,9 +263,7 @@ def test_legacy_contacts(spark, land, new):
 
     def run(loaded_at, *people):
         pages = contact_pages(land, loaded_at, *people)
-        ids = read_pages(spark, pages["ids"], "contacts", contacts.ID_RECORD)
-        docs = read_documents(spark, pages["profiles"], contacts.PROFILE)
-        one, two = contacts_legacy.run(ids, docs, stored, programs, loaded_at)
+        one, two = contacts_legacy.run(spark, pages, stored, programs, loaded_at)
         return (
             sorted((int(r.VID), r.LOADED_AT, r.UPDATED_AT) for r in one.collect()),
             sorted((int(r.VID), r.ACADEMIC_PROGRAM or "") for r in two.collect()),

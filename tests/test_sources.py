@@ -1,5 +1,6 @@
 """Readers over small files."""
 
+import datetime as dt
 import json
 
 import pytest
@@ -98,5 +99,5 @@ def test_children_of_an_empty_or_missing_list(make, values):
 
 def test_load_stamp(make):
     df = make([(1,)], "id int")
-    assert reshape.load_stamp(df, "d", "2018-01-01").first().d == "2018-01-01"
+    assert reshape.load_stamp(df, "d", "2018-01-01").first().d == dt.date(2018, 1, 1)
     assert reshape.load_stamp(df, "d").first().d is not None
