@@ -74,11 +74,16 @@ class Checked:
 
 @dataclass(frozen=True)
 class Contract:
-    """Columns are bound by name and stored in the declared order."""
+    """Columns are bound by name and stored in the declared order.
+
+    A table is laid out in folders by the columns of ``partition_by``, or by a
+    hash of those of ``bucket_by`` if rows are updated by key.
+    """
 
     name: str
     fields: tuple[Field, ...]
     partition_by: tuple[str, ...] = ()
+    bucket_by: tuple[str, ...] = ()
 
     @property
     def names(self) -> list[str]:

@@ -255,6 +255,7 @@ HUBSPOT_SOCIAL_POSTS = Contract(
         whole("REPLIES"),
         whole("ITERACTIONS"),
     ),
+    bucket_by=("POST_ID",),
 )
 
 STG_HUBSPOT_SOCIAL_POSTS = Contract(
@@ -300,6 +301,7 @@ HUBSPOT_CONTACTS = Contract(
         text("KLOUTSCORE", 50),
         day("IMPORT_DATE"),
     ),
+    bucket_by=("VID",),
 )
 
 STG_HUBSPOT_CONTACTS_INFO = Contract(

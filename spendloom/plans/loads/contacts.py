@@ -121,7 +121,8 @@ def run(
         }
     )
     staging["batch"].replace(view)
-    production.replace(replace_by_key(stored, staging["batch"].read(), KEYS))
+    batch = staging["batch"].read()
+    production.merge_into(batch, lambda kept: replace_by_key(kept, batch, KEYS))
     return production.read()
 
 

@@ -65,5 +65,6 @@ def merged(production: DataFrame, staged: DataFrame) -> DataFrame:
 
 def run(spark: SparkSession, landing: str, staging: Table, production: Table, rejects: Table, **read) -> DataFrame:
     staging.stage(extract(read_array(spark, landing, RECORD, **read)), rejects)
-    production.replace(merged(production.read(), staging.read()))
+    batch = staging.read()
+    production.merge_into(batch, lambda stored: merged(stored, batch))
     return production.read()

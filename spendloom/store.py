@@ -1,4 +1,4 @@
-"""Stored tables: Parquet folders that are appended to or replaced as a whole.
+"""Stored tables: Parquet folders that are appended to, merged into, or replaced as a whole.
 
 A table is a folder of version folders.  Spark's job commit leaves a
 ``_SUCCESS`` file last, so the newest version that has one is the current
@@ -7,9 +7,13 @@ content; a replacement that fails half-way is never seen by readers.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendloom.contracts import Checked, Contract
+from spendloom.operators.joins import all_present
 from spendloom.session import scratch_path
 
 # Folder name Spark gives to rows whose partition column is NULL.
@@ -25,10 +29,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 class Table:
-    def __init__(self, spark: SparkSession, path: str, contract: Contract):
+    """``buckets`` matters for contracts with ``bucket_by``: it stays the same for the life
+    of a table and should make a bucket a few files, thousands for a large table.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, contract: Contract, buckets: int = 16):
         self.spark = spark
         self.path = path.rstrip("/")
         self.contract = contract
+        self.buckets = buckets
+
+    @property
+    def _bucket_column(self) -> str:
+        # The count is part of the name: a table opened with another one cannot be merged into.
+        return f"bucket_of_{self.buckets}"
+
+    def _bucket(self) -> Column:
+        """Bucket of a row's key; rows with a missing key part have one of their own."""
+        keys = self.contract.bucket_by
+        dtypes = {f.name: f.dtype for f in self.contract.fields}
+        hashed = F.xxhash64(*[F.col(k).cast(dtypes[k]) for k in keys])
+        number = F.pmod(hashed, F.lit(self.buckets)).cast("int")
+        return F.when(all_present(list(keys)), number).otherwise(self.buckets)
 
     def _committed(self) -> list[int]:
         jvm = self.spark._jvm
@@ -97,6 +119,29 @@ class Table:
         else:
             self._write(df, folder, "overwrite", partitionOverwriteMode="dynamic")
 
+    def merge_into(self, batch: DataFrame, merge: Callable[[DataFrame], DataFrame]) -> None:
+        """Rewrite the buckets the batch's keys fall in as ``merge(their stored rows)``.
+
+        The merge must keep keys as they are and leave no such bucket empty, as
+        upserts and key replacements do.
+        """
+        versions = self._committed()
+        if not versions:
+            return self.replace(merge(self.read()))
+        # At most ``buckets`` + 1 numbers.
+        touched = [row[0] for row in batch.select(self._bucket()).distinct().collect()]
+        if not touched:
+            return
+        folder = self._folder(versions[-1])
+        number = F.col(self._bucket_column)
+        stored = (
+            self.spark.read.schema(self.contract.schema)
+            .parquet(folder)
+            .filter(number.isin(touched))
+            .select(*self.contract.names)
+        )
+        self._write(merge(stored), folder, "overwrite", touched, partitionOverwriteMode="dynamic")
+
     def truncate(self) -> None:
         self.replace(self.contract.empty(self.spark))
 
@@ -114,12 +159,21 @@ class Table:
         if batch.seen.get["faulty"]:
             rejects.append(batch.bad)
 
-    def _write(self, df: DataFrame, folder: str, mode: str, **options: str) -> None:
+    def _write(
+        self, df: DataFrame, folder: str, mode: str, only: list[int] | None = None, **options: str
+    ) -> None:
         typed = self.contract.conform(df)
         parts = self.contract.partition_by
+        if self.contract.bucket_by:
+            number = self._bucket()
+            if only is not None:
+                stray = F.raise_error(F.lit("row of a bucket that is not rewritten")).cast("int")
+                number = F.when(number.isin(only), number).otherwise(stray)
+            parts = (self._bucket_column,)
+            typed = typed.withColumn(self._bucket_column, number)
         if parts:
-            # One day may hold a large share of the batch: rebalancing splits
-            # large days over tasks and gathers small ones into whole files.
+            # One day or bucket may hold a large share of the rows: rebalancing
+            # splits large ones over tasks and gathers small ones into whole files.
             typed = typed.hint("rebalance", *parts)
         writer = typed.write.mode(mode).options(**options)
         (writer.partitionBy(*parts) if parts else writer).parquet(folder)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spendloom import session
 from spendloom.contracts import Contract, day, text, whole
+from spendloom.operators.merge import replace_by_key
 from spendloom.session import scratch_path
 from spendloom.store import Table
 
@@ -110,6 +111,60 @@ def test_rows_without_a_day(days, make):
     assert [(int(r.ID), r.AD_DATE is None) for r in days.read().orderBy("ID").collect()] == [(1, True), (2, False)]
 
 
+KEYED = Contract("KEYED", (whole("ID"), text("NAME")), bucket_by=("ID",))
+
+
+@pytest.fixture
+def keyed(spark):
+    return Table(spark, scratch_path(spark, "keyed"), KEYED, buckets=8)
+
+
+def upsert(table, make, *rows):
+    batch = make(list(rows), "ID int, NAME string")
+    table.merge_into(batch, lambda stored: replace_by_key(stored, batch, ["ID"]))
+    return sorted((r.ID is not None and int(r.ID), r.NAME) for r in table.read().collect())
+
+
+def files(table):
+    return {r[0] for r in table.read().select("_metadata.file_path").distinct().collect()}
+
+
+def test_merge_rewrites_only_the_buckets_of_the_batch(keyed, make):
+    keyed.replace(rows(make, *range(40)))
+    before = files(keyed)
+    got = upsert(keyed, make, (3, "new"), (3, "more"), (99, "added"))
+    assert got == sorted([(i, f"n{i}") for i in range(40) if i != 3] + [(3, "more"), (3, "new"), (99, "added")])
+    assert len(before & files(keyed)) >= 6
+
+
+def test_merge_of_missing_keys_loses_nothing(keyed, make):
+    assert upsert(keyed, make, (None, "a"), (1, "b")) == [(False, "a"), (1, "b")]
+    assert upsert(keyed, make, (2, "c")) == [(False, "a"), (1, "b"), (2, "c")]
+    assert upsert(keyed, make, (None, "d")) == [(False, "a"), (False, "d"), (1, "b"), (2, "c")]
+
+
+def test_merge_of_nothing(keyed, make):
+    keyed.replace(rows(make, 1))
+    batch = rows(make, 1).limit(0)
+    keyed.merge_into(batch, lambda stored: stored)
+    assert ids(keyed) == [1]
+
+
+def test_a_row_outside_the_rewritten_buckets_fails(keyed, make):
+    keyed.replace(rows(make, *range(40)))
+    with pytest.raises(Exception, match="not rewritten"):
+        keyed.merge_into(rows(make, 3), lambda stored: rows(make, *range(40)))
+    assert ids(keyed) == list(range(40))
+
+
+def test_another_bucket_count_is_noticed(spark, keyed, make):
+    keyed.replace(rows(make, 1))
+    other = Table(spark, keyed.path, KEYED, buckets=4)
+    assert ids(other) == [1]
+    with pytest.raises(Exception, match="bucket_of_4"):
+        other.merge_into(rows(make, 1), lambda stored: stored)
+
+
 def test_scratch_folder_comes_from_the_session(spark, monkeypatch):
     class Conf:
         def __init__(self, value):
