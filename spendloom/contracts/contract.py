@@ -103,17 +103,22 @@ class Contract:
         typed NULLs, which is how retired source fields are stored.
         """
         have = {f.name: f.dataType for f in df.schema.fields}
-        values, faults = [], []
+        values, given, faults = [], [], []
         for field in self.fields:
             if field.name not in have:
                 values.append(F.lit(None).cast(field.dtype).alias(field.name))
                 continue
-            value, fault = _held_to(field, F.col(f"`{field.name}`"), have[field.name])
-            values.append(value.alias(field.name))
+            source = _given(F.col(f"`{field.name}`"), have[field.name])
+            fitting, fault = _held_to(field, have[field.name])
+            values.append(fitting(source).alias(field.name))
             if fault is not None:
+                given.append(source.isNotNull().alias(_GIVEN + field.name))
                 faults.append(fault)
+        # Values are converted in one projection and judged in the next, so that
+        # each conversion runs once.
+        typed = df.select(*values, *keep, *given)
         errors = F.concat_ws("; ", *faults) if faults else F.lit("")
-        return df.select(*values, *keep, errors.alias(ERRORS))
+        return typed.select(*self.names, *keep, errors.alias(ERRORS))
 
     def enforce(self, df: DataFrame, row_nr: str | None = None) -> Checked:
         """Rows that meet the contract, and the others in the rejects layout."""
@@ -146,22 +151,31 @@ class Contract:
         )
 
 
-def _held_to(field: Field, col: Column, dtype: T.DataType) -> tuple[Column, Column | None]:
-    """The typed value and, unless the types already agree, its fault message."""
-    source = F.nullif(col, F.lit("")) if isinstance(dtype, T.StringType) else col
+_GIVEN = "_given_"
+
+
+def _given(col: Column, dtype: T.DataType) -> Column:
+    return F.nullif(col, F.lit("")) if isinstance(dtype, T.StringType) else col
+
+
+def _held_to(field: Field, dtype: T.DataType) -> tuple[Callable[[Column], Column], Column | None]:
+    """How a value is converted and, unless the types already agree, its fault message."""
+    value = F.col(field.name)
     if isinstance(field.dtype, T.StringType):
-        value = source.cast("string")
         if field.max_length is None:
-            return value, None
-        fault = F.when(
-            F.char_length(value) > field.max_length,
-            F.lit(f"{field.name}: longer than {field.max_length}"),
-        )
-        return value, fault
+            return _as_text, None
+        too_long = F.char_length(value) > field.max_length
+        return _as_text, F.when(too_long, F.lit(f"{field.name}: longer than {field.max_length}"))
     if dtype == field.dtype:
-        return source, None
-    value = source.try_cast(field.dtype)
-    fault = F.when(
-        source.isNotNull() & value.isNull(), F.lit(f"{field.name}: not a {field.dtype.simpleString()}")
-    )
-    return value, fault
+        return _unchanged, None
+    lost = F.col(_GIVEN + field.name) & value.isNull()
+    message = F.lit(f"{field.name}: not a {field.dtype.simpleString()}")
+    return lambda source: source.try_cast(field.dtype), F.when(lost, message)
+
+
+def _as_text(source: Column) -> Column:
+    return source.cast("string")
+
+
+def _unchanged(source: Column) -> Column:
+    return source
