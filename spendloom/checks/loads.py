@@ -341,9 +341,12 @@ def contact_ids(spark, sf) -> str:
     return landing.land_pages(sent, "contacts", "contact_ids")
 
 
+VERSIONS = "array<struct<value:string,timestamp:bigint>>"
+
+
 def profiles(spark, sf) -> str:
     """One profile document per customer."""
-    none = F.lit(None).cast("array<struct<value:string,timestamp:bigint>>")
+    none = F.lit(None).cast(VERSIONS)
 
     def entry(col, versions=none):
         return F.struct(col.cast("string").alias("value"), versions.alias("versions"))
@@ -359,7 +362,7 @@ def profiles(spark, sf) -> str:
         "birthdate": entry(F.lit(-DAY_MS)),
         "lifecyclestage": entry(F.col("c_mktsegment"), stage),
         "recent_conversion_event_name": entry(
-            F.lit("form"), F.when(F.col("c_acctbal") >= 0, stage).otherwise(F.array().cast(none_type()))
+            F.lit("form"), F.when(F.col("c_acctbal") >= 0, stage).otherwise(F.array().cast(VERSIONS))
         ),
         "hs_analytics_num_page_views": entry(F.col("c_nationkey")),
         "email": entry(F.lower("c_name")),
@@ -381,10 +384,6 @@ def profiles(spark, sf) -> str:
     return landing.land_documents(docs, "profiles")
 
 
-def none_type() -> str:
-    return "array<struct<value:string,timestamp:bigint>>"
-
-
 # Stored contacts are those of the first eleven nations; the newest of them are replaced.
 @check(
     "pipe_contacts",

@@ -268,6 +268,8 @@ STG_HUBSPOT_CONTACTS = Contract(
     (whole("VID"), text("FIRST_NAME", 255), text("LAST_NAME", 255), day("MODIFIED_DATE")),
 )
 
+STG_HUBSPOT_CONTACTS_TEST = Contract("STG_HUBSPOT_CONTACTS_TEST", STG_HUBSPOT_CONTACTS.fields)
+
 HUBSPOT_CONTACTS = Contract(
     "HUBSPOT_CONTACTS",
     (
@@ -429,6 +431,7 @@ STAGING = (
     STG_LINKEDIN_LINK,
     ASK_NICELY_RESPONSES,
     STG_HUBSPOT_CONTACTS,
+    STG_HUBSPOT_CONTACTS_TEST,
     STG_HUBSPOT_CONTACTS_INFO,
     STG_HUBSPOT_PROGRAMS,
     STG_HUBSPOT_SOCIAL_POSTS,

@@ -57,7 +57,9 @@ def to_production(staged: DataFrame) -> DataFrame:
     return FACEBOOK_ADS.conform(row)
 
 
-def run(spark: SparkSession, landing: str, staging: Table, production: Table, rejects: Table, as_of, **read) -> DataFrame:
+def run(
+    spark: SparkSession, landing: str, staging: Table, production: Table, rejects: Table, as_of, **read
+) -> DataFrame:
     staging.stage(extract(read_pages(spark, landing, "data", RECORD, **read), as_of), rejects)
     production.append(rows_to_insert(production.read(), to_production(staging.read()), KEYS, "AD_DATE"))
     return production.read()

@@ -193,7 +193,7 @@ def contacts_with_survey(tables: Tables) -> DataFrame:
     contacts = tables["HUBSPOT_CONTACTS"].select(
         *[F.upper(c).alias(c) if c in ("EMAIL", "CU_EMAIL") else F.col(c) for c in SURVEY_CONTACT_COLUMNS]
     )
-    lookups = contacts.select("*", F.explode(F.array("CU_EMAIL", "EMAIL")).alias("_mail")).withColumn(
+    lookups = contacts.select("*", F.explode(F.array_distinct(F.array("CU_EMAIL", "EMAIL"))).alias("_mail")).withColumn(
         "_key", spread_key(F.col("_mail"), *[F.col(c) for c in contacts.columns])
     )
     answers = (
@@ -228,3 +228,30 @@ def course_rollup(tables: Tables, ordered: bool = False) -> DataFrame:
         )
     )
     return rolled.orderBy(*COURSE_KEYS) if ordered else rolled
+
+
+# View names that reports query, and the tables behind each.
+VIEWS = {
+    "MARKETING_DAILY_SPEND_VIEW": (
+        daily_spend,
+        ("GOOGLE_ADWORDS", "LINKEDIN_ADS", "FACEBOOK_ADS", "HUBSPOT_SOCIAL_POSTS"),
+    ),
+    "HUBSPOT_WITH_ASK_NICELY_VIEW": (contacts_with_survey, ("HUBSPOT_CONTACTS", "ASK_NICELY_RESPONSES")),
+    "LINKEDIN_ADS_VIEW": (
+        linkedin_ads,
+        ("LINKEDIN_CAMPAIGN_CREATIVE_LINK", "LINKEDIN_CAMPAIGNS_UPDATED", "LINKEDIN_ADS"),
+    ),
+    "HUBSPOT_CONTACTS_VIEW": (
+        hubspot_contacts,
+        ("HUBSPOT_CONTACTS_INFO", "HUBSPOT_CONTACTS_ACADEMIC_PROGRAMS", "HUBSPOT_CONTACTS"),
+    ),
+    "COURSE_ROLLUP_VIEW": (course_rollup, ("COGNOS_COURSE_LISTS_PRD",)),
+}
+
+
+def register(name: str, tables: Tables) -> DataFrame:
+    """Make a view available to ``spark.sql`` under its name."""
+    view, needed = VIEWS[name]
+    df = view({table: tables[table] for table in needed})
+    df.createOrReplaceTempView(name)
+    return df

@@ -159,3 +159,19 @@ def test_course_rollup(rows):
     )
     got = [(r.CAMPUS_CD, r.COURSE_COUNT, r.ENROLLMENTS, r.CREDIT_HOURS, r.CREDIT_HOURS_WEIGHTED) for r in df.collect()]
     assert got == [("B", 1, None, None, None), ("D", 2, 30, Decimal("135.00"), Decimal("60.00"))]
+
+
+def test_views_can_be_queried_by_name(spark, spend):
+    ads = [{"AD_ID": i, "IMPRESSIONS": 5, "CLICKS": 1, "COST": c} for i, c in enumerate(("1.50", "2.25"))]
+    views.register("MARKETING_DAILY_SPEND_VIEW", spend(ads))
+    total = spark.sql(
+        "SELECT MARKETING_PLATFORM, SUM(COST) AS COST FROM MARKETING_DAILY_SPEND_VIEW WHERE CLICKS > 0 GROUP BY 1"
+    )
+    assert [tuple(r) for r in total.collect()] == [("Google Adwords", Decimal("3.75"))]
+    assert set(views.VIEWS) == {
+        "MARKETING_DAILY_SPEND_VIEW",
+        "HUBSPOT_WITH_ASK_NICELY_VIEW",
+        "LINKEDIN_ADS_VIEW",
+        "HUBSPOT_CONTACTS_VIEW",
+        "COURSE_ROLLUP_VIEW",
+    }
