@@ -82,14 +82,13 @@ def null_placeholder(spark, sf):
 
 @check(
     "proj_flatten_struct",
-    """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) - 50 AS "a.k",
-    CAST(json_extract_string(props, '$.k') AS BIGINT) > 50 AS "a.on",
-    CASE WHEN event_type = 'click' THEN 'click|x' ELSE '' END AS "a.tags" FROM events""",
+    """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) - 50 AS a_k,
+    CAST(json_extract_string(props, '$.k') AS BIGINT) > 50 AS a_on,
+    CASE WHEN event_type = 'click' THEN 'click|x' ELSE '' END AS a_tags FROM events""",
 )
 def flatten(spark, sf):
-    flat = reshape.flatten(event_documents(spark, sf))
-    tags = F.array_join("`a.tags`", "|").alias("a.tags")
-    return flat.select("event_id", "`a.k`", "`a.on`", tags)
+    flat = reshape.flatten(event_documents(spark, sf), sep="_")
+    return flat.select("event_id", "a_k", "a_on", F.array_join("a_tags", "|").alias("a_tags"))
 
 
 # --- filters ----------------------------------------------------------------------

@@ -36,6 +36,8 @@ def local_session(app: str = "spendloom", cores: int | str = "*", **conf: str) -
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
+        # One session runs many different queries; keep their compiled code.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
