@@ -9,7 +9,7 @@ from spendloom.contracts import Contract, text, whole
 from spendloom.functions.dates import epoch_ms_local_ts
 from spendloom.functions.paths import path_value
 from spendloom.operators.joins import matching_list, stale_keys, without_keys
-from spendloom.operators.merge import classify, delete_cascade
+from spendloom.operators.merge import classify
 from spendloom.operators.reshape import explode_children, explode_items
 from spendloom.plans.loads.contacts import ID_RECORD, PROFILE, prop, version
 from spendloom.plans.loads.fields import Item, Options, at, contract_of, key, local_time, project
@@ -52,8 +52,10 @@ ITEMS: tuple[Item, ...] = (
     local_time("UPDATED_AT", *prop("lastmodifieddate")),
     at(text("KLOUTSCORE"), *prop("kloutscoregeneral")),
 )
-HS_CONTACTS = contract_of("HS_CONTACTS", ITEMS, text("LOADED_AT"))
-HS_CONTACT_PROGRAM = Contract("HS_CONTACT_ACADEMIC_PROGRAM", (whole("VID"), text("ACADEMIC_PROGRAM")))
+HS_CONTACTS = contract_of("HS_CONTACTS", ITEMS, text("LOADED_AT"), bucket_by=("VID",))
+HS_CONTACT_PROGRAM = Contract(
+    "HS_CONTACT_ACADEMIC_PROGRAM", (whole("VID"), text("ACADEMIC_PROGRAM")), bucket_by=("VID",)
+)
 HS_CONTACT_FORMS = Contract(
     "HS_CONTACT_FORMS", (whole("VID"), text("FORM"), text("FORM_DATE"), text("UPDATEDAT"))
 )
@@ -102,10 +104,16 @@ def run(
     profiles = read_documents(spark, landing["profiles"], PROFILE, **read)
     changed = written(changes(listed(records, options), contacts.read()), "changes")
     modified = changed.filter(F.col("STATE") == "modified").select("VID")
-    kept_contacts, kept_programs = delete_cascade(contacts.read(), programs.read(), modified, "VID")
     due = written(matching_list(profiles, F.col("vid"), changed, F.col("VID")), "profiles")
-    programs.replace(kept_programs.unionByName(program_rows(due)))
-    contacts.replace(kept_contacts.unionByName(contact_rows(due, loaded_at, options)))
+    # The child goes first: what has changed is seen in the parent, should the load be run again.
+    programs.merge_into(
+        changed, lambda stored: without_keys(stored, modified, ["VID"]).unionByName(program_rows(due)), may_empty=True
+    )
+    contacts.merge_into(
+        changed,
+        lambda stored: without_keys(stored, modified, ["VID"]).unionByName(contact_rows(due, loaded_at, options)),
+        may_empty=True,
+    )
     return contacts.read(), programs.read()
 
 

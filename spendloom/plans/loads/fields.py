@@ -55,8 +55,8 @@ def local_time(name: str, *path: str | int) -> Item:
     return Item(text(name), path, LOCAL_TIME)
 
 
-def contract_of(name: str, items: tuple[Item, ...], *more: Field) -> Contract:
-    return Contract(name, (*(i.field for i in items), *more))
+def contract_of(name: str, items: tuple[Item, ...], *more: Field, bucket_by: tuple[str, ...] = ()) -> Contract:
+    return Contract(name, (*(i.field for i in items), *more), bucket_by=bucket_by)
 
 
 def project(df: DataFrame, items: tuple[Item, ...], options: Options = Options()) -> list[Column]:

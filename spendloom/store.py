@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spendloom.contracts import Checked, Contract
 from spendloom.operators.joins import all_present
@@ -99,11 +100,13 @@ class Table:
         if not versions:
             return []
         (column,) = self.contract.partition_by
-        jvm = self.spark._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self._folder(versions[-1])}/{column}=*")
-        fs = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        names = [s.getPath().getName().partition("=")[2] for s in fs.globStatus(pattern) or []]
-        return sorted(n for n in names if n != NO_VALUE)
+        values = [n.partition("=")[2] for n in self._names(f"{self._folder(versions[-1])}/{column}=*")]
+        return sorted(v for v in values if v != NO_VALUE)
+
+    def _names(self, pattern: str) -> list[str]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return [s.getPath().getName() for s in fs.globStatus(path) or []]
 
     def replace_partition(self, df: DataFrame, value) -> None:
         """New content of one partition; the others are not read or written."""
@@ -113,17 +116,18 @@ class Table:
         (column,) = self.contract.partition_by
         folder = self._folder(versions[-1])
         if df.isEmpty():
-            jvm = self.spark._jvm
-            path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{column}={value}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._drop(f"{folder}/{column}={value}")
         else:
             self._write(df, folder, "overwrite", partitionOverwriteMode="dynamic")
 
-    def merge_into(self, batch: DataFrame, merge: Callable[[DataFrame], DataFrame]) -> None:
+    def merge_into(
+        self, batch: DataFrame, merge: Callable[[DataFrame], DataFrame], may_empty: bool = False
+    ) -> None:
         """Rewrite the buckets the batch's keys fall in as ``merge(their stored rows)``.
 
-        The merge must keep keys as they are and leave no such bucket empty, as
-        upserts and key replacements do.
+        The merge must keep keys as they are.  Upserts and key replacements leave
+        rows in every bucket they touch; for a merge that may remove a bucket's
+        last row, ``may_empty`` writes the result first and drops empty buckets.
         """
         versions = self._committed()
         if not versions:
@@ -133,25 +137,34 @@ class Table:
         if not touched:
             return
         folder = self._folder(versions[-1])
-        number = F.col(self._bucket_column)
+        layouts = {n.partition("=")[0] for n in self._names(f"{folder}/bucket_of_*")}
+        if layouts - {self._bucket_column}:
+            raise ValueError(f"{self.path} is laid out as {sorted(layouts)}, not {self._bucket_column}")
         stored = (
-            self.spark.read.schema(self.contract.schema)
+            self.spark.read.schema(self.contract.schema.add(self._bucket_column, T.IntegerType()))
             .parquet(folder)
-            .filter(number.isin(touched))
+            .filter(F.col(self._bucket_column).isin(touched))
             .select(*self.contract.names)
         )
-        self._write(merge(stored), folder, "overwrite", touched, partitionOverwriteMode="dynamic")
+        result = merge(stored)
+        if may_empty:
+            result = written(self.contract.conform(result), self.contract.name.lower())
+            filled = {row[0] for row in result.select(self._bucket()).distinct().collect()}
+            for empty in set(touched) - filled:
+                self._drop(f"{folder}/{self._bucket_column}={empty}")
+        self._write(result, folder, "overwrite", touched, partitionOverwriteMode="dynamic")
 
     def truncate(self) -> None:
         self.replace(self.contract.empty(self.spark))
 
     def prune(self, keep: int = 2) -> None:
         """Delete all but the newest ``keep`` versions."""
-        jvm = self.spark._jvm
-        conf = self.spark._jsc.hadoopConfiguration()
         for version in self._committed()[:-keep]:
-            folder = jvm.org.apache.hadoop.fs.Path(self._folder(version))
-            folder.getFileSystem(conf).delete(folder, True)
+            self._drop(self._folder(version))
+
+    def _drop(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def stage(self, batch: Checked, rejects: Table) -> None:
         """Replace the content by a checked batch, and append its rejects if there are any."""

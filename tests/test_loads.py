@@ -275,6 +275,16 @@ def test_legacy_contacts(spark, land, new):
     assert got == ([(1, "n2", t1), (2, "n1", t0), (3, "n2", t0)], [(1, "c"), (2, ""), (3, "d")])
 
 
+def test_legacy_contact_without_a_profile_is_removed(spark, land, new):
+    stored, programs = new(contacts_legacy.HS_CONTACTS), new(contacts_legacy.HS_CONTACT_PROGRAM)
+    contacts_legacy.run(spark, contact_pages(land, "n1", contact(1, "a"), contact(2, "b")), stored, programs, "n1")
+    later = contact_pages(land, "n2", contact(1, "c", MS + DAY))
+    later["profiles"] = land("no_profiles", contact(9))
+    people, listed = contacts_legacy.run(spark, later, stored, programs, "n2")
+    assert [int(r.VID) for r in people.collect()] == [2]
+    assert [(int(r.VID), r.ACADEMIC_PROGRAM) for r in listed.collect()] == [(2, "b")]
+
+
 def test_forms_of_stale_contacts(spark, land, make):
     docs = read_documents(spark, land("f", contact(1), contact(2), contact(3)), contacts.PROFILE)
     people = make([(1, "b"), (2, "b"), (3, "b")], "VID int, UPDATED_AT string")

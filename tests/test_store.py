@@ -106,6 +106,14 @@ def test_a_partition_may_become_empty(days, make):
     assert content(days) == [(1, 1)]
 
 
+def test_first_load_without_rows(days, make):
+    days.append(by_day(make, (1, 1)).limit(0))
+    assert content(days) == [] and days.partitions() == []
+    days.append(by_day(make, (1, 1), (2, None)))
+    assert days.partitions() == ["2018-01-01"]
+    assert days.read().count() == 2
+
+
 def test_rows_without_a_day(days, make):
     days.append(by_day(make, (1, None), (2, 2)))
     assert [(int(r.ID), r.AD_DATE is None) for r in days.read().orderBy("ID").collect()] == [(1, True), (2, False)]
@@ -143,6 +151,12 @@ def test_merge_of_missing_keys_loses_nothing(keyed, make):
     assert upsert(keyed, make, (None, "d")) == [(False, "a"), (False, "d"), (1, "b"), (2, "c")]
 
 
+def test_merge_into_a_table_without_rows(keyed, make):
+    keyed.truncate()
+    assert upsert(keyed, make, (1, "a"), (2, "b")) == [(1, "a"), (2, "b")]
+    assert upsert(keyed, make, (2, "c")) == [(1, "a"), (2, "c")]
+
+
 def test_merge_of_nothing(keyed, make):
     keyed.replace(rows(make, 1))
     batch = rows(make, 1).limit(0)
@@ -150,6 +164,15 @@ def test_merge_of_nothing(keyed, make):
     assert ids(keyed) == [1]
 
 
+def test_merge_may_empty_a_bucket(keyed, make):
+    keyed.replace(rows(make, 1, 2, 3))
+    keyed.merge_into(rows(make, 2), lambda stored: stored.filter(F.col("ID") != 2), may_empty=True)
+    assert ids(keyed) == [1, 3]
+    keyed.merge_into(rows(make, 1, 3), lambda stored: stored.filter(F.lit(False)), may_empty=True)
+    assert ids(keyed) == []
+    assert upsert(keyed, make, (1, "again")) == [(1, "again")]
+
+
 def test_a_row_outside_the_rewritten_buckets_fails(keyed, make):
     keyed.replace(rows(make, *range(40)))
     with pytest.raises(Exception, match="not rewritten"):
@@ -161,7 +184,7 @@ def test_another_bucket_count_is_noticed(spark, keyed, make):
     keyed.replace(rows(make, 1))
     other = Table(spark, keyed.path, KEYED, buckets=4)
     assert ids(other) == [1]
-    with pytest.raises(Exception, match="bucket_of_4"):
+    with pytest.raises(ValueError, match="not bucket_of_4"):
         other.merge_into(rows(make, 1), lambda stored: stored)
 
 
