@@ -169,7 +169,12 @@ class Table:
     def stage(self, batch: Checked, rejects: Table) -> None:
         """Replace the content by a checked batch, and append its rejects if there are any."""
         self.replace(batch.good)
-        if batch.seen.get["faulty"]:
+        try:
+            clean = batch.seen.get["faulty"] == 0
+        except Exception:
+            # Nothing was counted: the optimizer knew that no row would be written.
+            clean = False
+        if not clean:
             rejects.append(batch.bad)
 
     def _write(

@@ -80,6 +80,14 @@ def test_staging_writes_rejects_only_when_there_are_any(spark, make, rows, fault
     assert log.read().count() == faulty
 
 
+def test_rejects_are_kept_when_no_row_can_be_good(spark, make):
+    staged = Table(spark, scratch_path(spark, "people"), PEOPLE)
+    log = Table(spark, scratch_path(spark, "rejects"), tables.ERROR_TABLE)
+    batch = PEOPLE.enforce(make([("x",), ("1",)], "PAID string"))
+    staged.stage(batch.map_good(lambda good: good.filter(F.lit(False))), log)
+    assert (staged.read().count(), log.read().count()) == (0, 1)
+
+
 def test_all_tables_are_well_formed():
     for group in (tables.PRODUCTION, tables.STAGING, tables.WAREHOUSE):
         for contract in group:
