@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendloom.llm import fmindex, langid, reconcile, toxicity
+from spendloom.llm import fmindex, jaccard, langid, reconcile, toxicity
 from spendloom.llm.common import learns, pick, table
 from spendloom.session import tune
 
@@ -56,3 +56,8 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.predict(pick(docs, "doc_id", "text"), langid.fit(docs))
     return found.select("doc_id", (~learns(F.col("doc_id"))).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups(table(spark, sf_dir, "documents"))
