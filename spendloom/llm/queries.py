@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendloom.llm import fmindex, jaccard, langid, reconcile, toxicity
+from spendloom.llm import fmindex, jaccard, langid, packing, reconcile, toxicity
 from spendloom.llm.common import learns, pick, table
 from spendloom.session import tune
 
@@ -61,3 +61,8 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), keep_ids=False).drop("ids")
