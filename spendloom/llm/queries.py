@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendloom.llm import fmindex, jaccard, langid, packing, reconcile, toxicity
+from spendloom.llm import fmindex, jaccard, langid, packing, reconcile, sanitise, toxicity
 from spendloom.llm.common import learns, pick, table
 from spendloom.session import tune
 
@@ -66,3 +66,20 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), keep_ids=False).drop("ids")
+
+
+@query
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitise.find(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["kind"] < sanitise.KINDS.index("term"))
+
+    def count(k: int, kind: str) -> Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == k)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(k, kind) for k, kind in enumerate(sanitise.PATTERNS)]
+    return found.withColumn("base", base).select(
+        "doc_id",
+        *counts,
+        F.sha2(sanitise.joined_spans(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        sanitise.joined_spans(F.col("spans")).alias("spans"),
+    )
