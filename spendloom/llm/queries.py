@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendloom.llm import fmindex, jaccard, langid, packing, reconcile, sanitise, toxicity
+from spendloom.llm import chat, fmindex, jaccard, langid, packing, reconcile, sanitise, toxicity
 from spendloom.llm.common import learns, pick, table
 from spendloom.session import tune
 
@@ -83,3 +83,24 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(sanitise.joined_spans(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         sanitise.joined_spans(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    rows = pick(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text").unionByName(extra)
+    payload = F.expr("to_variant_object(struct(conv_id, turn, role, text))")
+    read = chat.read_back(chat.formatted(chat.turns(rows.select(F.col("conv_id").alias("record"), payload.alias("payload")))))
+    turns = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    learned = F.array_join("learned", "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(turns, "").cast("binary"), 256).alias("turns_sha256"),
+        F.length(learned).cast("bigint").alias("loss_chars"),
+        F.sha2(learned.cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
