@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendloom.llm import chat, fmindex, jaccard, langid, packing, reconcile, sanitise, toxicity
+from spendloom.llm import chat, fmindex, jaccard, langid, licences, packing, reconcile, sanitise, toxicity
 from spendloom.llm.common import learns, pick, table
 from spendloom.session import tune
 
@@ -104,3 +104,8 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(learned.cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
     )
+
+
+@query
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
