@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendloom.llm import chat, fmindex, jaccard, langid, licences, packing, reconcile, sanitise, toxicity
+from spendloom.llm import chat, fmindex, hosttext, jaccard, langid, licences, packing, reconcile, sanitise, toxicity
 from spendloom.llm.common import learns, pick, table
 from spendloom.session import tune
 
@@ -109,3 +109,9 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = hosttext.extract(table(spark, sf_dir, "pages"))
+    return text.withColumn("n_chars", F.length("text").cast("bigint"))
