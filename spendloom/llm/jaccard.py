@@ -27,17 +27,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from spendloom.llm.common import map_batches, merged, pick, written
+from spendloom.llm.common import fresh, map_batches, merged, pick, schema_with, written
 
 SHINGLE = 5
 SLOTS = 1 << 20
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
+#: Texts that are hashed at once.
+GROUP_BYTES = 1 << 19
 #: Packed entries a task gathers before it hands them on, and entries a block of columns should have.
-FLUSH_BYTES = 16 << 20
-BLOCK_BYTES = 32 << 20
+FLUSH_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
+#: Meetings of so many nodes have all their nodes' sets read with the first pairs.
+SMALL_MEETING = 24
 #: Leaders of a meeting at a time, and how often at most other leaders are tried while that connects nodes.
 LEADERS = 2
 STAR_ROUNDS = 4
@@ -71,7 +76,8 @@ class Hasher:
 
     def _spans(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         if len(self.up) <= len(data):
-            self.up, self.down = _powers(_BASE, 2 * len(data) + 2), _powers(_UNBASE, 2 * len(data) + 2)
+            n = max(len(data) + 1, GROUP_BYTES * 3 // 2)
+            self.up, self.down = _powers(_BASE, n), _powers(_UNBASE, n)
         terms = np.frombuffer(data, np.uint8).astype(np.uint64)
         terms += np.uint64(1)
         terms *= self.up[: len(terms)]
@@ -81,6 +87,16 @@ class Hasher:
 
     def sets(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """Sorted distinct shingle hashes of each text."""
+        out, held, size = [], [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text or b"")
+            if size >= GROUP_BYTES:
+                out += self._sets(held)
+                held, size = [], 0
+        return out + self._sets(held) if held else out
+
+    def _sets(self, texts: list[bytes | None]) -> list[np.ndarray]:
         folded = [b" ".join(t.translate(FOLD).split()) if t else b"" for t in texts]
         data = b" ".join(folded) + b" "
         sizes = np.fromiter(map(len, folded), np.int64, len(folded))
@@ -99,7 +115,8 @@ class Hasher:
         hashes = self._spans(data, start, end)
         cuts = np.cumsum(n) - n
         for a, k in zip(cuts.tolist(), n.tolist(), strict=True):
-            out.append(np.unique(hashes[a : a + k]))
+            own = np.sort(hashes[a : a + k])
+            out.append(own[np.append(True, own[1:] != own[:-1])] if k > 1 else own)
         return out
 
 
@@ -132,7 +149,7 @@ def nodes(docs: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
             for node, shingles in zip(ids, sets, strict=True):
                 if node not in seen:
                     new.append(shingles)
-                    if len(seen) < 1 << 20:
+                    if len(seen) < 1 << 18:
                         seen.add(node)
             if new:
                 counts += np.bincount((np.concatenate(new) & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
@@ -349,27 +366,42 @@ def _bloom(wanted: DataFrame) -> np.ndarray:
     return table
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node, packed``: the whole sets of the wanted nodes, 5 bytes a shingle (written)."""
-    wanted = written(wanted, "wanted")
-    bits = docs.sparkSession.sparkContext.broadcast(_bloom(wanted))
+class Sets:
+    """``node, packed``: the whole sets of the nodes asked for so far, 5 bytes a shingle (written)."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, table = Hasher(), bits.value
-        for batch in merged(batches, BATCH_BYTES):
-            own = {}
-            for shingles in hasher.sets(_raw(batch)):
-                if len(shingles):
-                    own[node_of(shingles)] = shingles
-            ids = np.fromiter(own, np.uint64, len(own))
-            maybe = np.ones(len(ids), bool)
-            for at in _bloom_places(ids):
-                maybe &= (table[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
-            packed = [_packed(own[i]) for i in ids[maybe].tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(ids[maybe])), pa.array(packed, pa.binary())], ["node", "packed"])
+    def __init__(self, docs: DataFrame):
+        self.docs, self.parts, self.have = pick(docs, "text"), [], None
+
+    def of(self, wanted: DataFrame) -> DataFrame:
+        """Reads the texts once more for those nodes that are not there yet."""
+        new = written(wanted if self.have is None else wanted.join(self.have, "node", "left_anti"), "wanted")
+        if new.limit(1).count():
+            self.have = new if self.have is None else self.have.union(new)
+            found = map_batches(self.docs, self._reader(_bloom(new)), "node bigint, packed binary")
+            once = found.join(new, "node").groupBy("node").agg(F.first("packed").alias("packed"))
+            self.parts.append(written(once, "sets"))
+        out = self.parts[0]
+        for part in self.parts[1:]:
+            out = out.union(part)
+        return out
+
+    def _reader(self, table: np.ndarray):
+        bits = self.docs.sparkSession.sparkContext.broadcast(table)
 
-    found = map_batches(pick(docs, "text"), work, "node bigint, packed binary")
-    return written(found.join(wanted, "node").groupBy("node").agg(F.first("packed").alias("packed")), "sets")
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hasher, table = Hasher(), bits.value
+            for batch in merged(batches, BATCH_BYTES):
+                own = {node_of(s): s for s in hasher.sets(_raw(batch)) if len(s)}
+                ids = np.fromiter(own, np.uint64, len(own))
+                maybe = np.ones(len(ids), bool)
+                for at in _bloom_places(ids):
+                    maybe &= (table[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
+                packed = [_packed(own[i]) for i in ids[maybe].tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_signed(ids[maybe])), pa.array(packed, pa.binary())], ["node", "packed"]
+                )
+
+        return work
 
 
 def _packed(shingles: np.ndarray) -> bytes:
@@ -427,43 +459,105 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
+def _nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+
+
 def link_nodes(docs: DataFrame, met: DataFrame) -> DataFrame:
     """Links between nodes, enough of them for the components: ``a, b``."""
-    spark = docs.sparkSession
-    links: DataFrame = spark.createDataFrame([], "a bigint, b bigint")
-    tested: DataFrame = links
-    reached = None
+    links: DataFrame = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
+    tested, reached, sets, joining = links, None, Sets(docs), True
     for turn in range(STAR_ROUNDS + 1):
         own = F.col("node") if reached is None else F.coalesce("component", "node")
         here = (met if reached is None else met.join(reached, "node", "left")).withColumn("component", own)
-        torn = here.groupBy("meeting").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
-        apart = written(here.join(torn.select("meeting"), "meeting", "left_semi"), "apart")
-        last = turn == STAR_ROUNDS or turn > 0 and not many
+        torn = here.groupBy("meeting").agg(
+            F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members")
+        ).where("x != y")
+        apart = written(here.join(torn.select("meeting", "members"), "meeting"), "apart")
+        last = turn == STAR_ROUNDS or not joining
         pairs = _all_apart(apart) if last else _led(apart, met, turn)
         pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        wanted = _nodes_of(pairs)
+        if not turn:  # these are likely to be asked for later
+            wanted = wanted.union(_nodes_of(_all_apart(apart.where(F.col("members") <= SMALL_MEETING))))
         if pairs.limit(1).count():
-            wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-            found = _linked(pairs, _sets(docs, wanted))
-            links, tested = links.union(found), tested.union(pairs.select("a", "b"))
+            found = _linked(pairs, sets.of(wanted.distinct()))
             # Other leaders are worth a turn while they join more than a few nodes.
-            many = found.count() * 50 > met.count() // 8
+            joining = turn == 0 and STAR_ROUNDS > 1 or found.count() * 20 > tested.count()
+            links, tested = links.union(found), tested.union(pairs.select("a", "b"))
             if not last:
                 reached = written(components(links), "reached")
         else:
-            many = False
+            joining = False
         if last:
             break
     return links
 
 
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, node, size`` of every row, and ``node, component`` of the nodes that links touch."""
+    rows, frequent, total = nodes(docs)
+    return rows, written(components(link_nodes(docs, meetings(docs, frequent, total))), "components")
+
+
 def groups(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs`` (columns doc_id, text)."""
-    rows, frequent, total = nodes(docs)
-    met = meetings(docs, frequent, total)
-    reached = written(components(link_nodes(docs, met)), "components")
+    rows, reached = _classes(docs)
     known = rows.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
     some = known.where("size > 0")
     least = some.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     full = some.join(least, "component").select("doc_id", F.col("size").alias("n_shingles"), "component_id")
     empty = known.where("size = 0").select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return full.unionByName(empty)
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """One row of each group, all columns: the row of the least id (nulls last), then of the least node.
+
+    Rows without shingles all stay.  Of rows of one id and one shingle set, the one of the least text stays.
+    """
+    rows, reached = _classes(docs)
+    known = (
+        rows.where("size > 0")
+        .join(reached, "node", "left")
+        .groupBy(F.coalesce("component", "node").alias("component"), "doc_id", "node")
+        .agg(F.count("*").alias("n"))
+    )
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("node"))
+    first = known.groupBy("component").agg(F.min(order).alias("first"), F.sum("n").alias("n")).where("n > 1")
+    is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("node") == F.col("first.node"))
+    # Rows of groups, other than the chosen ones; and chosen ones that are repeated.
+    grouped = known.drop("n").join(first, "component").withColumn("chosen", is_first)
+    repeated = known.where("n > 1").select("doc_id", "node")
+    gone = grouped.where("NOT chosen").select("doc_id", "node", F.lit(False).alias("again"))
+    again = grouped.where("chosen").join(repeated, _same("doc_id", "node", repeated, grouped), "left_semi")
+    marked = gone.union(again.select("doc_id", "node", F.lit(True)))
+    marked = written(marked.select(F.col("doc_id").alias("k"), F.col("node").alias("d"), "again"), "marked")
+
+    node, again_name, key = fresh(docs, "node"), fresh(docs, "again"), fresh(docs, "gone_id")
+    digest = fresh(docs, "gone_node")
+    at = docs.columns.index("text")
+
+    def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in merged(batches, BATCH_BYTES):
+            sets = hasher.sets(batch.column(at).cast(pa.binary()).to_pylist())
+            ids = [int(np.uint64(node_of(s)).view(np.int64)) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.int64())], names)
+
+    schema = schema_with(docs, T.StructField(node, T.LongType()))
+    names = schema.fieldNames()
+    marked = marked.toDF(key, digest, again_name)
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(node) == F.col(digest))
+    joined = map_batches(docs, tag, schema).join(marked, same, "left")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    if not marked.where(F.col(again_name)).limit(1).count():
+        return joined.where(F.col(again_name).isNull()).select(*columns)
+    once = Window.partitionBy("doc_id", node).orderBy("text")
+    number = fresh(joined, "number")
+    twice = joined.where(F.col(again_name)).withColumn(number, F.row_number().over(once)).where(F.col(number) == 1)
+    return joined.where(F.col(again_name).isNull()).select(*columns).union(twice.select(*columns))
+
+
+def _same(key: str, node: str, a: DataFrame, b: DataFrame) -> Column:
+    return a[key].eqNullSafe(b[key]) & (a[node] == b[node])
