@@ -115,8 +115,8 @@ class Model:
         y = np.repeat([1.0, 0.0], [len(toxic) - cut_t, len(ordinary) - cut_o])
         # Clean texts are the rule: as if four in five were.
         weight = np.where(y == 1, 1 / max(1, y.sum()), 4 / max(1, (1 - y).sum())) * len(y) / 5
-        self.mean, self.scale = x.mean(0), x.std(0) + 1e-6
-        x = np.column_stack([(x - self.mean) / self.scale, np.ones(len(x))])
+        self.mean, self.scale = x.mean(0), x.std(0) + 0.05
+        x = np.column_stack([self._scaled(x), np.ones(len(x))])
         w = np.zeros(x.shape[1])
         ridge = np.eye(len(w)) * 1.0
         ridge[-1, -1] = 1e-3
@@ -173,12 +173,16 @@ class Model:
             ]
         )
 
+    def _scaled(self, x: np.ndarray) -> np.ndarray:
+        """No text weighs more for being longer than those of the calibration."""
+        return np.clip((x - self.mean) / self.scale, -6, 6)
+
     def scores(self, texts: list[bytes]) -> np.ndarray:
         if self.weights is None:
             return np.zeros(len(texts))
         if "compressors" not in self.__dict__:
             self._open()
-        x = (self.features(texts) - self.mean) / self.scale
+        x = self._scaled(self.features(texts))
         return 1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30)))
 
 
