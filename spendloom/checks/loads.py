@@ -9,7 +9,7 @@ from spendloom.checks.domain import with_
 from spendloom.checks.functions import TZ
 from spendloom.checks.landing import LINES, new_rejects, new_table
 from spendloom.checks.relational import adwords_report
-from spendloom.checks.registry import check, table
+from spendloom.checks.registry import ORACLE, check, table
 from spendloom.checks.sources import survey_records
 from spendloom.contracts.tables import (
     ASK_NICELY_RESPONSES,
@@ -578,7 +578,7 @@ def pipe_engagements(spark, sf):
     {_local(_MODIFIED_SQL)} AS INSERTED_AT, c_name AS NAME, 'step' AS STEP_ID, '9' AS STEP_FILTERS_LIST_ID
     FROM customer, (SELECT UNNEST([1, 2])::BIGINT AS n) WHERE c_acctbal >= 0""",
 )
-def pipe_contact_workflow(spark, sf):
+def pipe_contact_workflow(spark, sf, all_entries=False):
     def trigger(n):
         first = F.struct(
             F.lit(n).alias("id"), F.col("c_mktsegment").alias("type"), F.lit(n == 2).alias("enrollContactsOnActivation")
@@ -597,7 +597,7 @@ def pipe_contact_workflow(spark, sf):
     docs = table(spark, sf, "customer").select(F.col("c_custkey").alias("vid"), F.array(flow, flow).alias("workflows"))
     landed = {"ids": contact_ids(spark, sf), "enrolments": landing.land_documents(docs, "enrolments")}
     stored = new_table(spark, engagement.HS_CONTACT_WORKFLOW)
-    return engagement.run_workflows(spark, landed, stored, LOCAL, **LINES).select(
+    return engagement.run_workflows(spark, landed, stored, LOCAL, all_entries=all_entries, **LINES).select(
         "VID",
         "TRIGGER_ID",
         "TRIGGER_TYPE",
@@ -610,6 +610,41 @@ def pipe_contact_workflow(spark, sf):
     )
 
 
+@check(
+    "pipe_contact_workflow_all",
+    f"SELECT * FROM ({ORACLE['pipe_contact_workflow']}) UNION ALL SELECT * FROM ({ORACLE['pipe_contact_workflow']})",
+)
+def pipe_contact_workflow_all(spark, sf):
+    """Both workflows of each contact, which are alike."""
+    return pipe_contact_workflow(spark, sf, all_entries=True)
+
+
+@check(
+    "pipe_engagement_entries",
+    """SELECT CAST(event_id AS VARCHAR) AS ENGAGEMENT_ID, 'CONTACT_ID' AS ENTRY, n AS POSITION,
+    CAST(user_id + n AS VARCHAR) AS VALUE FROM events, (SELECT UNNEST([0, 1, 2])::BIGINT AS n) WHERE n <= user_id % 3
+    UNION ALL SELECT CAST(event_id AS VARCHAR), 'TO_EMAIL', 0, event_type || '@example.org' FROM events
+    WHERE event_type <> 'view'""",
+)
+def pipe_engagement_entries(spark, sf):
+    """Events as engagements with one to three contacts and at most one recipient."""
+    user = F.col("user_id")
+    person = F.struct(F.concat(F.col("event_type"), F.lit("@example.org")).alias("email"))
+    sent = table(spark, sf, "events").select(
+        F.struct(F.col("event_id").alias("id")).alias("engagement"),
+        F.struct(F.transform(F.sequence(F.lit(0), (user % 3).cast("int")), lambda n: user + n).alias("contactIds")).alias(
+            "associations"
+        ),
+        F.struct(F.when(F.col("event_type") != "view", F.array(person)).alias("to")).alias("metadata"),
+    )
+    entries = new_table(spark, engagement.HS_ENGAGEMENT_ENTRIES)
+    stored = new_table(spark, engagement.HS_CONTACT_ENGAGEMENTS)
+    engagement.run_engagements(
+        spark, landing.land_pages(sent, "results", "engagements"), stored, LOCAL, entries=entries, **LINES
+    )
+    return entries.read()
+
+
 @check(
     "pipe_email_campaigns",
     f"""SELECT o_orderkey AS ID, o_custkey AS APP_ID, o_orderpriority AS SUBJECT,

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from spendloom.checks import domain
 from spendloom.checks.domain import with_
-from spendloom.checks.registry import check, table
+from spendloom.checks.registry import ORACLE, check, table
 from spendloom.contracts.tables import HUBSPOT_CONTACTS
 from spendloom.operators import merge
 from spendloom.operators.filters import trailing_window
 from spendloom.plans.loads import facebook, linkedin, social_posts
+from spendloom.store import written
 
 CUTOFF = domain.CUTOFF
 
@@ -100,6 +101,20 @@ def update_insert(spark, sf):
     return merged.select("POST_ID", "CAMPAIGN", "POST_CHANNEL", "POST_TITLE", *social_posts.COUNTERS)
 
 
+@check("merge_update_insert_shuffled", ORACLE["merge_update_insert"])
+def update_insert_shuffled(spark, sf):
+    """The same merge by shuffled joins, as for a batch too large to broadcast."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        return written(update_insert(spark, sf), "upsert")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 # --- deletes and replacement ---------------------------------------------------------------
 
 

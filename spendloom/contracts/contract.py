@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ERRORS = "_errors"
 
-# Text lengths of the rejects table.
-MAX_ERROR = 1000
+# Fixed value: raw text beyond this length does not fit the rejects table of a warehouse.
 MAX_RAW = 2_000_000
 
 
@@ -58,18 +57,37 @@ def flag(name: str) -> Field:
 
 @dataclass(frozen=True)
 class Checked:
-    """A batch held to a contract.
+    """A batch held to a contract: its columns, and what was wrong with the faulty rows.
 
-    ``seen`` counts the faulty rows while the good ones are written, so that a
-    clean batch needs no second pass.
+    ``over`` puts other rows of the same layout in place, such as the same ones
+    written and read back, so that good rows and rejects come from one pass.
     """
 
-    good: DataFrame
-    bad: DataFrame
-    seen: Observation
+    tagged: DataFrame
+    names: tuple[str, ...]
+    changes: tuple[Callable[[DataFrame], DataFrame], ...] = ()
+
+    @property
+    def good(self) -> DataFrame:
+        rows = self.tagged.filter(F.col(ERRORS) == "").select(*self.names)
+        for change in self.changes:
+            rows = change(rows)
+        return rows
+
+    @property
+    def bad(self) -> DataFrame:
+        return self.tagged.filter(F.col(ERRORS) != "").select(
+            F.col("_row_nr").alias("ROW_NR"),
+            F.col(ERRORS).alias("ERROR_TEXT"),
+            (F.char_length("_raw") > MAX_RAW).alias("TRUNCATED"),
+            F.col("_raw").alias("CSV_DATA"),
+        )
 
     def map_good(self, change: Callable[[DataFrame], DataFrame]) -> Checked:
-        return replace(self, good=change(self.good))
+        return replace(self, changes=(*self.changes, change))
+
+    def over(self, tagged: DataFrame) -> Checked:
+        return replace(self, tagged=tagged)
 
 
 @dataclass(frozen=True)
@@ -96,7 +114,7 @@ class Contract:
     def empty(self, spark) -> DataFrame:
         return spark.createDataFrame([], self.schema)
 
-    def tag(self, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    def tag(self, df: DataFrame, keep: tuple[str, ...] = (), required: tuple[str, ...] = ()) -> DataFrame:
         """Typed columns plus what was wrong with the row, as text that is empty for a good one.
 
         Empty text counts as missing.  Contract columns the batch lacks become
@@ -107,35 +125,32 @@ class Contract:
         for field in self.fields:
             if field.name not in have:
                 values.append(F.lit(None).cast(field.dtype).alias(field.name))
+                if field.name in required:
+                    faults.append(F.lit(f"{field.name}: missing"))
                 continue
             source = _given(F.col(f"`{field.name}`"), have[field.name])
             fitting, fault = _held_to(field, have[field.name])
             values.append(fitting(source).alias(field.name))
-            if fault is not None:
+            if fault is not None or field.name in required:
                 given.append(source.isNotNull().alias(_GIVEN + field.name))
+            if fault is not None:
                 faults.append(fault)
+            if field.name in required:
+                faults.append(F.when(~F.col(_GIVEN + field.name), F.lit(f"{field.name}: missing")))
         # Values are converted in one projection and judged in the next, so that
         # each conversion runs once.
         typed = df.select(*values, *keep, *given)
         errors = F.concat_ws("; ", *faults) if faults else F.lit("")
         return typed.select(*self.names, *keep, errors.alias(ERRORS))
 
-    def enforce(self, df: DataFrame, row_nr: str | None = None) -> Checked:
-        """Rows that meet the contract, and the others in the rejects layout."""
+    def enforce(self, df: DataFrame, row_nr: str | None = None, required: tuple[str, ...] = ()) -> Checked:
+        """Rows that meet the contract, and the others in the rejects layout; ``required`` columns must have a value."""
         raw = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
         number_ = F.col(row_nr).cast("decimal(18,0)") if row_nr else F.lit(None).cast("decimal(18,0)")
         kept = df.withColumns({"_row_nr": number_, "_raw": raw})
-        tagged = self.tag(kept, keep=("_row_nr", "_raw"))
-        seen = Observation()
-        watched = tagged.observe(seen, F.count_if(F.col(ERRORS) != "").alias("faulty"))
-        good = watched.filter(F.col(ERRORS) == "").select(*self.names)
-        bad = tagged.filter(F.col(ERRORS) != "").select(
-            F.col("_row_nr").alias("ROW_NR"),
-            F.left(ERRORS, F.lit(MAX_ERROR)).alias("ERROR_TEXT"),
-            (F.char_length("_raw") > MAX_RAW).alias("TRUNCATED"),
-            F.left("_raw", F.lit(MAX_RAW)).alias("CSV_DATA"),
-        )
-        return Checked(good, bad, seen)
+        tagged = self.tag(kept, keep=("_row_nr", "_raw"), required=required)
+        # Good rows have no use for their raw text.
+        return Checked(tagged.withColumn("_raw", F.when(F.col(ERRORS) != "", F.col("_raw"))), tuple(self.names))
 
     def conform(self, df: DataFrame) -> DataFrame:
         """Contract columns in order; a value that does not fit fails the job.

@@ -6,7 +6,7 @@ are what existing reports and loads expect.
 
 from __future__ import annotations
 
-from spendloom.contracts.contract import MAX_ERROR, MAX_RAW, Contract, day, flag, moment, money, number, rate, text, whole
+from spendloom.contracts.contract import Contract, day, flag, moment, money, number, rate, text, whole
 
 # --- paid ads ---------------------------------------------------------------
 
@@ -404,12 +404,12 @@ GRADS1718 = Contract(
 
 ERROR_TABLE = Contract(
     "ERROR_TABLE",
-    (whole("ROW_NR"), text("ERROR_TEXT", MAX_ERROR), flag("TRUNCATED"), text("CSV_DATA", MAX_RAW)),
+    (whole("ROW_NR"), text("ERROR_TEXT"), flag("TRUNCATED"), text("CSV_DATA")),
 )
 
 MARKETING_ETL_ERRORS = Contract(
     "MARKETING_ETL_ERRORS",
-    (moment("ETL_DATE"), text("FILE_NAME", 255), text("ERROR_MSG", 255)),
+    (moment("ETL_DATE"), text("FILE_NAME"), text("ERROR_MSG")),
 )
 
 PRODUCTION = (

@@ -19,6 +19,11 @@ def _long(col: Column) -> Column:
     return col.try_cast("bigint")
 
 
+def or_text(converted: Column, source: Column) -> Column:
+    """A converted value as text, or the source's own text if it does not convert, for a contract to judge."""
+    return F.coalesce(converted.cast("string"), source.cast("string"))
+
+
 def epoch_s_date(col: Column) -> Column:
     """UTC day of epoch seconds."""
     return F.date_from_unix_date(F.floor(_long(col) / SECONDS_PER_DAY).try_cast("int"))

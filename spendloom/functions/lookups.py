@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spendloom.operators.joins import spread_key
+from spendloom.operators.merge import unique_rows
+
 # Marketing campaign ids and the program each belongs to.
 CAMPAIGN_PROGRAMS = {
     "15cc12bb-009b-4874-aa24-c73417225558": "MSIS",
@@ -42,11 +45,15 @@ def map_values(col: Column, mapping: dict[str, str], default: Column) -> Column:
 
 
 def lookup(df: DataFrame, column: str, table: DataFrame, key: str, value: str, default: Column) -> DataFrame:
-    """The same mapping kept in a table with one row per key; Spark picks the join by its size."""
-    dim = table.select(F.col(key).alias("_k"), F.col(value).alias("_v"))
-    joined = df.join(dim, F.col(column) == F.col("_k"), "left")
+    """The same mapping kept in a table; Spark picks the join by its size.
+
+    A key that the table has twice fails the job.  Rows without a key spread over all tasks.
+    """
+    dim = unique_rows(table.select(F.col(key).cast("string").alias("_k"), F.col(value).alias("_v")), ["_k"])
+    spread = spread_key(F.col(column).cast("string"), *[F.col(f"`{c}`") for c in df.columns])
+    joined = df.withColumn("_key", spread).join(dim, F.col("_key") == F.concat(F.lit("+"), F.col("_k")), "left")
     mapped = F.when(F.col("_k").isNotNull(), F.col("_v")).otherwise(default)
-    return joined.withColumn(column, mapped).drop("_k", "_v")
+    return joined.withColumn(column, mapped).drop("_key", "_k", "_v")
 
 
 def campaign_program(col: Column) -> Column:

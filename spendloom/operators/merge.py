@@ -35,11 +35,11 @@ def merge_insert(target: DataFrame, source: DataFrame, keys: list[str], prune_by
 
 
 def unique_rows(source: DataFrame, keys: list[str]) -> DataFrame:
-    """The batch, failing at run time if a key occurs twice.
+    """The batch's rows with whole keys, failing at run time if a key occurs twice.
 
     The check is part of the plan: duplicates meet in a pre-aggregated group, and
-    the following join on the same keys reuses its partitioning.  Rows with a
-    NULL key part match nothing and are not checked.
+    the following join on the same keys reuses its partitioning.  It is a filter,
+    so no plan can do without it.
     """
     rest = [c for c in source.columns if c not in keys]
     grouped = (
@@ -48,8 +48,8 @@ def unique_rows(source: DataFrame, keys: list[str]) -> DataFrame:
         .agg(F.first(F.struct(*rest)).alias("_row"), F.count(F.lit(1)).alias("_n"))
     )
     duplicate = F.raise_error(F.concat(F.lit("duplicate source key "), F.to_json(F.struct(*keys))))
-    checked = F.when(F.col("_n") > 1, duplicate.cast(grouped.schema["_row"].dataType)).otherwise(F.col("_row"))
-    return grouped.select(*keys, checked.alias("_row")).select(*keys, "_row.*").select(*source.columns)
+    once = F.when(F.col("_n") > 1, duplicate.cast("boolean")).otherwise(True)
+    return grouped.filter(once).select(*keys, "_row.*").select(*source.columns)
 
 
 def merge_upsert(
@@ -62,7 +62,9 @@ def merge_upsert(
     """Refresh ``update_cols`` of matched rows; insert the others through ``insert_map``.
 
     The target is the streamed side of a left join, so a small batch is
-    broadcast and a hot target key can be split.
+    broadcast and a hot target key can be split.  Refreshed and inserted rows both
+    come from the checked batch; rows with a NULL key part match nothing, are not
+    checked and go in.
     """
     batch = unique_rows(source, keys)
     fresh = batch.select(
@@ -78,7 +80,7 @@ def merge_upsert(
             for c in target.columns
         ]
     )
-    added = insert_map(absent_rows(source, target, keys))
+    added = insert_map(absent_rows(batch, target, keys).union(source.filter(~keyed)))
     return updated.unionByName(target.filter(~keyed)).unionByName(added)
 
 

@@ -3,25 +3,26 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendloom.contracts.contract import MAX_ERROR, MAX_RAW
-from spendloom.contracts.tables import MARKETING_ETL_ERRORS
+from spendloom.contracts.contract import MAX_RAW
 from spendloom.sources.pages import CORRUPT
-from spendloom.store import Table
+from spendloom.store import Table, kept
 
 
 def as_rejects(df: DataFrame, reason: Column, raw: str, row_nr: str | None = None) -> DataFrame:
-    """Rows in the rejects layout; raw text beyond the column's length is cut and marked."""
+    """Rows in the rejects layout; raw text too long for a warehouse's column is marked, and kept."""
     line = F.col(raw)
     return df.select(
         (F.col(row_nr) if row_nr else F.lit(None)).cast("decimal(18,0)").alias("ROW_NR"),
-        F.left(reason, F.lit(MAX_ERROR)).alias("ERROR_TEXT"),
+        reason.alias("ERROR_TEXT"),
         (F.char_length(line) > MAX_RAW).alias("TRUNCATED"),
-        F.left(line, F.lit(MAX_RAW)).alias("CSV_DATA"),
+        line.alias("CSV_DATA"),
     )
 
 
@@ -35,12 +36,37 @@ def split_unreadable(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def failures(df: DataFrame, when, step, message) -> DataFrame:
     """Failure-log rows from columns of a batch."""
-    limit = {f.name: f.max_length for f in MARKETING_ETL_ERRORS.fields}
-    return df.select(
-        when.cast("timestamp").alias("ETL_DATE"),
-        F.left(step, F.lit(limit["FILE_NAME"])).alias("FILE_NAME"),
-        F.left(message, F.lit(limit["ERROR_MSG"])).alias("ERROR_MSG"),
-    )
+    return df.select(when.cast("timestamp").alias("ETL_DATE"), step.alias("FILE_NAME"), message.alias("ERROR_MSG"))
+
+
+def unreadable_to(rejects: Table | None) -> Callable[[DataFrame], None]:
+    """What becomes of input that the reader could not parse: it is appended to the rejects, or stops a load without any."""
+
+    def keep(rows: DataFrame) -> None:
+        # The reader wants to be asked for more than the raw text, so what it found is written first.
+        with kept(split_unreadable(rows)[1], "unreadable") as bad:
+            if rejects is not None:
+                rejects.append_nonempty(bad)
+            elif not bad.isEmpty():
+                raise ValueError("unreadable input, and no table for rejects")
+
+    return keep
+
+
+def logged(step: str) -> Callable[[Callable], Callable]:
+    """A load that takes ``log``: a failure is appended to that table before it stops the load."""
+
+    def wrap(run: Callable) -> Callable:
+        @wraps(run)
+        def inner(*args, log: Table | None = None, **options):
+            if log is None:
+                return run(*args, **options)
+            with logged_step(log, step):
+                return run(*args, **options)
+
+        return inner
+
+    return wrap
 
 
 @contextmanager

@@ -10,6 +10,7 @@ from spendloom.contracts.tables import STG_GOOGLE_ADWORDS
 from spendloom.functions.numbers import micros, percent
 from spendloom.operators.filters import trailing_window
 from spendloom.operators.merge import rows_to_insert
+from spendloom.operators.rejects import logged, unreadable_to
 from spendloom.operators.reshape import select_renamed
 from spendloom.sources.tabular import read_csv_report
 from spendloom.store import Table
@@ -55,10 +56,11 @@ def extract(report: DataFrame, as_of, days: int = WINDOW_DAYS) -> Checked:
         {c: F.coalesce(percent(F.col(c)).cast("string"), F.col(c)) for c in PERCENTS}
         | {c: F.coalesce(micros(F.col(c)).cast("string"), F.col(c)) for c in MICROS}
     )
-    return STG_GOOGLE_ADWORDS.enforce(cleaned).map_good(lambda good: trailing_window(good, "AD_DATE", as_of, days))
+    return STG_GOOGLE_ADWORDS.enforce(cleaned, required=("AD_DATE",)).map_good(lambda good: trailing_window(good, "AD_DATE", as_of, days))
 
 
+@logged("adwords")
 def run(spark: SparkSession, landing: str, staging: Table, production: Table, rejects: Table, as_of) -> DataFrame:
-    staging.stage(extract(read_csv_report(spark, landing, tuple(HEADERS)), as_of), rejects)
+    staging.stage(extract(read_csv_report(spark, landing, tuple(HEADERS), unreadable=unreadable_to(rejects)), as_of), rejects)
     production.append(rows_to_insert(production.read(), staging.read(), KEYS, "AD_DATE"))
     return production.read()

@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from spendloom.contracts import Checked, day, text, whole
 from spendloom.contracts.tables import STG_HUBSPOT_CONTACTS, STG_HUBSPOT_CONTACTS_INFO, STG_HUBSPOT_PROGRAMS
-from spendloom.functions.dates import epoch_ms_date
+from spendloom.functions.dates import epoch_ms_date, or_text
 from spendloom.functions.paths import path_value
 from spendloom.operators.joins import matching_list
 from spendloom.operators.merge import highwater_prune, replace_by_key
+from spendloom.operators.rejects import logged, unreadable_to
 from spendloom.operators.reshape import explode_items
 from spendloom.plans.loads.fields import Item, Options, at, key, local_day, project
 from spendloom.plans.views import hubspot_contacts
 from spendloom.sources.pages import read_documents, read_pages
-from spendloom.store import Table, written
+from spendloom.store import Table, kept
 
 KEYS = ["VID"]
 
@@ -69,11 +70,12 @@ INFO_ITEMS: tuple[Item, ...] = (
 
 def extract_ids(records: DataFrame) -> Checked:
     """Contact ids with name and day of last change, and rejects."""
+    changed = path_value(records, prop("lastmodifieddate"))
     named = records.select(
         F.col("vid").alias("VID"),
         path_value(records, prop("firstname")).alias("FIRST_NAME"),
         path_value(records, prop("lastname")).alias("LAST_NAME"),
-        epoch_ms_date(path_value(records, prop("lastmodifieddate"))).alias("MODIFIED_DATE"),
+        or_text(epoch_ms_date(changed), changed).alias("MODIFIED_DATE"),
     )
     return STG_HUBSPOT_CONTACTS.enforce(named)
 
@@ -92,6 +94,7 @@ def extract_programs(profiles: DataFrame) -> Checked:
     return STG_HUBSPOT_PROGRAMS.enforce(explode_items(listed, ["VID"], "_programs", "ACADEMIC_PROGRAM"))
 
 
+@logged("contacts")
 def run(
     spark: SparkSession,
     landing: dict[str, str],
@@ -103,15 +106,16 @@ def run(
     **read,
 ) -> DataFrame:
     """``landing`` holds ids and profiles; ``staging`` ids, info, programs and batch."""
+    read["unreadable"] = unreadable_to(rejects)
     ids = extract_ids(read_pages(spark, landing["ids"], "contacts", ID_RECORD, **read))
     stored = production.read()
     recent = ids.map_good(lambda good: highwater_prune(good, "MODIFIED_DATE", stored, "LAST_MODIFIED_DATE"))
     staging["ids"].stage(recent, rejects)
 
     documents = read_documents(spark, landing["profiles"], PROFILE, **read)
-    due = written(matching_list(documents, F.col("vid"), staging["ids"].read(), F.col("VID")), "profiles")
-    staging["info"].stage(extract_info(due, as_of, options), rejects)
-    staging["programs"].stage(extract_programs(due), rejects)
+    with kept(matching_list(documents, F.col("vid"), staging["ids"].read(), F.col("VID")), "profiles") as due:
+        staging["info"].stage(extract_info(due, as_of, options), rejects)
+        staging["programs"].stage(extract_programs(due), rejects)
 
     view = hubspot_contacts(
         {
@@ -122,11 +126,13 @@ def run(
     )
     staging["batch"].replace(view)
     batch = staging["batch"].read()
-    production.merge_into(batch, lambda kept: replace_by_key(kept, batch, KEYS))
+    production.merge_into(batch, lambda stored: replace_by_key(stored, batch, KEYS))
     return production.read()
 
 
+@logged("contacts, first load")
 def run_initial(spark: SparkSession, landing: str, staging: Table, rejects: Table, **read) -> DataFrame:
     """Full load of the id list."""
+    read["unreadable"] = unreadable_to(rejects)
     staging.stage(extract_ids(read_pages(spark, landing, "contacts", ID_RECORD, **read)), rejects)
     return staging.read()

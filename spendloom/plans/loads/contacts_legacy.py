@@ -10,11 +10,12 @@ from spendloom.functions.dates import epoch_ms_local_ts
 from spendloom.functions.paths import path_value
 from spendloom.operators.joins import matching_list, stale_keys, without_keys
 from spendloom.operators.merge import classify
+from spendloom.operators.rejects import logged, unreadable_to
 from spendloom.operators.reshape import explode_children, explode_items
 from spendloom.plans.loads.contacts import ID_RECORD, PROFILE, prop, version
 from spendloom.plans.loads.fields import Item, Options, at, contract_of, key, local_time, project
 from spendloom.sources.pages import read_documents, read_pages
-from spendloom.store import Table, written
+from spendloom.store import Table, kept
 
 # Profile property behind each stored column.
 ITEMS: tuple[Item, ...] = (
@@ -57,7 +58,9 @@ HS_CONTACT_PROGRAM = Contract(
     "HS_CONTACT_ACADEMIC_PROGRAM", (whole("VID"), text("ACADEMIC_PROGRAM")), bucket_by=("VID",)
 )
 HS_CONTACT_FORMS = Contract(
-    "HS_CONTACT_FORMS", (whole("VID"), text("FORM"), text("FORM_DATE"), text("UPDATEDAT"))
+    "HS_CONTACT_FORMS",
+    (whole("VID"), text("FORM"), text("FORM_DATE"), text("UPDATEDAT")),
+    bucket_by=("VID",),
 )
 
 
@@ -87,6 +90,7 @@ def program_rows(profiles: DataFrame) -> DataFrame:
     return HS_CONTACT_PROGRAM.conform(split)
 
 
+@logged("legacy contacts")
 def run(
     spark: SparkSession,
     landing: dict[str, str],
@@ -94,26 +98,30 @@ def run(
     programs: Table,
     loaded_at: str,
     options: Options = Options(),
+    rejects: Table | None = None,
     **read,
 ) -> tuple[DataFrame, DataFrame]:
-    """Delete modified contacts with their programs, insert new and modified ones from their profiles.
+    """Delete changed contacts with their programs, insert them from their profiles.
 
-    Changes and profiles are written first: both tables are replaced from the same ones.
+    Changes and profiles are written first: both tables are replaced from the same
+    ones.  The child goes first, and all rows of a changed id give way to its
+    profile's, new ids included.  What has changed is seen in the parent alone, so a
+    load that stops between the two tables does the same again when it is run again.
     """
+    read["unreadable"] = unreadable_to(rejects)
     records = read_pages(spark, landing["ids"], "contacts", ID_RECORD, **read)
     profiles = read_documents(spark, landing["profiles"], PROFILE, **read)
-    changed = written(changes(listed(records, options), contacts.read()), "changes")
-    modified = changed.filter(F.col("STATE") == "modified").select("VID")
-    due = written(matching_list(profiles, F.col("vid"), changed, F.col("VID")), "profiles")
-    # The child goes first: what has changed is seen in the parent, should the load be run again.
-    programs.merge_into(
-        changed, lambda stored: without_keys(stored, modified, ["VID"]).unionByName(program_rows(due)), may_empty=True
-    )
-    contacts.merge_into(
-        changed,
-        lambda stored: without_keys(stored, modified, ["VID"]).unionByName(contact_rows(due, loaded_at, options)),
-        may_empty=True,
-    )
+    with (
+        kept(changes(listed(records, options), contacts.read()), "changes") as changed,
+        kept(matching_list(profiles, F.col("vid"), changed, F.col("VID")), "profiles") as due,
+    ):
+        programs.merge_into(
+            changed, lambda stored: without_keys(stored, changed, ["VID"]).unionByName(program_rows(due))
+        )
+        contacts.merge_into(
+            changed,
+            lambda stored: without_keys(stored, changed, ["VID"]).unionByName(contact_rows(due, loaded_at, options)),
+        )
     return contacts.read(), programs.read()
 
 
@@ -141,10 +149,18 @@ def refreshed_forms(
 ) -> DataFrame:
     """Form table with the submissions of stale or missing contacts reloaded."""
     due = stale_keys(contacts, forms, "VID", "UPDATED_AT", "UPDATEDAT", stale)
+    return reloaded_forms(forms, due, profiles, loaded_at, options)
+
+
+def reloaded_forms(
+    forms: DataFrame, due: DataFrame, profiles: DataFrame, loaded_at: str, options: Options = Options()
+) -> DataFrame:
+    """Stored rows with those of the contacts that are due taken from their profiles."""
     fresh = form_rows(matching_list(profiles, F.col("vid"), due, F.col("VID")), loaded_at, options)
     return without_keys(forms, due, ["VID"]).unionByName(fresh)
 
 
+@logged("contact forms")
 def run_forms(
     spark: SparkSession,
     profiles: str,
@@ -152,8 +168,12 @@ def run_forms(
     forms: Table,
     loaded_at: str,
     options: Options = Options(),
+    rejects: Table | None = None,
     **read,
 ) -> DataFrame:
+    """Only the buckets of stale or missing contacts are read and written."""
+    read["unreadable"] = unreadable_to(rejects)
     documents = read_documents(spark, profiles, PROFILE, **read)
-    forms.replace(refreshed_forms(contacts.read(), forms.read(), documents, loaded_at, options=options))
+    with kept(stale_keys(contacts.read(), forms.read(), "VID", "UPDATED_AT", "UPDATEDAT"), "due") as due:
+        forms.merge_into(due, lambda stored: reloaded_forms(stored, due, documents, loaded_at, options))
     return forms.read()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from spendloom.contracts import Contract, text, whole
 from spendloom.plans.loads.fields import Item, Options, at, contract_of, local_time, project
+from spendloom.operators.rejects import logged, unreadable_to
 from spendloom.sources.pages import read_pages
 from spendloom.store import Table
 
@@ -121,10 +122,18 @@ KEYWORDS = Listing("keywords", KEYWORD, HS_KEYWORDS, keywords)
 WORKFLOWS = Listing("workflows", WORKFLOW, HS_WORKFLOWS, workflows)
 
 
+@logged("content")
 def run(
-    spark: SparkSession, landing: str, listing: Listing, stored: Table, options: Options = Options(), **read
+    spark: SparkSession,
+    landing: str,
+    listing: Listing,
+    stored: Table,
+    options: Options = Options(),
+    rejects: Table | None = None,
+    **read,
 ) -> DataFrame:
     """Full reload of one list from all its landed pages."""
+    read["unreadable"] = unreadable_to(rejects)
     records = read_pages(spark, landing, listing.record_path, listing.record, **read)
     stored.replace(listing.rows(records, options))
     return stored.read()

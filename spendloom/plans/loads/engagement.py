@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendloom.contracts import text, whole
+from spendloom.contracts import Contract, text, whole
 from spendloom.functions.paths import path_value
+from spendloom.operators.rejects import logged, unreadable_to
 from spendloom.operators.reshape import explode_children
 from spendloom.plans.loads.contacts import ID_RECORD
 from spendloom.plans.loads.fields import Item, Options, at, clean, contract_of, key, local_time, project
@@ -69,6 +70,46 @@ def engagements(records: DataFrame, options: Options = Options()) -> DataFrame:
     return HS_CONTACT_ENGAGEMENTS.conform(records.select(*project(records, ENGAGEMENT_ITEMS, options)))
 
 
+# Arrays of which the stored row holds the first entry, and how an entry reads as text.
+ENTRIES = {
+    "CONTACT_ID": (("associations", "contactIds"), ()),
+    "COMPANY_ID": (("associations", "companyIds"), ()),
+    "DEAL_ID": (("associations", "dealIds"), ()),
+    "ASSOCIATED_OWNER_ID": (("associations", "ownerIds"), ()),
+    "WORKFLOW_ID": (("associations", "workflowIds"), ()),
+    "TO_EMAIL": (("metadata", "to"), ("email",)),
+    "REMINDER": (("metadata", "reminders"), ()),
+}
+HS_ENGAGEMENT_ENTRIES = Contract(
+    "HS_ENGAGEMENT_ENTRIES", (text("ENGAGEMENT_ID"), text("ENTRY"), whole("POSITION"), text("VALUE"))
+)
+
+
+def engagement_entries(records: DataFrame) -> DataFrame:
+    """Every entry of the arrays of an engagement, by name and position; the child table of the engagements."""
+    id_ = path_value(records, ("engagement", "id"), True).cast("string")
+    lists = []
+    for name, (path, leaf) in ENTRIES.items():
+        entries = F.col(".".join(f"`{p}`" for p in path))
+        lists.append(
+            F.transform(
+                F.coalesce(entries, F.array().cast(dict(records.select(entries.alias("a")).dtypes)["a"])),
+                _entry(name, leaf),
+            )
+        )
+    every = records.select(id_.alias("ENGAGEMENT_ID"), F.explode(F.concat(*lists)).alias("_e"))
+    return HS_ENGAGEMENT_ENTRIES.conform(every.select("ENGAGEMENT_ID", "_e.*"))
+
+
+def _entry(name: str, leaf: tuple[str, ...]):
+    def row(entry: Column, position: Column) -> Column:
+        for part in leaf:
+            entry = entry[part]
+        return F.struct(F.lit(name).alias("ENTRY"), position.alias("POSITION"), entry.cast("string").alias("VALUE"))
+
+    return row
+
+
 # A contact's enrolments land as one document with the contact id beside them.
 _TRIGGER = "struct<id bigint, type string, name string, enrollContactsOnActivation boolean>"
 ENROLMENTS = (
@@ -96,11 +137,13 @@ WORKFLOW_ITEMS: tuple[Item, ...] = (
 HS_CONTACT_WORKFLOW = contract_of("HS_CONTACT_WORKFLOW", WORKFLOW_ITEMS)
 
 
-def contact_workflow(contacts: DataFrame, enrolments: DataFrame, options: Options = Options()) -> DataFrame:
-    """One row per trigger set of the first workflow of each listed contact."""
+def contact_workflow(
+    contacts: DataFrame, enrolments: DataFrame, options: Options = Options(), all_entries: bool = False
+) -> DataFrame:
+    """One row per trigger set of each listed contact's first workflow, or of all its workflows."""
     ids = contacts.select("vid")
-    first = enrolments.select("vid", F.get("workflows", F.lit(0)).alias("_flow"))
-    listed = first.join(ids, "vid")
+    flow = F.explode("workflows") if all_entries else F.get("workflows", F.lit(0))
+    listed = enrolments.select("vid", flow.alias("_flow")).join(ids, "vid")
     sets = explode_children(
         listed, [F.col("vid"), F.col("_flow")], path_value(listed, ("_flow", "triggerSet")), "_set"
     )
@@ -147,27 +190,49 @@ def email_campaigns(ids: DataFrame, details: DataFrame, options: Options = Optio
     return HS_CAMPAIGNS.conform(listed.select(*project(listed, CAMPAIGN_ITEMS, options)))
 
 
+@logged("engagements")
 def run_engagements(
-    spark: SparkSession, landing: str, stored: Table, options: Options = Options(), **read
+    spark: SparkSession,
+    landing: str,
+    stored: Table,
+    options: Options = Options(),
+    rejects: Table | None = None,
+    entries: Table | None = None,
+    **read,
 ) -> DataFrame:
-    stored.replace(engagements(read_pages(spark, landing, "results", ENGAGEMENT, **read), options))
+    """The stored row holds the first entry of each array; ``entries``, if given, takes all of them."""
+    read["unreadable"] = unreadable_to(rejects)
+    records = read_pages(spark, landing, "results", ENGAGEMENT, **read)
+    stored.replace(engagements(records, options))
+    if entries is not None:
+        entries.replace(engagement_entries(records))
     return stored.read()
 
 
+@logged("contact workflow")
 def run_workflows(
-    spark: SparkSession, landing: dict[str, str], stored: Table, options: Options = Options(), **read
+    spark: SparkSession,
+    landing: dict[str, str],
+    stored: Table,
+    options: Options = Options(),
+    rejects: Table | None = None,
+    all_entries: bool = False,
+    **read,
 ) -> DataFrame:
-    """``landing`` holds contact ids and their enrolments."""
+    """``landing`` holds contact ids and their enrolments; ``all_entries`` takes workflows after the first too."""
+    read["unreadable"] = unreadable_to(rejects)
     contacts = read_pages(spark, landing["ids"], "contacts", ID_RECORD, **read)
     found = read_documents(spark, landing["enrolments"], ENROLMENTS, **read)
-    stored.replace(contact_workflow(contacts, found, options))
+    stored.replace(contact_workflow(contacts, found, options, all_entries))
     return stored.read()
 
 
+@logged("email campaigns")
 def run_campaigns(
-    spark: SparkSession, landing: dict[str, str], stored: Table, options: Options = Options(), **read
+    spark: SparkSession, landing: dict[str, str], stored: Table, options: Options = Options(), rejects: Table | None = None, **read
 ) -> DataFrame:
     """``landing`` holds campaign ids and details."""
+    read["unreadable"] = unreadable_to(rejects)
     ids = read_pages(spark, landing["ids"], "campaigns", CAMPAIGN_ID_RECORD, **read)
     details = read_documents(spark, landing["details"], CAMPAIGN_DETAIL, **read)
     stored.replace(email_campaigns(ids, details, options))

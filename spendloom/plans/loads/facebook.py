@@ -10,6 +10,7 @@ from spendloom.contracts.tables import FACEBOOK_ADS, RETIRED_FACEBOOK_FIELDS, ST
 from spendloom.functions.text import leading
 from spendloom.operators.filters import trailing_window
 from spendloom.operators.merge import rows_to_insert
+from spendloom.operators.rejects import logged, unreadable_to
 from spendloom.operators.reshape import select_renamed
 from spendloom.sources.pages import read_pages
 from spendloom.store import Table
@@ -46,7 +47,8 @@ RECORD = ", ".join(f"{field} string" for field in FIELDS)
 
 def extract(records: DataFrame, as_of, days: int = WINDOW_DAYS) -> Checked:
     """Staging rows of the trailing window, and rejects."""
-    return STG_FACEBOOK_ADS_0818.enforce(select_renamed(records, FIELDS)).map_good(lambda good: trailing_window(good, "DATE_START", as_of, days))
+    checked = STG_FACEBOOK_ADS_0818.enforce(select_renamed(records, FIELDS), required=("DATE_START",))
+    return checked.map_good(lambda good: trailing_window(good, "DATE_START", as_of, days))
 
 
 def to_production(staged: DataFrame) -> DataFrame:
@@ -57,9 +59,10 @@ def to_production(staged: DataFrame) -> DataFrame:
     return FACEBOOK_ADS.conform(row)
 
 
+@logged("facebook")
 def run(
     spark: SparkSession, landing: str, staging: Table, production: Table, rejects: Table, as_of, **read
 ) -> DataFrame:
-    staging.stage(extract(read_pages(spark, landing, "data", RECORD, **read), as_of), rejects)
+    staging.stage(extract(read_pages(spark, landing, "data", RECORD, unreadable=unreadable_to(rejects), **read), as_of), rejects)
     production.append(rows_to_insert(production.read(), to_production(staging.read()), KEYS, "AD_DATE"))
     return production.read()

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 
 from spendloom.contracts import Contract, Field, text
-from spendloom.functions.dates import epoch_ms_local_date, epoch_ms_local_ts
+from spendloom.functions.dates import epoch_ms_local_date, epoch_ms_local_ts, or_text
 from spendloom.functions.paths import Path, path_value, path_value_clean
 
 VALUE, KEY, CLEAN, LOCAL_DAY, LOCAL_TIME = "value", "key", "clean", "local day", "local time"
@@ -69,7 +69,7 @@ def _column(df: DataFrame, item: Item, options: Options) -> Column:
         return path_value_clean(df, item.path, options.keep_falsy)
     value = path_value(df, item.path, options.keep_falsy or item.kind == KEY)
     if item.kind == LOCAL_DAY:
-        return epoch_ms_local_date(value, options.tz, options.mirror)
+        return or_text(epoch_ms_local_date(value, options.tz, options.mirror), value)
     if item.kind == LOCAL_TIME:
         return epoch_ms_local_ts(value, options.tz, options.mirror)
     return value

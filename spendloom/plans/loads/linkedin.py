@@ -13,12 +13,13 @@ from spendloom.contracts.tables import (
     STG_LINKEDIN_CAMPAIGNS_UPDATED,
     STG_LINKEDIN_LINK,
 )
-from spendloom.functions.dates import date_from_parts, epoch_ms_date
+from spendloom.functions.dates import date_from_parts, epoch_ms_date, or_text
 from spendloom.functions.numbers import fill_zero
 from spendloom.functions.text import trailing, trailing_digits, urn
 from spendloom.operators.filters import differs, trailing_window
 from spendloom.operators.joins import left_join, matching_list
 from spendloom.operators.merge import delete_latest_day, rows_to_insert
+from spendloom.operators.rejects import logged, unreadable_to
 from spendloom.operators.reshape import flatten, select_renamed
 from spendloom.plans.views import linkedin_ads
 from spendloom.sources.pages import read_pages
@@ -44,10 +45,11 @@ CAMPAIGN = (
     "runSchedule struct<start:bigint,end:bigint>"
 )
 CREATIVE = f"id bigint, campaign string, status string, changeAuditStamps {_STAMPS}"
+# Metrics are read as text, so that the contract judges each.
 ANALYTICS = (
-    "clicks bigint, comments bigint, companyPageClicks bigint, costInUsd string, impressions bigint, follows bigint, "
-    "shares bigint, viralClicks bigint, viralFollows bigint, viralImpressions bigint, viralComments bigint, "
-    "viralShares bigint, dateRange struct<start:struct<day:int,month:int,year:int>>"
+    "clicks string, comments string, companyPageClicks string, costInUsd string, impressions string, follows string, "
+    "shares string, viralClicks string, viralFollows string, viralImpressions string, viralComments string, "
+    "viralShares string, dateRange struct<start:struct<day:string,month:string,year:string>>"
 )
 
 # Flattened source field and staging column.
@@ -102,7 +104,7 @@ def _campaigns(campaigns: DataFrame, accounts: DataFrame) -> DataFrame:
     ours = matching_list(campaigns, F.col("account"), accounts, urn(ACCOUNT_URN, F.col("id")))
     named = select_renamed(flatten(ours), CAMPAIGN_FIELDS)
     days = ("CREATED_DATE", "MODIFIED_DATE", "START_DATE", "END_DATE")
-    return named.withColumns({c: epoch_ms_date(F.col(c)) for c in days})
+    return named.withColumns({c: or_text(epoch_ms_date(F.col(c)), F.col(c)) for c in days})
 
 
 def extract_campaigns(campaigns: DataFrame, accounts: DataFrame) -> Checked:
@@ -120,7 +122,9 @@ def extract_links(creatives: DataFrame, campaigns: DataFrame, nine_digits: bool
     ours = matching_list(creatives, F.col("campaign"), campaigns, urn(CAMPAIGN_URN, F.col("ID")))
     id_ = trailing(F.col("campaign"), 9) if nine_digits else trailing_digits(F.col("campaign"))
     named = select_renamed(flatten(ours.withColumn("campaign", id_)), CREATIVE_FIELDS)
-    stamped = named.withColumns({c: epoch_ms_date(F.col(c)) for c in ("CREATED_DATE", "MODIFIED_DATE")})
+    stamped = named.withColumns(
+        {c: or_text(epoch_ms_date(F.col(c)), F.col(c)) for c in ("CREATED_DATE", "MODIFIED_DATE")}
+    )
     return STG_LINKEDIN_LINK.enforce(stamped)
 
 
@@ -133,18 +137,18 @@ def extract_ads(
     """
     active = links.filter(F.col("STATUS") == ACTIVE)
     ours = matching_list(analytics, F.col("creative"), active, urn(CREATIVE_URN, F.col("CREATIVE_ID")))
+    parts = [F.col(f"`dateRange.start.{p}`") for p in ("year", "month", "day")]
     dated = flatten(ours).withColumns(
         {
             "creative_id": trailing_digits(F.col("creative")),
-            "AD_DATE": date_from_parts(
-                F.col("`dateRange.start.year`"), F.col("`dateRange.start.month`"), F.col("`dateRange.start.day`")
-            ),
+            "AD_DATE": or_text(date_from_parts(*parts), F.nullif(F.concat_ws("-", *parts), F.lit(""))),
         }
     )
     named = select_renamed(dated, ANALYTICS_FIELDS)
     if zero_missing:
-        named = fill_zero(named, [c for c in named.columns if c not in ("CREATIVE_ID", "AD_DATE", "COST")])
-    return STG_LINKEDIN_ADS.enforce(named).map_good(
+        metrics = [c for c in named.columns if c not in ("CREATIVE_ID", "AD_DATE", "COST")]
+        named = fill_zero(named, metrics).fillna("0", metrics)
+    return STG_LINKEDIN_ADS.enforce(named, required=("AD_DATE",)).map_good(
         lambda good: trailing_window(good, "AD_DATE", as_of, days, include_today=True)
     )
 
@@ -178,6 +182,7 @@ def load(production: Table, batch: DataFrame) -> None:
     production.append(rows_to_insert(production.read(), others, KEYS, "AD_DATE"))
 
 
+@logged("linkedin")
 def run(
     spark: SparkSession,
     landing: dict[str, str],
@@ -191,6 +196,7 @@ def run(
 
     The joined batch is written before the merge, which reads it several times.
     """
+    read["unreadable"] = unreadable_to(rejects)
     accounts = read_pages(spark, landing["accounts"], "elements", ACCOUNT, **read)
     campaigns = read_pages(spark, landing["campaigns"], "elements", CAMPAIGN, **read)
     creatives = read_pages(spark, landing["creatives"], "elements", CREATIVE, **read)

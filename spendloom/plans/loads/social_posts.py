@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from spendloom.contracts import Checked
 from spendloom.contracts.tables import HUBSPOT_SOCIAL_POSTS, STG_HUBSPOT_SOCIAL_POSTS
-from spendloom.functions.dates import epoch_ms_date
+from spendloom.functions.dates import epoch_ms_date, or_text
 from spendloom.functions.lookups import campaign_program, channel_name
 from spendloom.functions.text import first_part
 from spendloom.operators.merge import merge_upsert
+from spendloom.operators.rejects import logged, unreadable_to
 from spendloom.operators.reshape import flatten, select_renamed
 from spendloom.sources.pages import read_array
 from spendloom.store import Table
@@ -43,7 +44,7 @@ def extract(records: DataFrame) -> Checked:
     named = select_renamed(flatten(records), FIELDS)
     cleaned = named.withColumns(
         {
-            "CREATED_DATE": epoch_ms_date(F.col("CREATED_DATE")),
+            "CREATED_DATE": or_text(epoch_ms_date(F.col("CREATED_DATE")), F.col("CREATED_DATE")),
             "POST_CHANNEL": first_part(F.col("POST_CHANNEL"), ":"),
         }
     )
@@ -63,8 +64,9 @@ def merged(production: DataFrame, staged: DataFrame) -> DataFrame:
     return merge_upsert(production, staged, KEYS, COUNTERS, to_production)
 
 
+@logged("social posts")
 def run(spark: SparkSession, landing: str, staging: Table, production: Table, rejects: Table, **read) -> DataFrame:
-    staging.stage(extract(read_array(spark, landing, RECORD, **read)), rejects)
+    staging.stage(extract(read_array(spark, landing, RECORD, unreadable=unreadable_to(rejects), **read)), rejects)
     batch = staging.read()
     production.merge_into(batch, lambda stored: merged(stored, batch))
     return production.read()

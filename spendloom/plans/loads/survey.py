@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from spendloom.contracts import Checked
 from spendloom.contracts.tables import ASK_NICELY_RESPONSES
-from spendloom.functions.dates import epoch_s_date
+from spendloom.functions.dates import epoch_s_date, or_text
 from spendloom.functions.text import unescape
 from spendloom.operators.filters import trailing_window
 from spendloom.operators.merge import rows_to_insert
+from spendloom.operators.rejects import logged, unreadable_to
 from spendloom.operators.reshape import select_renamed
 from spendloom.sources.pages import read_pages
 from spendloom.store import Table
@@ -33,8 +34,8 @@ RECORD = ", ".join(f"{field} string" for field in (*FIELDS, "comment"))
 def extract(records: DataFrame, as_of, days: int = WINDOW_DAYS) -> Checked:
     """Staging rows of the trailing window, and rejects."""
     named = select_renamed(records, FIELDS)
-    dated = named.withColumn("RESPONSE_DATE", epoch_s_date(F.col("RESPONSE_DATE")))
-    return ASK_NICELY_RESPONSES.enforce(dated).map_good(lambda good: trailing_window(good, "RESPONSE_DATE", as_of, days))
+    dated = named.withColumn("RESPONSE_DATE", or_text(epoch_s_date(F.col("RESPONSE_DATE")), F.col("RESPONSE_DATE")))
+    return ASK_NICELY_RESPONSES.enforce(dated, required=("RESPONSE_DATE",)).map_good(lambda good: trailing_window(good, "RESPONSE_DATE", as_of, days))
 
 
 def comments(records: DataFrame) -> DataFrame:
@@ -42,8 +43,9 @@ def comments(records: DataFrame) -> DataFrame:
     return records.select("response_id", unescape(F.col("comment")).alias("comment"))
 
 
+@logged("survey")
 def run(spark: SparkSession, landing: str, staging: Table, production: Table, rejects: Table, as_of, **read) -> DataFrame:
     """An empty batch leaves production untouched."""
-    staging.stage(extract(read_pages(spark, landing, "data", RECORD, **read), as_of), rejects)
+    staging.stage(extract(read_pages(spark, landing, "data", RECORD, unreadable=unreadable_to(rejects), **read), as_of), rejects)
     production.append_nonempty(rows_to_insert(production.read(), staging.read(), KEYS, "RESPONSE_DATE"))
     return production.read()

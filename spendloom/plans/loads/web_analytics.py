@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from spendloom.contracts import Checked, Contract, Field, day, rate, text, whole
 from spendloom.functions.dates import report_date
 from spendloom.functions.text import DIRECT, NO_MEDIUM, NOT_SET, blank_to_null, remove, substitute
+from spendloom.operators.rejects import logged, unreadable_to
 from spendloom.sources.pages import read_documents
 from spendloom.sources.tabular import POSITIONAL_PAGE, rows_to_columns
 from spendloom.store import Table
@@ -100,6 +101,7 @@ def extract(pages: DataFrame, report: tuple[Contract, tuple[ReportColumn, ...]])
     return contract.enforce(cleaned)
 
 
+@logged("web analytics")
 def run(
     spark: SparkSession,
     landing: str,
@@ -109,6 +111,7 @@ def run(
     **read,
 ) -> DataFrame:
     """Full reload of one report from all its landed pages."""
+    read["unreadable"] = unreadable_to(rejects)
     stored.stage(extract(read_documents(spark, landing, POSITIONAL_PAGE, **read), report), rejects)
     return stored.read()
 

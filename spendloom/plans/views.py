@@ -9,7 +9,7 @@ from spendloom.contracts import Contract, day, number, text, whole
 from spendloom.functions.lookups import program_name
 from spendloom.functions.numbers import safe_ratio
 from spendloom.functions.text import leading
-from spendloom.operators.joins import left_join, spread_key
+from spendloom.operators.joins import spread_key
 from spendloom.operators.reshape import union_branches
 
 Tables = dict[str, DataFrame]
@@ -149,12 +149,13 @@ def hubspot_contacts(tables: Tables) -> DataFrame:
     """Contact details, one row per program, for the contacts staged in this load.
 
     Staged ids are joined first, so only their contacts go on to the programs;
-    staged duplicates multiply rows.
+    staged duplicates multiply rows.  Each table is read once.  A contact has few
+    programs, and of a plain left join Spark can split the contacts' side.
     """
     info = tables["HUBSPOT_CONTACTS_INFO"]
     staged = tables["HUBSPOT_CONTACTS"].select("VID")
     programs = tables["HUBSPOT_CONTACTS_ACADEMIC_PROGRAMS"].select("VID", "ACADEMIC_PROGRAM")
-    joined = left_join(info.join(staged, "VID"), programs, ["VID"])
+    joined = info.join(staged, "VID").join(programs, "VID", "left")
     rest = [c for c in info.columns if c not in ("VID", "FIRST_NAME", "LAST_NAME")]
     return joined.select("VID", "FIRST_NAME", "LAST_NAME", "ACADEMIC_PROGRAM", *rest)
 

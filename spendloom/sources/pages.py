@@ -7,23 +7,47 @@ per line leave it off, and large files are split.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CORRUPT = "_corrupt_record"
 
+# Takes all rows read, with the corrupt column.
+Unreadable = Callable[[DataFrame], None]
+
 
 def read_documents(
-    spark: SparkSession, path: str, schema: str, multi_line: bool = True, keep_corrupt: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    multi_line: bool = True,
+    keep_corrupt: bool = False,
+    unreadable: Unreadable | None = None,
 ) -> DataFrame:
-    """One row per document; also one row per element of a root array."""
-    full = f"{schema}, {CORRUPT} string" if keep_corrupt else schema
-    return spark.read.schema(full).option("multiLine", multi_line).json(path)
+    """One row per document; also one row per element of a root array.
 
+    Documents that are cut off, or hold a value that is not of its type, have
+    their whole text in the corrupt column.  ``unreadable`` is handed those, and
+    the others are returned.
+    """
+    full = f"{schema}, {CORRUPT} string" if keep_corrupt or unreadable else schema
+    rows = spark.read.schema(full).option("multiLine", multi_line).json(path)
+    return parted(rows, unreadable) if unreadable else rows
+
+
+def parted(rows: DataFrame, unreadable: Unreadable) -> DataFrame:
+    """The parsed rows; the others are handed over."""
+    unreadable(rows)
+    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
-def read_array(spark: SparkSession, path: str, record: str, multi_line: bool = True) -> DataFrame:
+
+def read_array(
+    spark: SparkSession, path: str, record: str, multi_line: bool = True, unreadable: Unreadable | None = None
+) -> DataFrame:
     """Elements of a root-level array."""
-    return read_documents(spark, path, record, multi_line)
+    return read_documents(spark, path, record, multi_line, unreadable=unreadable)
 
 
 def page_schema(record_path: str, record: str, context: dict[str, str] | None = None) -> str:
@@ -39,12 +63,14 @@ def read_pages(
     record: str,
     multi_line: bool = True,
     context: dict[str, str] | None = None,
+    unreadable: Unreadable | None = None,
 ) -> DataFrame:
     """Records of one array of each page, with page-level ``context`` fields beside them.
 
     Pages without the array, or with an empty one, give no rows.
     """
-    pages = read_documents(spark, path, page_schema(record_path, record, context), multi_line)
+    schema = page_schema(record_path, record, context)
+    pages = read_documents(spark, path, schema, multi_line, unreadable=unreadable)
     return records_of(pages, record_path, tuple(context or ()))
 
 

@@ -6,25 +6,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendloom.sources.pages import CORRUPT
+from spendloom.sources.pages import CORRUPT, Unreadable, parted
 
 
 def read_csv_report(
-    spark: SparkSession, path: str, headers: tuple[str, ...], keep_corrupt: bool = False
+    spark: SparkSession,
+    path: str,
+    headers: tuple[str, ...],
+    keep_corrupt: bool = False,
+    unreadable: Unreadable | None = None,
 ) -> DataFrame:
     """CSV with a header row, every column as text.
 
     The header is checked against ``headers``, so a report whose columns moved
-    fails instead of loading values under the wrong names.
+    fails instead of loading values under the wrong names.  Quoted values may span
+    lines.  ``unreadable`` is handed lines with too few or too many values.
     """
     fields = [T.StructField(h, T.StringType()) for h in headers]
-    reader = spark.read.option("header", True).option("escape", '"')
-    if keep_corrupt:
-        # The header check needs matching column counts, so lines that do not
-        # parse are kept by position here.
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+    if keep_corrupt or unreadable:
         fields.append(T.StructField(CORRUPT, T.StringType()))
-        return reader.schema(T.StructType(fields)).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
-    return reader.option("enforceSchema", False).schema(T.StructType(fields)).csv(path)
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    rows = reader.option("enforceSchema", False).schema(T.StructType(fields)).csv(path)
+    return parted(rows, unreadable) if unreadable else rows
 
 
 POSITIONAL_PAGE = "rows array<array<string>>"

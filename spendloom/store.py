@@ -3,15 +3,21 @@
 A table is a folder of version folders.  Spark's job commit leaves a
 ``_SUCCESS`` file last, so the newest version that has one is the current
 content; a replacement that fails half-way is never seen by readers.
+
+A table in buckets writes only the buckets that change into a new version.  Its
+manifest, renamed into place last, lists the folders of every bucket, older
+versions' ones included: that rename is the switch.  Until then, and for readers
+that opened the table before, the old content stands whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from spendloom.contracts import Checked, Contract
 from spendloom.operators.joins import all_present
@@ -29,6 +35,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def kept(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """The same as ``written``, for as long as the block lasts."""
+    path = scratch_path(df.sparkSession, name)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        dropped(df.sparkSession, path)
+
+
+MANIFEST = "_MANIFEST"
+
+
 class Table:
     """``buckets`` matters for contracts with ``bucket_by``: it stays the same for the life
     of a table and should make a bucket a few files, thousands for a large table.
@@ -57,7 +82,8 @@ class Table:
         jvm = self.spark._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.path)
         fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v*/_SUCCESS")) or []
+        last = MANIFEST if self.contract.bucket_by else "_SUCCESS"
+        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v*/{last}")) or []
         return sorted(int(s.getPath().getParent().getName()[1:]) for s in found)
 
     def _folder(self, version: int) -> str:
@@ -71,12 +97,20 @@ class Table:
         versions = self._committed()
         if not versions:
             return self.contract.empty(self.spark)
+        if self.contract.bucket_by:
+            return self._read_folders([f for folders in self._manifest(versions[-1]).values() for f in folders])
         return self.spark.read.schema(self.contract.schema).parquet(self._folder(versions[-1])).select(*self.contract.names)
 
     def append(self, df: DataFrame) -> None:
         """Add rows to the current version; existing files stay as they are."""
         versions = self._committed()
-        if versions:
+        if self.contract.bucket_by:
+            before = self._manifest(versions[-1], same_layout=True) if versions else {}
+            version = versions[-1] + 1 if versions else 1
+            self._write(df, self._folder(version), "overwrite")
+            added = self._buckets_of(version)
+            self._switch(version, {b: before.get(b, []) + added.get(b, []) for b in {*before, *added}})
+        elif versions:
             self._write(df, self._folder(versions[-1]), "append")
         else:
             # What an unfinished first load left behind goes.
@@ -92,7 +126,10 @@ class Table:
     def replace(self, df: DataFrame) -> None:
         """New content.  ``df`` may read the current version."""
         versions = self._committed()
-        self._write(df, self._folder(versions[-1] + 1 if versions else 1), "overwrite")
+        version = versions[-1] + 1 if versions else 1
+        self._write(df, self._folder(version), "overwrite")
+        if self.contract.bucket_by:
+            self._switch(version, self._buckets_of(version))
 
     def partitions(self) -> list[str]:
         """Values of the partition column, from the folder names; rows without a value not included."""
@@ -103,6 +140,42 @@ class Table:
         values = [n.partition("=")[2] for n in self._names(f"{self._folder(versions[-1])}/{column}=*")]
         return sorted(v for v in values if v != NO_VALUE)
 
+    def _read_folders(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.contract.empty(self.spark)
+        paths = [f"{self.path}/{f}" for f in folders]
+        return self.spark.read.schema(self.contract.schema).parquet(*paths).select(*self.contract.names)
+
+    def _buckets_of(self, version: int) -> dict[str, list[str]]:
+        """Folder of each bucket that a version wrote, relative to the table."""
+        names = self._names(f"{self._folder(version)}/{self._bucket_column}=*")
+        return {n.partition("=")[2]: [f"v{version}/{n}"] for n in names}
+
+    def _manifest(self, version: int, same_layout: bool = False) -> dict[str, list[str]]:
+        """Folders of each bucket; a change of the table asks for ``same_layout``."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._folder(version)}/{MANIFEST}")
+        stream = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).open(path)
+        try:
+            # A folder name for each bucket.
+            content = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+        if same_layout and content["layout"] != self._bucket_column:
+            raise ValueError(f"{self.path} is laid out as {content['layout']}, not {self._bucket_column}")
+        return content["buckets"]
+
+    def _switch(self, version: int, buckets: dict[str, list[str]]) -> None:
+        """Make a version the current content."""
+        content = json.dumps({"layout": self._bucket_column, "buckets": buckets})
+        place = self.spark._jvm.org.apache.hadoop.fs.Path
+        draft, final = place(f"{self._folder(version)}/_draft"), place(f"{self._folder(version)}/{MANIFEST}")
+        fs = draft.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        stream = fs.create(draft, True)
+        stream.write(bytearray(content, "utf-8"))
+        stream.close()
+        if not fs.rename(draft, final):
+            raise OSError(f"{final} cannot be put in place")
+
     def _names(self, pattern: str) -> list[str]:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(pattern)
         fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
@@ -120,14 +193,11 @@ class Table:
         else:
             self._write(df, folder, "overwrite", partitionOverwriteMode="dynamic")
 
-    def merge_into(
-        self, batch: DataFrame, merge: Callable[[DataFrame], DataFrame], may_empty: bool = False
-    ) -> None:
+    def merge_into(self, batch: DataFrame, merge: Callable[[DataFrame], DataFrame]) -> None:
         """Rewrite the buckets the batch's keys fall in as ``merge(their stored rows)``.
 
-        The merge must keep keys as they are.  Upserts and key replacements leave
-        rows in every bucket they touch; for a merge that may remove a bucket's
-        last row, ``may_empty`` writes the result first and drops empty buckets.
+        The merge must keep keys as they are.  A bucket that it leaves without rows
+        is not listed any more.
         """
         versions = self._committed()
         if not versions:
@@ -136,46 +206,44 @@ class Table:
         touched = [row[0] for row in batch.select(self._bucket()).distinct().collect()]
         if not touched:
             return
-        folder = self._folder(versions[-1])
-        layouts = {n.partition("=")[0] for n in self._names(f"{folder}/bucket_of_*")}
-        if layouts - {self._bucket_column}:
-            raise ValueError(f"{self.path} is laid out as {sorted(layouts)}, not {self._bucket_column}")
-        stored = (
-            self.spark.read.schema(self.contract.schema.add(self._bucket_column, T.IntegerType()))
-            .parquet(folder)
-            .filter(F.col(self._bucket_column).isin(touched))
-            .select(*self.contract.names)
-        )
-        result = merge(stored)
-        if may_empty:
-            result = written(self.contract.conform(result), self.contract.name.lower())
-            filled = {row[0] for row in result.select(self._bucket()).distinct().collect()}
-            for empty in set(touched) - filled:
-                self._drop(f"{folder}/{self._bucket_column}={empty}")
-        self._write(result, folder, "overwrite", touched, partitionOverwriteMode="dynamic")
+        before, version = self._manifest(versions[-1], same_layout=True), versions[-1] + 1
+        stored = self._read_folders([f for b in touched for f in before.get(str(b), [])])
+        self._write(merge(stored), self._folder(version), "overwrite", touched)
+        untouched = {b: folders for b, folders in before.items() if int(b) not in touched}
+        self._switch(version, untouched | self._buckets_of(version))
 
     def truncate(self) -> None:
         self.replace(self.contract.empty(self.spark))
 
     def prune(self, keep: int = 2) -> None:
-        """Delete all but the newest ``keep`` versions."""
-        for version in self._committed()[:-keep]:
-            self._drop(self._folder(version))
+        """Delete what the newest ``keep`` versions don't read."""
+        versions = self._committed()
+        if not self.contract.bucket_by:
+            for version in versions[:-keep]:
+                self._drop(self._folder(version))
+            return
+        used = {f for v in versions[-keep:] for folders in self._manifest(v).values() for f in folders}
+        for version in versions[:-keep]:
+            self._drop(f"{self._folder(version)}/{MANIFEST}")
+            own = [f for folders in self._buckets_of(version).values() for f in folders]
+            for folder in own:
+                if folder not in used:
+                    self._drop(f"{self.path}/{folder}")
+            if not used & set(own):
+                self._drop(self._folder(version))
 
     def _drop(self, folder: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        dropped(self.spark, folder)
 
     def stage(self, batch: Checked, rejects: Table) -> None:
-        """Replace the content by a checked batch, and append its rejects if there are any."""
-        self.replace(batch.good)
-        try:
-            clean = batch.seen.get["faulty"] == 0
-        except Exception:
-            # Nothing was counted: the optimizer knew that no row would be written.
-            clean = False
-        if not clean:
-            rejects.append(batch.bad)
+        """Replace the content by a checked batch, and append its rejects if there are any.
+
+        The batch is written as it was checked, so its source is read once.
+        """
+        with kept(batch.tagged, self.contract.name.lower()) as rows:
+            checked = batch.over(rows)
+            self.replace(checked.good)
+            rejects.append_nonempty(checked.bad)
 
     def _write(
         self, df: DataFrame, folder: str, mode: str, only: list[int] | None = None, **options: str

@@ -1,22 +1,27 @@
 """Landed pages as a file stream, merged batch by batch into a target.
 
-The target is a folder with one sub-folder per micro-batch.  A batch compares
-itself with all other batches and then overwrites its own folder, so a batch
-that is run again after a failure writes the same rows once.
+The target is a folder with one sub-folder per micro-batch, and in it the
+contract's partition folders, so that a merge over some days reads those days
+alone.  A batch compares itself with all other batches and then overwrites its
+own folder, so a batch that is run again after a failure writes the same rows
+once.  What a batch rejects, unreadable pages included, goes the same way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from spendloom.contracts import Contract
+from spendloom.contracts import Checked, Contract
 from spendloom.operators.merge import rows_to_insert
-from spendloom.sources.pages import page_schema, records_of
+from spendloom.operators.rejects import split_unreadable
+from spendloom.sources.pages import CORRUPT, page_schema, records_of
+from spendloom.store import kept
 
 BATCH = "load_batch"
 
@@ -28,12 +33,19 @@ def landed_pages(
     record: str,
     multi_line: bool = True,
     files_per_batch: int | None = None,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
-    """Records of page files as they arrive."""
-    reader = spark.readStream.schema(page_schema(record_path, record)).option("multiLine", multi_line)
+    """Records of page files as they arrive; an unreadable page is a row of its raw text."""
+    schema = page_schema(record_path, record)
+    full = f"{schema}, {CORRUPT} string" if keep_corrupt else schema
+    reader = spark.readStream.schema(full).option("multiLine", multi_line)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return records_of(reader.json(path), record_path)
+    pages = reader.json(path)
+    if not keep_corrupt:
+        return records_of(pages, record_path)
+    records = F.when(F.col(CORRUPT).isNotNull(), F.array(F.lit(None))).otherwise(F.col(f"`{record_path}`"))
+    return pages.select(CORRUPT, F.explode(records).alias("_r")).select(CORRUPT, "_r.*")
 
 
 def read_target(spark: SparkSession, target: str, contract: Contract) -> DataFrame:
@@ -48,28 +60,38 @@ def read_target(spark: SparkSession, target: str, contract: Contract) -> DataFra
 
 def merge_new_files(
     records: DataFrame,
-    prepare: Callable[[DataFrame], DataFrame],
+    prepare: Callable[[DataFrame], DataFrame | Checked],
     target: str,
     checkpoint: str,
     contract: Contract,
     keys: list[str],
     prune_by: str | None = None,
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """Process all files not seen before, then stop.
 
-    ``prepare`` turns a batch of records into contract rows.
+    ``prepare`` turns a batch of records into contract rows, or into a checked
+    batch whose faulty rows go to the folder ``rejects``.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         others = read_target(spark, target, contract).filter(F.col(BATCH) != batch_id).select(*contract.names)
-        # Several passes read the batch; parsed files are kept for them.
-        rows = contract.conform(prepare(batch)).persist()
-        try:
-            new = rows_to_insert(others, rows, keys, prune_by)
-            new.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
-        finally:
-            rows.unpersist()
+        # Several passes read the batch, and its files are parsed once for them.
+        with kept(batch, "landed") as landed:
+            good, bad = landed, None
+            if CORRUPT in landed.columns:
+                good, bad = split_unreadable(landed)
+            checked = prepare(good)
+            rows = checked.good if isinstance(checked, Checked) else checked
+            if rejects is not None:
+                faulty = [d for d in (bad, checked.bad if isinstance(checked, Checked) else None) if d is not None]
+                if faulty:
+                    reduce(DataFrame.unionByName, faulty).write.mode("overwrite").parquet(f"{rejects}/{BATCH}={batch_id}")
+            with kept(contract.conform(rows), "batch") as whole:
+                new = rows_to_insert(others, whole, keys, prune_by).write.mode("overwrite")
+                parts = contract.partition_by
+                (new.partitionBy(*parts) if parts else new).parquet(f"{target}/{BATCH}={batch_id}")
 
     return (
         records.writeStream.foreachBatch(load)

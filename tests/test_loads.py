@@ -367,3 +367,98 @@ def test_course_lists_are_typed(make):
     batch = courses.typed(df, F.col("Y"))
     assert [(r.ACADEMIC_YEAR, float(r.UNITS_MAXIMUM)) for r in batch.good.collect()] == [(2018, 3.0)]
     assert [r.ERROR_TEXT for r in batch.bad.collect()] == ["UNITS_MAXIMUM: not a decimal(18,2)"]
+
+
+# --- nothing leaves a load unseen ----------------------------------------------------------
+
+CUT_OFF = '{"data": [{"response_id": "3", "responded": "1535760000", "answer": "9"}, {"response_id": "4", "resp'
+
+
+def table_of(spark, contract):
+    return Table(spark, scratch_path(spark, contract.name.lower()), contract)
+
+
+def test_survey_rows_are_loaded_rejected_or_outside_the_window(spark, tmp_path):
+    day = 86_400
+    asof = 17_800 * day  # 2018-09-26
+    sent = [("1", str(asof - day)), ("2", "soon"), ("5", ""), ("6", str(asof - 400 * day)), ("7", None)]
+    (tmp_path / "a.json").write_text(json.dumps({"data": [{"response_id": i, "responded": at} for i, at in sent]}))
+    (tmp_path / "b.json").write_text(CUT_OFF)
+    rejects = table_of(spark, t.ERROR_TABLE)
+    loaded = survey.run(
+        spark, str(tmp_path), table_of(spark, t.ASK_NICELY_RESPONSES), table_of(spark, t.ASK_NICELY_RESPONSES), rejects, "2018-09-26"
+    )
+    assert [str(r.RESPONSE_ID) for r in loaded.collect()] == ["1"]
+    found = sorted((r.ERROR_TEXT, r.CSV_DATA) for r in rejects.read().collect())
+    assert [e.split(":")[-1].strip() for e, _ in found if e.startswith("RESPONSE_DATE")] == ["missing", "missing", "not a date"]
+    assert [raw for e, raw in found if e.startswith("unreadable")] == [CUT_OFF]
+
+
+def test_pages_with_values_of_another_type_are_rejected(spark, tmp_path):
+    good = json.dumps({"objects": [{"id": 1}]})
+    wrong = json.dumps({"objects": [{"id": "two"}]})
+    (tmp_path / "a.json").write_text(good)
+    (tmp_path / "b.json").write_text(wrong)
+    stored, rejects = table_of(spark, content.BLOGS.contract), table_of(spark, t.ERROR_TABLE)
+    rows = content.run(spark, str(tmp_path), content.BLOGS, stored, rejects=rejects).collect()
+    assert len(rows) == 1 and [r.CSV_DATA for r in rejects.read().collect()] == [wrong]
+    with pytest.raises(ValueError, match="unreadable"):
+        content.run(spark, str(tmp_path), content.BLOGS, stored)
+    assert stored.read().count() == 1
+
+
+def test_report_lines_of_another_length_are_rejected(spark, tmp_path):
+    names = list(adwords.HEADERS)
+    line = ["x"] * len(names)
+    day, ad = names.index("Day") if "Day" in names else 0, names.index("Ad ID")
+    line[ad] = "7"
+    numbers = {i: "1" for i, n in enumerate(names) if adwords.HEADERS[n] not in ("AD_DATE",)}
+    full = [numbers.get(i, "2018-09-20") for i in range(len(names))]
+    full[day] = "2018-09-20"
+    quoted = list(full)
+    quoted[names.index("Headline 1")] = '"two\nlines"'
+    text = "\n".join([",".join(f'"{n}"' for n in names), ",".join(full), ",".join(full[:5]), ",".join(quoted)])
+    (tmp_path / "r.csv").write_text(text + "\n")
+    rejects = table_of(spark, t.ERROR_TABLE)
+    adwords.run(
+        spark, str(tmp_path / "r.csv"), table_of(spark, t.STG_GOOGLE_ADWORDS), table_of(spark, t.GOOGLE_ADWORDS), rejects, "2018-09-26"
+    )
+    found = [r.CSV_DATA for r in rejects.read().collect()]
+    assert len(found) == 1 and ",".join(full[:5]) in found[0]
+
+
+def test_a_failing_load_is_logged_and_stops(spark, tmp_path):
+    log = table_of(spark, t.MARKETING_ETL_ERRORS)
+    with pytest.raises(Exception, match="absent"):
+        facebook.run(
+            spark, str(tmp_path / "absent"), table_of(spark, t.STG_FACEBOOK_ADS_0818), table_of(spark, t.FACEBOOK_ADS),
+            table_of(spark, t.ERROR_TABLE), "2018-09-01", log=log,
+        )
+    [row] = log.read().collect()
+    assert row.FILE_NAME == "facebook" and "absent" in row.ERROR_MSG and len(row.ERROR_MSG) > 100
+
+
+def test_legacy_contacts_do_not_double_after_a_stop(spark, tmp_path, monkeypatch):
+    ids, profiles = tmp_path / "ids", tmp_path / "profiles"
+    ids.mkdir()
+    profiles.mkdir()
+    changed = {"lastmodifieddate": {"value": str(MS)}}
+    (ids / "a.json").write_text(json.dumps({"contacts": [{"vid": 7, "properties": changed}]}))
+    props = changed | {"academic_program": {"value": "X;Y"}}
+    (profiles / "7.json").write_text(json.dumps({"vid": 7, "properties": props}))
+    landing = {"ids": str(ids), "profiles": str(profiles)}
+    contacts, programs = table_of(spark, contacts_legacy.HS_CONTACTS), table_of(spark, contacts_legacy.HS_CONTACT_PROGRAM)
+    whole = Table.merge_into
+
+    def stop(self, *args):
+        if self is contacts:
+            raise OSError("stopped")
+        whole(self, *args)
+
+    with monkeypatch.context() as m:
+        m.setattr(Table, "merge_into", stop)
+        with pytest.raises(OSError):
+            contacts_legacy.run(spark, landing, contacts, programs, "2018-09-01")
+    contacts_legacy.run(spark, landing, contacts, programs, "2018-09-01")
+    contacts_legacy.run(spark, landing, contacts, programs, "2018-09-02")
+    assert sorted(r.ACADEMIC_PROGRAM for r in programs.read().collect()) == ["X", "Y"] and contacts.read().count() == 1

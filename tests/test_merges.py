@@ -183,3 +183,41 @@ def test_left_join(make, values):
     assert values(got) == values(left.join(right, "k", "left"))
     assert got.columns == ["k", "l", "r"]
     assert joins.left_join(left, right.limit(0), ["k"]).count() == 4
+
+
+# --- repeated keys, whatever join Spark picks ------------------------------------------
+
+
+@pytest.fixture(params=["broadcast", "shuffled"])
+def join_kind(spark, request):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m" if request.param == "broadcast" else "-1")
+    yield request.param
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+POSTS = "id string, title string, clicks int"
+
+
+@pytest.mark.parametrize("stored", [4000, 1, 0])
+def test_upsert_fails_on_repeated_keys_after_the_last_stored_one(make, join_kind, stored):
+    target = make([(f"a{i:05}", "old", 1) for i in range(stored)], POSTS)
+    source = make([(f"z{i:03}", "new", 2) for i in range(20)] + [(f"z{i:03}", "again", 3) for i in range(10)], POSTS)
+    with pytest.raises(Exception, match="duplicate source key"):
+        merge.merge_upsert(target, source, ["id"], ["clicks"]).collect()
+
+
+def test_upsert_fails_when_the_target_is_filtered_on_the_key(make, join_kind):
+    target = make([("a", "old", 1), ("m", "old", 1)], POSTS).filter("id > 'k'")
+    source = make([("b", "x", 2), ("b", "y", 3), ("m", "x", 2)], POSTS)
+    with pytest.raises(Exception, match="duplicate source key"):
+        merge.merge_upsert(target, source, ["id"], ["clicks"]).collect()
+    with pytest.raises(Exception, match="duplicate source key"):
+        merge.merge_upsert(target, source, ["id"], ["clicks"]).select("id").collect()
+
+
+def test_upsert_gives_the_same_with_either_join(make, values, join_kind):
+    target = make([("a", "old", 1), (None, "null", 5)], POSTS)
+    source = make([("a", "new", 2), ("b", "new", 3), (None, "n1", 4), (None, "n2", 4)], POSTS)
+    got = merge.merge_upsert(target, source, ["id"], ["clicks"])
+    assert values(got) == [(None, "n1", 4), (None, "n2", 4), (None, "null", 5), ("a", "old", 2), ("b", "new", 3)]

@@ -166,9 +166,9 @@ def test_merge_of_nothing(keyed, make):
 
 def test_merge_may_empty_a_bucket(keyed, make):
     keyed.replace(rows(make, 1, 2, 3))
-    keyed.merge_into(rows(make, 2), lambda stored: stored.filter(F.col("ID") != 2), may_empty=True)
+    keyed.merge_into(rows(make, 2), lambda stored: stored.filter(F.col("ID") != 2))
     assert ids(keyed) == [1, 3]
-    keyed.merge_into(rows(make, 1, 3), lambda stored: stored.filter(F.lit(False)), may_empty=True)
+    keyed.merge_into(rows(make, 1, 3), lambda stored: stored.filter(F.lit(False)))
     assert ids(keyed) == []
     assert upsert(keyed, make, (1, "again")) == [(1, "again")]
 
@@ -209,3 +209,57 @@ def test_scratch_folder_comes_from_the_session(spark, monkeypatch):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.scratch_root(fake)
     assert session.scratch_path(spark, "a") != session.scratch_path(spark, "a")
+
+
+# --- rewrites that stop half-way --------------------------------------------------------
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["_write", "_switch", "_buckets_of"])
+def test_a_merge_that_stops_leaves_the_old_content(keyed, make, monkeypatch, step):
+    keyed.replace(rows(make, *range(30)))
+    opened = keyed.read()
+    whole = getattr(Table, step)
+
+    def stop(self, *args, **options):
+        if step == "_write":
+            whole(self, *args, **options)
+        raise Stopped
+
+    change = lambda stored: stored.filter(F.col("ID") != 3).unionByName(rows(make, 3))
+    with monkeypatch.context() as m:
+        m.setattr(Table, step, stop)
+        with pytest.raises(Stopped):
+            keyed.merge_into(rows(make, 3), change)
+    assert ids(keyed) == list(range(30))
+    keyed.merge_into(rows(make, 3), change)
+    assert ids(keyed) == list(range(30))
+    assert opened.count() == 30
+
+
+def test_a_reader_opened_before_a_merge_still_works(keyed, make):
+    keyed.replace(rows(make, 1, 2, 3))
+    opened = keyed.read()
+    keyed.merge_into(rows(make, 2), lambda stored: stored.filter(F.col("ID") != 2))
+    assert sorted(r.ID for r in opened.collect()) == [1, 2, 3]
+    assert ids(keyed) == [1, 3]
+
+
+def test_untouched_buckets_are_listed_not_copied(keyed, make):
+    keyed.replace(rows(make, *range(40)))
+    keyed.merge_into(rows(make, 3), lambda stored: stored)
+    written_now = keyed._buckets_of(keyed._committed()[-1])
+    assert len(written_now) == 1 and ids(keyed) == list(range(40))
+    keyed.prune(keep=1)
+    assert ids(keyed) == list(range(40))
+
+
+def test_append_to_a_table_in_buckets(keyed, make):
+    keyed.append(rows(make, 1, 2))
+    keyed.append(rows(make, 1, 3))
+    assert ids(keyed) == [1, 1, 2, 3]
+    keyed.merge_into(rows(make, 1), lambda stored: stored.filter(F.col("ID") != 1))
+    assert ids(keyed) == [2, 3]

@@ -63,3 +63,18 @@ def scratch_path_of(stream):
 def test_nothing_landed(stream):
     stream.incoming.mkdir()
     assert stream.run() == []
+
+
+def test_rejects_of_a_batch(spark, stream):
+    contract = Contract("ITEMS", (whole("ID"), text("NAME")), partition_by=("NAME",))
+    stream.land("a", 1, 2)
+    cut = '{"data": [{"id": "3", "name'
+    (stream.incoming / "b.json").write_text(cut)
+    (stream.incoming / "c.json").write_text('{"data": [{"id": "four", "name": "c"}]}')
+    rejects = scratch_path(spark, "rejects")
+    records = landed_pages(spark, str(stream.incoming), "data", "id string, name string", keep_corrupt=True)
+    prepare = lambda df: contract.enforce(df.select(F.col("id").alias("ID"), F.col("name").alias("NAME")))
+    merge_new_files(records, prepare, stream.target, stream.checkpoint, contract, ["ID"], rejects=rejects).awaitTermination()
+    assert sorted(r.NAME for r in read_target(spark, stream.target, contract).collect()) == ["a1", "a2"]
+    found = spark.read.parquet(rejects).collect()
+    assert len(found) == 2 and cut in {r.CSV_DATA for r in found} and {r[BATCH] for r in found} == {0}
