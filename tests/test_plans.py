@@ -159,3 +159,10 @@ def test_a_hot_join_key_is_split(spark, no_broadcast, tmp_path):
     finally:
         for k in settings:
             spark.conf.unset(k)
+
+
+def test_contacts_view_reads_each_table_once(spark, sf_dir, no_broadcast):
+    info = domain.contact_info(spark, sf_dir)
+    tables = {"HUBSPOT_CONTACTS_INFO": info, "HUBSPOT_CONTACTS": info.select("VID"), "HUBSPOT_CONTACTS_ACADEMIC_PROGRAMS": domain.programs(spark, sf_dir)}
+    text = plan(views.hubspot_contacts(tables))
+    assert len(re.findall("FileScan", text)) == 3 and len(re.findall("SortMergeJoin", text)) == 2
