@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,10 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import spendloom
 from spendloom.session import scratch_path
 
 #: Rows that go to a Python worker at once.  With whole documents of a few kB this is a few MB.
 BATCH_ROWS = 1024
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(spendloom.__file__)))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,12 +44,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def batched(spark: SparkSession) -> None:
+def prepare(spark: SparkSession) -> None:
+    """Small batches; and workers that start in another folder find the package where the driver has it."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, ROOT]))
 
 
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    batched(df.sparkSession)
+    prepare(df.sparkSession)
     return df.mapInArrow(work, schema)
 
 

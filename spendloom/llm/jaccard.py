@@ -43,8 +43,9 @@ FLUSH_BYTES = 8 << 20
 BLOCK_BYTES = 16 << 20
 #: Meetings of so many nodes have all their nodes' sets read with the first pairs.
 SMALL_MEETING = 24
-#: Leaders of a meeting at a time, and how often at most other leaders are tried while that connects nodes.
-LEADERS = 2
+#: Meetings of more nodes are large.
+LARGE_MEETING = 64
+#: How often at most other leaders are tried while that connects nodes.
 STAR_ROUNDS = 4
 BLOOM_BITS = 1 << 26
 
@@ -283,11 +284,6 @@ def meetings(docs: DataFrame, frequent: np.ndarray, total: int) -> DataFrame:
     )
 
 
-def _fits() -> Column:
-    """Size bound of a pair."""
-    return 4 * F.least("size_a", "size_b") >= 3 * F.greatest("size_a", "size_b")
-
-
 def _enough() -> Column:
     """Whether the overlap in the kept columns lets a pair reach the overlap that its sizes ask for."""
     asked = F.expr("(3 * (size_a + size_b) + 6) div 7")
@@ -307,22 +303,31 @@ def _pair(a: str, b: str) -> list[Column]:
     ]
 
 
+#: SQL: size bound of the pair (x, y), and whether the columns that each shares with anyone leave it possible.
+_FITS = "4 * least(x.size, y.size) >= 3 * greatest(x.size, y.size)"
+_ASKED = "(3 * (x.size + y.size) + 6) div 7 - ((3 * greatest(x.size, y.size) + 3) div 4 - 1)"
+_POSSIBLE = f"least(x.most, y.most) >= {_ASKED}"
+_NODE = ("node", "size", "most", "component")
+
+
 def _led(apart: DataFrame, met: DataFrame, turn: int) -> DataFrame:
-    """Each node of a meeting with the meeting's leaders from other components; overlap counts over all meetings."""
-    found = None
-    for k in range(LEADERS):
-        order = F.xxhash64("node", F.lit(turn * LEADERS + k))
-        leader = apart.groupBy("meeting").agg(F.min_by(F.struct("node", "size", "component"), order).alias("leader"))
-        pairs = (
-            apart.join(leader, "meeting")
-            .where("component != leader.component")
-            .select(F.struct("node", "size").alias("x"), "leader")
-            .select(*_pair("x", "leader"))
-            .where(_fits())
-            .distinct()
-        )
-        found = pairs if found is None else found.union(pairs)
-    found = found.distinct()
+    """Each node of a meeting with the meeting's leaders from other components; overlap counts over all meetings.
+
+    The node of the least hash leads, and of n members of a large meeting about half the root of n more, so that its
+    pairs stay far below its square.  Hashes differ from turn to turn, but not between meetings.
+    """
+    order = F.xxhash64("node", F.lit(turn))
+    place = F.pmod(order, F.lit(1 << 30)) / float(1 << 30)
+    least = apart.groupBy("meeting").agg(F.min_by(F.struct(*_NODE), order).alias("y"))
+    more = apart.where((F.col("members") > LARGE_MEETING) & (place * F.sqrt("members") < 0.5))
+    leaders = least.union(more.select("meeting", F.struct(*_NODE).alias("y")))
+    found = (
+        apart.select("meeting", F.struct(*_NODE).alias("x"))
+        .join(leaders, "meeting")
+        .where(f"x.component != y.component AND {_FITS} AND {_POSSIBLE}")
+        .select(*_pair("x", "y"))
+        .distinct()
+    )
     one = met.select(F.col("node").alias("a"), "meeting", "columns")
     other = met.select(F.col("node").alias("b"), "meeting")
     return (
@@ -335,16 +340,30 @@ def _led(apart: DataFrame, met: DataFrame, turn: int) -> DataFrame:
 
 
 def _all_apart(apart: DataFrame) -> DataFrame:
-    """All pairs of each meeting that are in different components."""
-    x = apart.select("meeting", "columns", F.struct("node", "size").alias("x"), F.col("component").alias("cx"))
-    y = apart.select("meeting", F.struct("node", "size").alias("y"), F.col("component").alias("cy"))
-    return (
-        x.join(y, "meeting")
-        .where("x.node < y.node AND cx != cy AND 4 * least(x.size, y.size) >= 3 * greatest(x.size, y.size)")
-        .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.size").alias("size_a"), F.col("y.size").alias("size_b"))
-        .agg(F.sum("columns").alias("columns"))
-        .where(_enough())
+    """All pairs of each meeting that are in different components, with their overlap counts.
+
+    Large meetings tend to have nearly the same nodes.  So there every node carries its large meetings (the high 40
+    bits) with their columns (the low 24), and a pair is made in the least of its large meetings alone, if what it has
+    in those and what either node has in small ones (``few``) may be enough.
+    """
+    pair = f"x.node < y.node AND x.component != y.component AND {_FITS} AND {_POSSIBLE}"
+    pairs = [F.col(f"{n}.{c}").alias(f"{c}_{k}" if c == "size" else k) for c in ("node", "size") for n, k in (("x", "a"), ("y", "b"))]
+    small = apart.where(F.col("members") <= LARGE_MEETING).select("meeting", "columns", F.struct(*_NODE).alias("x"))
+    often = (
+        small.join(small.select("meeting", F.col("x").alias("y")), "meeting").where(pair).select(*pairs, "columns")
+    )
+    code = F.expr("(meeting & ~16777215L) | least(columns, 16777215L)")
+    large = apart.where(F.col("members") > LARGE_MEETING)
+    lists = large.groupBy("node").agg(F.collect_list(code).alias("all"), F.sum("columns").alias("in_large"))
+    few = (F.col("most") - F.col("in_large")).alias("few")
+    listed = large.join(lists, "node").select("meeting", code.alias("here"), F.struct(*_NODE, "all", few).alias("x"))
+    shared = "aggregate(array_intersect(x.all, y.all), 0L, (sum, m) -> sum + (m & 16777215L))"
+    once = (
+        listed.join(listed.select("meeting", F.col("x").alias("y")), "meeting")
+        .where(f"{pair} AND array_min(array_intersect(x.all, y.all)) = here AND {shared} + least(x.few, y.few) >= {_ASKED}")
+        .select(*pairs, F.expr(shared).alias("columns"))
     )
+    return often.union(once).groupBy("a", "b", "size_a", "size_b").agg(F.sum("columns").alias("columns")).where(_enough())
 
 
 def _bloom_places(ids: np.ndarray) -> list[np.ndarray]:
@@ -466,6 +485,7 @@ def _nodes_of(pairs: DataFrame) -> DataFrame:
 def link_nodes(docs: DataFrame, met: DataFrame) -> DataFrame:
     """Links between nodes, enough of them for the components: ``a, b``."""
     links: DataFrame = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
+    met = written(met.join(met.groupBy("node").agg(F.sum("columns").alias("most")), "node"), "met")
     tested, reached, sets, joining = links, None, Sets(docs), True
     for turn in range(STAR_ROUNDS + 1):
         own = F.col("node") if reached is None else F.coalesce("component", "node")

@@ -2,9 +2,9 @@
 
 Base spans are e-mail addresses, internet addresses, card numbers and phone numbers.  Each found value is a protected
 entity.  Words near an entity (within ``REACH`` code points) are its context.  Over the whole corpus, counted in
-distinct texts, the disclosure of entity e by term t is their pointwise mutual information over the information content
-of e, PMI(t; e) / IC(e): 1 if t occurs nowhere but with e, 0 if it is independent.  A term of at least ``SUPPORT``
-common texts is generalised from ``GENERALISE`` on and removed from ``REMOVE`` on, wherever it stands near that entity.
+documents, the disclosure of entity e by term t is their pointwise mutual information over the information content
+of e, PMI(t; e) / IC(e): 1 if t occurs nowhere but with e, 0 if it is independent.  A term that stands near e in at least
+``SUPPORT`` unlike texts is generalised from ``GENERALISE`` on and removed from ``REMOVE`` on, wherever it stands near that entity.
 
 Expressions and joins only.  Patterns are written so that Java's engine neither recurses nor scans a run twice:
 possessive, and starting where a run starts (``\\G`` allows the rest of a run after a match).
@@ -157,26 +157,30 @@ def find(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
     found = written(rows.select("doc_id", "digest", "base", near.alias("near")), "entities")
 
     context = found.where("size(near) > 0").select("doc_id", "digest", F.explode("near").alias("n")).select("doc_id", "digest", "n.*")
+    # Counts are of documents; support is of unlike texts, so that copies don't make it.
     together = (
-        context.select("entity", "term", "digest").distinct().groupBy("entity", "term").count()
-        .where(F.col("count") >= support)
-        .withColumnRenamed("count", "n_te")
+        context.select("entity", "term", "doc_id", "digest").distinct()
+        .groupBy("entity", "term")
+        .agg(F.count("*").alias("n_te"), F.count_distinct("digest").alias("texts"))
+        .where(F.col("texts") >= support)
+        .drop("texts")
     )
     together = written(together, "together")
     entities = (
         found.where("size(base) > 0")
-        .select("digest", F.explode("base").alias("b"))
-        .select(F.concat_ws(":", F.col("b.kind").cast("string"), F.lower("b.value")).alias("entity"), "digest")
+        .select("doc_id", "digest", F.explode("base").alias("b"))
+        .select(F.concat_ws(":", F.col("b.kind").cast("string"), F.lower("b.value")).alias("entity"), "doc_id", "digest")
         .distinct().groupBy("entity").count().withColumnRenamed("count", "n_e")
     )
     terms = together.select("term").distinct()
     if together.limit(1).count():
+        # The whole vocabulary is counted, by task first, and only then cut to the terms: those are often common words.
         words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-        once = pick(docs, "text").select(F.xxhash64("text").alias("digest"), F.explode(words).alias("term"))
-        terms = once.join(terms, "term", "left_semi").distinct().groupBy("term").count()
+        counted = pick(docs, "text").select(F.explode(words).alias("term")).groupBy("term").count()
+        terms = counted.join(terms, "term", "left_semi")
     else:
         terms = terms.withColumn("count", F.lit(0))
-    texts = found.agg(F.count_distinct("digest").alias("n"))
+    texts = found.agg(F.count("*").alias("n"))
     information = F.log(F.col("n") / F.col("n_e"))
     shared = F.log(F.col("n_te") * F.col("n") / (F.greatest("n_t", "n_te") * F.col("n_e")))
     risky = (
