@@ -38,10 +38,13 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows, kept in the shared folder, so that a lost executor costs no more than one read."""
-    path = scratch_path(df.sparkSession, f"llm-{name}")
+    """The rows, kept in the shared folder until the application ends, so that a lost executor costs no more than one read."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"llm-{name}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def prepare(spark: SparkSession) -> None:

@@ -17,7 +17,6 @@ rows that repeat are each answered.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from itertools import repeat
@@ -33,7 +32,7 @@ from spendloom.llm.common import fresh, map_batches, merged, pick, schema_with,
 WINDOW = 10
 SHARD_BYTES = 4 << 20
 SAMPLE = 8
-BLOCK_CHARS = 32 << 20
+BLOCK_CHARS = 2 << 20
 BARRIER = 1
 
 #: Bytes that are part of words; the others, and only they, become spaces.
@@ -344,17 +343,6 @@ def leaks(
     return kept.join(total, row).drop(row)
 
 
-def without_spans(text: str | None, starts: list[int] | None, ends: list[int] | None, by: str = "\n") -> str | None:
-    """The text with each span replaced by ``by``."""
-    if not starts:
-        return text
-    out, at = [], 0
-    for a, b in zip(starts, ends, strict=True):
-        out.append(text[at:a])
-        at = b
-    return by.join([*out, text[at:]])
-
-
 def remove_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without the benchmark's passages; ``n_chars`` follows.  All rows and columns stay."""
     names = {f: fresh(docs, f"leak_{f}") for f in FIELDS}
@@ -372,7 +360,3 @@ def remove_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Dat
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.when(F.size(starts) > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
     return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
-def digest(ids: list[str]) -> str:
-    return hashlib.sha256(",".join(ids).encode()).hexdigest()
