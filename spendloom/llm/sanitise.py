@@ -177,7 +177,7 @@ def find(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
         # The whole vocabulary is counted, by task first, and only then cut to the terms: those are often common words.
         words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
         counted = pick(docs, "text").select(F.explode(words).alias("term")).groupBy("term").count()
-        terms = counted.join(terms, "term", "left_semi")
+        terms = counted.join(terms, "term")  # a semi-join would be moved below the count
     else:
         terms = terms.withColumn("count", F.lit(0))
     texts = found.agg(F.count("*").alias("n"))
