@@ -51,6 +51,9 @@ def prepare(spark: SparkSession) -> None:
     """Small batches; and workers that start in another folder find the package where the driver has it."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    # What a worker frees goes back to the machine, as workers outlive stages.
+    for name, value in (("MALLOC_MMAP_THRESHOLD_", 1 << 20), ("MALLOC_TRIM_THRESHOLD_", 4 << 20)):
+        spark.sparkContext.environment.setdefault(name, str(value))
     if ROOT not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, ROOT]))
 

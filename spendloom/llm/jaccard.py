@@ -371,6 +371,14 @@ def _bloom_places(ids: np.ndarray) -> list[np.ndarray]:
     return [(ids >> np.uint64(s) & np.uint64(BLOOM_BITS - 1)).astype(np.int64) for s in (0, 19, 38)]
 
 
+def _perhaps(table: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which nodes the filter lets through."""
+    out = np.ones(len(ids), bool)
+    for at in _bloom_places(ids):
+        out &= (table[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
+    return out
+
+
 def _bloom(wanted: DataFrame) -> np.ndarray:
     """Bits of the nodes in ``wanted``: a filter of fixed size that lets through all of them and some others."""
     at = [F.expr(f"shiftrightunsigned(node, {s}) & {BLOOM_BITS - 1}") for s in (0, 19, 38)]
@@ -412,9 +420,7 @@ class Sets:
             for batch in merged(batches, BATCH_BYTES):
                 own = {node_of(s): s for s in hasher.sets(_raw(batch)) if len(s)}
                 ids = np.fromiter(own, np.uint64, len(own))
-                maybe = np.ones(len(ids), bool)
-                for at in _bloom_places(ids):
-                    maybe &= (table[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
+                maybe = _perhaps(table, ids)
                 packed = [_packed(own[i]) for i in ids[maybe].tolist()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(_signed(ids[maybe])), pa.array(packed, pa.binary())], ["node", "packed"]
@@ -555,28 +561,34 @@ def representatives(docs: DataFrame) -> DataFrame:
     marked = written(marked.select(F.col("doc_id").alias("k"), F.col("node").alias("d"), "again"), "marked")
 
     node, again_name, key = fresh(docs, "node"), fresh(docs, "again"), fresh(docs, "gone_id")
-    digest = fresh(docs, "gone_node")
+    digest, maybe = fresh(docs, "gone_node"), fresh(docs, "maybe")
+    bits = docs.sparkSession.sparkContext.broadcast(_bloom(marked.select(F.col("d").alias("node"))))
     at = docs.columns.index("text")
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in merged(batches, BATCH_BYTES):
             sets = hasher.sets(batch.column(at).cast(pa.binary()).to_pylist())
-            ids = [int(np.uint64(node_of(s)).view(np.int64)) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.int64())], names)
+            full = np.array([len(s) > 0 for s in sets])
+            ids = np.array([node_of(s) for s in sets], np.uint64)
+            known = pa.array(_signed(ids), mask=~full)
+            yield pa.RecordBatch.from_arrays([*batch.columns, known, pa.array(full & _perhaps(bits.value, ids))], names)
 
-    schema = schema_with(docs, T.StructField(node, T.LongType()))
+    schema = schema_with(docs, T.StructField(node, T.LongType()), T.StructField(maybe, T.BooleanType()))
     names = schema.fieldNames()
     marked = marked.toDF(key, digest, again_name)
     same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(node) == F.col(digest))
-    joined = map_batches(docs, tag, schema).join(marked, same, "left")
+    # Rows that the filter knows not to be marked pass by, so few texts are shuffled.
+    tagged = map_batches(docs, tag, schema)
+    joined = tagged.where(F.col(maybe)).join(marked, same, "left")
     columns = [F.col(f"`{c}`") for c in docs.columns]
+    passing = tagged.where(~F.col(maybe)).select(*columns)
     if not marked.where(F.col(again_name)).limit(1).count():
-        return joined.where(F.col(again_name).isNull()).select(*columns)
+        return passing.union(joined.where(F.col(again_name).isNull()).select(*columns))
     once = Window.partitionBy("doc_id", node).orderBy("text")
     number = fresh(joined, "number")
     twice = joined.where(F.col(again_name)).withColumn(number, F.row_number().over(once)).where(F.col(number) == 1)
-    return joined.where(F.col(again_name).isNull()).select(*columns).union(twice.select(*columns))
+    return passing.union(joined.where(F.col(again_name).isNull()).select(*columns)).union(twice.select(*columns))
 
 
 def _same(key: str, node: str, a: DataFrame, b: DataFrame) -> Column:

@@ -230,15 +230,18 @@ def masked(text: Column, spans: Column) -> Column:
 
 
 def sanitise(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """The documents with all spans masked; ``n_chars`` follows.  All rows and columns stay."""
+    """The documents with all spans masked; ``n_chars`` follows.  All rows and columns stay.
+
+    Only texts with a base span can have others, so only those meet the spans found; the rest is not shuffled.
+    """
     found = find(docs, support).where("size(spans) > 0").dropDuplicates(["doc_id", "digest"])
     key, digest, spans = fresh(docs, "span_key"), fresh(docs, "span_digest"), fresh(docs, "spans")
     found = found.toDF(key, digest, spans)
-    same = docs["doc_id"].eqNullSafe(found[key]) & (F.xxhash64(docs["text"]) == found[digest])
-    joined = docs.join(found, same, "left")
-    hit = F.col(spans).isNotNull()
-    new = F.when(hit, masked(F.col("text"), F.col(spans))).otherwise(F.col("text"))
-    out = joined.withColumn("text", new)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    some = F.size(base_spans(F.coalesce(F.col("text"), F.lit("")))) > 0
+    hit = docs.where(some)
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.xxhash64("text") == F.col(digest))
+    out = hit.join(found, same).withColumn("text", masked(F.col("text"), F.col(spans)))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(hit, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        out = out.withColumn("n_chars", F.length("text").cast("bigint"))
+    return docs.where(~some).select(*columns).union(out.select(*columns))
