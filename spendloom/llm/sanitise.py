@@ -1,10 +1,14 @@
 """Personal data: base patterns, and terms that reveal a protected entity by how they occur together with it.
 
 Base spans are e-mail addresses, internet addresses, card numbers and phone numbers.  Each found value is a protected
-entity.  Words near an entity (within ``REACH`` code points) are its context.  Over the whole corpus, counted in
-documents, the disclosure of entity e by term t is their pointwise mutual information over the information content
-of e, PMI(t; e) / IC(e): 1 if t occurs nowhere but with e, 0 if it is independent.  A term that stands near e in at least
-``SUPPORT`` unlike texts is generalised from ``GENERALISE`` on and removed from ``REMOVE`` on, wherever it stands near that entity.
+entity.  The words of a text outside its base spans occur together with each of its entities.  Over the whole corpus,
+counted in documents, the disclosure of entity e by term t is their pointwise mutual information over the information
+content of e, PMI(t; e) / IC(e): 1 if t occurs nowhere but with e, 0 if it is independent.  A term whose disclosure is more
+than chance is generalised from ``GENERALISE`` on and removed from ``REMOVE`` on, wherever it stands in any text.
+
+Chance is a binomial test: of the m unlike texts with e, k or more have t although each has it only as often as any
+document.  Chernoff's bound of that must be below ``ALPHA`` over the number of pairs that can be tested at all.  An entity
+or a term of one text is no such pair: each word that occurs once would disclose whatever stands in its text.
 
 Expressions and joins only.  Patterns are written so that Java's engine neither recurses nor scans a run twice:
 possessive, and starting where a run starts (``\\G`` allows the rest of a run after a match).
@@ -30,9 +34,9 @@ PATTERNS = {
 }
 #: What a text must have for the pattern to match at all; cheaper to look for.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][ -]?){12}", "phone": r"\+[0-9]"}
-TERM = r"(?<![\p{L}\p{N}])\p{L}[\p{L}\p{N}]{3,}+"
-REACH = 48
-SUPPORT = 3
+TERM = r"[\p{L}\p{M}\p{N}]++"
+BETWEEN = r"[^\p{L}\p{M}\p{N}]++"
+ALPHA = 0.05
 GENERALISE = 0.5
 REMOVE = 0.8
 BLOCK = 256
@@ -116,92 +120,92 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*found))
 
 
-def _context(text: Column, spans: Column) -> Column:
-    """Words near each span: entity, term and the term's span; not those cut off, nor within a base span."""
-
-    def near(span: Column) -> Column:
-        first = F.greatest(span["start"] - REACH, F.lit(0))
-        before = F.substring(text, (first + 1).cast("int"), (span["start"] - first).cast("int"))
-        after = F.substring(text, (span["end"] + 1).cast("int"), F.lit(REACH))
-        left = F.filter(
-            matches(before, TERM, 4, lambda v: F.lit(True)), lambda x: (x["start"] > 0) | (first == 0)
-        )
-        right = F.filter(
-            matches(after, TERM, 4, lambda v: F.lit(True)), lambda x: (x["end"] < REACH) & (x["start"] > 0)
-        )
-        moved = lambda words, by: F.transform(
-            words,
-            lambda x: F.struct(
-                F.concat_ws(":", span["kind"].cast("string"), F.lower(span["value"])).alias("entity"),
-                F.lower(x["value"]).alias("term"),
-                (x["start"] + by).alias("start"),
-                (x["end"] + by).alias("end"),
-            ),
-        )
-        return F.concat(moved(left, first), moved(right, span["end"]))
-
-    words = F.flatten(F.transform(spans, near))
-    return F.filter(words, lambda w: ~F.exists(spans, lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
-
-
-def find(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """``doc_id, digest, spans`` of every row: base spans and terms, by start, then kind; digest is the text's (written).
+def outside(text: Column, spans: Column) -> Column:
+    """The text with each span blank, of the same length."""
+    blank = lambda x, at: F.repeat(F.lit(" "), (x["end"] - F.greatest(x["start"], at)).cast("int"))
+    return F.when(F.size(spans) > 0, _replaced(text, spans, blank, blank)).otherwise(text)
+
+
+def folded(text: Column) -> Column:
+    """In lower case, which for sigma depends on what follows."""
+    return F.replace(F.lower(text), F.lit("ς"), F.lit("σ"))
 
-    A term's value says what becomes of it: ``generalise`` or ``remove``.
-    """
-    rows = pick(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
-    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("digest"), base_spans(F.col("text")).alias("base"))
-    some = F.size("base") > 0
-    empty = F.array().cast("array<struct<entity:string,term:string,start:bigint,end:bigint>>")
-    near = F.when(some, _context(F.col("text"), F.col("base"))).otherwise(empty)
-    found = written(rows.select("doc_id", "digest", "base", near.alias("near")), "entities")
 
-    context = found.where("size(near) > 0").select("doc_id", "digest", F.explode("near").alias("n")).select("doc_id", "digest", "n.*")
-    # Counts are of documents; support is of unlike texts, so that copies don't make it.
+def vocabulary(text: Column, spans: Column) -> Column:
+    """Distinct words of a text outside its base spans, folded, and maybe an empty one."""
+    return F.array_distinct(F.split(folded(outside(text, spans)), BETWEEN))
+
+
+def _risky(rows: DataFrame, found: DataFrame, alpha: float) -> DataFrame:
+    """``term, deed`` of the terms that disclose an entity (written); ``rows`` has a row for each text and word of it."""
+    texts = found.where("size(base) > 0").select(
+        "doc_id", "digest", F.explode(F.array_distinct(F.transform("base", lambda b: F.concat_ws(":", b["kind"].cast("string"), F.lower(b["value"]))))).alias("entity")
+    )
+    # Counts are of documents; tests are of unlike texts, so that copies prove nothing.
+    held = written(texts.groupBy("entity", "digest").agg(F.count("*").alias("copies")), "entities-held")
+    entities = held.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count("*").alias("m")).where("m > 1")
+    entities = written(entities, "entities-tested")
+    documents, tested = found.count(), entities.agg(F.count("*"), F.max("n_e")).first()
+    n, (n_entities, most) = float(documents), tested
+    if not n_entities:
+        return rows.sparkSession.createDataFrame([], "term string, deed string")
+    # The whole vocabulary is counted, by task first, and only then cut.
+    counted = written(rows.groupBy("term").count().where("count > 1 AND term <> ''"), "vocabulary")
+    pairs = n_entities * max(1, counted.count())
+    # A term of more documents cannot reach the least disclosure, whatever it stands with.
+    rare = counted.where(F.col("count") <= n * (most / n) ** GENERALISE + 1).withColumnRenamed("count", "n_t")
+    held = held.join(entities, "entity")
+    words = found.where("size(base) > 0").join(held.select("digest").distinct(), "digest", "left_semi")
+    words = words.select("digest", F.explode("words").alias("term")).distinct().join(rare, "term")
     together = (
-        context.select("entity", "term", "doc_id", "digest").distinct()
+        words.join(held, "digest")
+        .where(F.col("n_t") <= n * F.pow(F.col("n_e") / n, F.lit(GENERALISE)) + 1)
         .groupBy("entity", "term")
-        .agg(F.count("*").alias("n_te"), F.count_distinct("digest").alias("texts"))
-        .where(F.col("texts") >= support)
-        .drop("texts")
-    )
-    together = written(together, "together")
-    entities = (
-        found.where("size(base) > 0")
-        .select("doc_id", "digest", F.explode("base").alias("b"))
-        .select(F.concat_ws(":", F.col("b.kind").cast("string"), F.lower("b.value")).alias("entity"), "doc_id", "digest")
-        .distinct().groupBy("entity").count().withColumnRenamed("count", "n_e")
+        .agg(*[F.first(c).alias(c) for c in ("n_t", "n_e", "m")], F.sum("copies").alias("n_te"), F.count("*").alias("k"))
     )
-    terms = together.select("term").distinct()
-    if together.limit(1).count():
-        # The whole vocabulary is counted, by task first, and only then cut to the terms: those are often common words.
-        words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-        counted = pick(docs, "text").select(F.explode(words).alias("term")).groupBy("term").count()
-        terms = counted.join(terms, "term")  # a semi-join would be moved below the count
-    else:
-        terms = terms.withColumn("count", F.lit(0))
-    texts = found.agg(F.count("*").alias("n"))
-    information = F.log(F.col("n") / F.col("n_e"))
-    shared = F.log(F.col("n_te") * F.col("n") / (F.greatest("n_t", "n_te") * F.col("n_e")))
+    information = F.log(n / F.col("n_e"))
+    shared = F.log(F.col("n_te") * n / (F.col("n_t") * F.col("n_e")))
+    q, k, m = F.col("n_t") / n, F.col("k"), F.col("m")
+    rest = F.when(k < m, (m - k) * F.log((m - k) / (m * (1 - q)))).otherwise(0.0)
+    chance = F.when(k > m * q, -(k * F.log(k / (m * q)) + rest)).otherwise(0.0)
     risky = (
-        together.join(entities, "entity")
-        .join(terms.withColumnRenamed("count", "n_t"), "term")
-        .join(F.broadcast(texts))  # one row
-        .withColumn("disclosure", F.when(information > 0, shared / information).otherwise(0.0))
-        .where(F.col("disclosure") >= GENERALISE)
-        .select("entity", "term", F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise").alias("deed"))
+        together.withColumn("disclosure", F.when(information > 0, shared / information).otherwise(0.0))
+        .where((F.col("disclosure") >= GENERALISE) & (chance + F.log(F.lit(float(pairs))) <= F.log(F.lit(alpha))))
+        # Of several entities the one that the term discloses most decides.
+        .groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+        .select("term", F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise").alias("deed"))
     )
-    told = (
-        context.join(risky, ["entity", "term"])
-        .groupBy("doc_id", "digest", "start", "end")
-        .agg(F.max("deed").alias("deed"))
-        .groupBy("doc_id", "digest")
-        .agg(F.collect_list(F.struct("start", F.lit(4).alias("kind"), "end", F.col("deed").alias("value"))).alias("terms"))
-        .select(F.col("doc_id").alias("k"), F.col("digest").alias("d"), "terms")
+    return written(risky, "terms")
+
+
+def find(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
+    """``doc_id, digest, spans`` of every row: base spans and terms, by start, then kind; digest is the text's (written).
+
+    A term's value says what becomes of it: ``generalise`` or ``remove``.
+    """
+    rows = pick(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
+    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("digest"), base_spans(F.col("text")).alias("base"))
+    # Only texts with entities keep their words.
+    own = F.when(F.size("base") > 0, vocabulary(F.col("text"), F.col("base")))
+    found = written(rows.select("doc_id", "digest", "base", own.alias("words")), "entities")
+    # Outer, as a filter on the words' number would make them twice.
+    words = rows.select("doc_id", "digest", F.explode_outer(vocabulary(F.col("text"), F.col("base"))).alias("term"))
+    risky = _risky(words, found, alpha)
+    deeds = (
+        words.join(risky, "term")
+        .groupBy("doc_id", "digest").agg(F.map_from_entries(F.collect_set(F.struct("term", "deed"))).alias("deeds"))
+        .toDF("k", "d", "deeds")
     )
-    spans = F.array_sort(F.concat("base", F.coalesce("terms", F.array().cast(f"array<{SPAN}>"))))
-    joined = found.join(told, found["doc_id"].eqNullSafe(told["k"]) & (found["digest"] == told["d"]), "left")
-    return joined.select("doc_id", "digest", spans.alias("spans"))
+    told = written(deeds, "texts-told")
+    same = F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("digest") == F.col("d"))
+    term = KINDS.index("term")
+    terms = F.transform(
+        matches(outside(F.col("text"), F.col("base")), TERM, term, lambda v: F.map_contains_key("deeds", folded(v))),
+        lambda x: x.withField("value", F.element_at("deeds", folded(x["value"]))),
+    )
+    marked = rows.join(told, same).select("k", "d", F.array_sort(F.concat("base", terms)).alias("spans"))
+    marked = written(marked.dropDuplicates(["k", "d"]), "texts-marked")
+    return found.join(marked, same, "left").select("doc_id", "digest", F.coalesce("spans", "base").alias("spans"))
 
 
 def joined_spans(spans: Column) -> Column:
@@ -210,18 +214,16 @@ def joined_spans(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", name(x), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def masked(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind; where spans overlap, by the first one's."""
-    marks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+def _replaced(text: Column, spans: Column, mark, later) -> Column:
+    """The text with ``mark(span, at)`` for each span, and ``later(span, at)`` for one that overlaps the ones before up to ``at``."""
     begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         gap = F.substring(text, (acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int"))
-        mark = F.when((x["kind"] == 4) & (x["value"] == "remove"), F.lit("")).otherwise(F.element_at(marks, x["kind"] + 1))
         return F.when(
             x["start"] >= acc["at"],
-            F.struct(x["end"].alias("at"), F.concat(acc["out"], F.array(gap, mark)).alias("out")),
-        ).otherwise(F.struct(F.greatest(acc["at"], x["end"]).alias("at"), acc["out"].alias("out")))
+            F.struct(x["end"].alias("at"), F.concat(acc["out"], F.array(gap, mark(x, acc["at"]))).alias("out")),
+        ).otherwise(F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.concat(acc["out"], F.array(later(x, acc["at"]))).alias("out")))
 
     rest = lambda acc: F.concat(
         F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))
@@ -229,19 +231,28 @@ def masked(text: Column, spans: Column) -> Column:
     return F.aggregate(spans, begin, step, rest)
 
 
-def sanitise(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
+def masked(text: Column, spans: Column) -> Column:
+    """The text with each span replaced by its kind; where spans overlap, by the first one's."""
+    marks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+
+    def mark(x: Column, at: Column) -> Column:
+        return F.when((x["kind"] == 4) & (x["value"] == "remove"), F.lit("")).otherwise(F.element_at(marks, x["kind"] + 1))
+
+    return _replaced(text, spans, mark, lambda x, at: F.lit(""))
+
+
+def sanitise(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """The documents with all spans masked; ``n_chars`` follows.  All rows and columns stay.
 
-    Only texts with a base span can have others, so only those meet the spans found; the rest is not shuffled.
+    Any text can have terms, so each meets the spans found.
     """
-    found = find(docs, support).where("size(spans) > 0").dropDuplicates(["doc_id", "digest"])
+    found = find(docs, alpha).where("size(spans) > 0").dropDuplicates(["doc_id", "digest"])
     key, digest, spans = fresh(docs, "span_key"), fresh(docs, "span_digest"), fresh(docs, "spans")
     found = found.toDF(key, digest, spans)
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    some = F.size(base_spans(F.coalesce(F.col("text"), F.lit("")))) > 0
-    hit = docs.where(some)
     same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.xxhash64("text") == F.col(digest))
-    out = hit.join(found, same).withColumn("text", masked(F.col("text"), F.col(spans)))
+    hit = F.col(spans).isNotNull()
+    out = docs.join(found, same, "left").withColumn("text", F.when(hit, masked(F.col("text"), F.col(spans))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("bigint"))
-    return docs.where(~some).select(*columns).union(out.select(*columns))
+        out = out.withColumn("n_chars", F.when(hit, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
+    return out.select(*columns)

@@ -216,6 +216,23 @@ def test_terms_that_disclose(make):
     assert none.collect() == []
 
 
+def test_terms_far_from_their_entity(make):
+    far = " and".join(f" so{i}" for i in range(40))
+    rows = [(i, f"Bob x{i} 李明{far} ann@x.org, x.org") for i in range(2)] + [(2, f"today bob, or {far}"), (3, "seen: 李明")]
+    rows += [(10 + i, f"today it was y{i} {far}") for i in range(400)]
+    got = {r.doc_id: r for r in sanitise.find(make(rows, DOCS)).collect()}
+    terms = {key: {text[s.start : s.end] for s in got[key].spans if s.kind == 4} for key, text in rows}
+    assert {"Bob", "李明"} <= terms[0] == terms[1] and terms[2] == {"bob"} and terms[3] == {"李明"}
+    assert not any(terms[key] for key, _ in rows[4:])
+    texts = {r.doc_id: r.text for r in sanitise.sanitise(make(rows, DOCS)).collect()}
+    assert all("bob" not in t.lower() and "李明" not in t for t in texts.values()) and texts[10] == rows[4][1]
+
+
+def test_copies_prove_no_term(make):
+    rows = [(i, "quokka ann@x.org") for i in range(5)] + [(10 + i, f"today it was n{i}") for i in range(400)]
+    assert not any(s.kind == 4 for r in sanitise.find(make(rows, DOCS)).collect() for s in r.spans)
+
+
 def test_masked_texts(make):
     rows = [(k, t, None if t is None else len(t)) for k, t in [*disclosing(), (200, "1.1.1.1 c@d.ee é 1.1.1.1 "), (200, "plain")]]
     out = sanitise.sanitise(make(rows, DOCS + ", n_chars bigint"))
