@@ -45,7 +45,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces in sequences, with a checksum of their ids."""
-    return packing.pack(docs, keep_ids=False).drop("ids")
+    return packing.pack(docs, keep_ids=False, added=True).drop("ids")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

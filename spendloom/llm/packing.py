@@ -1,6 +1,8 @@
 """Best-fit packing by linear grouping: documents as token sequences into as few training sequences as possible.
 
-Texts become ids of the byte-level vocabulary, followed by an end id.  A document longer than a sequence is cut into
+Texts become ids of the byte-level vocabulary, followed by an end id.  With ``added`` the added tokens of
+``byte_bpe_50k.json`` are matched inside texts, as its tokenizer does; without, they are spelled like any text.
+A document longer than a sequence is cut into
 pieces, the first of which may be shorter; no other document is cut.
 
 Pieces of one length are alike, so the plan is made from the count of each length (1024 numbers), whatever the size
@@ -18,9 +20,10 @@ pieces.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -38,14 +41,19 @@ GROUPINGS = ((1 / 2, 64), (2 / 5, 64), (1 / 3, 32))
 
 
 @lru_cache(maxsize=2)
-def encoder(ranks_path: str | None = None):
-    """The byte-level vocabulary; it gives the ids that ``byte_bpe_50k.json`` gives, several times as fast."""
+def encoder(ranks_path: str | None = None, added: bool = False):
+    """Text to ids of the byte-level vocabulary, as ``byte_bpe_50k.json`` gives them, several times as fast."""
     import public_tokenizers
     import tiktoken
 
     with open(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    special = {}
+    if added:
+        with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+            special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+    found = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    return partial(found.encode_to_numpy, allowed_special="all", disallowed_special=())
 
 
 def cuts(n: int, sequence: int = SEQUENCE) -> list[tuple[int, int]]:
@@ -55,14 +63,16 @@ def cuts(n: int, sequence: int = SEQUENCE) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
-def pieces(docs: DataFrame, keep_ids: bool = True, sequence: int = SEQUENCE, ranks_path: str | None = None) -> DataFrame:
+def pieces(
+    docs: DataFrame, keep_ids: bool = True, sequence: int = SEQUENCE, ranks_path: str | None = None, added: bool = False
+) -> DataFrame:
     """Every piece of every document, ranked among the pieces of its length in its task (written).
 
     ``doc_id, piece, start, length, ids_crc32, ids, task, rank``; ids are packed little-endian 32-bit numbers, or null.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task = encoder(ranks_path).encode_to_numpy, TaskContext.get().partitionId()
+        encode, task = encoder(ranks_path, added), TaskContext.get().partitionId()
         ranks = np.zeros(sequence + 1, np.int64)
         names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids", "task", "rank"]
         for batch in batches:
@@ -230,10 +240,12 @@ class Plan:
         return self.first[at] + key - self.keys[at], self.offset[at]
 
 
-def pack(docs: DataFrame, keep_ids: bool = True, sequence: int = SEQUENCE, ranks_path: str | None = None) -> DataFrame:
+def pack(
+    docs: DataFrame, keep_ids: bool = True, sequence: int = SEQUENCE, ranks_path: str | None = None, added: bool = False
+) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset`` for every piece."""
     spark = docs.sparkSession
-    cut = pieces(docs, keep_ids, sequence, ranks_path)
+    cut = pieces(docs, keep_ids, sequence, ranks_path, added)
     counted = cut.groupBy("task", "length").count()
     # One row for each length.
     counts = {r["length"]: r["n"] for r in counted.groupBy("length").agg(F.sum("count").alias("n")).collect()}

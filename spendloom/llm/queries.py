@@ -65,7 +65,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), keep_ids=False).drop("ids")
+    return packing.pack(table(spark, sf_dir, "documents"), keep_ids=False, added=True).drop("ids")
 
 
 @query

@@ -389,6 +389,19 @@ def test_packing_of_odd_rows(make, tokenizer):
     assert packing.pack(make([], DOCS)).collect() == []
 
 
+def test_added_tokens_in_texts(spark, make, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = lambda text: plain.encode(text or "", add_special_tokens=False).ids + [packing.END]
+    texts = ["a <|endoftext|> hi", "<|endoftext|>", "<|endoftext|><|endoftext|> \n", "x  <|endoftext|>  y", "<|endoftext", None]
+    rows = list(enumerate(texts))
+    assert 50256 in ids(texts[0])
+    make(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    check_packed(queries.QUERIES["op10_packing"](spark, str(tmp_path)).collect(), rows, ids)
+
+
 def test_ids_are_kept(make, tokenizer):
     [r] = packing.pack(make([(1, "some words")], DOCS)).collect()
     assert np.frombuffer(r.ids, "<u4").tolist() == tokenizer("some words")
