@@ -7,12 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendloom.llm import chat, fmindex, hosttext, jaccard, langid, licences, packing, reconcile, sanitise, toxicity
+from spendloom.llm import (
+    bottomk,
+    chat,
+    fmindex,
+    hosttext,
+    jaccard,
+    langid,
+    licences,
+    oracles,
+    packing,
+    reconcile,
+    resampling,
+    sanitise,
+    shallot,
+    toxicity,
+)
 from spendloom.llm.common import learns, pick, table
 from spendloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_centroid_clustering": oracles.clustering(),
+    "op12_resampling": oracles.resampling(),
+    "op13_near_duplicates": oracles.near_duplicates(),
+}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -115,3 +134,21 @@ def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = hosttext.extract(table(spark, sf_dir, "pages"))
     return text.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = shallot.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64, scale=1024, seed=3)
+    return found.withColumn("cluster", F.col("cluster").cast("bigint"))  # as SQL numbers clusters
+
+
+@query
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10, least_words=20, seed=2024
+    )
+
+
+@query
+def op13_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottomk.groups(table(spark, sf_dir, "documents"))
