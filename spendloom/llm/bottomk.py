@@ -7,7 +7,7 @@ of four words (of fewer words, all of them as one).  Rows link when 100 * overla
    sets are one node.
 2. Sets that link share at least ``needed(size)`` retained values: for sets within K that is exact; beyond it fewer than
    ``SHARED`` of K values of the union's sketch are shared with a chance below 10^-12 (Chernoff).  So a node is listed
-   under its rarest retained values only, one more than it may miss, and nodes that link still meet in a list.
+   under its rarest retained values only, more than it may miss, and nodes that link still meet in lists.
 3. Inverted lists of few nodes give their pairs with overlap counts; a pair stays if these and the large lists that both
    are in can reach what it needs.  In large lists every node is paired with one leader a round; what links join needs no
    more comparing.  Pairs of large lists that are still apart after the rounds are then all taken, each once.
@@ -23,8 +23,8 @@ and shingles have 64-bit hashes: two different sets of 10^9 are taken for equal
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,18 +39,19 @@ SHINGLE = 4
 PERCENT = 80
 K = 512
 SHARED = 336
+#: Sets of ``LONG`` shingles or more are listed under so many values more, which pairs must then share as well.
+LONG, MORE = 400, 24
 #: Counters of retained values, by which rare ones are told from frequent ones.
 SLOTS = 1 << 20
 #: Lists of more nodes are large.
-LARGE_LIST = 32
+LARGE_LIST = 8
 #: Turns of leaders before all pairs that are still apart are taken.
 LEADER_ROUNDS = 2
 BATCH_BYTES = 1 << 20
 GROUP_BYTES = 1 << 19
-CACHE_WORDS = 1 << 17
 BLOOM_BITS = 1 << 26
 
-FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 _WORDS = np.uint64(0xA0761D6478BD642F)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -62,46 +63,59 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Shingler(dict):
-    """Sorted distinct shingle hashes of texts; remembers words' hashes."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def sets(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        out, held, size = [], [], 0
-        for text in texts:
-            held.append(text)
-            size += len(text or b"")
-            if size >= GROUP_BYTES:
-                out += self._sets(held)
-                held, size = [], 0
-        return out + self._sets(held) if held else out
-
-    def _sets(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        lists = [(t or b"").translate(FOLD).split() for t in texts]
-        sizes = list(map(len, lists))
-        words = np.fromiter(map(self.__getitem__, chain.from_iterable(lists)), np.uint64, sum(sizes))
-        runs = max(len(words) - SHINGLE + 1, 0)
-        hashes = np.zeros(runs, np.uint64)
-        for i in range(SHINGLE):
-            hashes += words[i : i + runs] * _PLACES[i]
-        hashes = _mixed(hashes)
-        out, at = [], 0
-        for n in sizes:
-            if n >= SHINGLE:
-                own = np.sort(hashes[at : at + n - SHINGLE + 1])
-                own = own[np.append(True, own[1:] != own[:-1])]
-            elif n:
-                own = _mixed((words[at : at + n] * _PLACES[:n]).sum(keepdims=True) + np.uint64(n) * _WORDS)
-            else:
-                own = hashes[:0]
-            out.append(own)
-            at += n
-        return out
+def _words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words between spaces begin in ``data`` (which ends with eight spaces), and their hashes."""
+    gap = np.frombuffer(data, np.uint8) == 32
+    edges = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+    edges = np.append(0, edges) if not gap[0] else edges
+    starts, ends = edges[::2], edges[1::2]
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    left = ends - starts
+    hashes = left.astype(np.uint64) * _WORDS
+    at, rows = starts, np.arange(len(starts))
+    while len(rows):
+        part = eight[at]
+        short = left < 8
+        part[short] &= (np.uint64(1) << (8 * left[short]).astype(np.uint64)) - np.uint64(1)
+        hashes[rows] = _mixed(hashes[rows] ^ part)
+        more = left > 8
+        rows, at, left = rows[more], at[more] + 8, left[more] - 8
+    return starts, hashes
+
+
+def _sets(texts: list[bytes | None]) -> list[np.ndarray]:
+    folded = [(t or b"").translate(FOLD) for t in texts]
+    starts, words = _words(b" ".join([*folded, b" " * 8]))
+    cuts = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in folded)])).tolist()
+    runs = max(len(words) - SHINGLE + 1, 0)
+    hashes = np.zeros(runs, np.uint64)
+    for i in range(SHINGLE):
+        hashes += words[i : i + runs] * _PLACES[i]
+    hashes = _mixed(hashes)
+    out = []
+    for at, end in itertools.pairwise(cuts):
+        n = end - at
+        if n >= SHINGLE:
+            own = np.sort(hashes[at : end - SHINGLE + 1])
+            new = own[1:] != own[:-1]
+            out.append(own if new.all() else own[np.append(True, new)])
+        elif n:
+            out.append(_mixed((words[at:end] * _PLACES[:n]).sum(keepdims=True) + np.uint64(n) * _WORDS))
+        else:
+            out.append(hashes[:0])
+    return out
+
+
+def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text."""
+    out, held, size = [], [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text or b"")
+        if size >= GROUP_BYTES:
+            out += _sets(held)
+            held, size = [], 0
+    return out + _sets(held) if held else out
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -115,7 +129,7 @@ def needed(size: int) -> int:
 
 def listed(size: int) -> int:
     """Under how many values a set is listed."""
-    return min(size, K) - needed(size) + 1
+    return min(size, K) - needed(size) + 1 + (MORE if size >= LONG else 0)
 
 
 def estimate(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
@@ -138,9 +152,9 @@ def sketched(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     names = ["doc_id", "node", "size", "slot", "n"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, seen, counts = Shingler(), set(), np.zeros(SLOTS, np.int64)
+        seen, counts = set(), np.zeros(SLOTS, np.int64)
         for batch in merged(batches, BATCH_BYTES):
-            sets = shingler.sets(_texts(batch))
+            sets = shingle_sets(_texts(batch))
             ids = [node_of(s) for s in sets]
             for node, shingles in zip(ids, sets, strict=True):
                 if node not in seen:
@@ -170,10 +184,10 @@ def inverted(docs: DataFrame, often: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(often)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, order, seen = Shingler(), shared.value, set()
+        order, seen = shared.value, set()
         for batch in merged(batches, BATCH_BYTES):
             values, ids, sizes = [], [], []
-            for shingles in shingler.sets(_texts(batch)):
+            for shingles in shingle_sets(_texts(batch)):
                 node = node_of(shingles)
                 if not len(shingles) or node in seen:
                     continue
@@ -196,12 +210,12 @@ def inverted(docs: DataFrame, often: np.ndarray) -> DataFrame:
     return written(entries.join(lists, "value").distinct(), "inverted")
 
 
-#: SQL for a pair x, y: sizes near enough; retained values both may share outside the lists; shared ones asked for.
+#: SQL for a pair: sizes near enough; retained values that a set has outside the lists; shared ones that are asked for.
 _FITS = f"100 * least(x.size, y.size) >= {PERCENT} * greatest(x.size, y.size)"
-_NEEDED = f"least((greatest(size_a, size_b) * {PERCENT} + 99) div 100, {SHARED})"
+_UNLISTED = f"least(({{0}} * {PERCENT} + 99) div 100, {SHARED}) - 1 - if({{0}} >= {LONG}, {MORE}, 0)"
 _ASKED = f"if(greatest(size_a, size_b) <= {K}, ({PERCENT} * (size_a + size_b) + {99 + PERCENT}) div {100 + PERCENT}, {SHARED})"
 #: What the overlap in the lists must reach.
-_LEAST = f"greatest({_ASKED} - {_NEEDED} + 1, 1)"
+_LEAST = f"greatest({_ASKED} - greatest({_UNLISTED.format('size_a')}, {_UNLISTED.format('size_b')}), 1)"
 _PAIR = ["a", "b", "size_a", "size_b"]
 
 
@@ -279,27 +293,45 @@ def _bloom(wanted: DataFrame) -> np.ndarray:
     return table
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node, packed``: the whole sets of the wanted nodes, ascending, so that a sketch is where it begins (written)."""
-    wanted = written(wanted.distinct(), "wanted")
-    shared = docs.sparkSession.sparkContext.broadcast(_bloom(wanted))
+def _nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, table, seen = Shingler(), shared.value, set()
-        for batch in merged(batches, BATCH_BYTES):
-            own = {node_of(s): s for s in shingler.sets(_texts(batch)) if len(s)}
-            ids = np.array([i for i in own if i not in seen], np.uint64)
-            maybe = np.ones(len(ids), bool)
-            for at in _bits(ids):
-                maybe &= (table[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
-            ids = ids[maybe]
-            if len(seen) < 1 << 18:
-                seen.update(ids.tolist())
-            packed = pa.array([own[i].tobytes() for i in ids.tolist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(ids)), packed], ["node", "packed"])
 
-    found = map_batches(pick(docs, "text"), work, "node bigint, packed binary").join(wanted, "node")
-    return written(found.groupBy("node").agg(F.first("packed").alias("packed")), "sets")
+class Sets:
+    """``node, packed``: whole sets of the nodes asked for so far, ascending, so that a sketch is where a set begins."""
+
+    def __init__(self, docs: DataFrame):
+        self.docs, self.have, self.found = pick(docs, "text"), None, None
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        """Reads the texts once more for the pairs' nodes that aren't there yet."""
+        wanted = _nodes_of(pairs).distinct()
+        new = written(wanted if self.have is None else wanted.join(self.have, "node", "left_anti"), "wanted")
+        if self.have is None or not new.isEmpty():
+            once = map_batches(self.docs, self._reader(_bloom(new)), "node bigint, packed binary").join(new, "node")
+            found = written(once.groupBy("node").agg(F.first("packed").alias("packed")), "sets")
+            self.have = new if self.have is None else self.have.union(new)
+            self.found = found if self.found is None else self.found.union(found)
+        return self.found
+
+    def _reader(self, bits: np.ndarray):
+        shared = self.docs.sparkSession.sparkContext.broadcast(bits)
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table, seen = shared.value, set()
+            for batch in merged(batches, BATCH_BYTES):
+                own = {node_of(s): s for s in shingle_sets(_texts(batch)) if len(s)}
+                ids = np.array([i for i in own if i not in seen], np.uint64)
+                maybe = np.ones(len(ids), bool)
+                for at in _bits(ids):
+                    maybe &= (table[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
+                ids = ids[maybe]
+                if len(seen) < 1 << 18:
+                    seen.update(ids.tolist())
+                packed = pa.array([own[i].tobytes() for i in ids.tolist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(ids)), packed], ["node", "packed"])
+
+        return work
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -347,10 +379,6 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return written(likely.where("linked").select("a", "b").union(map_batches(full, _confirmed, "a bigint, b bigint")), "links")
 
 
-def _nodes_of(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-
-
 def linked_nodes(docs: DataFrame, met: DataFrame) -> DataFrame:
     """``node, component`` of the nodes that links touch (written)."""
     is_large = F.col("members") > LARGE_LIST
@@ -362,9 +390,8 @@ def linked_nodes(docs: DataFrame, met: DataFrame) -> DataFrame:
     if some:
         pairs = pairs.union(_led_pairs(large.withColumn("component", F.col("node")), 0)).distinct()
     pairs = written(pairs, "pairs")
-    wanted = _nodes_of(pairs)
-    sets = full_sets(docs, wanted.union(large.select("node")) if some else wanted)
-    links = verified(pairs, sets)
+    sets = Sets(docs)
+    links = verified(pairs, sets.of(pairs))
     reached = written(components(links), "reached")
     for turn in range(1, LEADER_ROUNDS + 1 if some else 1):
         own = large.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -373,7 +400,7 @@ def linked_nodes(docs: DataFrame, met: DataFrame) -> DataFrame:
         pairs = written(pairs, "pairs")
         if pairs.isEmpty():
             continue
-        found = verified(pairs, sets)
+        found = verified(pairs, sets.of(pairs))
         # Nodes that are joined already stand for their components.
         links = reached.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found)
         reached = written(components(links), "reached")
