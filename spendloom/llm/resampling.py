@@ -33,8 +33,8 @@ BUCKETS = 10_000
 BATCH_BYTES = 1 << 20
 #: Words a task remembers the hash of.
 CACHE_WORDS = 1 << 17
-#: Rows of a block, and bits of a digit.
-BLOCK_ROWS = 1 << 16
+#: A block is 2 ** ``BLOCK_BITS`` rows at most.
+BLOCK_BITS = 13
 DIGIT_BITS = 14
 
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -121,33 +121,38 @@ def noise(key: Column, seed: int) -> Column:
     return F.floor(F.lit(-1000.0) * F.log(-F.log((h + 0.5) / F.lit(4294967296.0)))).cast("bigint")
 
 
-def _differing(rows: DataFrame, keys: list[str]) -> dict[str, int]:
-    """How many low bits of each key can differ between rows."""
+def _sorted_bits(rows: DataFrame, keys: list[str]) -> dict[str, tuple[Column, int]]:
+    """Of each key a column in whose low bits, unsigned, the order of the key's values is, and how many bits these are."""
     ends = rows.agg(*[f(k).alias(f"{k}_{i}") for k in keys for i, f in enumerate((F.min, F.max))]).first()
-    mask = (1 << 64) - 1
-    ends = {k: (ends[f"{k}_0"], ends[f"{k}_1"]) for k in keys}
-    return {k: 0 if low is None else ((low ^ high) & mask).bit_length() for k, (low, high) in ends.items()}
+    out = {}
+    for k in keys:
+        low, high = ends[f"{k}_0"], ends[f"{k}_1"]
+        if low is None:
+            out[k] = F.lit(0), 0
+        elif high - low < 1 << 62:
+            out[k] = F.col(k) - F.lit(low), (high - low).bit_length()
+        else:
+            out[k] = F.col(k).bitwiseXOR(F.lit(-(1 << 63))), 64  # signed order, with the top bit turned
+    return out
 
 
-def radix_ranks(rows: DataFrame, keys: list[str], digit_bits: int = DIGIT_BITS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def radix_ranks(rows: DataFrame, keys: list[str], digit_bits: int = DIGIT_BITS, block_bits: int = BLOCK_BITS) -> DataFrame:
     """``rows`` with ``place``: from 0 in the order of ``keys`` (bigint, none null, the first weighs most).
 
     ``rows`` must be a written table: its first order is the order in which it is read.
     """
     spark = rows.sparkSession
     rows = rows.select("*", F.monotonically_increasing_id().alias("place"))
-    block = F.shiftright("place", 33)
-    differing = _differing(rows, keys)
-    if not any(differing.values()):
-        differing[keys[-1]] = 1  # one pass makes the places of alike rows gapless
-    for key, bits in [(k, b) for k, b in list(differing.items())[::-1] if b]:
+    found = list(_sorted_bits(rows, keys).values())
+    if not any(bits for _, bits in found):
+        found[-1] = found[-1][0], 1  # one pass makes the places of alike rows gapless
+    for key, bits in [(c, b) for c, b in found[::-1] if b]:
         passes = -(-bits // digit_bits)
         width = -(-bits // passes)
         for low in range(0, bits, width):
-            # Signed order is unsigned order with the top bit turned.
-            turned = F.col(key).bitwiseXOR(F.lit(-(1 << 63))) if bits == 64 else F.col(key)
-            digit = F.shiftrightunsigned(turned, low).bitwiseAND(F.lit((1 << min(width, bits - low)) - 1)).cast("int")
-            cut = written(rows.withColumn("block", block).withColumn("digit", digit), "digits")
+            digit = F.shiftrightunsigned(key, low).bitwiseAND(F.lit((1 << min(width, bits - low)) - 1)).cast("int")
+            cut = rows.withColumn("block", F.shiftright("place", block_bits)).withColumn("digit", digit)
+            cut = written(cut, "digits")
             counted = written(cut.groupBy("block", "digit").agg(F.count("*").alias("n")), "counts")
             totals = sorted(counted.groupBy("digit").agg(F.sum("n")).collect())  # at most 2^digit_bits rows
             ends = np.cumsum([0, *(n for _, n in totals)]).tolist()
@@ -163,7 +168,6 @@ def radix_ranks(rows: DataFrame, keys: list[str], digit_bits: int = DIGIT_BITS,
             cell = Window.partitionBy("block", "digit").orderBy("place")
             moved = cut.withColumn("nth", F.row_number().over(cell)).join(offsets, ["block", "digit"])
             rows = moved.withColumn("place", F.col("offset") + F.col("nth") - 1).drop("block", "digit", "offset", "nth")
-            block = F.floor(F.col("place") / block_rows).cast("bigint")
     return rows
 
 

@@ -177,7 +177,7 @@ def test_radix_ranks_by_small_digits_and_blocks(spark):
     b[10:400] = [7] * 390
     a[20:400] = [1] * 380
     rows = written(spark.createDataFrame(list(zip(a, b, strict=True)), "a bigint, b bigint").repartition(6), "rows")
-    got = sorted(resampling.radix_ranks(rows, ["a", "b"], digit_bits=9, block_rows=100).collect(), key=lambda r: r["place"])
+    got = sorted(resampling.radix_ranks(rows, ["a", "b"], digit_bits=9, block_bits=7).collect(), key=lambda r: r["place"])
     assert [r["place"] for r in got] == list(range(3000))
     assert [(r["a"], r["b"]) for r in got] == sorted(zip(a, b, strict=True))
 
