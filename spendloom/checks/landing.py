@@ -20,6 +20,26 @@ def land_pages(df: DataFrame, record_path: str, name: str, context: tuple[str, .
     return land_documents(df.select(*context, F.array(record).alias(record_path)), name)
 
 
+def land_texts(df: DataFrame, page: str, text: str, record_path: str | None, name: str) -> str:
+    """Pages, or root arrays, of the records, given as JSON texts, that have the same number."""
+    records = F.array_join(F.sort_array(F.collect_list(text)), ",")
+    start, end = (f'{{"{record_path}":[', "]}") if record_path else ("[", "]")
+    pages = df.groupBy(page).agg(F.concat(F.lit(start), records, F.lit(end)).alias("value"))
+    path = scratch_path(df.sparkSession, name)
+    pages.select("value").write.text(path)
+    return path
+
+
+def land_with_faults(sent: DataFrame, key: str, word: str, record_path: str | None, name: str) -> str:
+    """Pages of up to a hundred records; in each, record 42 has a text as its id."""
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in sent.columns if c != key]))
+    fault = F.replace(record, F.concat(F.lit('"id":'), F.col(key)), F.concat(F.lit(f'"id":"{word} '), F.col(key), F.lit('"')))
+    texts = sent.select(
+        F.floor(F.col(key) / 100).alias("page"), F.when(F.col(key) % 100 == 42, fault).otherwise(record).alias("text")
+    )
+    return land_texts(texts, "page", "text", record_path, name)
+
+
 def land_documents(df: DataFrame, name: str) -> str:
     path = scratch_path(df.sparkSession, name)
     df.write.json(path)

@@ -523,6 +523,12 @@ def pipe_contact_forms(spark, sf):
 # --- engagements, workflows, email campaigns ------------------------------------------------
 
 
+def _with_rejected(loaded, rejects, word: str):
+    """Stored rows, and what stands as the id of the rejected ones."""
+    found = rejects.read().select(F.regexp_extract("CSV_DATA", f"{word} [0-9]+", 0).alias("REJECTED"))
+    return loaded.unionByName(found, allowMissingColumns=True)
+
+
 @check(
     "pipe_engagements",
     f"""SELECT CAST(NULLIF(event_id, 0) AS VARCHAR) AS ENGAGEMENT_ID, CASE WHEN user_id > 20 THEN 'true' END AS ACTIVE,
@@ -531,13 +537,18 @@ def pipe_contact_forms(spark, sf):
     CASE WHEN event_type = 'view' THEN 'to' || user_id || '@example.org' END AS TO_EMAIL,
     'line onetwo' || props AS BODY,
     CASE WHEN event_type = 'signup' THEN {_local("epoch_us(ts) // 1000 + 60000")} END AS REMINDER,
-    CAST(NULL AS VARCHAR) AS SUBJECT, CAST(NULLIF(user_id, 0) AS VARCHAR) AS OWNER_ID FROM events""",
+    CAST(NULL AS VARCHAR) AS SUBJECT, CAST(NULLIF(user_id, 0) AS VARCHAR) AS OWNER_ID, CAST(NULL AS VARCHAR) AS REJECTED
+    FROM events WHERE event_id % 100 <> 42
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'event ' || event_id
+    FROM events WHERE event_id % 100 = 42""",
 )
 def pipe_engagements(spark, sf):
+    """Pages of a hundred engagements, one of them with a text as its id: that one goes to the rejects."""
     kind, at = F.col("event_type"), domain.millis("ts")
     longs = "array<bigint>"
     person = F.struct(F.concat(F.lit("to"), F.col("user_id"), F.lit("@example.org")).alias("email"))
     sent = table(spark, sf, "events").select(
+        "event_id",
         F.struct(
             F.col("event_id").alias("id"),
             (F.col("user_id") > 20).alias("active"),
@@ -555,9 +566,10 @@ def pipe_engagements(spark, sf):
             F.lit("").alias("subject"),
         ).alias("metadata"),
     )
-    stored = new_table(spark, engagement.HS_CONTACT_ENGAGEMENTS)
-    path = landing.land_pages(sent, "results", "engagements")
-    return engagement.run_engagements(spark, path, stored, LOCAL, **LINES).select(
+    path = landing.land_with_faults(sent, "event_id", "event", "results", "engagements")
+    stored, rejects = new_table(spark, engagement.HS_CONTACT_ENGAGEMENTS), new_rejects(spark)
+    loaded = engagement.run_engagements(spark, path, stored, LOCAL, rejects=rejects, **LINES)
+    return _with_rejected(loaded, rejects, "event").select(
         "ENGAGEMENT_ID",
         "ACTIVE",
         "CREATED_AT",
@@ -568,6 +580,7 @@ def pipe_engagements(spark, sf):
         "REMINDER",
         "SUBJECT",
         "OWNER_ID",
+        "REJECTED",
     )
 
 
@@ -688,9 +701,11 @@ def _reload(spark, sent, listing):
     "pipe_blogs",
     f"""SELECT url AS ABSOLUTE_URL, CAST(page_id AS VARCHAR) AS ANALYTICS_PAGE_ID, CAST(NULL AS BIGINT) AS CATEGORY_ID,
     {_local(f"{_STAMP_BASE} + page_id * 1000")} AS CREATED_AT, html AS HTML_TITLE, NULLIF(page_id, 0) AS ID,
-    CAST(3 AS BIGINT) AS PORTAL_ID FROM pages""",
+    CAST(3 AS BIGINT) AS PORTAL_ID, CAST(NULL AS VARCHAR) AS REJECTED FROM pages WHERE page_id % 100 <> 42
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'page ' || page_id FROM pages WHERE page_id % 100 = 42""",
 )
 def pipe_blogs(spark, sf):
+    """Pages of a hundred blogs, one of them with a text as its id: that one goes to the rejects."""
     sent = table(spark, sf, "pages").select(
         F.col("url").alias("absolute_url"),
         F.col("page_id").cast("string").alias("analytics_page_id"),
@@ -699,8 +714,11 @@ def pipe_blogs(spark, sf):
         F.col("html").alias("html_title"),
         F.col("page_id").alias("id"),
         F.lit(3).alias("portal_id"),
+        "page_id",
     )
-    return _reload(spark, sent, content.BLOGS)
+    path = landing.land_with_faults(sent, "page_id", "page", "objects", "blogs")
+    stored, rejects = new_table(spark, content.BLOGS.contract), new_rejects(spark)
+    return _with_rejected(content.run(spark, path, content.BLOGS, stored, LOCAL, rejects, **LINES), rejects, "page")
 
 
 @check(

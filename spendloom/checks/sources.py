@@ -18,7 +18,7 @@ from spendloom.contracts.tables import (
 from spendloom.operators import rejects
 from spendloom.plans.loads import adwords, content, courses, survey
 from spendloom.session import scratch_path
-from spendloom.sources.pages import read_array, read_documents, read_pages
+from spendloom.sources.pages import CORRUPT, read_array, read_documents, read_pages
 from spendloom.sources.tabular import POSITIONAL_PAGE, read_csv_report, read_table, rows_to_columns
 from spendloom.streaming.incremental import landed_pages, merge_new_files, read_target
 
@@ -47,10 +47,20 @@ def json_envelope(spark, sf):
     )
 
 
-@check("src_json_array", "SELECT event_id, event_type, user_id FROM events")
+@check(
+    "src_json_array",
+    """SELECT event_id AS id, event_type, user_id, CAST(NULL AS VARCHAR) AS rejected FROM events WHERE event_id % 100 <> 42
+    UNION ALL SELECT NULL, NULL, NULL, '{"id":"event ' || event_id || '","event_type":"' || event_type || '","user_id":' || user_id || '}'
+    FROM events WHERE event_id % 100 = 42""",
+)
 def json_array(spark, sf):
-    path = landing.land_arrays(table(spark, sf, "events").select("event_id", "event_type", "user_id"), "array")
-    return read_array(spark, path, "event_id bigint, event_type string, user_id bigint", **landing.LINES)
+    """Arrays of a hundred events, one of them with a text as its id."""
+    sent = table(spark, sf, "events").select(F.col("event_id").alias("id"), "event_type", "user_id", "event_id")
+    path = landing.land_with_faults(sent, "event_id", "event", None, "array")
+    torn = []
+    rows = read_array(spark, path, "id bigint, event_type string, user_id bigint", unreadable=torn.append, **landing.LINES)
+    faulty = torn[0].select(F.col(CORRUPT).alias("rejected")).filter("rejected IS NOT NULL")
+    return rows.unionByName(faulty, allowMissingColumns=True)
 
 
 @check("src_json_object", "SELECT page_id, url, html FROM pages")

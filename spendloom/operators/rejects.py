@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from spendloom.contracts.contract import MAX_RAW
 from spendloom.sources.pages import CORRUPT
-from spendloom.store import Table, kept
+from spendloom.store import Table, load_scratch
 
 
 def as_rejects(df: DataFrame, reason: Column, raw: str, row_nr: str | None = None) -> DataFrame:
@@ -43,26 +43,29 @@ def unreadable_to(rejects: Table | None) -> Callable[[DataFrame], None]:
     """What becomes of input that the reader could not parse: it is appended to the rejects, or stops a load without any."""
 
     def keep(rows: DataFrame) -> None:
-        # The reader wants to be asked for more than the raw text, so what it found is written first.
-        with kept(split_unreadable(rows)[1], "unreadable") as bad:
-            if rejects is not None:
-                rejects.append_nonempty(bad)
-            elif not bad.isEmpty():
-                raise ValueError("unreadable input, and no table for rejects")
+        bad = split_unreadable(rows)[1]
+        if rejects is not None:
+            rejects.append_nonempty(bad)
+        elif not bad.isEmpty():
+            raise ValueError("unreadable input, and no table for rejects")
 
     return keep
 
 
 def logged(step: str) -> Callable[[Callable], Callable]:
-    """A load that takes ``log``: a failure is appended to that table before it stops the load."""
+    """A load that takes ``log``: a failure is appended to that table before it stops the load.
+
+    What the load parsed once for several readers is removed when it ends.
+    """
 
     def wrap(run: Callable) -> Callable:
         @wraps(run)
         def inner(*args, log: Table | None = None, **options):
-            if log is None:
-                return run(*args, **options)
-            with logged_step(log, step):
-                return run(*args, **options)
+            with load_scratch():
+                if log is None:
+                    return run(*args, **options)
+                with logged_step(log, step):
+                    return run(*args, **options)
 
         return inner
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,36 @@ def kept(df: DataFrame, name: str) -> Iterator[DataFrame]:
         dropped(df.sparkSession, path)
 
 
+# Folders to remove when the innermost load ends.
+_loads: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("loads", default=None)
+
+
+@contextmanager
+def load_scratch() -> Iterator[None]:
+    """What :func:`landed_once` writes inside the block is removed after it."""
+    folders: list[tuple[SparkSession, str]] = []
+    token = _loads.set(folders)
+    try:
+        yield
+    finally:
+        _loads.reset(token)
+        for spark, folder in folders:
+            dropped(spark, folder)
+
+
+def landed_once(df: DataFrame, name: str) -> DataFrame:
+    """Parsed input, written so that several readers parse it once; kept until the load, or else the session, ends."""
+    spark = df.sparkSession
+    path, folders = scratch_path(spark, name), _loads.get()
+    if folders is None:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    else:
+        folders.append((spark, path))
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 MANIFEST = "_MANIFEST"
 
 

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from spendloom.contracts import Checked, Contract
 from spendloom.operators.merge import rows_to_insert
 from spendloom.operators.rejects import split_unreadable
-from spendloom.sources.pages import CORRUPT, page_schema, records_of
+from spendloom.sources.pages import CORRUPT, page_schema, records_and_faults, records_of, torn_schema
 from spendloom.store import kept
 
 BATCH = "load_batch"
@@ -35,17 +35,13 @@ def landed_pages(
     files_per_batch: int | None = None,
     keep_corrupt: bool = False,
 ) -> DataFrame:
-    """Records of page files as they arrive; an unreadable page is a row of its raw text."""
-    schema = page_schema(record_path, record)
-    full = f"{schema}, {CORRUPT} string" if keep_corrupt else schema
-    reader = spark.readStream.schema(full).option("multiLine", multi_line)
+    """Records of page files as they arrive; an unreadable record, or page, is a row of its raw text."""
+    schema = torn_schema(record_path, record) if keep_corrupt else page_schema(record_path, record)
+    reader = spark.readStream.schema(schema).option("multiLine", multi_line)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     pages = reader.json(path)
-    if not keep_corrupt:
-        return records_of(pages, record_path)
-    records = F.when(F.col(CORRUPT).isNotNull(), F.array(F.lit(None))).otherwise(F.col(f"`{record_path}`"))
-    return pages.select(CORRUPT, F.explode(records).alias("_r")).select(CORRUPT, "_r.*")
+    return records_and_faults(pages, record_path, record) if keep_corrupt else records_of(pages, record_path)
 
 
 def read_target(spark: SparkSession, target: str, contract: Contract) -> DataFrame:

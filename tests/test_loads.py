@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from spendloom.plans.loads import (
     web_analytics,
 )
 from spendloom.plans.loads.fields import Options
-from spendloom.session import scratch_path
+from spendloom.session import scratch_path, scratch_root
 from spendloom.sources.pages import read_documents, read_pages
 from spendloom.sources.tabular import POSITIONAL_PAGE
 from spendloom.store import Table
@@ -394,17 +395,28 @@ def test_survey_rows_are_loaded_rejected_or_outside_the_window(spark, tmp_path):
     assert [raw for e, raw in found if e.startswith("unreadable")] == [CUT_OFF]
 
 
-def test_pages_with_values_of_another_type_are_rejected(spark, tmp_path):
-    good = json.dumps({"objects": [{"id": 1}]})
-    wrong = json.dumps({"objects": [{"id": "two"}]})
+def test_records_with_values_of_another_type_are_rejected(spark, tmp_path):
+    good = json.dumps({"objects": [{"id": n} for n in range(1, 101)]})
+    mixed = json.dumps({"objects": [{"id": "two" if n == 142 else n, "html_title": "ü"} for n in range(101, 201)]}, indent=1)
     (tmp_path / "a.json").write_text(good)
-    (tmp_path / "b.json").write_text(wrong)
+    (tmp_path / "b.json").write_text(mixed)
+    (tmp_path / "c.json").write_text(CUT_OFF)
     stored, rejects = table_of(spark, content.BLOGS.contract), table_of(spark, t.ERROR_TABLE)
     rows = content.run(spark, str(tmp_path), content.BLOGS, stored, rejects=rejects).collect()
-    assert len(rows) == 1 and [r.CSV_DATA for r in rejects.read().collect()] == [wrong]
+    assert sorted(int(r.ID) for r in rows) == [n for n in range(1, 201) if n != 142]
+    assert sorted(r.CSV_DATA for r in rejects.read().collect()) == sorted(['{"id":"two","html_title":"ü"}', CUT_OFF])
     with pytest.raises(ValueError, match="unreadable"):
         content.run(spark, str(tmp_path), content.BLOGS, stored)
-    assert stored.read().count() == 1
+    assert stored.read().count() == 199
+
+
+def test_nothing_that_a_load_parsed_is_left_behind(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"objects": [{"id": 1}, {"id": "two"}]}))
+    before = set(os.listdir(f"{scratch_root(spark)}/spendloom"))
+    stored, rejects = table_of(spark, content.BLOGS.contract), table_of(spark, t.ERROR_TABLE)
+    content.run(spark, str(tmp_path), content.BLOGS, stored, rejects=rejects)
+    left = set(os.listdir(f"{scratch_root(spark)}/spendloom")) - before
+    assert not [n for n in left if n.startswith(("landed", "torn"))]
 
 
 def test_report_lines_of_another_length_are_rejected(spark, tmp_path):

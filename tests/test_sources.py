@@ -38,6 +38,44 @@ def test_root_array(spark, tmp_path, values):
     assert values(read_array(spark, str(tmp_path), RECORD)) == [(1, "a"), (2, "b")]
 
 
+def faults(read, *args, **options):
+    """Parsed rows and texts of the others."""
+    found = []
+    rows = read(*args, unreadable=lambda df: found.extend(df.filter("_corrupt_record IS NOT NULL").collect()), **options)
+    return rows, sorted(r["_corrupt_record"] for r in found)
+
+
+def test_records_of_a_page_are_rejected_one_by_one(spark, tmp_path, values):
+    put(tmp_path, "1.json", {"data": [{"id": 1, "name": "a"}, {"id": "x", "name": "b"}, {"id": 3}, 7, None, [{"id": 4}]], "offset": 5})
+    put(tmp_path, "2.json", {"data": [{"id": 9}], "offset": "six"})
+    put(tmp_path, "3.json", {"data": "none"})
+    put(tmp_path, "4.json", '{"data": [{"id": 1}, {"i')
+    put(tmp_path, "5.json", {"data": [{"id": 6, "name": 1.5}], "offset": 8})
+    got, torn = faults(read_pages, spark, str(tmp_path), "data", RECORD, context={"offset": "int"})
+    assert values(got) == [(5, None, None), (5, 1, "a"), (5, 3, None), (8, 6, "1.5")]
+    pages = [json.dumps({"data": [{"id": 9}], "offset": "six"}, indent=1), json.dumps({"data": "none"}, indent=1), '{"data": [{"id": 1}, {"i']
+    assert torn == sorted([*pages, '{"id":"x","name":"b"}', "7", '[{"id":4}]'])
+
+
+def test_elements_of_an_array_are_rejected_one_by_one(spark, tmp_path, values):
+    mixed = [{"id": 1, "name": "a"}, {"id": "x"}, {"id": 3}, {"id": [1]}]
+    lines = [json.dumps(mixed), json.dumps(mixed), '[{"id": 5}, {"i', json.dumps([{"id": 6}]), "[]", '{"id": "y"}']
+    put(tmp_path, "1.json", "\n".join(lines))
+    got, torn = faults(read_array, spark, str(tmp_path), RECORD, multi_line=False)
+    assert values(got) == [(1, "a"), (1, "a"), (3, None), (3, None), (6, None)]
+    assert torn == sorted(['{"id":"x"}', '{"id":[1]}'] * 2 + [lines[2], lines[5]])
+
+
+def test_good_pages_are_not_taken_apart(spark, tmp_path):
+    """The input is parsed once, and pages without a fault by their types alone."""
+    put(tmp_path, "1.json", {"data": [{"id": 1}]})
+    scans = []
+    got = read_pages(spark, str(tmp_path), "data", RECORD, unreadable=lambda df: scans.append(df))
+    for df in (got, *scans):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Format: Parquet" in plan and "JSON" not in plan
+
+
 def test_one_document_per_file(spark, tmp_path):
     for i in range(3):
         put(tmp_path, f"{i}.json", {"id": i, "properties": {"email": {"value": f"{i}@example.org"}}})
