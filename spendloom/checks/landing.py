@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendloom.contracts import Contract
@@ -75,3 +75,14 @@ def new_rejects(spark: SparkSession) -> Table:
 def as_text(df: DataFrame) -> DataFrame:
     """All columns as the text a source would send."""
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+
+
+def land_csv_lines(df: DataFrame, text: Column, name: str, files: int = 4) -> str:
+    """Files of a header line and lines that are texts of rows; a text may be no proper line."""
+    header = ",".join(df.columns)
+    lines = df.select(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files)).alias("file"), F.lit(1).alias("place"), text.alias("value"))
+    heads = df.sparkSession.range(files).select(F.col("id").alias("file"), F.lit(0).alias("place"), F.lit(header).alias("value"))
+    path = scratch_path(df.sparkSession, name)
+    ordered = lines.union(heads).repartition("file").sortWithinPartitions("file", "place")
+    ordered.select("file", "value").write.partitionBy("file").text(path)
+    return path

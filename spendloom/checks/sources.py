@@ -91,18 +91,30 @@ def positional_rows(spark, sf):
 @check(
     "src_csv_report",
     with_("google_adwords")
-    + """SELECT CAST(AD_DATE AS VARCHAR) AS day, CAST(AD_ID AS VARCHAR) AS ad, HEADLINE AS headline,
-    CAST(CONVERSIONS AS VARCHAR) || '.25%' AS ctr FROM google_adwords""",
+    + """SELECT CAST(AD_DATE AS VARCHAR) AS day, CAST(AD_ID AS VARCHAR) AS ad,
+    CASE WHEN AD_ID % 7 = 3 THEN HEADLINE || chr(10) || ', "second" line' ELSE HEADLINE END AS headline,
+    CAST(CONVERSIONS AS VARCHAR) || '.25%' AS ctr, NULL::VARCHAR AS rejected FROM google_adwords WHERE AD_ID % 100 <> 42
+    UNION ALL SELECT NULL, NULL, NULL, NULL, 'ad ' || AD_ID FROM google_adwords WHERE AD_ID % 100 = 42""",
 )
 def csv_report(spark, sf):
-    path = landing.land_csv(adwords_report(spark, sf), "report")
-    report = read_csv_report(spark, path, tuple(adwords.HEADERS))
-    return report.select(
+    """Some headlines span two lines; some lines end in a value with a stray quote, and go to the rejects."""
+    two = F.concat(F.col("`Headline 1`"), F.lit('\n, "second" line'))
+    spans, stray = F.col("`Ad ID`") % 7 == 3, F.col("`Ad ID`") % 100 == 42
+    sent = adwords_report(spark, sf).withColumn("Headline 1", F.when(spans & ~stray, two).otherwise(F.col("`Headline 1`")))
+    values = [F.col(f"`{c}`") for c in sent.columns[:-1]]
+    line = F.to_csv(F.struct(*values, F.col(f"`{sent.columns[-1]}`")), {"escape": '"'})
+    torn = F.concat(F.to_csv(F.struct(*values), {"escape": '"'}), F.lit(',"ad '), F.col("`Ad ID`"))
+    path = landing.land_csv_lines(sent, F.when(stray, torn).otherwise(line), "report")
+    torn_lines = []
+    report = read_csv_report(spark, path, tuple(adwords.HEADERS), unreadable=torn_lines.append)
+    shown = report.select(
         F.col("Day").alias("day"),
         F.col("Ad ID").alias("ad"),
         F.col("Headline 1").alias("headline"),
         F.col("CTR").alias("ctr"),
     )
+    faulty = torn_lines[0].select(F.regexp_extract(CORRUPT, "ad [0-9]+$", 0).alias("rejected"))
+    return shown.unionByName(faulty, allowMissingColumns=True)
 
 
 @check("src_table", "SELECT o_custkey AS VID, o_orderkey FROM orders")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from spendloom.sources.pages import CORRUPT, Unreadable, parted
+from spendloom.sources.pages import CORRUPT, Unreadable
+from spendloom.sources.quoted import Quoted
+from spendloom.store import landed_once
 
 
 def read_csv_report(
@@ -16,19 +17,29 @@ def read_csv_report(
     keep_corrupt: bool = False,
     unreadable: Unreadable | None = None,
 ) -> DataFrame:
-    """CSV with a header row, every column as text.
+    """CSV with a header row, every column as text; files are read in ranges.
 
     The header is checked against ``headers``, so a report whose columns moved
     fails instead of loading values under the wrong names.  Quoted values may span
-    lines.  ``unreadable`` is handed lines with too few or too many values.
+    lines.  ``unreadable`` is handed lines with too few or too many values, or a
+    stray quote; without it they are taken as far as they go.
     """
-    fields = [T.StructField(h, T.StringType()) for h in headers]
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
-    if keep_corrupt or unreadable:
-        fields.append(T.StructField(CORRUPT, T.StringType()))
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    rows = reader.option("enforceSchema", False).schema(T.StructType(fields)).csv(path)
-    return parted(rows, unreadable) if unreadable else rows
+    report = Quoted(spark, path, headers)
+    loose = report.check_headers()
+    corrupt = F.lit(None).cast("string").alias(CORRUPT)
+    rows = report.plain()
+    if loose:
+        lines = landed_once(report.numbered(), "loose")
+        runs = landed_once(report.taken(report.runs(lines)), "runs")
+        rows = rows.union(runs.select("text"))
+    rows = rows.select(report.values(F.col("text")).alias("_v"), corrupt)
+    if loose:
+        faulty = report.rejected(lines, runs).select(report.values(F.col("text")).alias("_v"), F.col("text").alias(CORRUPT))
+        if unreadable:
+            unreadable(landed_once(faulty.select("_v.*", CORRUPT), "faulty"))
+        else:
+            rows = rows.union(faulty)
+    return rows.select("_v.*", CORRUPT) if keep_corrupt else rows.select("_v.*")
 
 
 POSITIONAL_PAGE = "rows array<array<string>>"

@@ -2,12 +2,14 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from spendloom.operators import reshape
 from spendloom.sources.pages import read_array, read_documents, read_pages
+from spendloom.sources.quoted import Quoted
 from spendloom.sources.tabular import POSITIONAL_PAGE, read_csv_report, read_table, rows_to_columns
 
 RECORD = "id bigint, name string"
@@ -97,6 +99,86 @@ def test_csv_report(spark, tmp_path, values):
     assert values(got) == [("2018-01-01", "5%", "1"), ("2018-01-02", "1,000%", 'say "hi"')]
 
 
+HEADERS = ("day", "ad", "text")
+#: Records and lines that are none, each with what it stands for.
+CSV_LINES = [
+    ("2018-01-01,1,plain", ("2018-01-01", "1", "plain")),
+    ('2018-01-02,2,"two\nlines, ""quoted"""', ("2018-01-02", "2", 'two\nlines, "quoted"')),
+    ('2018-01-03,3,"a stray quote', None),
+    ("2018-01-04,4,", ("2018-01-04", "4", None)),
+    ('2018-01-05,5,5" pipe', ("2018-01-05", "5", '5" pipe')),
+    ("too,few", None),
+    ('"a\n\nb","c\nd","e\nf"', ("a\n\nb", "c\nd", "e\nf")),
+    ('x,"y\nz",w', ("x", "y\nz", "w")),
+    ("one,too,many,values", None),
+    ('"q","r","s"', ("q", "r", "s")),
+    ('2018-01-06,"un\nclosed', None),
+]
+
+
+def csv_text(records):
+    return "\n".join([",".join(HEADERS), *records]) + "\n"
+
+
+@pytest.mark.parametrize("size", [1 << 20, 64, 200])
+def test_quoted_records_in_ranges(spark, tmp_path, values, size):
+    """Whatever the ranges, records that span lines are whole, and a stray quote costs its own line."""
+    random.seed(size)
+    want, faulty = [], []
+    for name in ("a", "b"):
+        some = [random.choice(CSV_LINES[:10]) for _ in range(120)] + [CSV_LINES[0], CSV_LINES[10]]
+        put(tmp_path, f"{name}.csv", csv_text([text for text, _ in some]))
+        want += [row for _, row in some if row]
+        faulty += [line for text, row in some if not row for line in text.split("\n")]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        found = []
+        got = read_csv_report(spark, str(tmp_path), HEADERS, unreadable=lambda df: found.extend(df.collect()))
+        assert size > 1 << 16 or got.rdd.getNumPartitions() > 8
+        assert values(got) == sorted(want, key=lambda r: [(v is not None, str(v)) for v in r])
+        assert sorted(r["_corrupt_record"] for r in found) == sorted(faulty)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_stray_quote_costs_one_record(spark, tmp_path, values):
+    lines = [f"2018-01-{n:02},{n},text" for n in range(1, 12)]
+    lines[1] = '2018-01-02,2,"open'
+    put(tmp_path, "1.csv", csv_text(lines))
+    found = []
+    got = read_csv_report(spark, str(tmp_path), HEADERS, unreadable=lambda df: found.extend(df.collect()))
+    assert sorted(int(r.ad) for r in got.collect()) == [n for n in range(1, 12) if n != 2]
+    assert [r["_corrupt_record"] for r in found] == [lines[1]]
+    # Without a table for rejects the line is taken as far as it goes.
+    assert read_csv_report(spark, str(tmp_path), HEADERS).count() == 11
+
+
+def test_a_chain_of_records_that_span_lines(spark, tmp_path, values):
+    """Every line is loose, and each may end a record or start one."""
+    records = [f'{n},"a\nb",{n}' for n in range(500)]
+    put(tmp_path, "1.csv", csv_text(records))
+    got = read_csv_report(spark, str(tmp_path), HEADERS, unreadable=lambda df: None)
+    assert sorted(values(got), key=lambda r: int(r[0])) == [(str(n), "a\nb", str(n)) for n in range(500)]
+
+
+def test_too_long_runs_are_stray_quotes(spark, tmp_path):
+    put(tmp_path, "1.csv", csv_text(['1,2,"' + "\n".join(["x" * 50] * 10) + '"', "3,4,5"]))
+    report = Quoted(spark, str(tmp_path), HEADERS, longest=100)
+    assert report.check_headers() == 10
+    loose = report.numbered()
+    assert report.runs(loose).count() == 0
+    assert report.rejected(loose, report.taken(report.runs(loose))).count() == 10
+
+
+def test_empty_and_missing_values(spark, tmp_path, values):
+    put(tmp_path, "1.csv", csv_text(['a,"",c', ",,", "", "x,y,z"]))
+    put(tmp_path, "2.csv", "")
+    put(tmp_path, "3.csv", csv_text([]))
+    got = read_csv_report(spark, str(tmp_path), HEADERS)
+    assert values(got) == [(None, None, None), ("a", None, "c"), ("x", "y", "z")]
+
+
 def test_csv_columns_that_moved_fail(spark, tmp_path):
     put(tmp_path, "1.csv", "b,a\n1,2\n")
     with pytest.raises(Exception, match="header"):
