@@ -4,10 +4,17 @@ A table is a folder of version folders.  Spark's job commit leaves a
 ``_SUCCESS`` file last, so the newest version that has one is the current
 content; a replacement that fails half-way is never seen by readers.
 
-A table in buckets writes only the buckets that change into a new version.  Its
-manifest, renamed into place last, lists the folders of every bucket, older
-versions' ones included: that rename is the switch.  Until then, and for readers
-that opened the table before, the old content stands whole.
+A table in buckets writes only what changes into a new version.  Its manifest,
+renamed into place last, lists the folders of every bucket, older versions' ones
+included: that rename is the switch.  Until then, and for readers that opened the
+table before, the old content stands whole.  Rows lie sorted by key, with Bloom
+filters of the keys, so that a merge finds the files that hold its batch's keys
+without reading the others, and writes these files anew; of a folder that lost
+some files the manifest lists the rest.  A bucket in many parts is written whole.
+
+Writers take a version number of their own by creating a file that must be new.
+A version follows the one that was current when its writer began, and only one
+can: the second of two writers at a time fails, and the first one's rows stay.
 """
 
 from __future__ import annotations
@@ -16,7 +23,10 @@ import json
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import reduce
+from operator import and_
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,19 +92,29 @@ def landed_once(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-MANIFEST = "_MANIFEST"
+MANIFEST, CLAIM, NEXT = "_MANIFEST", "_CLAIM", "_NEXT"
+#: Batches of so many keys are looked up in the files' filters.
+LOOKUP_KEYS = 1000
+#: A bucket in more parts is written whole by the next merge.
+MOST_PARTS = 16
+
+
+class Conflict(RuntimeError):
+    """Another writer changed the table meanwhile."""
 
 
 class Table:
     """``buckets`` matters for contracts with ``bucket_by``: it stays the same for the life
     of a table and should make a bucket a few files, thousands for a large table.
+    ``file_rows`` bounds the rows of a file.
     """
 
-    def __init__(self, spark: SparkSession, path: str, contract: Contract, buckets: int = 16):
+    def __init__(self, spark: SparkSession, path: str, contract: Contract, buckets: int = 16, file_rows: int = 1_000_000):
         self.spark = spark
         self.path = path.rstrip("/")
         self.contract = contract
         self.buckets = buckets
+        self.file_rows = file_rows
 
     @property
     def _bucket_column(self) -> str:
@@ -120,6 +140,32 @@ class Table:
     def _folder(self, version: int) -> str:
         return f"{self.path}/v{version}"
 
+    def _place(self, name: str):
+        """A path below the table, and its file system."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _new_version(self) -> int:
+        """A number that no other writer has, above all there are."""
+        taken = [int(n[1:]) for n in self._names(f"{self.path}/v*")]
+        version = max(taken, default=0) + 1
+        while not self._created(f"v{version}/{CLAIM}"):
+            version += 1
+        return version
+
+    def _created(self, name: str, content: str = "") -> bool:
+        """Whether the file is new; creating it is atomic."""
+        path, fs = self._place(name)
+        try:
+            stream = fs.create(path, False)
+        except Py4JJavaError:
+            if not fs.exists(path):
+                raise
+            return False
+        stream.write(bytearray(content, "utf-8"))
+        stream.close()
+        return True
+
     def exists(self) -> bool:
         return bool(self._committed())
 
@@ -136,16 +182,15 @@ class Table:
         """Add rows to the current version; existing files stay as they are."""
         versions = self._committed()
         if self.contract.bucket_by:
-            before = self._manifest(versions[-1], same_layout=True) if versions else {}
-            version = versions[-1] + 1 if versions else 1
-            self._write(df, self._folder(version), "overwrite")
+            base = versions[-1] if versions else 0
+            before = self._manifest(base, same_layout=True) if versions else {}
+            version = self._new_version()
+            self._write(df, self._folder(version), "append")
             added = self._buckets_of(version)
-            self._switch(version, {b: before.get(b, []) + added.get(b, []) for b in {*before, *added}})
-        elif versions:
-            self._write(df, self._folder(versions[-1]), "append")
+            self._switch(version, {b: before.get(b, []) + added.get(b, []) for b in {*before, *added}}, base)
         else:
-            # What an unfinished first load left behind goes.
-            self._write(df, self._folder(1), "overwrite")
+            # What an unfinished first load left behind is not appended to.
+            self._write(df, self._folder(versions[-1] if versions else self._new_version()), "append")
 
     def append_nonempty(self, df: DataFrame) -> bool:
         """Add rows if there are any; says whether it did."""
@@ -156,11 +201,10 @@ class Table:
 
     def replace(self, df: DataFrame) -> None:
         """New content.  ``df`` may read the current version."""
-        versions = self._committed()
-        version = versions[-1] + 1 if versions else 1
-        self._write(df, self._folder(version), "overwrite")
+        versions, version = self._committed(), self._new_version()
+        self._write(df, self._folder(version), "append")
         if self.contract.bucket_by:
-            self._switch(version, self._buckets_of(version))
+            self._switch(version, self._buckets_of(version), versions[-1] if versions else 0)
 
     def partitions(self) -> list[str]:
         """Values of the partition column, from the folder names; rows without a value not included."""
@@ -195,15 +239,16 @@ class Table:
             raise ValueError(f"{self.path} is laid out as {content['layout']}, not {self._bucket_column}")
         return content["buckets"]
 
-    def _switch(self, version: int, buckets: dict[str, list[str]]) -> None:
-        """Make a version the current content."""
-        content = json.dumps({"layout": self._bucket_column, "buckets": buckets})
-        place = self.spark._jvm.org.apache.hadoop.fs.Path
-        draft, final = place(f"{self._folder(version)}/_draft"), place(f"{self._folder(version)}/{MANIFEST}")
-        fs = draft.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        stream = fs.create(draft, True)
-        stream.write(bytearray(content, "utf-8"))
-        stream.close()
+    def _switch(self, version: int, buckets: dict[str, list[str]], base: int) -> None:
+        """Make a version the current content, if the one it was made from (0: none) still is."""
+        content = json.dumps({"layout": self._bucket_column, "buckets": {b: f for b, f in buckets.items() if f}})
+        self._created(f"v{version}/_draft", content)
+        (draft, fs), (final, _) = self._place(f"v{version}/_draft"), self._place(f"v{version}/{MANIFEST}")
+        if self._committed()[-1:] != [base][: bool(base)]:
+            raise Conflict(f"{self.path} is no longer at version {base}")
+        following = f"v{base}/{NEXT}" if base else NEXT
+        if not self._created(following, str(version)):
+            raise Conflict(f"{self.path}: another version follows version {base}; if its writer has stopped, remove {following}")
         if not fs.rename(draft, final):
             raise OSError(f"{final} cannot be put in place")
 
@@ -225,7 +270,7 @@ class Table:
             self._write(df, folder, "overwrite", partitionOverwriteMode="dynamic")
 
     def merge_into(self, batch: DataFrame, merge: Callable[[DataFrame], DataFrame]) -> None:
-        """Rewrite the buckets the batch's keys fall in as ``merge(their stored rows)``.
+        """Rewrite the files that hold the batch's keys as ``merge(their stored rows)``.
 
         The merge must keep keys as they are.  A bucket that it leaves without rows
         is not listed any more.
@@ -237,11 +282,64 @@ class Table:
         touched = [row[0] for row in batch.select(self._bucket()).distinct().collect()]
         if not touched:
             return
-        before, version = self._manifest(versions[-1], same_layout=True), versions[-1] + 1
-        stored = self._read_folders([f for b in touched for f in before.get(str(b), [])])
-        self._write(merge(stored), self._folder(version), "overwrite", touched)
-        untouched = {b: folders for b, folders in before.items() if int(b) not in touched}
-        self._switch(version, untouched | self._buckets_of(version))
+        base = versions[-1]
+        before, version = self._manifest(base, same_layout=True), self._new_version()
+        held = self._holding(batch, {str(b): before.get(str(b), []) for b in touched})
+        stored = self._read_folders([f"{folder}/{file}" for folder, files in held.items() for file in files])
+        self._write(merge(stored), self._folder(version), "append", touched)
+        added = self._buckets_of(version)
+        after = {b: self._left(parts, held) if int(b) in touched else parts for b, parts in before.items()}
+        self._switch(version, {b: after.get(b, []) + added.get(b, []) for b in {*after, *added}}, base)
+
+    def _holding(self, batch: DataFrame, parts: dict[str, list[str]]) -> dict[str, list[str]]:
+        """Files, by folder, of the buckets that have rows of the batch's keys; all files of a bucket in many parts."""
+        found: dict[str, set[str]] = {}
+        many = [p for listed in parts.values() if len(listed) > MOST_PARTS for p in listed]
+        few = [p for listed in parts.values() if len(listed) <= MOST_PARTS for p in listed]
+        for part in many:
+            folder, file = self._folder_and_file(part)
+            found.setdefault(folder, set()).update([file] if file else self._names(f"{self.path}/{folder}/*.parquet"))
+        if few:
+            for (path,) in self.lookup(batch, few).distinct().collect():  # a row for each file at most
+                version, bucket, file = path.split("/")[-3:]
+                found.setdefault(f"{version}/{bucket}", set()).add(file)
+        return {folder: sorted(files) for folder, files in found.items()}
+
+    def lookup(self, batch: DataFrame, parts: list[str]) -> DataFrame:
+        """``file`` of the stored rows, in these parts, that have a key of the batch.
+
+        A few keys are pushed down to the scan, where the files' statistics and
+        Bloom filters rule most row groups out; more meet the key columns in a join.
+        """
+        keys = list(self.contract.bucket_by)
+        dtypes = {f.name: f.dtype for f in self.contract.fields}
+        wanted = batch.select(*[F.col(k).cast(dtypes[k]).alias(k) for k in keys]).filter(all_present(keys)).distinct()
+        rows = self.spark.read.schema(self.contract.schema).parquet(*[f"{self.path}/{p}" for p in parts])
+        rows = rows.select(*keys, F.col("_metadata.file_path").alias("file"))
+        some = wanted.limit(LOOKUP_KEYS + 1).collect()
+        if len(some) > LOOKUP_KEYS:
+            return rows.join(wanted, keys, "left_semi").select("file")
+        return rows.filter(_any([_all([F.col(k) == F.lit(row[k]).cast(dtypes[k]) for k in keys]) for row in some])).select("file")
+
+    @staticmethod
+    def _folder_and_file(part: str) -> tuple[str, str | None]:
+        """A part is a bucket's folder in a version, or one file of it."""
+        version, bucket, *file = part.split("/")
+        return f"{version}/{bucket}", file[0] if file else None
+
+    def _left(self, parts: list[str], held: dict[str, list[str]]) -> list[str]:
+        """What stays of a bucket's parts without the files that were rewritten."""
+        left = []
+        for part in parts:
+            folder, file = self._folder_and_file(part)
+            gone = held.get(folder, [])
+            if file:
+                left += [part] if file not in gone else []
+            elif gone:
+                left += [f"{folder}/{f}" for f in self._names(f"{self.path}/{folder}/*.parquet") if f not in gone]
+            else:
+                left.append(part)
+        return left
 
     def truncate(self) -> None:
         self.replace(self.contract.empty(self.spark))
@@ -253,7 +351,8 @@ class Table:
             for version in versions[:-keep]:
                 self._drop(self._folder(version))
             return
-        used = {f for v in versions[-keep:] for folders in self._manifest(v).values() for f in folders}
+        parts = [p for v in versions[-keep:] for listed in self._manifest(v).values() for p in listed]
+        used = {self._folder_and_file(p)[0] for p in parts}
         for version in versions[:-keep]:
             self._drop(f"{self._folder(version)}/{MANIFEST}")
             own = [f for folders in self._buckets_of(version).values() for f in folders]
@@ -292,5 +391,23 @@ class Table:
             # One day or bucket may hold a large share of the rows: rebalancing
             # splits large ones over tasks and gathers small ones into whole files.
             typed = typed.hint("rebalance", *parts)
+        if self.contract.bucket_by:
+            typed = typed.sortWithinPartitions(*parts, *self.contract.bucket_by)
+            options |= {"maxRecordsPerFile": str(self.file_rows)}
+            options |= {f"parquet.bloom.filter.enabled#{k}": "true" for k in self.contract.bucket_by}
         writer = typed.write.mode(mode).options(**options)
         (writer.partitionBy(*parts) if parts else writer).parquet(folder)
+
+
+def _any(tests: list[Column]) -> Column:
+    """Whether any test holds, as a balanced tree."""
+    if not tests:
+        return F.lit(False)
+    if len(tests) == 1:
+        return tests[0]
+    half = len(tests) // 2
+    return _any(tests[:half]) | _any(tests[half:])
+
+
+def _all(tests: list[Column]) -> Column:
+    return reduce(and_, tests)

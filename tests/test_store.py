@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from spendloom import session
+from spendloom import session, store
 from spendloom.contracts import Contract, day, text, whole
 from spendloom.operators.merge import replace_by_key
 from spendloom.session import scratch_path
@@ -263,3 +263,104 @@ def test_append_to_a_table_in_buckets(keyed, make):
     assert ids(keyed) == [1, 1, 2, 3]
     keyed.merge_into(rows(make, 1), lambda stored: stored.filter(F.col("ID") != 1))
     assert ids(keyed) == [2, 3]
+
+
+# --- files of a bucket ------------------------------------------------------------------
+
+
+@pytest.fixture
+def many(spark):
+    """40 000 rows in 4 buckets, in files of 500 rows."""
+    table = Table(spark, scratch_path(spark, "many"), KEYED, buckets=4, file_rows=500)
+    table.replace(spark.range(40_000).selectExpr("id AS ID", "concat('n', id) AS NAME"))
+    return table
+
+
+def scanned(df):
+    """Rows that the plan's scan gives."""
+    df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return leaf.metrics().apply("numOutputRows").value()
+
+
+def test_rows_read_follow_the_batch(many, make):
+    parts = [p for listed in many._manifest(many._committed()[-1]).values() for p in listed]
+    read = {}
+    for n in (1, 5, 20):
+        batch = make([(i * 1009, "x") for i in range(n)], "ID int, NAME string")
+        read[n] = scanned(many.lookup(batch, parts))
+        assert many.lookup(batch, parts).distinct().count() <= n
+    assert 0 < read[1] <= 1000 and read[5] <= 5 * 1000 and read[20] <= 20 * 1000
+    assert scanned(many.lookup(make([(50_000, "x"), (-3, "y")], "ID int, NAME string"), parts)) <= 500
+
+
+def test_merge_rewrites_only_the_files_of_the_batch(many, make):
+    before = files(many)
+    got = upsert(many, make, (17, "new"), (39_999, "more"), (40_000, "added"))
+    assert len(got) == 40_001 and {(17, "new"), (39_999, "more"), (40_000, "added")} <= set(got)
+    assert len(before - files(many)) == 2 and len(before) > 80
+    # Files of a bucket that lost some are found and rewritten like folders.
+    upsert(many, make, (17, "newer"), (18, "b"))
+    got = dict(upsert(many, make, (40_000, "again"), (39_999, "more2")))
+    assert got[17] == "newer" and got[18] == "b" and got[40_000] == "again" and got[39_999] == "more2" and len(got) == 40_001
+    many.prune(keep=1)
+    assert dict(upsert(many, make, (16, "c")))[17] == "newer"
+
+
+def test_a_batch_of_many_keys(many, make, monkeypatch):
+    monkeypatch.setattr(store, "LOOKUP_KEYS", 3)
+    got = dict(upsert(many, make, *[(i, "new") for i in range(0, 40_000, 4000)]))
+    assert [i for i, name in sorted(got.items()) if name == "new"] == list(range(0, 40_000, 4000)) and len(got) == 40_000
+
+
+def test_a_bucket_in_many_parts_is_written_whole(keyed, make, monkeypatch):
+    monkeypatch.setattr(store, "MOST_PARTS", 3)
+    for i in range(40):
+        keyed.append(rows(make, i))
+    upsert(keyed, make, *[(i, "last") for i in range(100, 140)])
+    listed = keyed._manifest(keyed._committed()[-1])
+    assert all(len(parts) <= 4 for parts in listed.values())
+    assert len(keyed.read().collect()) == 80
+
+
+# --- two writers ------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("first", ["merge", "append", "replace"])
+def test_the_second_of_two_writers_fails(spark, keyed, make, first):
+    keyed.replace(rows(make, *range(30)))
+    other = Table(spark, keyed.path, KEYED, buckets=8)
+
+    def meanwhile(stored):
+        if first == "merge":
+            other.merge_into(rows(make, 5), lambda s: s.filter(F.col("ID") != 5))
+        elif first == "append":
+            other.append(rows(make, 50))
+        else:
+            other.replace(rows(make, 7))
+        return stored.filter(F.col("ID") != 3).unionByName(rows(make, 3))
+
+    with pytest.raises(store.Conflict):
+        keyed.merge_into(rows(make, 3), meanwhile)
+    want = {"merge": [i for i in range(30) if i != 5], "append": [*range(30), 50], "replace": [7]}[first]
+    assert ids(keyed) == ids(other) == want
+    keyed.merge_into(rows(make, 3), lambda stored: stored.unionByName(rows(make, 3)) if first == "replace" else stored)
+    assert ids(keyed) == sorted({*want, 3})
+
+
+def test_a_version_number_is_taken_once(keyed, make):
+    keyed.replace(rows(make, 1))
+    assert keyed._new_version() != keyed._new_version()
+    # What the writers that stopped left behind is not seen.
+    keyed.append(rows(make, 2))
+    assert ids(keyed) == [1, 2]
+
+
+def test_two_writers_at_the_switch(keyed, make):
+    """Both have seen the same current version; only one file can name the next."""
+    keyed.replace(rows(make, 1))
+    base = keyed._committed()[-1]
+    assert keyed._created(f"v{base}/{store.NEXT}")
+    with pytest.raises(store.Conflict, match="remove"):
+        keyed.append(rows(make, 2))
+    assert ids(keyed) == [1]
