@@ -71,6 +71,42 @@ def left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return matched.unionByName(rest, allowMissingColumns=True)
 
 
+#: Most keys that a sketch may call hot.
+MOST_HOT = 1024
+
+
+def hot_values(df: DataFrame, key: str, spread: int) -> DataFrame:
+    """Values that more than one in ``spread`` rows has, and over how many salts to deal them: ``key, _salts``.
+
+    A heavy-hitter sketch finds them, in one pass that shuffles a sketch for each
+    task; at most ``MOST_HOT`` values come out.
+    """
+    most = min(spread, MOST_HOT)
+    sketch = df.agg(F.expr(f"approx_top_k(`{key}`, {most}, {10 * most})").alias("_top"), F.count(F.lit(1)).alias("_n"))
+    each = sketch.select("_n", F.explode("_top").alias("_t"))
+    salts = F.ceil(F.col("_t.count") * spread / F.col("_n")).cast("int").alias("_salts")
+    return each.select(F.col("_t.item").alias(key), salts).filter(F.col(key).isNotNull() & (F.col("_salts") > 1))
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, key: str, sample: DataFrame | None = None) -> DataFrame:
+    """Left join in which a hot key of the right side is dealt over many tasks.
+
+    AQE can't split the right side of a left join.  So rows of hot keys get a
+    salt there, and a left row of such a key meets every salt; of its rows without
+    a match, which other salts have, none is kept, as a hot key has a match.  The
+    keys are found when the join runs; ``sample`` is where, if not in ``right``.
+    """
+    spark = left.sparkSession
+    spread = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Bounded by MOST_HOT rows.
+    hot = F.broadcast(hot_values(right if sample is None else sample, key, spread))
+    number = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in right.columns]), F.coalesce("_salts", F.lit(1))).cast("int")
+    dealt = right.join(hot, key, "left").withColumn("_salt", number).drop("_salts").withColumn("_hit", F.lit(True))
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    joined = left.join(hot, key, "left").withColumn("_salt", every).join(dealt, [key, "_salt"], "left")
+    return joined.filter("_salts IS NULL OR _hit").drop("_salts", "_salt", "_hit")
+
+
 def matching_list(df: DataFrame, key: Column, ids: DataFrame, id_key: Column) -> DataFrame:
     """Rows whose (computed) key is in an id list, each once."""
     wanted = ids.select(id_key.alias("_id")).distinct()

@@ -9,7 +9,7 @@ from spendloom.contracts import Contract, day, number, text, whole
 from spendloom.functions.lookups import program_name
 from spendloom.functions.numbers import safe_ratio
 from spendloom.functions.text import leading
-from spendloom.operators.joins import spread_key
+from spendloom.operators.joins import salted_left_join, spread_key
 from spendloom.operators.reshape import union_branches
 
 Tables = dict[str, DataFrame]
@@ -189,7 +189,7 @@ def contacts_with_survey(tables: Tables) -> DataFrame:
     shuffled once and the answers are read once.  Answers are made distinct per
     email beforehand: the result is distinct, so repeated answers from one
     address need never reach the join.  Contacts without an email spread over
-    all tasks.
+    all tasks, and so do answers of an address that has a large share of them.
     """
     contacts = tables["HUBSPOT_CONTACTS"].select(
         *[F.upper(c).alias(c) if c in ("EMAIL", "CU_EMAIL") else F.col(c) for c in SURVEY_CONTACT_COLUMNS]
@@ -201,9 +201,8 @@ def contacts_with_survey(tables: Tables) -> DataFrame:
         tables["ASK_NICELY_RESPONSES"]
         .filter(F.col("EMAIL").isNotNull())
         .select(F.concat(F.lit("+"), F.upper("EMAIL")).alias("_key"), *SURVEY_ANSWER_COLUMNS)
-        .distinct()
     )
-    joined = lookups.join(answers, "_key", "left")
+    joined = salted_left_join(lookups, answers.distinct(), "_key", sample=answers.select("_key"))
     return joined.select(*SURVEY_CONTACT_COLUMNS, *SURVEY_ANSWER_COLUMNS).distinct()
 
 

@@ -94,11 +94,43 @@ def test_survey_view_reads_each_table_once(spark, sf_dir, no_broadcast):
         {"HUBSPOT_CONTACTS": domain.contacts(spark, sf_dir), "ASK_NICELY_RESPONSES": domain.responses(spark, sf_dir)}
     )
     text = plan(df)
-    assert text.count("FileScan") == 2
+    # Contacts, answers, and for either side the sketch of the answers' addresses, which runs once.
+    assert text.count("FileScan") == 4
+    df.collect()
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
     # Answers: distinct and join; contacts: join; result: distinct.
     assert text.count("Exchange hashpartitioning") == 4
 
 
+def test_a_hot_answer_key_is_dealt_out(spark, no_broadcast):
+    """One address has a third of the answers: no task of the join has three times the rows of the median one."""
+    n = 120_000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ids = spark.range(0, n, 1, 8)
+        right = ids.select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 9000)).alias("k"), "id")
+        left = spark.range(12_000).select(F.concat(F.lit("k"), "id").alias("k")).union(spark.range(1).select(F.lit("hot"))).withColumn("c", F.lit(1))
+        joined = joins.salted_left_join(left, right, "k")
+        found = joined.groupBy("k").agg(F.count("id").alias("n"), F.count("*").alias("all")).collect()
+        assert {r.k: (r.n, r["all"]) for r in found if r.k == "hot"} == {"hot": (n // 3, n // 3)}
+        assert sum(r.n for r in found) == sum(1 for i in range(n) if i % 3) * 1 + n // 3
+        assert sum(1 for r in found if r.n == 0 and r["all"] == 1) == 12_000 - len({i % 9000 for i in range(n) if i % 3})
+        tasks = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        assert tasks[-1] <= 3 * tasks[len(tasks) // 2]
+        plain = left.join(right, "k", "left").groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in plain) > 3 * sorted(r["count"] for r in plain)[len(plain) // 2]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_salted_join_without_answers(spark):
+    none = spark.createDataFrame([], "k string, id bigint")
+    left = spark.createDataFrame([("a", 1), (None, 2)], "k string, c int")
+    assert sorted(r.c for r in joins.salted_left_join(left, none, "k").collect()) == [1, 2]
+    some = spark.createDataFrame([("a", i) for i in range(50)] + [(None, 7)], "k string, id bigint")
+    assert len(joins.salted_left_join(left, some, "k").collect()) == 51
+
+
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_a_hot_key_and_missing_keys(spark, request, broadcast):
     """A third of the batch shares one key, a third has none."""
