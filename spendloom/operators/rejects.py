@@ -39,15 +39,19 @@ def failures(df: DataFrame, when, step, message) -> DataFrame:
     return df.select(when.cast("timestamp").alias("ETL_DATE"), step.alias("FILE_NAME"), message.alias("ERROR_MSG"))
 
 
-def unreadable_to(rejects: Table | None) -> Callable[[DataFrame], None]:
-    """What becomes of input that the reader could not parse: it is appended to the rejects, or stops a load without any."""
+def unreadable_to(rejects: Table | None) -> Callable[[DataFrame], int]:
+    """What becomes of input that the reader could not parse: it is appended to the rejects, or stops a load without any.
 
-    def keep(rows: DataFrame) -> None:
+    The handler says how many rows it kept.
+    """
+
+    def keep(rows: DataFrame) -> int:
         bad = split_unreadable(rows)[1]
         if rejects is not None:
-            rejects.append_nonempty(bad)
-        elif not bad.isEmpty():
+            return rejects.append_nonempty(bad)
+        if not bad.isEmpty():
             raise ValueError("unreadable input, and no table for rejects")
+        return 0
 
     return keep
 

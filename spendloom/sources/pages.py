@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendloom.store import landed_once
+from spendloom.tallies import Counted, Tally, keep
 
 CORRUPT = "_corrupt_record"
 # Text of a record that can't be parsed, beside its fields.
 RAW = "_raw_record"
 
-# Takes all rows read, with the corrupt column.
-Unreadable = Callable[[DataFrame], None]
+# Takes all rows read, with the corrupt column; may say how many of them it kept as rejects.
+Unreadable = Callable[[DataFrame], int | None]
 
 
 def read_documents(
@@ -49,11 +50,15 @@ def read_documents(
 
 def parted(rows: DataFrame, unreadable: Unreadable) -> DataFrame:
     """The parsed rows; the others are handed over.  The input is parsed once for both."""
-    return _handed_over(landed_once(rows, "landed"), unreadable)
+    seen = Counted(rows, landed=F.count(F.lit(1)), good=F.count_if(F.col(CORRUPT).isNull()))
+    landed = landed_once(seen.rows, "landed")
+    return _handed_over(landed, unreadable, seen.count("landed"), seen.count("good"))
 
 
-def _handed_over(landed: DataFrame, unreadable: Unreadable) -> DataFrame:
-    unreadable(landed)
+def _handed_over(landed: DataFrame, unreadable: Unreadable, rows: int, good: int) -> DataFrame:
+    rejected = unreadable(landed)
+    if rejected is not None:
+        keep(Tally("read", rows, good, rejected))
     return landed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
@@ -63,11 +68,15 @@ def read_array(
     """Elements of a root-level array; ``unreadable`` is handed the elements that can't be parsed, or a whole text that isn't an array."""
     if unreadable is None:
         return read_documents(spark, path, record, multi_line)
-    landed = landed_once(read_documents(spark, path, record, multi_line, keep_corrupt=True), "landed")
-    torn = landed.filter(F.col(CORRUPT).isNotNull())
-    if not torn.isEmpty():
-        landed = landed.filter(F.col(CORRUPT).isNull()).unionByName(landed_once(_torn_elements(torn, record), "torn"))
-    return _handed_over(landed, unreadable)
+    counts = {"landed": F.count(F.lit(1)), "good": F.count_if(F.col(CORRUPT).isNull())}
+    seen = Counted(read_documents(spark, path, record, multi_line, keep_corrupt=True), **counts)
+    landed = landed_once(seen.rows, "landed")
+    rows, good = seen.count("landed"), seen.count("good")
+    if rows > good:
+        again = Counted(_torn_elements(landed.filter(F.col(CORRUPT).isNotNull()), record), **counts)
+        landed = landed.filter(F.col(CORRUPT).isNull()).unionByName(landed_once(again.rows, "torn"))
+        rows, good = good + again.count("landed"), good + again.count("good")
+    return _handed_over(landed, unreadable, rows, good)
 
 
 def _torn_elements(torn: DataFrame, record: str) -> DataFrame:

@@ -30,9 +30,12 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendloom import tallies
 from spendloom.contracts import Checked, Contract
+from spendloom.contracts.contract import ERRORS
 from spendloom.operators.joins import all_present
 from spendloom.session import scratch_path
+from spendloom.tallies import Counted
 
 # Folder name Spark gives to rows whose partition column is NULL.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
@@ -192,12 +195,13 @@ class Table:
             # What an unfinished first load left behind is not appended to.
             self._write(df, self._folder(versions[-1] if versions else self._new_version()), "append")
 
-    def append_nonempty(self, df: DataFrame) -> bool:
-        """Add rows if there are any; says whether it did."""
+    def append_nonempty(self, df: DataFrame) -> int:
+        """Add rows if there are any; says how many."""
         if df.isEmpty():
-            return False
-        self.append(df)
-        return True
+            return 0
+        seen = Counted(df, n=F.count(F.lit(1)))
+        self.append(seen.rows)
+        return seen.count("n")
 
     def replace(self, df: DataFrame) -> None:
         """New content.  ``df`` may read the current version."""
@@ -368,12 +372,17 @@ class Table:
     def stage(self, batch: Checked, rejects: Table) -> None:
         """Replace the content by a checked batch, and append its rejects if there are any.
 
-        The batch is written as it was checked, so its source is read once.
+        The batch is written as it was checked, so its source is read once.  What
+        was checked, stored, rejected and left out is counted on the way.
         """
-        with kept(batch.tagged, self.contract.name.lower()) as rows:
+        landed = Counted(batch.tagged, n=F.count(F.lit(1)), good=F.count_if(F.col(ERRORS) == ""))
+        with kept(landed.rows, self.contract.name.lower()) as rows:
             checked = batch.over(rows)
-            self.replace(checked.good)
-            rejects.append_nonempty(checked.bad)
+            stored = Counted(checked.good, n=F.count(F.lit(1)))
+            self.replace(stored.rows)
+            rejected, loaded = rejects.append_nonempty(checked.bad), stored.count("n")
+        outside = landed.count("good") - loaded
+        tallies.keep(tallies.Tally(self.contract.name, landed.count("n"), loaded, rejected, outside))
 
     def _write(
         self, df: DataFrame, folder: str, mode: str, only: list[int] | None = None, **options: str

@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from spendloom import tallies
 from spendloom.contracts import tables as t
 from spendloom.plans.loads import (
     adwords,
@@ -410,6 +411,21 @@ def test_records_with_values_of_another_type_are_rejected(spark, tmp_path):
     assert stored.read().count() == 199
 
 
+def test_counts_of_a_load_balance(spark, tmp_path, caplog):
+    days = ["2018-09-20", "2018-09-21", "2018-01-01", "soon"]
+    records = [{"ad_id": str(i), "date_start": d, "clicks": "1"} for i, d in enumerate(days * 3)]
+    (tmp_path / "a.json").write_text(json.dumps({"data": [*records, 7]}))
+    (tmp_path / "b.json").write_text(CUT_OFF)
+    rejects = table_of(spark, t.ERROR_TABLE)
+    with caplog.at_level("INFO", "spendloom.loads"), tallies.collected() as found:
+        facebook.run(spark, str(tmp_path), table_of(spark, t.STG_FACEBOOK_ADS_0818), table_of(spark, t.FACEBOOK_ADS), rejects, "2018-09-26")
+    read, staged = found
+    assert (read.landed, read.loaded, read.rejected) == (14, 12, 2)
+    assert (staged.landed, staged.loaded, staged.rejected, staged.outside) == (12, 6, 3, 3)
+    assert read.balanced and staged.balanced and not tallies.Tally("x", 3, 1, 1).balanced
+    assert "12 landed, 6 loaded, 3 rejected, 3 outside" in caplog.text and rejects.read().count() == 5
+
+
 def test_nothing_that_a_load_parsed_is_left_behind(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"objects": [{"id": 1}, {"id": "two"}]}))
     before = set(os.listdir(f"{scratch_root(spark)}/spendloom"))
