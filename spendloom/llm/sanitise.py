@@ -8,7 +8,9 @@ than chance is generalised from ``GENERALISE`` on and removed from ``REMOVE`` on
 
 Chance is a binomial test: of the m unlike texts with e, k or more have t although each has it only as often as any
 document.  Chernoff's bound of that must be below ``ALPHA`` over the number of pairs that can be tested at all.  An entity
-or a term of one text is no such pair: each word that occurs once would disclose whatever stands in its text.
+or a term of one text is no such pair: each word that occurs once would disclose whatever stands in its text.  Near copies
+are one text here: texts with entities whose sets of words agree in a band of min-hashes, or are linked by others that do,
+have one vote together.
 
 Expressions and joins only.  Patterns are written so that Java's engine neither recurses nor scans a run twice:
 possessive, and starting where a run starts (``\\G`` allows the rest of a run after a match).
@@ -23,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendloom.llm.common import fresh, pick, written
+from spendloom.llm.stars import components
 
 #: In the order of the digest; the method's own kind comes last.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -34,12 +37,15 @@ PATTERNS = {
 }
 #: What a text must have for the pattern to match at all; cheaper to look for.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][ -]?){12}", "phone": r"\+[0-9]"}
+LETTER = r"[\p{L}\p{M}\p{N}]"
 TERM = r"[\p{L}\p{M}\p{N}]++"
 BETWEEN = r"[^\p{L}\p{M}\p{N}]++"
 ALPHA = 0.05
 GENERALISE = 0.5
 REMOVE = 0.8
 BLOCK = 256
+#: Min-hashes of a text's words: texts that agree in all rows of a band are near copies.
+BANDS, ROWS = 4, 6
 
 SPAN = "struct<start:bigint,kind:int,end:bigint,value:string>"
 
@@ -63,9 +69,9 @@ def running(lengths: Column) -> Column:
     return F.when(F.size(lengths) > 0, whole).otherwise(none)
 
 
-def matches(text: Column, pattern: str, kind: int, keep) -> Column:
+def matches(text: Column, pattern: str | Column, kind: int, keep) -> Column:
     """Spans of all matches for which ``keep(value)`` holds, in order."""
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    values = F.regexp_extract_all(text, F.lit(pattern) if isinstance(pattern, str) else pattern, F.lit(0))
     gaps = F.split(text, pattern, -1)
     both = F.arrays_zip(
         F.transform(F.slice(gaps, 1, F.greatest(F.size(gaps) - 1, F.lit(0))), lambda g: F.length(g).cast("bigint")).alias("gap"),
@@ -136,14 +142,32 @@ def vocabulary(text: Column, spans: Column) -> Column:
     return F.array_distinct(F.split(folded(outside(text, spans)), BETWEEN))
 
 
+def _classes(texts: DataFrame) -> DataFrame:
+    """``digest, class`` of texts (``digest, words``): one class for near copies and what links them (written)."""
+
+    def least_hash(i: int) -> Column:
+        return F.array_min(F.transform("words", lambda w: F.xxhash64(w, F.lit(i)))).alias(f"h{i}")
+
+    bands = [F.struct(F.lit(b).alias("band"), F.xxhash64(*[f"h{b * ROWS + r}" for r in range(ROWS)]).alias("hash")) for b in range(BANDS)]
+    hashed = texts.dropDuplicates(["digest"]).select("digest", *[least_hash(i) for i in range(BANDS * ROWS)])
+    dealt = written(hashed.select("digest", F.explode(F.array(*bands)).alias("at")).select("digest", "at.*"), "bands")
+    # Each text is linked to the least of its band, so links are as many as texts.
+    firsts = dealt.groupBy("band", "hash").agg(F.min("digest").alias("b"), F.max("digest").alias("most")).where("b != most")
+    links = dealt.join(firsts, ["band", "hash"]).select(F.col("digest").alias("a"), "b")
+    reached = components(links).withColumnRenamed("node", "digest")
+    own = texts.select("digest").distinct().join(reached, "digest", "left")
+    return written(own.select("digest", F.coalesce("component", "digest").alias("class")), "classes")
+
+
 def _risky(rows: DataFrame, found: DataFrame, alpha: float) -> DataFrame:
     """``term, deed`` of the terms that disclose an entity (written); ``rows`` has a row for each text and word of it."""
     texts = found.where("size(base) > 0").select(
         "doc_id", "digest", F.explode(F.array_distinct(F.transform("base", lambda b: F.concat_ws(":", b["kind"].cast("string"), F.lower(b["value"]))))).alias("entity")
     )
     # Counts are of documents; tests are of unlike texts, so that copies prove nothing.
-    held = written(texts.groupBy("entity", "digest").agg(F.count("*").alias("copies")), "entities-held")
-    entities = held.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count("*").alias("m")).where("m > 1")
+    held = texts.groupBy("entity", "digest").agg(F.count("*").alias("copies"))
+    held = written(held.join(_classes(found.where("size(base) > 0").select("digest", "words")), "digest"), "entities-held")
+    entities = held.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.countDistinct("class").alias("m")).where("m > 1")
     entities = written(entities, "entities-tested")
     documents, tested = found.count(), entities.agg(F.count("*"), F.max("n_e")).first()
     n, (n_entities, most) = float(documents), tested
@@ -161,7 +185,7 @@ def _risky(rows: DataFrame, found: DataFrame, alpha: float) -> DataFrame:
         words.join(held, "digest")
         .where(F.col("n_t") <= n * F.pow(F.col("n_e") / n, F.lit(GENERALISE)) + 1)
         .groupBy("entity", "term")
-        .agg(*[F.first(c).alias(c) for c in ("n_t", "n_e", "m")], F.sum("copies").alias("n_te"), F.count("*").alias("k"))
+        .agg(*[F.first(c).alias(c) for c in ("n_t", "n_e", "m")], F.sum("copies").alias("n_te"), F.countDistinct("class").alias("k"))
     )
     information = F.log(n / F.col("n_e"))
     shared = F.log(F.col("n_te") * n / (F.col("n_t") * F.col("n_e")))
@@ -178,6 +202,18 @@ def _risky(rows: DataFrame, found: DataFrame, alpha: float) -> DataFrame:
     return written(risky, "terms")
 
 
+def _told_spans(text: Column) -> Column:
+    """Spans of the text's words that are keys of ``deeds``."""
+    kind = KINDS.index("term")
+    keys = F.transform(F.map_keys("deeds"), lambda t: F.concat(F.lit("\\Q"), t, F.lit("\\E")))  # words have no backslash
+    pattern = F.concat(F.lit(f"(?<!{LETTER})(?:"), F.array_join(keys, "|"), F.lit(f")(?!{LETTER})"))
+    small = folded(text)
+    # Few words are told, so they alone are looked for; where folding moves places, each word is.
+    exact = matches(small, pattern, kind, lambda v: F.lit(True))
+    every = matches(text, TERM, kind, lambda v: F.map_contains_key("deeds", folded(v)))
+    return F.when(F.length(small) == F.length(text), exact).otherwise(every)
+
+
 def find(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """``doc_id, digest, spans`` of every row: base spans and terms, by start, then kind; digest is the text's (written).
 
@@ -191,6 +227,8 @@ def find(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
     # Outer, as a filter on the words' number would make them twice.
     words = rows.select("doc_id", "digest", F.explode_outer(vocabulary(F.col("text"), F.col("base"))).alias("term"))
     risky = _risky(words, found, alpha)
+    if risky.isEmpty():
+        return found.select("doc_id", "digest", F.col("base").alias("spans"))
     deeds = (
         words.join(risky, "term")
         .groupBy("doc_id", "digest").agg(F.map_from_entries(F.collect_set(F.struct("term", "deed"))).alias("deeds"))
@@ -198,10 +236,8 @@ def find(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
     )
     told = written(deeds, "texts-told")
     same = F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("digest") == F.col("d"))
-    term = KINDS.index("term")
     terms = F.transform(
-        matches(outside(F.col("text"), F.col("base")), TERM, term, lambda v: F.map_contains_key("deeds", folded(v))),
-        lambda x: x.withField("value", F.element_at("deeds", folded(x["value"]))),
+        _told_spans(outside(F.col("text"), F.col("base"))), lambda x: x.withField("value", F.element_at("deeds", folded(x["value"])))
     )
     marked = rows.join(told, same).select("k", "d", F.array_sort(F.concat("base", terms)).alias("spans"))
     marked = written(marked.dropDuplicates(["k", "d"]), "texts-marked")

@@ -3,6 +3,8 @@
 import collections
 import hashlib
 import html
+import math
+import random
 import re
 import zlib
 
@@ -217,9 +219,10 @@ def test_terms_that_disclose(make):
 
 
 def test_terms_far_from_their_entity(make):
-    far = " and".join(f" so{i}" for i in range(40))
-    rows = [(i, f"Bob x{i} 李明{far} ann@x.org, x.org") for i in range(2)] + [(2, f"today bob, or {far}"), (3, "seen: 李明")]
-    rows += [(10 + i, f"today it was y{i} {far}") for i in range(400)]
+    # Of other words each time: near copies would be one text.
+    far = ["".join(f" and so{k}x{i}" for i in range(40)) for k in range(4)]
+    rows = [(i, f"Bob x{i} 李明{far[i]} ann@x.org, x.org") for i in range(2)] + [(2, f"today bob, or {far[2]}"), (3, "seen: 李明")]
+    rows += [(10 + i, f"today it was y{i} {far[3]}") for i in range(400)]
     got = {r.doc_id: r for r in sanitise.find(make(rows, DOCS)).collect()}
     terms = {key: {text[s.start : s.end] for s in got[key].spans if s.kind == 4} for key, text in rows}
     assert {"Bob", "李明"} <= terms[0] == terms[1] and terms[2] == {"bob"} and terms[3] == {"李明"}
@@ -233,6 +236,65 @@ def test_copies_prove_no_term(make):
     assert not any(s.kind == 4 for r in sanitise.find(make(rows, DOCS)).collect() for s in r.spans)
 
 
+def test_near_copies_prove_no_term(make):
+    """Twenty near copies with one address, each with another reference number, leave the words of the others alone."""
+    rng = random.Random(3)
+    common = [f"w{i}" for i in range(300)]
+    said = "the wooden copper orchard garden report of last year was read again by all of them " + " ".join(rng.sample(common, 40))
+    rows = [(i, f"{said} ref {rng.randrange(1 << 30)} ann@x.org") for i in range(20)]
+    rows += [(100 + i, " ".join(rng.sample(common, 30))) for i in range(1500)]
+    rows += [(5000 + i, f"{w} stood in the {' '.join(rng.sample(common, 20))}") for i, w in enumerate(["wooden", "copper", "orchard", "garden"] * 10)]
+    found = sanitise.find(make(rows, DOCS)).collect()
+    assert not any(s.kind == 4 for r in found for s in r.spans)
+    assert sum(len(r.spans) for r in found) == 20
+    out = {r.doc_id: r.text for r in sanitise.sanitise(make(rows, DOCS)).collect()}
+    assert all(out[k] == t for k, t in rows[20:])
+
+
+def brute_terms(rows, alpha):
+    """PMI over information, and the binomial bound, by text; rows are unlike texts with lower-case words."""
+    texts = [(set(re.findall(r"[a-z]+@[a-z.]+", t)), set(re.findall(r"[a-z0-9]+", re.sub(r"[a-z]+@[a-z.]+", " ", t)))) for _, t in rows]
+    n = len(texts)
+    n_e = collections.Counter(e for es, _ in texts for e in es)
+    n_t = collections.Counter(t for _, ts in texts for t in ts)
+    both = collections.Counter((e, t) for es, ts in texts for e in es for t in ts)
+    tested = [e for e, m in n_e.items() if m > 1]
+    pairs = len(tested) * max(1, sum(k > 1 for k in n_t.values()))
+    best = {}
+    for (e, t), k in both.items():
+        m, q = n_e[e], n_t[t] / n
+        if m < 2 or n_t[t] < 2:
+            continue
+        disclosure = math.log(k * n / (n_t[t] * m)) / math.log(n / m)
+        bound = -(k * math.log(k / (m * q)) + ((m - k) * math.log((m - k) / (m * (1 - q))) if k < m else 0)) if k > m * q else 0
+        if disclosure >= sanitise.GENERALISE and bound + math.log(pairs) <= math.log(alpha):
+            best[t] = max(best.get(t, 0), disclosure)
+    return {t: "remove" if d >= sanitise.REMOVE else "generalise" for t, d in best.items()}
+
+
+def test_terms_are_those_of_the_formula(make):
+    rng = random.Random(11)
+    common = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(900):
+        words = rng.sample(common, 25)
+        if i % 30 < 3:
+            e = i % 3
+            words += [f"{'abc'[e]}nn@x.org"] + [f"own{e}"] * (rng.random() < 0.9) + [f"half{e}"] * (rng.random() < 0.8) + ["shared"]
+        elif rng.random() < 0.02:
+            words += [rng.choice(["half0", "half1", "half2", "shared"])]
+        rows.append((i, " ".join(words)))
+    want = brute_terms(rows, sanitise.ALPHA)
+    assert {"own0", "own1", "own2"} <= set(want) and len(set(want.values())) == 2
+    got = {}
+    for r in sanitise.find(make(rows, DOCS)).collect():
+        text = rows[r.doc_id][1]
+        told = {text[s.start : s.end]: s.value for s in r.spans if s.kind == 4}
+        assert told == {t: d for t, d in want.items() if t in text.split()}
+        got |= told
+    assert got == want
+
+
 def test_masked_texts(make):
     rows = [(k, t, None if t is None else len(t)) for k, t in [*disclosing(), (200, "1.1.1.1 c@d.ee é 1.1.1.1 "), (200, "plain")]]
     out = sanitise.sanitise(make(rows, DOCS + ", n_chars bigint"))
