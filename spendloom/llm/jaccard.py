@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendloom.llm.common import fresh, map_batches, merged, pick, schema_with, written
+from spendloom.llm.stars import components
 
 SHINGLE = 5
 SLOTS = 1 << 20
@@ -463,36 +464,15 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return written(map_batches(joined, work, "a bigint, b bigint"), "links")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``node, component``: each node that a link (a, b) touches and the least node it reaches, by alternating stars."""
-    edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "edges")
-    while True:
-        # Large star: neighbours above a node are linked to the least neighbour.
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        # Small star: a node and its neighbours below are linked to the least of them.
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        below = large.join(least, "a")
-        small = below.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-        new = written(small.where("a != b").distinct(), "stars")
-        same = new.join(edges, ["a", "b"], "left_anti").limit(1).count() == 0 and new.count() == edges.count()
-        edges = new
-        if same:
-            break
-    roots = edges.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("component"))
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
-
-
 def _nodes_of(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
 
 
 def link_nodes(docs: DataFrame, met: DataFrame) -> DataFrame:
-    """Links between nodes, enough of them for the components: ``a, b``."""
-    links: DataFrame = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
+    """``node, component`` of the nodes that links touch (written)."""
+    none = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
     met = written(met.join(met.groupBy("node").agg(F.sum("columns").alias("most")), "node"), "met")
-    tested, reached, sets, joining = links, None, Sets(docs), True
+    tested, many, reached, sets, joining = none, 0, None, Sets(docs), True
     for turn in range(STAR_ROUNDS + 1):
         own = F.col("node") if reached is None else F.coalesce("component", "node")
         here = (met if reached is None else met.join(reached, "node", "left")).withColumn("component", own)
@@ -506,24 +486,25 @@ def link_nodes(docs: DataFrame, met: DataFrame) -> DataFrame:
         wanted = _nodes_of(pairs)
         if not turn:  # these are likely to be asked for later
             wanted = wanted.union(_nodes_of(_all_apart(apart.where(F.col("members") <= SMALL_MEETING))))
-        if pairs.limit(1).count():
+        if some := pairs.count():
             found = _linked(pairs, sets.of(wanted.distinct()))
             # Other leaders are worth a turn while they join more than a few nodes.
-            joining = turn == 0 and STAR_ROUNDS > 1 or found.count() * 20 > tested.count()
-            links, tested = links.union(found), tested.union(pairs.select("a", "b"))
-            if not last:
-                reached = written(components(links), "reached")
+            joining = turn == 0 and STAR_ROUNDS > 1 or found.count() * 20 > many
+            # What is joined already stands for its links.
+            known = none if reached is None else reached.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            tested, many = tested.union(pairs.select("a", "b")), many + some
+            reached = written(components(known.union(found)), "reached")
         else:
             joining = False
         if last:
             break
-    return links
+    return none.toDF("node", "component") if reached is None else reached
 
 
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``doc_id, node, size`` of every row, and ``node, component`` of the nodes that links touch."""
     rows, frequent, total = nodes(docs)
-    return rows, written(components(link_nodes(docs, meetings(docs, frequent, total))), "components")
+    return rows, link_nodes(docs, meetings(docs, frequent, total))
 
 
 def groups(docs: DataFrame) -> DataFrame:
