@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendloom.functions.dates import days_before
+from spendloom.store import Table
 
 
 def differs(col: Column, value) -> Column:
@@ -19,10 +20,10 @@ def trailing_window(df: DataFrame, day: str, as_of, days: int, include_today: bo
     return df.filter((F.col(day) >= days_before(as_of, days)) & last)
 
 
-def largest(df: DataFrame, column: str) -> Column:
-    """Scalar subquery for the largest value of a column; NULL without rows."""
-    return df.select(F.max(column)).scalar()
+def largest(source: DataFrame | Table, column: str) -> Column:
+    """Largest value of a column, NULL without rows: a scalar subquery, or for a stored table what it knows without reading it."""
+    return source.select(F.max(column)).scalar() if isinstance(source, DataFrame) else source.largest(column)
 
 
-def smallest(df: DataFrame, column: str) -> Column:
-    return df.select(F.min(column)).scalar()
+def smallest(source: DataFrame | Table, column: str) -> Column:
+    return source.select(F.min(column)).scalar() if isinstance(source, DataFrame) else source.smallest(column)

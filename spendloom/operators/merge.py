@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from spendloom.operators.filters import largest, smallest
 from spendloom.operators.joins import absent_rows, all_present, left_join, without_keys
+from spendloom.store import Table
 
 
 def rows_to_insert(target: DataFrame, source: DataFrame, keys: list[str], prune_by: str | None = None) -> DataFrame:
@@ -103,8 +104,11 @@ def delete_latest_day(target: DataFrame, day: str) -> DataFrame:
     return target.filter((F.col(day) != newest) | F.col(day).isNull())
 
 
-def highwater_prune(staged: DataFrame, staged_day: str, target: DataFrame, target_day: str) -> DataFrame:
-    """Staged rows not older than the newest stored day; everything while nothing is stored."""
+def highwater_prune(staged: DataFrame, staged_day: str, target: DataFrame | Table, target_day: str) -> DataFrame:
+    """Staged rows not older than the newest stored day; everything while nothing is stored.
+
+    Of a stored table, the newest day comes from the files' statistics or folders.
+    """
     mark = largest(target, target_day)
     return staged.filter((F.col(staged_day) >= mark) | mark.isNull() | F.col(staged_day).isNull())
 

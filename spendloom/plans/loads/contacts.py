@@ -108,8 +108,7 @@ def run(
     """``landing`` holds ids and profiles; ``staging`` ids, info, programs and batch."""
     read["unreadable"] = unreadable_to(rejects)
     ids = extract_ids(read_pages(spark, landing["ids"], "contacts", ID_RECORD, **read))
-    stored = production.read()
-    recent = ids.map_good(lambda good: highwater_prune(good, "MODIFIED_DATE", stored, "LAST_MODIFIED_DATE"))
+    recent = ids.map_good(lambda good: highwater_prune(good, "MODIFIED_DATE", production, "LAST_MODIFIED_DATE"))
     staging["ids"].stage(recent, rejects)
 
     documents = read_documents(spark, landing["profiles"], PROFILE, **read)

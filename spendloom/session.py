@@ -15,6 +15,8 @@ SKEW_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Largest and smallest stored values come from the files' statistics.
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 _local_scratch: dict[str, str] = {}

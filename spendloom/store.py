@@ -27,6 +27,7 @@ from functools import reduce
 from operator import and_
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -181,6 +182,39 @@ class Table:
             return self._read_folders([f for folders in self._manifest(versions[-1]).values() for f in folders])
         return self.spark.read.schema(self.contract.schema).parquet(self._folder(versions[-1])).select(*self.contract.names)
 
+    def largest(self, column: str) -> Column:
+        """The largest stored value, NULL without one; see :meth:`_extreme`."""
+        return self._extreme(column, F.max)
+
+    def smallest(self, column: str) -> Column:
+        return self._extreme(column, F.min)
+
+    def _extreme(self, column: str, which: Callable[[str], Column]) -> Column:
+        """From folder names for the column that the table is laid out by.
+
+        Of other days, and of floating-point numbers, from the files' statistics: no
+        column is read.  Files without statistics, as all their values are missing,
+        make it a scalar subquery that reads the one column.
+        """
+        versions = self._committed()
+        dtype = {f.name: f.dtype for f in self.contract.fields}[column]
+        if column in self.contract.partition_by or not versions:
+            days = self.partitions() if versions else []
+            return F.lit((days[-1] if which is F.max else days[0]) if days else None).cast(dtype)
+        if self.contract.bucket_by:
+            paths = [f"{self.path}/{f}" for folders in self._manifest(versions[-1]).values() for f in folders]
+        else:
+            paths = [self._folder(versions[-1])]
+        if not paths:
+            return F.lit(None).cast(dtype)
+        try:
+            value = _with_statistics(self.spark, self.contract.schema, paths).select(which(column)).first()[0]
+        except (Py4JJavaError, PySparkException) as error:
+            if "aggregatePushdown" not in str(error):
+                raise
+            return self.read().select(which(column)).scalar()
+        return F.lit(value).cast(dtype)
+
     def append(self, df: DataFrame) -> None:
         """Add rows to the current version; existing files stay as they are."""
         versions = self._committed()
@@ -408,6 +442,17 @@ class Table:
         (writer.partitionBy(*parts) if parts else writer).parquet(folder)
 
 
+def _with_statistics(spark: SparkSession, schema, paths: list[str]) -> DataFrame:
+    """Parquet files by the reader to which aggregates can be pushed down."""
+    listed = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(listed)
+    spark.conf.set(listed, ",".join(s for s in before.split(",") if s != "parquet"))
+    try:
+        return spark.read.schema(schema).parquet(*paths)
+    finally:
+        spark.conf.set(listed, before)
+
+
 def _any(tests: list[Column]) -> Column:
     """Whether any test holds, as a balanced tree."""
     if not tests:

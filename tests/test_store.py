@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spendloom import session, store
 from spendloom.contracts import Contract, day, text, whole
-from spendloom.operators.merge import replace_by_key
+from spendloom.operators.merge import highwater_prune, replace_by_key
 from spendloom.session import scratch_path
 from spendloom.store import Table
 
@@ -364,3 +364,42 @@ def test_two_writers_at_the_switch(keyed, make):
     with pytest.raises(store.Conflict, match="remove"):
         keyed.append(rows(make, 2))
     assert ids(keyed) == [1]
+
+
+# --- largest and smallest values --------------------------------------------------------
+
+MARKS = (whole("ID"), day("AD_DATE"), day("SEEN"))
+
+
+@pytest.mark.parametrize("layout", [{}, {"bucket_by": ("ID",)}, {"partition_by": ("AD_DATE",)}])
+def test_extremes_come_from_statistics(spark, make, layout):
+    table = Table(spark, scratch_path(spark, "marks"), Contract("MARKS", MARKS, **layout), buckets=4)
+    none = spark.range(1).select(table.largest("AD_DATE"), table.smallest("SEEN")).first()
+    assert tuple(none) == (None, None)
+    days = [dt.date(2018, 1, n) for n in range(1, 29)]
+    table.replace(make([(i, d, None if i % 2 else d) for i, d in enumerate(days)] + [(99, None, None)], "ID int, AD_DATE date, SEEN date"))
+    df = spark.range(1).select(
+        table.largest("AD_DATE").alias("a"), table.smallest("AD_DATE").alias("b"), table.largest("SEEN").alias("c"), table.largest("ID").alias("d")
+    )
+    assert tuple(df.first()) == (days[-1], days[0], days[-2], 99)
+    # Read at once, or for files without a value as a subquery.
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert ("struct<SEEN:date>" in plan) == ("partition_by" in layout) and "max(AD_DATE" not in plan
+
+
+def test_statistics_instead_of_a_column(spark, make):
+    table = Table(spark, scratch_path(spark, "marks"), Contract("MARKS", MARKS))
+    table.replace(make([(1, dt.date(2018, 1, 1), None)], "ID int, AD_DATE date, SEEN date"))
+    paths = [table._folder(table._committed()[-1])]
+    plan = store._with_statistics(spark, table.contract.schema, paths).select(F.max("AD_DATE"))._jdf.queryExecution().executedPlan()
+    assert "PushedAggregation: [MAX(AD_DATE)]" in plan.toString() and "struct<AD_DATE:date>" not in plan.toString()
+    # Other readers are as they were.
+    assert "BatchScan" not in table.read()._jdf.queryExecution().executedPlan().toString()
+    assert spark.range(1).select(table.largest("SEEN")).first()[0] is None
+
+
+def test_highwater_mark_of_a_table(days, make):
+    staged = by_day(make, (1, 1), (2, 2), (3, None))
+    assert highwater_prune(staged, "AD_DATE", days, "AD_DATE").count() == 3
+    days.append(by_day(make, (7, 2)))
+    assert sorted(r.ID for r in highwater_prune(staged, "AD_DATE", days, "AD_DATE").collect()) == [2, 3]
