@@ -48,7 +48,7 @@ def unreadable_to(rejects: Table | None) -> Callable[[DataFrame], int]:
     def keep(rows: DataFrame) -> int:
         bad = split_unreadable(rows)[1]
         if rejects is not None:
-            return rejects.append_nonempty(bad)
+            return rejects.append_counted(bad)
         if not bad.isEmpty():
             raise ValueError("unreadable input, and no table for rejects")
         return 0

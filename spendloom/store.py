@@ -229,8 +229,12 @@ class Table:
             # What an unfinished first load left behind is not appended to.
             self._write(df, self._folder(versions[-1] if versions else self._new_version()), "append")
 
-    def append_nonempty(self, df: DataFrame) -> int:
-        """Add rows if there are any; says how many."""
+    def append_nonempty(self, df: DataFrame) -> bool:
+        """Add rows if there are any; says whether it did."""
+        return self.append_counted(df) > 0
+
+    def append_counted(self, df: DataFrame) -> int:
+        """The same; says how many rows were added."""
         if df.isEmpty():
             return 0
         seen = Counted(df, n=F.count(F.lit(1)))
@@ -414,7 +418,7 @@ class Table:
             checked = batch.over(rows)
             stored = Counted(checked.good, n=F.count(F.lit(1)))
             self.replace(stored.rows)
-            rejected, loaded = rejects.append_nonempty(checked.bad), stored.count("n")
+            rejected, loaded = rejects.append_counted(checked.bad), stored.count("n")
         outside = landed.count("good") - loaded
         tallies.keep(tallies.Tally(self.contract.name, landed.count("n"), loaded, rejected, outside))
 
