@@ -92,14 +92,14 @@ def positional_rows(spark, sf):
     "src_csv_report",
     with_("google_adwords")
     + """SELECT CAST(AD_DATE AS VARCHAR) AS day, CAST(AD_ID AS VARCHAR) AS ad,
-    CASE WHEN AD_ID % 7 = 3 THEN HEADLINE || chr(10) || ', "second" line' ELSE HEADLINE END AS headline,
+    CASE WHEN AD_ID % 50 = 3 THEN HEADLINE || chr(10) || ', "second" line' ELSE HEADLINE END AS headline,
     CAST(CONVERSIONS AS VARCHAR) || '.25%' AS ctr, NULL::VARCHAR AS rejected FROM google_adwords WHERE AD_ID % 100 <> 42
     UNION ALL SELECT NULL, NULL, NULL, NULL, 'ad ' || AD_ID FROM google_adwords WHERE AD_ID % 100 = 42""",
 )
 def csv_report(spark, sf):
     """Some headlines span two lines; some lines end in a value with a stray quote, and go to the rejects."""
     two = F.concat(F.col("`Headline 1`"), F.lit('\n, "second" line'))
-    spans, stray = F.col("`Ad ID`") % 7 == 3, F.col("`Ad ID`") % 100 == 42
+    spans, stray = F.col("`Ad ID`") % 50 == 3, F.col("`Ad ID`") % 100 == 42
     sent = adwords_report(spark, sf).withColumn("Headline 1", F.when(spans & ~stray, two).otherwise(F.col("`Headline 1`")))
     values = [F.col(f"`{c}`") for c in sent.columns[:-1]]
     line = F.to_csv(F.struct(*values, F.col(f"`{sent.columns[-1]}`")), {"escape": '"'})

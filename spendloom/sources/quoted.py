@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from spendloom.store import landed_once
+
 #: Runs of more characters are taken for a stray quote.
 LONGEST = 1 << 24
 #: Numbers of a chunk.
@@ -40,12 +42,13 @@ class Quoted:
         at = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range")
         text = spark.read.text(path).select("value", *at, F.monotonically_increasing_id().alias("id"))
         self.lines = text.withColumn("whole", self._has_all(F.col("value")))
-        self.ranges = self.lines.groupBy("file", "range").agg(
+        ranges = self.lines.groupBy("file", "range").agg(
             F.count("*").alias("n"),
             F.min("id").alias("first_id"),
             F.min_by("value", "id").alias("first"),
             F.count_if(~F.col("whole") & (F.col("value") != "")).alias("loose"),
         )
+        self.ranges = landed_once(ranges, "ranges")
 
     def _has_all(self, line: Column) -> Column:
         """Whether a text has as many values as there are headers, each quote at a value's ends, doubled, or inside an unquoted value."""
