@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -180,16 +181,20 @@ def test_a_batch_that_stops_is_run_again(remembering, monkeypatch):
     remembering.land("a", (1, 0), (2, 0), (2, 30))
     remembering.run()
     remembering.land("b", (2, 0), (3, 1), (3, 1), (4, 40))
-    real = incremental._new_rows
-
-    def stopped(*args):
-        real(*args).write.mode("overwrite").partitionBy("DAY").parquet(f"{remembering.target}/{BATCH}=1")
-        raise OSError("executor lost")
-
-    monkeypatch.setattr(incremental, "_new_rows", stopped)
-    with pytest.raises(Exception, match="executor lost"):
+    real = incremental.kept
+
+    @contextmanager
+    def stopped(df, name):
+        with real(df, name) as rows:
+            yield rows
+        if name == "batch":
+            raise OSError("driver lost")
+
+    # The batch's rows are written, and its progress is not.
+    monkeypatch.setattr(incremental, "kept", stopped)
+    with pytest.raises(Exception, match="driver lost"):
         remembering.run(after=1)
-    monkeypatch.setattr(incremental, "_new_rows", real)
+    monkeypatch.setattr(incremental, "kept", real)
     remembering.run(after=1)
     assert remembering.rows() == [(1, 0, "a"), (2, 0, "a"), (2, 30, "a"), (3, 1, "b"), (3, 1, "b"), (4, 40, "b")]
 
