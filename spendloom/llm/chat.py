@@ -1,9 +1,11 @@
 """Chat formatting: records of many layouts become turns, and turns become training text that can be read back.
 
 A record is a variant.  Its fingerprint is the hash of the nested field paths it has among those that any layout
-declares; further fields don't matter.  The fingerprint selects the declarative mapping (``LAYOUTS``): which path holds
-the turns, or which fields are turns of which role.  A record whose fingerprint no layout has gets the layout
-``unknown`` and no turns, and stays visible in ``layouts()``.
+declares.  A layout's print is the hash of the paths it needs, and the record's print for it the hash of those of them
+that the record has.  Where both agree, the layout's declarative mapping (``LAYOUTS``) can be used: which path holds the
+turns, or which fields are turns of which role.  Layouts take precedence in the order of ``LAYOUTS``, lists of turns
+before single fields, so fields of further layouts don't matter.  A record with no layout's paths gets the layout
+``unknown`` and no turns; ``unmapped()`` returns it.
 
 A turn is written ``### role: text </turn>`` and a line end.  Inside texts and roles a backslash is doubled, two ``#``
 never stand together, and ``</turn>`` is broken by a backslash, so control strings occur as controls only;
@@ -16,15 +18,13 @@ role, then text, and repeated ones are kept.  Rows without a conversation id are
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STRETCH = 256
 LEARNED_ROLE = "assistant"
 
-#: Layouts by name: paths that a record must have, paths that it may have, and its turns as SQL over ``payload``.
+#: Layouts by name, in order of precedence: paths that a record must have, and its turns as SQL over ``payload``.
 LIST_OF = "transform(try_variant_get(payload, '$.{0}', 'array<variant>'), e -> named_struct('role', {1}, 'text', try_variant_get(e, '$.{2}', 'string')))"
 ONE = "named_struct('role', '{0}', 'text', try_variant_get(payload, '$.{1}', 'string'))"
 
@@ -46,44 +46,46 @@ _INSTRUCTION = (
     "array(named_struct('role', 'user', 'text', concat_ws('\\n\\n', try_variant_get(payload, '$.instruction', 'string'), "
     "nullif(try_variant_get(payload, '$.input', 'string'), ''))))"
 )
-LAYOUTS: dict[str, tuple[tuple[str, ...], tuple[str, ...], str]] = {
+_MESSAGES = LIST_OF.format("messages", _ROLE, "content")
+_REPLY = (
+    f"if(element_at({_MESSAGES}, -1).role <=> 'assistant', array(), array({ONE.format('assistant', 'response')}))"
+)
+LAYOUTS: dict[str, tuple[tuple[str, ...], str]] = {
     "turn row": (
         ("conv_id", "role", "text", "turn"),
-        (),
         "array(named_struct('role', try_variant_get(payload, '$.role', 'string'), 'text', try_variant_get(payload, '$.text', 'string')))",
     ),
+    # The reply to messages that don't end with one.
+    "messages and response": (
+        ("messages[].content", "messages[].role", "response"),
+        f"concat({_optional('system', 'system')}, {_MESSAGES}, {_REPLY})",
+    ),
     "messages": (
         ("messages[].content", "messages[].role"),
-        ("system",),
-        f"concat({_optional('system', 'system')}, {LIST_OF.format('messages', _ROLE, 'content')})",
+        f"concat({_optional('system', 'system')}, {_MESSAGES})",
     ),
     "speakers": (
         ("conversations[].from", "conversations[].value"),
-        ("system",),
         f"concat({_optional('system', 'system')}, {LIST_OF.format('conversations', _SPEAKER, 'value')})",
     ),
     "instruction": (
         ("instruction", "output"),
-        ("input", "system"),
         f"concat({_optional('system', 'system')}, {_INSTRUCTION}, array({_field('assistant', 'output')}))",
     ),
     "completion": (
         ("completion", "prompt"),
-        ("system",),
         f"concat({_optional('system', 'system')}, array({_field('user', 'prompt')}, {_field('assistant', 'completion')}))",
     ),
     "response": (
         ("prompt", "response"),
-        ("system",),
         f"concat({_optional('system', 'system')}, array({_field('user', 'prompt')}, {_field('assistant', 'response')}))",
     ),
     "question": (
         ("answer", "question"),
-        ("system",),
         f"concat({_optional('system', 'system')}, array({_field('user', 'question')}, {_field('assistant', 'answer')}))",
     ),
 }
-PATHS = sorted({p for must, may, _ in LAYOUTS.values() for p in (*must, *may)})
+PATHS = sorted({p for must, _ in LAYOUTS.values() for p in must})
 
 
 def _has(path: str) -> str:
@@ -101,33 +103,38 @@ def _hashed(paths: Column) -> Column:
     return F.xxhash64(F.array_join(paths, "\n"))
 
 
-def fingerprint() -> Column:
-    """Hash of the known nested field paths that ``payload`` has."""
-    present = ", ".join(f"if({_has(p)}, '{p}', null)" for p in PATHS)
-    return _hashed(F.expr(f"array_compact(array({present}))"))
+def _present() -> Column:
+    """The known nested field paths that ``payload`` has."""
+    found = ", ".join(f"if({_has(p)}, '{p}', null)" for p in PATHS)
+    return F.expr(f"array_compact(array({found}))")
 
 
-def _layout(print_: Column) -> Column:
-    """The layout's name; one fingerprint for each choice of a layout's optional paths."""
+def _layout(present: Column) -> Column:
+    """Name of the first layout whose print the record has."""
     name = F.lit("unknown")
-    for layout, (must, may, _) in LAYOUTS.items():
-        prints = [
-            _hashed(F.array(*[F.lit(p) for p in sorted((*must, *some))])) for n in range(len(may) + 1) for some in combinations(may, n)
-        ]
-        name = F.when(print_.isin(*prints), layout).otherwise(name)
+    for layout, (must, _) in reversed(LAYOUTS.items()):
+        needed = F.array(*[F.lit(p) for p in sorted(must)])
+        name = F.when(_hashed(F.array_intersect(needed, present)) == _hashed(needed), layout).otherwise(name)
     return name
 
 
 def layouts(records: DataFrame) -> DataFrame:
     """``records`` (record, payload) with the fingerprint and the layout it selects."""
-    return records.withColumn("fingerprint", fingerprint()).withColumn("layout", _layout(F.col("fingerprint")))
+    found = records.withColumn("_present", _present())
+    return found.withColumns({"fingerprint": _hashed(F.col("_present")), "layout": _layout(F.col("_present"))}).drop("_present")
+
+
+def unmapped(records: DataFrame) -> DataFrame:
+    """Records that no layout maps, as rejects: ``record, fingerprint, payload`` as JSON text."""
+    unknown = layouts(records.select("record", "payload")).filter(F.col("layout") == "unknown")
+    return unknown.select("record", "fingerprint", F.to_json("payload").alias("payload"))
 
 
 def turns(records: DataFrame) -> DataFrame:
     """``conv_id, turn, role, text`` of all records (record bigint, payload variant); rows of turns keep their own ids."""
     known = layouts(records.select("record", "payload"))
     mapped = F.expr("cast(array() as array<struct<role:string,text:string>>)")
-    for layout, (_, _, sql) in LAYOUTS.items():
+    for layout, (_, sql) in LAYOUTS.items():
         mapped = F.when(F.col("layout") == layout, F.expr(sql)).otherwise(mapped)
     row = F.col("layout") == "turn row"
     spread = known.select("record", "payload", "layout", F.posexplode(mapped).alias("at", "t"))

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import html
+import json
 import math
 import random
 import re
@@ -364,6 +365,64 @@ def test_layouts_by_fingerprint(make):
     assert chat.formatted(chat.turns(df.limit(0))).collect() == []
 
 
+def test_mixed_layouts(make):
+    """Fields of a second layout don't make a conversation vanish: the first layout in order has it."""
+    ask, reply = ("user", "a"), ("assistant", "b")
+    both = '[{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}]'
+    records = [
+        ('{"prompt": "x", "prompt_id": 7, "messages": %s}' % both, "messages", [ask, reply]),
+        ('{"instruction": "a", "output": "b", "prompt": "x"}', "instruction", [ask, reply]),
+        ('{"question": "a", "answer": "b", "input": "x"}', "question", [ask, reply]),
+        ('{"messages": %s, "response": "c"}' % both, "messages and response", [ask, reply]),
+        ('{"messages": [{"role": "user", "content": "a"}], "response": "b"}', "messages and response", [ask, reply]),
+        ('{"system": "s", "messages": %s, "conversations": []}' % both, "messages", [("system", "s"), ask, reply]),
+        ('{"prompt": "a", "completion": "b", "response": "c", "conversations": "none"}', "completion", [ask, reply]),
+        ('{"prompt": "a", "messages": []}', "unknown", []),
+        ('{"messages": "text", "response": "b"}', "unknown", []),
+        (None, "unknown", []),
+    ]
+    df = make([(i, r[0], 1) for i, r in enumerate(records)], "record bigint, json string, layout int")
+    df = df.select("record", F.expr("parse_json(json)").alias("payload"), "layout")
+    got = {r.record: r.layout for r in chat.layouts(df.drop("layout")).collect()}
+    assert got == {i: r[1] for i, r in enumerate(records)}
+    turns = collections.defaultdict(list)
+    for r in chat.turns(df).orderBy("conv_id", "turn").collect():
+        turns[r.conv_id].append((r.role, r.text))
+    assert [turns[i] for i in range(len(records))] == [r[2] for r in records]
+    lost = {r.record: r.payload for r in chat.unmapped(df).collect()}
+    assert lost == {7: '{"messages":[],"prompt":"a"}', 8: '{"messages":"text","response":"b"}', 9: None}
+    assert chat.unmapped(df.limit(0)).collect() == []
+
+
+def test_any_pair_of_layouts_has_the_first_ones_turns(make):
+    """Brute force: every pair of layouts in one record, against each layout alone."""
+    fields = {
+        "messages": {"messages": [{"role": "user", "content": "m"}]},
+        "speakers": {"conversations": [{"from": "human", "value": "v"}, {"from": "gpt", "value": "w"}]},
+        "instruction": {"instruction": "i", "output": "o"},
+        "completion": {"prompt": "p", "completion": "c"},
+        "question": {"question": "q", "answer": "a"},
+    }
+    names = [n for n in chat.LAYOUTS if n in fields]
+    pairs = [(x, y) for x in names for y in names]
+    rows = [(i, json.dumps(fields[y] | fields[x])) for i, (x, y) in enumerate(pairs)]
+    df = make(rows, "record bigint, json string").select("record", F.expr("parse_json(json)").alias("payload"))
+    turns = collections.defaultdict(list)
+    for r in chat.turns(df).orderBy("conv_id", "turn").collect():
+        turns[r.conv_id].append((r.role, r.text))
+    alone = {x: turns[i] for i, (x, y) in enumerate(pairs) if x == y}
+    assert all(alone.values())
+    assert {i: turns[i] for i in range(len(pairs))} == {i: alone[min(p, key=names.index)] for i, p in enumerate(pairs)}
+
+
+def test_very_long_turns(make):
+    long = "\\ ### </turn> é" * 200_000
+    rows = [(1, 0, "user", long), (1, 1, "assistant", long), (2, 0, "assistant", "")]
+    df = make(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = {r.conv_id: r for r in chat.read_back(chat.formatted(df)).collect()}
+    assert [t.text for t in got[1].turns] == [long, long] and list(got[1].learned) == [long] and list(got[2].learned) == [""]
+
+
 def test_long_conversations(make):
     rows = [(1, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(3 * chat.STRETCH)]
     df = make(rows, "conv_id bigint, turn bigint, role string, text string")
