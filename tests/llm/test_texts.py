@@ -462,6 +462,76 @@ def test_licences_of_odd_rows(make):
     assert licences.scan(make([], DOCS)).collect() == []
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+
+
+def test_licences_inside_lines_and_across_them(make):
+    texts = {
+        "The parser reads a file and builds a tree. Released under the MIT License. Please send patches to the list.": "mit",
+        "A reader of files.\n\n" + MIT + "\n\nThe end of it.": "mit",
+        "A reader of files. " + MIT.replace("\n", " ") + " The end of it.": "mit",
+        "notes on\nThis program and the accompanying materials are made available under\nthe terms of the Eclipse Public License 2.0 "
+        "which is available at\nhttps://www.eclipse.org/legal/epl-2.0/\nand more": "epl",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose\nwith or without fee is hereby granted, "
+        "provided that the above copyright notice\nand this permission notice appear in all copies.": "isc",
+        "She was granted a permission. The person had a copy of the software.\nThe conditions were free of charge.": "",
+        "The notice was included in all the copies of the book. The library is public.": "",
+    }
+    df = make(list(enumerate(texts)), DOCS)
+    assert {r.doc_id: r.families for r in licences.scan(df).collect()} == dict(enumerate(texts.values()))
+
+
+def test_notices_that_overlap_are_one(make):
+    text = "One.\nAll rights reserved.\nTwo of them went home by train that day.\nReleased under the\nMIT License.\n" + "Plain. " * 9 + "All rights reserved."
+    scanner = licences.Scanner(make([(1, text)], DOCS))
+    found = sorted((r.family, r.at) for r in scanner.found(make([(1, text), (1, text)], DOCS)).collect())
+    assert [f for f, _ in found] == ["mit", "proprietary", "proprietary"]
+
+
+def test_every_confirmed_paragraph_is_found(spark, make):
+    """Brute force: all stretches, with and without cues, scored by the same model, confirmed in Python."""
+    rng = random.Random(9)
+    notices = [(f, t) for f, texts in licences.NOTICES.items() for t in texts]
+    for _, text in notices:
+        own = sorted(set(re.findall(licences.WORD, text.lower())))
+        for _ in range(20):
+            assert set(rng.sample(own, math.ceil(licences.CONFIRM * len(own)))) & set(licences.cues())
+    docs = []
+    for i in range(40):
+        lines = [rng.choice(licences.PLAIN) if rng.random() < 0.6 else rng.choice(notices)[1] for _ in range(4)]
+        cut = " ".join(w for w in " ".join(lines).split(" ") if rng.random() < 0.93)
+        docs.append((i, re.sub(" ", lambda m: "\n" if rng.random() < 0.08 else " ", cut)))
+    df = make(docs, DOCS)
+    scanner = licences.Scanner(df)
+    every = []
+    for i, text in docs:
+        parts = [p for p in re.split(r"\n|(?<=[.!?])\s+", text) if p.strip(" ")]
+        every += [
+            (i, at, n, re.findall(licences.WORD, " ".join(parts[at : at + n]).lower()))
+            for at in range(len(parts))
+            for n in range(1, min(licences.JOINED, len(parts) - at) + 1)
+        ]
+    scored = scanner._scored(make(every, "doc_id bigint, at int, n int, w array<string>")).collect()
+    want = set()
+    for r in scored:
+        own = set(r.w)
+        for family, text in notices:
+            template = set(re.findall(licences.WORD, text.lower()))
+            shared = len(own & template)
+            if family == r.family and r.probability >= scanner.bound:
+                if shared >= licences.CONFIRM * len(template) and shared >= licences.RESEMBLES * len(own):
+                    want.add((r.doc_id, r.at, r.n, family))
+    assert {(r.doc_id, r.at, r.n, r.family) for r in scanner.confirmed(df).collect()} == want and len(want) > 40
+
+
 # --- packing ----------------------------------------------------------------
 
 
