@@ -500,10 +500,6 @@ def test_every_confirmed_paragraph_is_found(spark, make):
     """Brute force: all stretches, with and without cues, scored by the same model, confirmed in Python."""
     rng = random.Random(9)
     notices = [(f, t) for f, texts in licences.NOTICES.items() for t in texts]
-    for _, text in notices:
-        own = sorted(set(re.findall(licences.WORD, text.lower())))
-        for _ in range(20):
-            assert set(rng.sample(own, math.ceil(licences.CONFIRM * len(own)))) & set(licences.cues())
     docs = []
     for i in range(40):
         lines = [rng.choice(licences.PLAIN) if rng.random() < 0.6 else rng.choice(notices)[1] for _ in range(4)]
@@ -511,6 +507,11 @@ def test_every_confirmed_paragraph_is_found(spark, make):
         docs.append((i, re.sub(" ", lambda m: "\n" if rng.random() < 0.08 else " ", cut)))
     df = make(docs, DOCS)
     scanner = licences.Scanner(df)
+    for _, text in notices:
+        own = sorted(set(re.findall(licences.WORD, text.lower())))
+        for chosen in (scanner.cues, licences.cues({})):
+            for _ in range(20):
+                assert set(rng.sample(own, math.ceil(licences.CONFIRM * len(own)))) & set(chosen)
     every = []
     for i, text in docs:
         parts = [p for p in re.split(r"\n|(?<=[.!?])\s+", text) if p.strip(" ")]
