@@ -125,7 +125,11 @@ def remembering(spark, tmp_path, monkeypatch):
 
     monkeypatch.setattr(incremental, "read_target", counted)
     monkeypatch.setitem(globals(), "read_target", read)
-    return stream
+    # State is kept by shuffle partition; a few rows need few of them.
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield stream
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
 
 
 def test_rows_inside_the_window_do_not_read_the_target(remembering):
