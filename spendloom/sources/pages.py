@@ -69,6 +69,10 @@ def read_array(
     if unreadable is None:
         return read_documents(spark, path, record, multi_line)
     counts = {"landed": F.count(F.lit(1)), "good": F.count_if(F.col(CORRUPT).isNull())}
+    if not multi_line:
+        seen = Counted(_elements_of_lines(spark, path, record), **counts)
+        landed = landed_once(seen.rows, "landed")
+        return _handed_over(landed, unreadable, seen.count("landed"), seen.count("good"))
     seen = Counted(read_documents(spark, path, record, multi_line, keep_corrupt=True), **counts)
     landed = landed_once(seen.rows, "landed")
     rows, good = seen.count("landed"), seen.count("good")
@@ -79,6 +83,28 @@ def read_array(
     return _handed_over(landed, unreadable, rows, good)
 
 
+def _elements_of_lines(spark: SparkSession, path: str, record: str) -> DataFrame:
+    """Elements of the lines' arrays, faulty ones as texts.
+
+    The reader would repeat an array's whole text with each of its elements, so
+    lines are parsed here, as a field of a page: a fault costs a second look at
+    one line.  A line that is an object is a record.
+    """
+    lines = spark.read.text(path).filter(F.trim(F.translate("value", "\t\r", "  ")) != "")
+    page = F.from_json(
+        F.concat(F.lit('{"_e":'), F.col("value"), F.lit("}")), torn_schema("_e", record), {"columnNameOfCorruptRecord": CORRUPT}
+    )
+    texts = F.from_json("value", "array<string>")
+    whole = F.array(_unparsed(record, F.col("value")))
+    elements = (
+        F.when(F.ltrim(F.translate("value", "\t\r", "  ")).startswith("{"), F.array(_parsed(F.col("value"), record)))
+        .when(F.col("page")[CORRUPT].isNull() & F.col("page")["_e"].isNotNull(), F.col("page")["_e"])
+        .otherwise(F.when(F.size(texts) > 0, F.transform(texts, lambda t: _parsed(t, record))).otherwise(whole))
+    )
+    paged = lines.withColumn("page", page)
+    return paged.select(F.explode(elements).alias("_e")).select("_e.*").withColumnRenamed(RAW, CORRUPT)
+
+
 def _torn_elements(torn: DataFrame, record: str) -> DataFrame:
     """Elements of arrays in which a value has another type, parsed one by one.
 

@@ -221,3 +221,25 @@ def test_load_stamp(make):
     df = make([(1,)], "id int")
     assert reshape.load_stamp(df, "d", "2018-01-01").first().d == dt.date(2018, 1, 1)
     assert reshape.load_stamp(df, "d").first().d is not None
+
+
+def test_a_faulty_line_is_not_repeated_with_each_element(spark, tmp_path, monkeypatch):
+    from spendloom.sources import pages
+
+    name = "".join(random.Random(1).choices("abcdef", k=50))
+    array = json.dumps([{"id": "x" if i == 42 else i, "name": name} for i in range(200)])
+    put(tmp_path, "1.json", "\n".join([array] * 3))
+    seen, land = [], pages.landed_once
+    monkeypatch.setattr(pages, "landed_once", lambda df, what: seen.append(land(df, what)) or seen[-1])
+    got, torn = faults(read_array, spark, str(tmp_path), RECORD, multi_line=False)
+    assert got.count() == 3 * 199 and len(torn) == 3
+    assert all(df.agg(F.sum(F.length("_corrupt_record"))).first()[0] < len(array) for df in seen)
+
+
+def test_odd_lines_of_arrays_are_read_as_the_reader_does(spark, tmp_path, values):
+    lines = ['[{"id": 1}] tail', '{"id": 2} tail', "", " \t", "7", '"x"', '[{"id": 3}, {"id": 4, "name": "d"}]', "[]", ' {"id": 5}', "{}", "[7]", "[{"]
+    put(tmp_path, "1.json", "\n".join(lines))
+    got, torn = faults(read_array, spark, str(tmp_path), RECORD, multi_line=False)
+    plain = read_documents(spark, str(tmp_path), RECORD, multi_line=False, keep_corrupt=True).filter("_corrupt_record IS NULL")
+    assert values(got) == values(plain, "id", "name")
+    assert torn == sorted(["7", '"x"', "7", "[{"])
