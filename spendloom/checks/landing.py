@@ -12,6 +12,8 @@ from spendloom.store import Table
 
 # Pages are written one per line.
 LINES = {"multi_line": False}
+#: Lines of a report file.
+FILE_LINES = 250_000
 
 
 def land_pages(df: DataFrame, record_path: str, name: str, context: tuple[str, ...] = ()) -> str:
@@ -78,11 +80,15 @@ def as_text(df: DataFrame) -> DataFrame:
 
 
 def land_csv_lines(df: DataFrame, text: Column, name: str, files: int = 4) -> str:
-    """Files of a header line and lines that are texts of rows; a text may be no proper line."""
+    """Files of a header line and lines that are texts of rows; a text may be no proper line.
+
+    There are so many more files that each is of about ``FILE_LINES`` lines, and a task sorts a few at most.
+    """
+    files = max(files, -(-df.count() // FILE_LINES))
     header = ",".join(df.columns)
     lines = df.select(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files)).alias("file"), F.lit(1).alias("place"), text.alias("value"))
     heads = df.sparkSession.range(files).select(F.col("id").alias("file"), F.lit(0).alias("place"), F.lit(header).alias("value"))
     path = scratch_path(df.sparkSession, name)
-    ordered = lines.union(heads).repartition("file").sortWithinPartitions("file", "place")
+    ordered = lines.union(heads).repartition(files, "file").sortWithinPartitions("file", "place")
     ordered.select("file", "value").write.partitionBy("file").text(path)
     return path

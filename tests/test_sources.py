@@ -243,3 +243,16 @@ def test_odd_lines_of_arrays_are_read_as_the_reader_does(spark, tmp_path, values
     plain = read_documents(spark, str(tmp_path), RECORD, multi_line=False, keep_corrupt=True).filter("_corrupt_record IS NULL")
     assert values(got) == values(plain, "id", "name")
     assert torn == sorted(["7", '"x"', "7", "[{"])
+
+
+def test_landed_files_are_bounded(spark, tmp_path, monkeypatch):
+    """Report files by their lines."""
+    from spendloom.checks import landing
+
+    monkeypatch.setattr(landing, "FILE_LINES", 10)
+    rows = spark.range(100).select(F.col("id").alias("A"), F.lit("b").alias("B"))
+    report = landing.land_csv_lines(rows, F.concat_ws(",", "A", "B"), "report")
+    lines = spark.read.text(report)
+    assert lines.select(F.input_file_name()).distinct().count() == 10
+    assert sorted(r.value for r in lines.collect()) == sorted(["A,B"] * 10 + [f"{i},b" for i in range(100)])
+    assert read_csv_report(spark, report, ("A", "B")).count() == 100
