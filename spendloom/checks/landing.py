@@ -12,6 +12,8 @@ from spendloom.store import Table
 
 # Pages are written one per line.
 LINES = {"multi_line": False}
+#: Records of a compressed file.
+FILE_RECORDS = 250_000
 #: Lines of a report file.
 FILE_LINES = 250_000
 
@@ -43,8 +45,9 @@ def land_with_faults(sent: DataFrame, key: str, word: str, record_path: str | No
 
 
 def land_documents(df: DataFrame, name: str) -> str:
+    """One document per line, in compressed files, which can't be split and so are bounded in rows."""
     path = scratch_path(df.sparkSession, name)
-    df.write.json(path)
+    df.write.option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).json(path)
     return path
 
 

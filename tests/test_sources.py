@@ -246,13 +246,17 @@ def test_odd_lines_of_arrays_are_read_as_the_reader_does(spark, tmp_path, values
 
 
 def test_landed_files_are_bounded(spark, tmp_path, monkeypatch):
-    """Report files by their lines."""
+    """Report files by their lines, page files by their records; these are compressed."""
     from spendloom.checks import landing
 
     monkeypatch.setattr(landing, "FILE_LINES", 10)
+    monkeypatch.setattr(landing, "FILE_RECORDS", 10)
     rows = spark.range(100).select(F.col("id").alias("A"), F.lit("b").alias("B"))
     report = landing.land_csv_lines(rows, F.concat_ws(",", "A", "B"), "report")
     lines = spark.read.text(report)
     assert lines.select(F.input_file_name()).distinct().count() == 10
     assert sorted(r.value for r in lines.collect()) == sorted(["A,B"] * 10 + [f"{i},b" for i in range(100)])
     assert read_csv_report(spark, report, ("A", "B")).count() == 100
+    pages = landing.land_documents(rows.coalesce(1), "pages")
+    files = spark.read.text(pages).groupBy(F.input_file_name().alias("f")).count().collect()
+    assert [r["count"] for r in files] == [10] * 10 and all(".gz" in r.f for r in files)
