@@ -4,14 +4,15 @@ Every line is cut at sentence ends, and every stretch of up to ``JOINED`` neighb
 wrapped, is a paragraph of its own.  Its features are the word
 1- and 2-grams that licence notices use.  A multinomial logistic regression over sparse vectors is trained on the
 notices below, whole and with parts missing, and for the class ``unknown`` on plain sentences that use the same words
-and on at most ``UNKNOWN`` pieces of the corpus (drawn by hash, without those that resemble a notice).
-The unknown class is calibrated on a second draw of as many pieces: a family is named only if its probability is
-above what all but one in a thousand of them reach.  Then the paragraph must have most words of one of the family's
-templates, and half of its own words must be the template's.  Confirmed paragraphs of one family that overlap are one
+and on all pieces of the corpus but those that resemble a notice.  Pieces of the same features are one row that weighs
+as much as they do; together they weigh at most ``UNKNOWN``, so that a large corpus doesn't outweigh the notices.
+The unknown class is calibrated on all these pieces: a family is named only if its probability is above what all but
+one in a thousand of them reach.  Then the paragraph must have most words of one of the family's templates, and half of
+its own words must be the template's.  Confirmed paragraphs of one family that overlap are one
 notice, as certain as the best of them.
 
 Paragraphs that no template can confirm are not scored: of every template so many words are cues, rare ones in the
-draw (``cues``), that a paragraph without any of them has too few of its words.
+corpus (``cues``), that a paragraph without any of them has too few of its words.
 
 DataFrame operations and Spark's own feature and regression stages only.  Null and empty texts have no paragraphs.
 Rows of one id with different texts are told apart by text; repeated rows get the same families.
@@ -34,6 +35,8 @@ from spendloom.llm.common import pick, written
 #: Pieces that may make up a paragraph.
 JOINED = 4
 UNKNOWN = 3000
+#: Steps of a probability in which the unknown class is calibrated, and in which probabilities are returned.
+STEPS = 10_000
 #: Share of a template's words that a paragraph must have, and of the paragraph's words that the template explains.
 CONFIRM = 0.7
 RESEMBLES = 0.5
@@ -150,7 +153,7 @@ def cues(common: dict[str, int]) -> list[str]:
     """Words of which every paragraph that a template confirms has at least one.
 
     Of a template's n words it has ``CONFIRM`` * n or more, so any set larger than the rest meets it.  The words that
-    the fewest other paragraphs have are taken (``common`` counts them in a draw), long ones first.
+    the fewest other paragraphs have are taken (``common`` counts them), long ones first.
     """
     found = set()
     for texts in NOTICES.values():
@@ -218,43 +221,62 @@ class Scanner:
         )
         self.counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features")
         self.counter.setBinary(True)
-        lines = pick(docs, "text").where(F.col("text").isNotNull()).select(F.explode(pieces(F.col("text"))).alias("p"))
-        # Two draws of the corpus, each by the least hashes.
-        drawn = lines.select("p", F.xxhash64("p", F.lit("draw")).alias("h")).orderBy("h", "p").limit(2 * unknown)
-        drawn = written(drawn.select(words(F.col("p")).alias("w"), (F.pmod("h", F.lit(2)) == 0).alias("learn")), "paragraphs")
-        strange = drawn.where(~self._resembles(drawn))
+        strange = written(self._pieces(docs), "pieces")
         # A row for each word of the templates at most.
-        shared = strange.select(F.explode(F.array_distinct("w")).alias("g")).groupBy("g").count()
-        used = self.templates.select(F.explode("template").alias("g")).distinct()
-        self.cues = cues({r["g"]: r["count"] for r in shared.join(used, "g", "left_semi").collect()})
+        shared = strange.select(F.explode("w").alias("g"), "n").groupBy("g").agg(F.sum("n").alias("n"))
+        self.cues = cues({r["g"]: r["n"] for r in shared.collect()})
+        total = strange.agg(F.sum("n")).first()[0] or 1
+        weight = F.col("n") * min(1.0, unknown / total)
         plain = spark.createDataFrame([(t,) for t in PLAIN], "t string").select(F.lit("unknown").alias("family"), words(F.col("t")).alias("w"))
-        rows = notices.union(plain).union(strange.where("learn").select(F.lit("unknown").alias("family"), "w"))
+        rows = notices.union(plain)
         index = F.lit(0.0)
         for i, family in enumerate(self.families):
             index = F.when(F.col("family") == family, float(i)).otherwise(index)
         known = F.when(F.col("family") == "unknown", 1.0).otherwise(20.0)
-        trained = self.counter.transform(rows.withColumn("grams", grams(F.col("w"))).select("grams", index.alias("label"), known.alias("weight")))
+        trained = rows.select(grams(F.col("w")).alias("grams"), index.alias("label"), known.alias("weight")).coalesce(1)
+        trained = trained.union(strange.select("grams", F.lit(0.0).alias("label"), weight.alias("weight")))
         self.model: LogisticRegressionModel = LogisticRegression(
             family="multinomial", regParam=1e-3, weightCol="weight", maxIter=60
-        ).fit(trained.coalesce(1))
-        # What the best family's probability is for paragraphs that have none.
-        apart = self._scored(strange.where("NOT learn").select("w"))
-        bound = apart.agg(F.percentile_approx("probability", 0.999, 10000).alias("p")).first()["p"]
-        self.bound = max(0.5, bound or 0.0)
+        ).fit(self.counter.transform(trained).select("features", "label", "weight"))
+        # What the best family's probability is for paragraphs that have none; a row for each step at most.
+        steps = self._scored(strange).groupBy(F.ceil(F.col("probability") * STEPS).alias("step")).agg(F.sum("n").alias("n"))
+        below, self.bound = 0, 0.5
+        for r in sorted(steps.collect()):
+            if below < 0.999 * total:
+                self.bound = max(0.5, r["step"] / STEPS)
+            below += r["n"]
+
+    def _pieces(self, docs: DataFrame) -> DataFrame:
+        """``grams, w, n`` of the pieces that don't resemble a notice: those of the vocabulary that a piece has, its words, how many have these."""
+        vocabulary = list(self.counter.vocabulary)
+        single = [g for g in vocabulary if " " not in g]
+        lines = pick(docs, "text").where(F.col("text").isNotNull()).select(F.explode(pieces(F.col("text"))).alias("p"))
+        # Words that no notice has are a bar, neighbouring ones a single bar: equal pieces are counted as texts first.
+        barred = F.array_join(F.transform(words(F.col("p")), lambda x: F.when(x.isin(single), x).otherwise("|")), " ")
+        texts = lines.select(F.regexp_replace(barred, r"[|](?: [|])+", "|").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
+        known = texts.select(F.transform(F.split("t", " "), lambda x: F.when((x != "|") & (x != ""), x)).alias("k"), "n")
+        pairs = F.zip_with("k", F.slice("k", 2, F.greatest(F.size("k") - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
+        own = F.array_distinct(F.filter(F.concat("k", pairs), lambda g: g.isin(vocabulary)))
+        named = known.select(F.array_sort(own).alias("grams"), "n").groupBy("grams").agg(F.sum("n").alias("n"))
+        named = named.withColumn("w", F.filter("grams", lambda g: ~F.contains(g, F.lit(" "))))
+        return named.where(~self._resembles(named))
 
     def _resembles(self, rows: DataFrame) -> Column:
-        """Whether a paragraph has half of some template's words."""
+        """Whether a paragraph (its distinct words, or those of the vocabulary) has half of some template's words."""
         out = F.lit(False)
         for texts in NOTICES.values():
             for text in texts:
                 template = F.array_distinct(words(F.lit(text)))
-                out = out | (F.size(F.array_intersect("w", template)) >= RESEMBLES * F.size(template))
+                least = RESEMBLES * F.size(template)
+                out = out | ((F.size("w") >= least) & (F.size(F.array_intersect("w", template)) >= least))
         return out
 
     def _scored(self, rows: DataFrame) -> DataFrame:
         """``rows`` (with words w), the best family and its probability."""
         kept = rows.columns
-        scored = self.model.transform(self.counter.transform(rows.withColumn("grams", grams(F.col("w")))))
+        if "grams" not in kept:
+            rows = rows.withColumn("grams", grams(F.col("w")))
+        scored = self.model.transform(self.counter.transform(rows))
         p = vector_to_array("probability")
         best = F.array_max(F.transform(F.slice(p, 2, len(self.families) - 1), lambda x, i: F.struct(x.alias("p"), i.alias("i"))))
         return scored.withColumn("best", best).select(
@@ -308,5 +330,5 @@ def scan(docs: DataFrame) -> DataFrame:
         "doc_id",
         F.coalesce("n_notices", F.lit(0).cast("bigint")).alias("n_notices"),
         F.coalesce("families", F.lit("")).alias("families"),
-        "probability",
+        F.round("probability", 4).alias("probability"),
     )

@@ -533,6 +533,26 @@ def test_every_confirmed_paragraph_is_found(spark, make):
     assert {(r.doc_id, r.at, r.n, r.family) for r in scanner.confirmed(df).collect()} == want and len(want) > 40
 
 
+def test_licence_models_come_from_all_pieces(make):
+    """Counts of all pieces, not of a draw, though few may weigh in: brute force over distinct words."""
+    notice = "Released under the MIT License."
+    texts = [f"The {w} {k} files are free of the charge. He {w} it to the library in {k}." for w in ("use", "copy", "zzz") for k in range(40)]
+    docs = make([(i, t) for i, t in enumerate([*texts, notice, *texts])], DOCS)
+    scanner = licences.Scanner(docs, unknown=5)
+    own = set(scanner.counter.vocabulary)
+    want = collections.Counter()
+    for t in texts + texts:
+        for part in re.split(r"(?<=[.])\s+", t):
+            w = re.findall(licences.WORD, part.lower())
+            want[frozenset(own & {*w, *map(" ".join, zip(w, w[1:]))})] += 1
+    assert {frozenset(r.grams): r.n for r in scanner._pieces(docs).collect()} == want and sum(want.values()) == 480
+    counted = collections.Counter()
+    for g, n in want.items():
+        counted.update(dict.fromkeys([x for x in g if " " not in x], n))
+    assert scanner.cues == licences.cues(counted)
+    assert [r.doc_id for r in licences.scan(docs).where("n_notices > 0").collect()] == [len(texts)]
+
+
 # --- packing ----------------------------------------------------------------
 
 
