@@ -148,6 +148,34 @@ def test_boilerplate_of_a_host(make):
     assert hosttext.extract(make([], PAGES)).collect() == []
 
 
+def test_boilerplate_inside_declared_articles(make):
+    """The host's runs decide in articles too; paragraphs and headings stay though they repeat."""
+    again = "this very sentence stands in each article of the host"
+    offer = "get our letter by mail every week and never miss a story"
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(30))
+    page = lambda i: f"<nav>{offer} now</nav><article><h2>{again}</h2><div>{own(i)}</div><p>{again}</p><div>{offer}</div><ul><li>{own(i)} a</ul></article>"
+    rows = [(i, f"http://h.example/{i}", page(i)) for i in range(8)] + [(8, "http://other.example/", page(8))]
+    for r in hosttext.extract(make(rows, PAGES)).collect():
+        want = [again, own(r.page_id), again, *([offer] if r.page_id == 8 else []), own(r.page_id) + " a"]
+        assert r.text == "\n".join(want)
+
+
+def test_covered_by_brute_force():
+    rng = random.Random(4)
+    for _ in range(30):
+        pages = [[" ".join(rng.choices("ab", k=rng.randrange(0, 14))).strip() or "a" for _ in range(rng.randrange(1, 4))] for _ in range(8)]
+        unlike = list(dict.fromkeys(map(tuple, pages)))
+        least = max(hosttext.LEAST_PAGES, math.ceil(hosttext.SHARE * len(unlike)))
+        streams = {p: [*sum(([(w, b, k) for k, w in enumerate(t.split())] + [(None, b, -1)] for b, t in enumerate(p)), []), ((p,), -1, -1)] for p in unlike}
+        on = collections.defaultdict(set)
+        runs = [(p, tuple(s[i : i + hosttext.RUN])) for p, s in streams.items() for i in range(len(s) - hosttext.RUN + 1)]
+        for p, run in runs:
+            on[tuple(x[0] for x in run)].add(p)
+        hit = {(p, b, k) for p, run in runs if len(on[tuple(x[0] for x in run)]) >= least for _, b, k in run if k >= 0}
+        want = [[sum((tuple(p), b, k) in hit for k in range(len(t.split()))) / len(t.split()) for b, t in enumerate(p)] for p in pages]
+        assert hosttext.covered(pages) == want
+
+
 def test_long_pages_are_linear():
     assert hosttext.blocks("<p>" * 20000 + 'x <a href="' * 5000)[0][1] == hosttext.OPEN
     assert hosttext.blocks("<div>" * 50000 + "deep") == [("deep", hosttext.OPEN)]
