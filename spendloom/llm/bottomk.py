@@ -260,17 +260,22 @@ def _led_pairs(large: DataFrame, turn: int) -> DataFrame:
 
 
 def _apart_pairs(large: DataFrame) -> DataFrame:
-    """All pairs of torn large lists that are in different components and share enough large lists, each made once."""
+    """All pairs of torn large lists that are in different components and share enough large lists, each made once.
+
+    Nodes of different components share torn lists alone.  A pair is made in the first list that it shares, so the rest
+    of both nodes' lists must do; that is asked first, as most pairs fall short of it.
+    """
     ends = F.min("component").alias("low"), F.max("component").alias("high")
     torn = large.join(large.groupBy("value").agg(*ends).where("low != high").select("value"), "value")
-    lists = large.groupBy("node").agg(F.sort_array(F.collect_list("value")).alias("values"))
-    rows = torn.join(lists, "node").select("value", F.struct("node", "size", "component", "values").alias("x"))
+    lists = torn.groupBy("node").agg(F.sort_array(F.collect_list("value")).alias("values"))
+    left = (F.size("values") - F.array_position("values", F.col("value")) + 1).alias("left")
+    rows = torn.join(lists, "node").select("value", F.struct("node", "size", "component", "values", left).alias("x"))
     least = _LEAST.replace("size_a", "x.size").replace("size_b", "y.size")
-    both = "array_intersect(x.values, y.values)"
     return (
         rows.join(rows.select("value", F.col("x").alias("y")), "value")
         .where(f"x.node < y.node AND x.component != y.component AND {_FITS}")
-        .where(f"array_min({both}) = value AND size({both}) >= {least}")
+        .where(f"least(x.left, y.left) >= {least}")
+        .where(f"exists(array(array_intersect(x.values, y.values)), b -> b[0] = value AND size(b) >= {least})")
         .select(*_pair())
     )
 

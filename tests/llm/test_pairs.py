@@ -2,13 +2,15 @@
 
 import collections
 import hashlib
+import itertools
+import random
 import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spendloom.llm import fmindex, jaccard, queries, reconcile
+from spendloom.llm import bottomk, fmindex, jaccard, queries, reconcile
 from spendloom.llm.common import table
 
 DOCS = "doc_id bigint, text string"
@@ -232,3 +234,28 @@ def test_one_row_of_each_group_stays(make):
     assert sum(1 for r in kept if shingles(r.text)) == len({c for _, n, c in groups if n})
     assert sum(1 for r in kept if not shingles(r.text)) == sum(1 for _, t in rows if not shingles(t))
     assert {r.doc_id for r in kept if shingles(r.text)} == {c for _, n, c in groups if n}
+
+
+def test_apart_pairs_by_brute_force(make):
+    rng = random.Random(7)
+    rows = []
+    for node in range(60):
+        size, values = rng.choice((5, 40, 450, 700)), rng.sample(range(40), rng.randrange(1, 30))
+        rows += [(v, node, size, len(values), node % 7) for v in values] + [(100 + node % 7, node, size, len(values), node % 7)]
+    large = make(rows, "value bigint, node bigint, size bigint, in_large bigint, component bigint")
+    of = {n: ({v for v, m, *_ in rows if m == n}, s, c) for _, n, s, _, c in rows}
+    want = set()
+    for a, b in itertools.combinations(sorted(of), 2):
+        (x, p, c), (y, q, d) = of[a], of[b]
+        if c == d or 100 * min(p, q) < bottomk.PERCENT * max(p, q):
+            continue
+        asked = -(-bottomk.PERCENT * (p + q) // (100 + bottomk.PERCENT)) if max(p, q) <= bottomk.K else bottomk.SHARED
+        unlisted = max(bottomk.needed(s) - 1 - (bottomk.MORE if s >= bottomk.LONG else 0) for s in (p, q))
+        if x & y and len(x & y) >= max(asked - unlisted, 1):
+            want.add((a, b, p, q))
+    found = bottomk._apart_pairs(large)
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
+    # Sets are met once a pair, after the counts.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_intersect(") == 1
