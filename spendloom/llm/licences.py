@@ -258,7 +258,8 @@ class Scanner:
         pairs = F.zip_with("k", F.slice("k", 2, F.greatest(F.size("k") - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
         own = F.array_distinct(F.filter(F.concat("k", pairs), lambda g: g.isin(vocabulary)))
         named = known.select(F.array_sort(own).alias("grams"), "n").groupBy("grams").agg(F.sum("n").alias("n"))
-        named = named.withColumn("w", F.filter("grams", lambda g: ~F.contains(g, F.lit(" "))))
+        # Written: the filter, a term for each template, would else be asked of every piece's text, which it then parses anew.
+        named = written(named.withColumn("w", F.filter("grams", lambda g: ~F.contains(g, F.lit(" ")))), "named")
         return named.where(~self._resembles(named))
 
     def _resembles(self, rows: DataFrame) -> Column:

@@ -581,6 +581,25 @@ def test_licence_models_come_from_all_pieces(make):
     assert [r.doc_id for r in licences.scan(docs).where("n_notices > 0").collect()] == [len(texts)]
 
 
+def test_licence_pieces_are_parsed_once(spark, monkeypatch):
+    """What resembles a notice is told of counted pieces: no plan parses texts once for each template."""
+    plans = []
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return written(df, name)
+
+    written = licences.written
+    monkeypatch.setattr(licences, "written", noted)
+    notice = "Released under the MIT License."
+    docs = spark.createDataFrame([(i, f"The files are free of the charge. {notice}") for i in range(9)], DOCS)
+    scanner = licences.Scanner(docs)
+    plans.append(scanner._pieces(docs)._jdf.queryExecution().optimizedPlan().toString())
+    assert all(plan.count("regexp_extract_all(") <= 1 for plan in plans)
+    assert sum(plan.count("regexp_extract_all(") for plan in plans) == 2
+    assert [r.n for r in scanner._pieces(docs).collect()] == [9]
+
+
 # --- packing ----------------------------------------------------------------
 
 
