@@ -262,20 +262,30 @@ def _led_pairs(large: DataFrame, turn: int) -> DataFrame:
 def _apart_pairs(large: DataFrame) -> DataFrame:
     """All pairs of torn large lists that are in different components and share enough large lists, each made once.
 
-    Nodes of different components share torn lists alone.  A pair is made in the first list that it shares, so the rest
-    of both nodes' lists must do; that is asked first, as most pairs fall short of it.
+    Nodes of different components share torn lists alone.  A node's lists are in order of their length, and a pair is made
+    in the first list that it shares, so that list and those after it must do: the long ones, at the end, make few pairs.
+    Near copies share most of their lists.  What rules them out is asked in order of its cost, and without lambdas, which
+    Spark interprets.
     """
-    ends = F.min("component").alias("low"), F.max("component").alias("high")
-    torn = large.join(large.groupBy("value").agg(*ends).where("low != high").select("value"), "value")
-    lists = torn.groupBy("node").agg(F.sort_array(F.collect_list("value")).alias("values"))
-    left = (F.size("values") - F.array_position("values", F.col("value")) + 1).alias("left")
-    rows = torn.join(lists, "node").select("value", F.struct("node", "size", "component", "values", left).alias("x"))
+    ends = F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")
+    torn = large.join(large.groupBy("value").agg(*ends).where("low != high").select("value", "members"), "value")
+    ordered = F.sort_array(F.collect_list(F.struct("members", "value"))).getField("value")
+    lists = torn.groupBy("node").agg(ordered.alias("values"))
+    at = F.array_position("values", F.col("value")).cast("int")
+    parts = [
+        (F.size("values") - at + 1).alias("left"),
+        F.get("values", at - 2).alias("previous"),
+        F.slice("values", F.lit(1), at - 1).alias("before"),
+        F.slice("values", at, F.size("values")).alias("rest"),
+    ]
+    rows = torn.join(lists, "node").select("value", F.struct("node", "size", "component", *parts).alias("x"))
     least = _LEAST.replace("size_a", "x.size").replace("size_b", "y.size")
     return (
         rows.join(rows.select("value", F.col("x").alias("y")), "value")
         .where(f"x.node < y.node AND x.component != y.component AND {_FITS}")
-        .where(f"least(x.left, y.left) >= {least}")
-        .where(f"exists(array(array_intersect(x.values, y.values)), b -> b[0] = value AND size(b) >= {least})")
+        .where(f"least(x.left, y.left) >= {least} AND coalesce(x.previous != y.previous, true)")
+        .where("NOT arrays_overlap(x.before, y.before)")
+        .where(f"size(array_intersect(x.rest, y.rest)) >= {least}")
         .select(*_pair())
     )
 

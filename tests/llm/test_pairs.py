@@ -259,3 +259,18 @@ def test_apart_pairs_by_brute_force(make):
     # Sets are met once a pair, after the counts.
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("array_intersect(") == 1
+
+
+def test_apart_pairs_that_share_most_lists(make):
+    """Pairs that meet in dozens of lists come once; they are told apart by compiled code, and in short lists first."""
+    size, nodes = 300, 24
+    # Lists 0 to 59 have all nodes, 60 to 71 two each.
+    of = {n: {*range(60 - n % 2), 60 + n // 2} for n in range(nodes)}
+    rows = [(v, n, size, len(values), n) for n, values in of.items() for v in values]
+    found = bottomk._apart_pairs(make(rows, "value bigint, node bigint, size bigint, in_large bigint, component bigint"))
+    least = -(-2 * size * bottomk.PERCENT // (100 + bottomk.PERCENT)) - bottomk.needed(size) + 1
+    want = [(a, b) for a, b in itertools.combinations(range(nodes), 2) if len(of[a] & of[b]) >= least]
+    assert sorted((r.a, r.b) for r in found.collect()) == want and len(want) == nodes * (nodes - 1) // 2
+    condition = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "exists(" not in condition and condition.count("arrays_overlap(") == 1
+    assert "members" in condition
