@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendloom.llm.common import map_batches, merged, pick, written
@@ -205,9 +205,14 @@ def inverted(docs: DataFrame, often: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["value", "node", "size"])
 
     entries = written(map_batches(pick(docs, "text"), work, "value bigint, node bigint, size bigint"), "entries")
-    ends = F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("members")
-    lists = entries.groupBy("value").agg(*ends).where("low != high").select("value", "members")
-    return written(entries.join(lists, "value").distinct(), "inverted")
+    return written(_with_members(entries), "inverted")
+
+
+def _with_members(entries: DataFrame) -> DataFrame:
+    """Entries of lists with two nodes or more, with the list's length; entries are shuffled once, as most are alone."""
+    own = Window.partitionBy("value")
+    ends = {"low": F.min("node").over(own), "high": F.max("node").over(own), "members": F.count("*").over(own)}
+    return entries.withColumns(ends).where("low != high").select("value", "node", "size", "members").distinct()
 
 
 #: SQL for a pair: sizes near enough; retained values that a set has outside the lists; shared ones that are asked for.
@@ -308,18 +313,27 @@ def _bloom(wanted: DataFrame) -> np.ndarray:
     return table
 
 
+def _may_have(table: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which nodes the filter lets through."""
+    maybe = np.ones(len(ids), bool)
+    for at in _bits(ids):
+        maybe &= (table[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
+    return maybe
+
+
 def _nodes_of(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
 
 
 class Sets:
-    """``node, packed``: whole sets of the nodes asked for so far, ascending, so that a sketch is where a set begins."""
+    """``node, packed``: whole sets of the nodes asked for, ascending, so that a sketch is where a set begins."""
 
     def __init__(self, docs: DataFrame):
         self.docs, self.have, self.found = pick(docs, "text"), None, None
 
     def of(self, pairs: DataFrame) -> DataFrame:
         """Reads the texts once more for the pairs' nodes that aren't there yet."""
+        first = self.have is None
         wanted = _nodes_of(pairs).distinct()
         new = written(wanted if self.have is None else wanted.join(self.have, "node", "left_anti"), "wanted")
         if self.have is None or not new.isEmpty():
@@ -327,7 +341,7 @@ class Sets:
             found = written(once.groupBy("node").agg(F.first("packed").alias("packed")), "sets")
             self.have = new if self.have is None else self.have.union(new)
             self.found = found if self.found is None else self.found.union(found)
-        return self.found
+        return self.found if first else among(self.found, pairs)
 
     def _reader(self, bits: np.ndarray):
         shared = self.docs.sparkSession.sparkContext.broadcast(bits)
@@ -337,10 +351,7 @@ class Sets:
             for batch in merged(batches, BATCH_BYTES):
                 own = {node_of(s): s for s in shingle_sets(_texts(batch)) if len(s)}
                 ids = np.array([i for i in own if i not in seen], np.uint64)
-                maybe = np.ones(len(ids), bool)
-                for at in _bits(ids):
-                    maybe &= (table[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
-                ids = ids[maybe]
+                ids = ids[_may_have(table, ids)]
                 if len(seen) < 1 << 18:
                     seen.update(ids.tolist())
                 packed = pa.array([own[i].tobytes() for i in ids.tolist()], pa.binary())
@@ -349,6 +360,18 @@ class Sets:
         return work
 
 
+def among(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Sets of the pairs' nodes and of few others: a set that no pair needs isn't shuffled to them."""
+    shared = sets.sparkSession.sparkContext.broadcast(_bloom(_nodes_of(pairs).distinct()))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("node").to_numpy().view(np.uint64)
+            yield batch.filter(pa.array(_may_have(shared.value, ids)))
+
+    return map_batches(sets, work, sets.schema)
+
+
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     one, two = (sets.select(F.col("node").alias(n), F.col("packed").alias(f"p{n}")) for n in "ab")
     return pairs.join(one, "a").join(two, "b")
@@ -390,7 +413,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     likely = written(
         map_batches(_with_sets(pairs, sketches).select(columns), _estimated, "a bigint, b bigint, linked boolean"), "likely"
     )
-    full = _with_sets(likely.where("NOT linked").select("a", "b"), sets).select("a", "b", "pa", "pb")
+    open_ = likely.where("NOT linked").select("a", "b")
+    full = _with_sets(open_, among(sets, open_)).select("a", "b", "pa", "pb")
     return written(likely.where("linked").select("a", "b").union(map_batches(full, _confirmed, "a bigint, b bigint")), "links")
 
 

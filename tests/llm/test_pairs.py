@@ -274,3 +274,27 @@ def test_apart_pairs_that_share_most_lists(make):
     condition = found._jdf.queryExecution().optimizedPlan().toString()
     assert "exists(" not in condition and condition.count("arrays_overlap(") == 1
     assert "members" in condition
+
+
+def test_list_entries_are_shuffled_once(make):
+    rng = random.Random(3)
+    rows = [(rng.randrange(60), rng.randrange(40), 7) for _ in range(150)]
+    rows += rows[:9]
+    found = bottomk._with_members(make(rows, "value bigint, node bigint, size bigint"))
+    of = {v: [r[1] for r in rows if r[0] == v] for v, *_ in rows}
+    want = {(v, n, s, len(of[v])) for v, n, s in rows if len(set(of[v])) > 1}
+    assert sorted(map(tuple, found.collect())) == sorted(want) and 0 < len(want) < len(rows)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2  # the final plan repeats the first
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_only_sets_of_pairs_are_joined(make):
+    sets = make([(n - 500, bytes(8 * (1 + n % 5))) for n in range(1000)], "node bigint, packed binary")
+    pairs = make([(-500, 499), (-500, 7), (7, 499)] * 5, "a bigint, b bigint")
+    found = [tuple(r) for r in bottomk.among(sets, pairs).collect()]
+    have = dict(map(tuple, sets.collect()))
+    assert {-500, 7, 499} <= {n for n, _ in found} and all(have[n] == p for n, p in found) and len(found) < 30
+    assert bottomk.among(sets, pairs.limit(0)).isEmpty()
+    # A node of many pairs is one row of the filter's input.
+    wanted = bottomk._nodes_of(pairs).distinct()
+    assert wanted.count() == 3
