@@ -58,9 +58,16 @@ def dropped(spark: SparkSession, folder: str) -> None:
 @contextmanager
 def kept(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """The same as ``written``, for as long as the block lasts."""
+    with kept_apart(df, name) as rows:
+        yield rows
+
+
+@contextmanager
+def kept_apart(df: DataFrame, name: str, *by: str) -> Iterator[DataFrame]:
+    """The same as ``kept``, in folders by the columns ``by``."""
     path = scratch_path(df.sparkSession, name)
     try:
-        df.write.parquet(path)
+        (df.write.partitionBy(*by) if by else df.write).parquet(path)
         yield df.sparkSession.read.schema(df.schema).parquet(path)
     finally:
         dropped(df.sparkSession, path)

@@ -6,8 +6,8 @@ alone.  A batch compares itself with all other batches and then overwrites its
 own folder, so a batch that is run again after a failure writes the same rows
 once.  What a batch rejects, unreadable pages included, goes the same way.
 
-With ``Remember`` the stream's state holds the keys of the last days, so a batch
-of recent rows doesn't read the target at all.
+With ``Remember`` the stream's state holds the keys of the last days, and of no
+others, so a batch of recent rows doesn't read the target at all.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from spendloom.operators.joins import all_present
 from spendloom.operators.merge import rows_to_insert
 from spendloom.operators.rejects import split_unreadable
 from spendloom.sources.pages import CORRUPT, page_schema, records_and_faults, records_of, torn_schema
-from spendloom.store import kept
+from spendloom.store import kept, kept_apart
 
 BATCH = "load_batch"
 #: Below the checkpoint, as it is about the state there: files named ``since=<day>`` and ``early=<day>``.
@@ -113,15 +113,17 @@ def merge_new_files(
             return read_target(spark, target, contract).filter(F.col(BATCH) != batch_id).select(*contract.names)
 
         # Several passes read the batch, and its files are parsed once for them.
-        with kept(batch, "landed") as landed:
+        # The state's many small files lie apart, or a few tasks would read all records beside them.
+        with kept(batch, "landed") if remember is None else kept_apart(batch, "landed", _IS_KEY) as landed:
             new_keys, today = None, None
             if remember is not None:
+                new_keys = landed.filter(F.col(_IS_KEY) == 1).select(f"{_KEY}.*")
+                landed = landed.filter(F.col(_IS_KEY) == 0)
                 # One row for a batch; none where a batch only lets old state go.
                 today = landed.select(F.to_date(F.max(_ARRIVED))).first()[0]
                 if today is None:
                     return
-                new_keys = landed.filter(F.col(_KEY).isNotNull()).select(f"{_KEY}.*")
-                landed = landed.filter(F.col(_RECORD).isNotNull()).select(f"{_RECORD}.*")
+                landed = landed.select(f"{_RECORD}.*")
             good, bad = landed, None
             if CORRUPT in landed.columns:
                 good, bad = split_unreadable(landed)
@@ -150,7 +152,7 @@ def merge_new_files(
     )
 
 
-_RECORD, _KEY, _ARRIVED = "_record", "_key", "_arrived"
+_RECORD, _KEY, _IS_KEY, _ARRIVED = "_record", "_key", "_is_key", "_arrived"
 
 
 def _good(prepared: DataFrame | Checked) -> DataFrame:
@@ -164,13 +166,19 @@ def _with_new_keys(
     keys: list[str],
     remember: Remember,
 ) -> DataFrame:
-    """The records, and beside them the keys that the state did not have yet; only the keys are shuffled."""
+    """The records, and beside them the keys that the state did not have yet; only the keys are shuffled.
+
+    A day before a row's window is before that of every later batch as well, so the state is never asked about its keys.
+    """
     arrived = F.current_timestamp() if remember.arrived is None else remember.arrived
     readable = split_unreadable(records)[0] if CORRUPT in records.columns else records
     good = contract.conform(_good(prepare(readable))).select(*keys).filter(all_present(keys))
-    dated = good.withColumn(_ARRIVED, arrived).withWatermark(_ARRIVED, f"{remember.days} days")
-    first = dated.dropDuplicatesWithinWatermark(keys).select(F.struct(*keys).alias(_KEY), _ARRIVED)
-    every = records.select(F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias(_RECORD), arrived.alias(_ARRIVED))
+    late = F.col(remember.day).cast("date") < F.date_sub(F.to_date(_ARRIVED), remember.days)
+    recent = good.withColumn(_ARRIVED, arrived).filter(~F.coalesce(late, F.lit(False)))
+    dated = recent.withWatermark(_ARRIVED, f"{remember.days} days")
+    first = dated.dropDuplicatesWithinWatermark(keys).select(F.struct(*keys).alias(_KEY), F.lit(1).alias(_IS_KEY), _ARRIVED)
+    record = F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias(_RECORD)
+    every = records.select(record, F.lit(0).alias(_IS_KEY), arrived.alias(_ARRIVED))
     return every.unionByName(first, allowMissingColumns=True)
 
 

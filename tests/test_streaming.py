@@ -213,6 +213,39 @@ def test_keys_of_faulty_rows_are_not_remembered(spark, remembering):
     assert spark.read.parquet(remembering.rejects).count() == 3
 
 
+def test_the_state_holds_keys_of_its_window_alone(spark, remembering):
+    remembering.land("a", (1, 0), (2, -10), (3, -11), (4, -300), (5, 3))
+    records = landed_pages(spark, str(remembering.incoming), "data", "id string, day string, name string")
+    prepare = lambda df: DATED.enforce(remembering.prepared(df))
+    arrived = F.lit(dt.datetime.combine(TODAY, dt.time(12)))
+    query = merge_new_files(
+        records, prepare, remembering.target, remembering.checkpoint, DATED, ["ID", "DAY"], "DAY", remember=Remember("DAY", 10, arrived)
+    )
+    query.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) == 3
+    remembering.land("b", (1, 0), (2, -10), (3, -11), (4, -300), (5, 3), (6, -11))
+    remembering.run()
+    assert remembering.rows() == [(1, 0, "a"), (2, -10, "a"), (3, -11, "a"), (4, -300, "a"), (5, 3, "a"), (6, -11, "b")]
+
+
+def test_records_are_read_apart_from_keys(remembering, monkeypatch):
+    """Beside the state's files, of which each counts as a few MB, all records would come to few tasks."""
+    remembering.land("a", *((i, -i % 5) for i in range(40)))
+    real, folders = incremental.kept_apart, []
+
+    @contextmanager
+    def seen(df, name, *by):
+        with real(df, name, *by) as rows:
+            for alone in ("_key IS NULL", "_record IS NULL"):
+                files = rows.where(alone).select(F.input_file_name()).distinct().collect()
+                folders.append({f.rsplit("/", 2)[1] for (f,) in files})
+            yield rows
+
+    monkeypatch.setattr(incremental, "kept_apart", seen)
+    remembering.run()
+    assert folders[:2] == [{"_is_key=0"}, {"_is_key=1"}] and len(remembering.rows()) == 40
+
+
 def test_the_day_is_a_key(spark, remembering):
     remembering.land("a", (1, 0))
     records = landed_pages(spark, str(remembering.incoming), "data", "id string, day string, name string")
