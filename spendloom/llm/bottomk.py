@@ -50,6 +50,8 @@ LEADER_ROUNDS = 2
 BATCH_BYTES = 1 << 20
 GROUP_BYTES = 1 << 19
 BLOOM_BITS = 1 << 26
+#: Shingles of a block of nodes, whose pairs are compared together.
+BLOCK = 1 << 16
 
 FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -221,6 +223,14 @@ _UNLISTED = f"least(({{0}} * {PERCENT} + 99) div 100, {SHARED}) - 1 - if({{0}} >
 _ASKED = f"if(greatest(size_a, size_b) <= {K}, ({PERCENT} * (size_a + size_b) + {99 + PERCENT}) div {100 + PERCENT}, {SHARED})"
 #: What the overlap in the lists must reach.
 _LEAST = f"greatest({_ASKED} - greatest({_UNLISTED.format('size_a')}, {_UNLISTED.format('size_b')}), 1)"
+#: No more than the overlap that any partner in an entry's list asks for: what is asked rises with the partner's size up to K,
+#: and what is unlisted rises but for the step at LONG.
+_SHORTEST = f"greatest(shortest, (size * {PERCENT} + 99) div 100)"
+_LONGEST = f"least(longest, size * 100 div {PERCENT})"
+_ASKED_AT = [_ASKED.replace("size_a", "size").replace("size_b", f"({x})") for x in (_SHORTEST, _LONGEST)]
+_BELOW_LONG = f"if({_SHORTEST} < {LONG} AND {_LONGEST} >= {LONG}, {needed(LONG - 1) - 1}, 0)"
+_UNLISTED_AT = [_UNLISTED.format("size"), _UNLISTED.format(f"({_LONGEST})"), _BELOW_LONG]
+_LEAST_OF_LIST = f"least({', '.join(_ASKED_AT)}) - greatest({', '.join(_UNLISTED_AT)})"
 _PAIR = ["a", "b", "size_a", "size_b"]
 
 
@@ -268,12 +278,14 @@ def _apart_pairs(large: DataFrame) -> DataFrame:
     """All pairs of torn large lists that are in different components and share enough large lists, each made once.
 
     Nodes of different components share torn lists alone.  A node's lists are in order of their length, and a pair is made
-    in the first list that it shares, so that list and those after it must do: the long ones, at the end, make few pairs.
+    in the first list that it shares, so that list and those after it must do: the long ones, at the end, make few pairs,
+    and an entry with too few lists after it for any size of its list is left out.
     Near copies share most of their lists.  What rules them out is asked in order of its cost, and without lambdas, which
     Spark interprets.
     """
-    ends = F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")
-    torn = large.join(large.groupBy("value").agg(*ends).where("low != high").select("value", "members"), "value")
+    ends = [F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")]
+    ends += [F.min("size").alias("shortest"), F.max("size").alias("longest")]
+    torn = large.join(large.groupBy("value").agg(*ends).where("low != high").drop("low", "high"), "value")
     ordered = F.sort_array(F.collect_list(F.struct("members", "value"))).getField("value")
     lists = torn.groupBy("node").agg(ordered.alias("values"))
     at = F.array_position("values", F.col("value")).cast("int")
@@ -283,7 +295,8 @@ def _apart_pairs(large: DataFrame) -> DataFrame:
         F.slice("values", F.lit(1), at - 1).alias("before"),
         F.slice("values", at, F.size("values")).alias("rest"),
     ]
-    rows = torn.join(lists, "node").select("value", F.struct("node", "size", "component", *parts).alias("x"))
+    rows = torn.join(lists, "node").where(F.size("values") - at + 1 >= F.expr(_LEAST_OF_LIST))
+    rows = rows.select("value", F.struct("node", "size", "component", *parts).alias("x"))
     least = _LEAST.replace("size_a", "x.size").replace("size_b", "y.size")
     return (
         rows.join(rows.select("value", F.col("x").alias("y")), "value")
@@ -406,6 +419,16 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(n).filter(links) for n in "ab"], ["a", "b"])
 
 
+def _link(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two whole sets link; of large ones the union's sketch is asked first."""
+    if max(len(a), len(b)) > K:
+        both, n = estimate(a[:K], b[:K])
+        if both * K < SHARED * n:
+            return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that link: ``a, b`` (written)."""
     sketches = sets.select("node", F.substring("packed", 1, 8 * K).alias("packed"))
@@ -418,6 +441,51 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return written(likely.where("linked").select("a", "b").union(map_batches(full, _confirmed, "a bigint, b bigint")), "links")
 
 
+def blocked(pairs: DataFrame) -> DataFrame:
+    """``a, b, block_a, block_b``: pairs, and blocks of nodes that go with one node, at most ``BLOCK`` shingles on average.
+
+    A node goes with the least hash of those that it is paired with and its own, so that a group of near copies, in which
+    most are paired with most, comes into few blocks, of a size that doesn't grow with the group.
+    """
+    near = pairs.select(F.col("a").alias("node"), F.col("size_a").alias("size"), F.col("b").alias("other"))
+    near = near.union(pairs.select("b", "size_b", "a"))
+    hashed = F.least(F.min(F.xxhash64("other")), F.xxhash64("node"))
+    home = near.groupBy("node", "size").agg(hashed.alias("home"))
+    parts = home.groupBy("home").agg(F.expr(f"cast(sum(size) div {BLOCK} + 1 as bigint)").alias("parts"))
+    part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts"))
+    blocks = written(home.join(parts, "home").select("node", F.xxhash64("home", part).alias("block")), "blocks")
+    one, two = (blocks.select(F.col("node").alias(n), F.col("block").alias(f"block_{n}")) for n in "ab")
+    return pairs.select("a", "b").join(one, "a").join(two, "b")
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows by meeting, each meeting's sets before its pairs: the pairs that link."""
+    at, sets = None, {}
+    for batch in batches:
+        out = []
+        columns = (batch.column(n) for n in ("meeting", "a", "b", "packed"))
+        for meeting, a, b, packed in zip(*(c.to_pylist() for c in columns), strict=True):
+            if meeting != at:
+                at, sets = meeting, {}
+            if packed is not None:
+                sets[a] = np.frombuffer(packed, np.uint64)
+            elif _link(sets[a], sets[b]):
+                out.append((a, b))
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in (zip(*out) if out else ((), ()))], ["a", "b"])
+
+
+def verified_in_blocks(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """As ``verified``, for many pairs of few nodes: whole sets go to each two blocks that have pairs, not to each pair."""
+    pairs = blocked(pairs)
+    pairs = pairs.select(F.xxhash64(F.least("block_a", "block_b"), F.greatest("block_a", "block_b")).alias("meeting"), "a", "b")
+    pairs = written(pairs, "meetings")
+    ends = pairs.select("meeting", F.col("a").alias("node")).union(pairs.select("meeting", "b")).distinct()
+    met = ends.join(sets, "node").select("meeting", F.col("node").alias("a"), F.lit(None).cast("bigint").alias("b"), "packed")
+    rows = met.union(pairs.withColumn("packed", F.lit(None).cast("binary")))
+    rows = rows.repartition("meeting").sortWithinPartitions("meeting", F.col("packed").isNull())
+    return written(map_batches(rows, _compared, "a bigint, b bigint"), "links")
+
+
 def linked_nodes(docs: DataFrame, met: DataFrame) -> DataFrame:
     """``node, component`` of the nodes that links touch (written)."""
     is_large = F.col("members") > LARGE_LIST
@@ -439,7 +507,8 @@ def linked_nodes(docs: DataFrame, met: DataFrame) -> DataFrame:
         pairs = written(pairs, "pairs")
         if pairs.isEmpty():
             continue
-        found = verified(pairs, sets.of(pairs))
+        check = verified_in_blocks if turn == LEADER_ROUNDS else verified
+        found = check(pairs, sets.of(pairs))
         # Nodes that are joined already stand for their components.
         links = reached.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found)
         reached = written(components(links), "reached")

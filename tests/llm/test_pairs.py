@@ -298,3 +298,63 @@ def test_only_sets_of_pairs_are_joined(make):
     # A node of many pairs is one row of the filter's input.
     wanted = bottomk._nodes_of(pairs).distinct()
     assert wanted.count() == 3
+
+
+def near_sets(families=3, nodes=40, size=120):
+    """Packed sets of families, in which most pairs are close and some of them link; one family's are beyond a sketch."""
+    rng, sets = np.random.default_rng(11), {}
+    for f in range(families):
+        n = size if f else 5 * bottomk.K
+        base = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        for i in range(nodes):
+            own = base.copy()
+            at = rng.integers(0, n, n // 20 + i * n // 400)
+            own[at] = rng.integers(0, 1 << 63, len(at)).astype(np.uint64)
+            sets[1000 * f + i - 500] = np.unique(own)
+    return sets
+
+
+@pytest.mark.parametrize("block", [None, 500])
+def test_pairs_of_near_copies_meet_in_blocks(make, monkeypatch, block):
+    if block:
+        monkeypatch.setattr(bottomk, "BLOCK", block)
+    sets = near_sets()
+    pairs = [(a, b, len(sets[a]), len(sets[b])) for a, b in itertools.combinations(sorted(sets), 2) if a // 500 == b // 500]
+    frame = make(pairs, "a bigint, b bigint, size_a bigint, size_b bigint")
+    stored = make([(n, s.tobytes()) for n, s in sets.items()] + [(9999, bytes(8))], "node bigint, packed binary")
+    found = [tuple(r) for r in bottomk.verified_in_blocks(frame, stored).collect()]
+    want = {(a, b) for a, b, p, q in pairs if 180 * len(np.intersect1d(sets[a], sets[b])) >= 80 * (p + q)}
+    assert len(found) == len(set(found)) and set(found) == want and 0 < len(want) < len(pairs)
+    blocks = {tuple(r) for r in bottomk.blocked(frame).collect()}
+    met = {(n, frozenset(r[2:])) for r in blocks for n in r[:2]}
+    assert len(blocks) == len(pairs)
+    # Pairs bring a set 39 times to its family; blocks as often as the family has blocks.
+    if block is None:
+        assert len({b for r in blocks for b in r[2:]}) < 12 and len(met) < 4 * len(sets)
+    else:
+        assert len({b for r in blocks for b in r[2:]}) > 40
+
+
+def test_no_pairs_meet_in_blocks(make):
+    none = make([], "a bigint, b bigint, size_a bigint, size_b bigint")
+    assert bottomk.verified_in_blocks(none, make([], "node bigint, packed binary")).collect() == []
+
+
+def test_entries_no_partner_can_reach_are_left_out(make):
+    def least(p, q):
+        asked = -(-bottomk.PERCENT * (p + q) // (100 + bottomk.PERCENT)) if max(p, q) <= bottomk.K else bottomk.SHARED
+        return max(asked - max(bottomk.needed(s) - 1 - (bottomk.MORE if s >= bottomk.LONG else 0) for s in (p, q)), 1)
+
+    rng, rows = random.Random(2), []
+    for size in range(1, 900, 3):
+        for spread in (0, 5, 40, 900):
+            rows.append((size, max(1, size - rng.randint(0, spread)), size + rng.randint(0, spread)))
+    found = make(rows, "size bigint, shortest bigint, longest bigint").selectExpr("*", f"{bottomk._LEAST_OF_LIST} AS t").collect()
+    for size, shortest, longest, t in found:
+        partners = range(max(shortest, -(-size * bottomk.PERCENT // 100)), min(longest, size * 100 // bottomk.PERCENT) + 1)
+        assert t <= min(least(size, q) for q in partners)
+    assert all(t == least(size, size) for size, shortest, longest, t in found if shortest == longest and least(size, size) > 1)
+    # Of lists that nodes of one size share, the last entries make no pair.
+    large = [(v, n, 300, 40, n) for n in range(12) for v in range(40)]
+    plan = bottomk._apart_pairs(make(large, "value bigint, node bigint, size bigint, in_large bigint, component bigint"))
+    assert plan.count() == 66 and "longest" in plan._jdf.queryExecution().optimizedPlan().toString()
