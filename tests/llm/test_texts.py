@@ -160,6 +160,33 @@ def test_boilerplate_inside_declared_articles(make):
         assert r.text == "\n".join(want)
 
 
+def test_runs_of_a_host_are_counted_over_its_shards(make):
+    """A notice on few of a large host's pages goes wherever they are dealt; copies of a page don't make one."""
+    notice = "this shop is closed on all the days of the fair"
+    twice = "only two of the pages have this line though one comes often"
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(30))
+    body = lambda i: f"<div>{own(i)}</div>" + (f"<div>{notice}</div>" if i % 8 == 0 else f"<div>{twice}</div>" if i in (1, 2) else "")
+    rows = [(i, f"http://h.example/{i}", body(i)) for i in range(24)] + [(100 + i, "http://h.example/copy", body(1)) for i in range(9)]
+    rows += [(50 + i, "http://other.example/", f"<div>{notice}</div><div>{own(i)}</div>") for i in range(2)] + [(60, "http://h.example/none", None)]
+    for size in (300, 1 << 20):
+        got = hosttext.extract(make(rows, PAGES), shard_bytes=size).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            i = 1 if r.page_id >= 100 else r.page_id
+            want = [notice] * (i in (50, 51)) + [own(i - 50 if i >= 50 else i)] + [twice] * (i in (1, 2))
+            assert r.text == ("" if i == 60 else "\n".join(want))
+
+
+def test_shards_of_a_host_change_nothing(make):
+    rng = random.Random(5)
+    block = lambda: f"<div>{' '.join(rng.choices('aaab', k=rng.randrange(1, 20)))}</div>"
+    rows = [(i, f"http://{rng.choice('hhhi')}.example/", "".join(block() for _ in range(rng.randrange(4)))) for i in range(80)]
+    rows += rng.choices(rows, k=20)
+    whole, parts = (sorted(map(tuple, hosttext.extract(make(rows, PAGES), shard_bytes=n).collect())) for n in (1 << 22, 400))
+    kept = sum(len(t.split("\n")) for *_, t in whole if t)
+    assert parts == whole and 0 < kept < sum(len(hosttext.blocks(r[2])) for r in rows) * 0.9
+
+
 def test_covered_by_brute_force():
     rng = random.Random(4)
     for _ in range(30):
