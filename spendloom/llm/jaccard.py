@@ -13,6 +13,9 @@ runs of five words (of fewer words, all of them as one).  Two rows link when 100
    Then all pairs that are still apart are taken.  No bound on partners, nothing is sampled.
    Overlap counts accumulate over the kept columns; as a row has at most ceil(.75 s) - 1 other columns, a pair whose
    count falls short of the overlap that its sizes ask for is discarded.  The rest is compared on whole sets.
+   A node is thick if it has meetings for a good part of its columns.  Where many thick nodes meet they are not paired at
+   all: they lie in blocks, and for each two blocks that meet, the product of their whole rows tells all links at once.  So
+   the pairs of a large group of copies are never rows of a table.
 4. Links become components by alternating large and small stars.
 
 Null and empty texts have no shingles and link with nothing.  Rows of one id keep apart as rows; the component's id is
@@ -22,10 +25,12 @@ with a chance of 3 %.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,10 +47,18 @@ GROUP_BYTES = 1 << 19
 #: Packed entries a task gathers before it hands them on, and entries a block of columns should have.
 FLUSH_BYTES = 8 << 20
 BLOCK_BYTES = 16 << 20
-#: Meetings of so many nodes have all their nodes' sets read with the first pairs.
-SMALL_MEETING = 24
 #: Meetings of more nodes are large.
 LARGE_MEETING = 64
+#: How many nodes of a large meeting lead it, about, beside the one of the least hash.
+LEADERS = 6
+#: Packed shingles of pairs that are compared at once.
+PIECE_BYTES = 1 << 20
+#: Nodes that meet others in one of so many shingles, or more, are thick.
+THICK = 20
+#: Shingles that a block of thick nodes has, about.
+BLOCK_SHINGLES = 1 << 19
+#: Columns of a product that are dense at once, and entries of a column from which on it is.
+DENSE, HEAVY = 1 << 11, 8
 #: How often at most other leaders are tried while that connects nodes.
 STAR_ROUNDS = 4
 BLOOM_BITS = 1 << 26
@@ -314,13 +327,13 @@ _NODE = ("node", "size", "most", "component")
 def _led(apart: DataFrame, met: DataFrame, turn: int) -> DataFrame:
     """Each node of a meeting with the meeting's leaders from other components; overlap counts over all meetings.
 
-    The node of the least hash leads, and of n members of a large meeting about half the root of n more, so that its
-    pairs stay far below its square.  Hashes differ from turn to turn, but not between meetings.
+    The node of the least hash leads, and ``LEADERS`` more members of a large meeting, so that pairs are in proportion to
+    members.  Hashes differ from turn to turn, but not between meetings.
     """
     order = F.xxhash64("node", F.lit(turn))
     place = F.pmod(order, F.lit(1 << 30)) / float(1 << 30)
     least = apart.groupBy("meeting").agg(F.min_by(F.struct(*_NODE), order).alias("y"))
-    more = apart.where((F.col("members") > LARGE_MEETING) & (place * F.sqrt("members") < 0.5))
+    more = apart.where((F.col("members") > LARGE_MEETING) & (place * F.col("members") < LEADERS))
     leaders = least.union(more.select("meeting", F.struct(*_NODE).alias("y")))
     found = (
         apart.select("meeting", F.struct(*_NODE).alias("x"))
@@ -340,31 +353,155 @@ def _led(apart: DataFrame, met: DataFrame, turn: int) -> DataFrame:
     )
 
 
-def _all_apart(apart: DataFrame) -> DataFrame:
-    """All pairs of each meeting that are in different components, with their overlap counts.
+def _thick() -> Column:
+    return F.expr(f"{THICK} * most >= size")
 
-    Large meetings tend to have nearly the same nodes.  So there every node carries its large meetings (the high 40
-    bits) with their columns (the low 24), and a pair is made in the least of its large meetings alone, if what it has
-    in those and what either node has in small ones (``few``) may be enough.
+
+def _loose_pairs(met: DataFrame) -> DataFrame:
+    """``a, b``: all pairs that may link, but those of thick nodes that share a meeting of many.
+
+    Their overlaps are counted.  Large meetings tend to have nearly the same nodes.  So there every node carries its large meetings (the high 40 bits) with their columns (the low 24), and a pair is made in
+    the least of its large meetings alone, if what it has in those and what either node has in small ones (``few``) may be
+    enough.
     """
-    pair = f"x.node < y.node AND x.component != y.component AND {_FITS} AND {_POSSIBLE}"
-    pairs = [F.col(f"{n}.{c}").alias(f"{c}_{k}" if c == "size" else k) for c in ("node", "size") for n, k in (("x", "a"), ("y", "b"))]
-    small = apart.where(F.col("members") <= LARGE_MEETING).select("meeting", "columns", F.struct(*_NODE).alias("x"))
+    may = f"{_FITS} AND {_POSSIBLE}"
+    pairs = _pair("x", "y")
+    small = met.where(F.col("members") <= LARGE_MEETING).select("meeting", "columns", F.struct(*_NODE).alias("x"))
     often = (
-        small.join(small.select("meeting", F.col("x").alias("y")), "meeting").where(pair).select(*pairs, "columns")
+        small.join(small.select("meeting", F.col("x").alias("y")), "meeting")
+        .where(f"x.node < y.node AND {may}")
+        .select(*pairs, "columns")
     )
     code = F.expr("(meeting & ~16777215L) | least(columns, 16777215L)")
-    large = apart.where(F.col("members") > LARGE_MEETING)
+    large = met.where(F.col("members") > LARGE_MEETING)
     lists = large.groupBy("node").agg(F.collect_list(code).alias("all"), F.sum("columns").alias("in_large"))
     few = (F.col("most") - F.col("in_large")).alias("few")
-    listed = large.join(lists, "node").select("meeting", code.alias("here"), F.struct(*_NODE, "all", few).alias("x"))
+    dense = _dense().alias("dense")
+    listed = large.join(lists, "node").select("meeting", code.alias("here"), dense, F.struct(*_NODE, "all", few).alias("x"))
     shared = "aggregate(array_intersect(x.all, y.all), 0L, (sum, m) -> sum + (m & 16777215L))"
     once = (
-        listed.join(listed.select("meeting", F.col("x").alias("y")), "meeting")
-        .where(f"{pair} AND array_min(array_intersect(x.all, y.all)) = here AND {shared} + least(x.few, y.few) >= {_ASKED}")
+        listed.where("NOT dense")
+        .join(listed.select("meeting", F.col("dense").alias("other"), F.col("x").alias("y")), "meeting")
+        .where(f"(other OR x.node < y.node) AND {may}")
+        .where(f"array_min(array_intersect(x.all, y.all)) = here AND {shared} + least(x.few, y.few) >= {_ASKED}")
         .select(*pairs, F.expr(shared).alias("columns"))
     )
-    return often.union(once).groupBy("a", "b", "size_a", "size_b").agg(F.sum("columns").alias("columns")).where(_enough())
+    counted = often.union(once).groupBy("a", "b", "size_a", "size_b").agg(F.sum("columns").alias("columns"))
+    return counted.where(_enough()).select("a", "b")
+
+
+def _dense() -> Column:
+    """Whether a node is one of many thick ones of a meeting."""
+    return _thick() & (F.col("thick") > LARGE_MEETING)
+
+
+def _still_apart(pairs: DataFrame, reached: DataFrame | None) -> DataFrame:
+    """The pairs (a, b) that are in different components."""
+    if reached is None:
+        return pairs
+    for end in "ab":
+        pairs = pairs.join(reached.toDF(end, f"of_{end}"), end, "left")
+    return pairs.where("coalesce(of_a, a) != coalesce(of_b, b)").select("a", "b")
+
+
+def _sides(shard: pa.Table) -> tuple[pa.Table, int]:
+    """Rows of two blocks of nodes, or of one, the first block's before the others; how many are the first block's."""
+    other = shard.column("block").to_numpy() != shard.column("p")[0].as_py()
+    return shard.take(pa.array(np.argsort(other, kind="stable"))), int(np.count_nonzero(~other))
+
+
+def _hopeful(shard: pa.Table) -> pa.Table:
+    """Nodes that may link to one of the other block, or of their own if that is both, from another component."""
+    rows, one = _sides(shard)
+    first = 0 if one == rows.num_rows else one
+    (sx, sy), (mx, my), (cx, cy) = (
+        (values[:one, None], values[None, first:]) for values in (rows.column(c).to_numpy() for c in ("size", "most", "component"))
+    )
+    less, more = np.minimum(sx, sy), np.maximum(sx, sy)
+    asked = (3 * (sx + sy) + 6) // 7 - ((3 * more + 3) // 4 - 1)
+    may = (cx != cy) & (4 * less >= 3 * more) & (np.minimum(mx, my) >= asked)
+    kept = np.zeros(rows.num_rows, bool)
+    kept[:one] = may.any(1)
+    kept[first:] |= may.any(0)
+    return rows.filter(pa.array(kept)).select(["p", "q", "block", "node", "component"])
+
+
+def _product_links(shard: pa.Table) -> pa.Table:
+    """Links (a, b) that connect what all links between two blocks of nodes, or within one, connect.
+
+    Rows are sets of ``packed`` shingles; the product of the two incidence matrices has the overlap of each pair.
+    """
+    rows, one = _sides(shard)
+    node, component = rows.column("node").to_numpy(), rows.column("component").to_numpy()
+    within = one == len(node)
+    codes, n = _codes(rows.column("packed").combine_chunks())
+    _, column, count = np.unique(codes & np.uint64((1 << 40) - 1), return_inverse=True, return_counts=True)
+    row = (codes >> np.uint64(40)).astype(np.int64)
+    first = 0 if within else one
+    both = np.zeros((one, len(node) - first), np.float32)
+    light = np.flatnonzero((count[column] > 1) & (count[column] < HEAVY))
+    light = light[np.argsort(column[light], kind="stable")]
+    for far in range(1, HEAVY - 1):
+        same = np.flatnonzero(column[light[far:]] == column[light[:-far]])
+        x, y = row[light[same]], row[light[same + far]]  # x < y
+        across = (x < one) & (y >= first)
+        np.add.at(both, (x[across], y[across] - first), 1)
+        if within:
+            np.add.at(both, (y, x), 1)
+    heavy = np.flatnonzero(count[column] >= HEAVY)
+    heavy = heavy[np.argsort(column[heavy], kind="stable")]
+    at = np.cumsum(np.append(0, np.diff(column[heavy]) > 0)) if len(heavy) else heavy
+    for begin in range(0, int(at[-1]) + 1 if len(heavy) else 0, DENSE):
+        part = slice(*np.searchsorted(at, (begin, begin + DENSE)))
+        dense = np.zeros((len(node), DENSE), np.float32)
+        dense[row[heavy[part]], at[part] - begin] = 1
+        both += dense[:one] @ dense[first:].T
+    links = 175 * both.astype(np.float64) >= 75 * (n[:one, None] + n[None, first:])
+    links &= component[:one, None] != component[None, first:]
+    # Labels: the least row that links reach.
+    label = np.arange(len(node))
+    some = links.any(0), links.any(1)
+    while some[0].any():
+        new = label.copy()
+        new[first:] = np.minimum(new[first:], np.where(links, label[:one, None], len(node)).min(0, initial=len(node)))
+        new[:one] = np.minimum(new[:one], np.where(links, new[None, first:], len(node)).min(1, initial=len(node)))
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    moved = np.flatnonzero(label != np.arange(len(node)))
+    return pa.table({"a": node[moved], "b": node[label[moved]]})
+
+
+def _dense_links(apart: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b``: links that connect thick nodes of meetings of many as far as all their links do (written).
+
+    A node lies in a block of the largest such meeting it has and of its range of sizes.  Blocks that share such a meeting,
+    and whose sizes and components let nodes link, are multiplied.
+    """
+    large = apart.where(_dense())
+    band = F.floor(F.log("size") / F.log(F.lit(4 / 3)))
+    own = large.groupBy("node", "size", "most", "component").agg(F.max_by("meeting", F.struct("thick", "meeting")).alias("home"))
+    own = own.withColumn("band", band)
+    parts = own.groupBy("home", "band").agg((1 + F.expr(f"sum(size) div {BLOCK_SHINGLES}")).alias("parts"))
+    block = F.xxhash64("home", "band", F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")))
+    own = written(own.join(parts, ["home", "band"]).select("node", "size", "most", "component", block.alias("block")), "blocks")
+    ends = own.groupBy("block").agg(
+        F.min("size").alias("less"), F.max("size").alias("more"), F.min("component").alias("x"), F.max("component").alias("y")
+    )
+    met = large.select("meeting", "node").join(own.select("node", "block"), "node").select("meeting", "block").distinct()
+    two = met.withColumnRenamed("block", "p").join(met.withColumnRenamed("block", "q"), "meeting").where("p <= q")
+    two = two.select("p", "q").distinct()
+    for end in "pq":
+        two = two.join(ends.select(F.col("block").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("less", "more", "x", "y")]), end)
+    two = two.where("4 * more_p >= 3 * less_q AND 4 * more_q >= 3 * less_p AND (x_p != y_p OR x_q != y_q OR x_p != x_q)")
+    dealt = two.select("p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("block"))
+    # Sets are shuffled to those pairs of blocks alone in which their nodes may link.
+    hopeful = dealt.join(own, "block").select("p", "q", "block", "node", "size", "most", "component").groupBy("p", "q").applyInArrow(
+        _hopeful, "p bigint, q bigint, block bigint, node bigint, component bigint"
+    )
+    rows = hopeful.join(sets, "node").select("p", "q", "block", "node", "component", "packed")
+    return written(rows.groupBy("p", "q").applyInArrow(_product_links, "a bigint, b bigint"), "dense-links")
 
 
 def _bloom_places(ids: np.ndarray) -> list[np.ndarray]:
@@ -394,40 +531,22 @@ def _bloom(wanted: DataFrame) -> np.ndarray:
     return table
 
 
-class Sets:
-    """``node, packed``: the whole sets of the nodes asked for so far, 5 bytes a shingle (written)."""
-
-    def __init__(self, docs: DataFrame):
-        self.docs, self.parts, self.have = pick(docs, "text"), [], None
-
-    def of(self, wanted: DataFrame) -> DataFrame:
-        """Reads the texts once more for those nodes that are not there yet."""
-        new = written(wanted if self.have is None else wanted.join(self.have, "node", "left_anti"), "wanted")
-        if new.limit(1).count():
-            self.have = new if self.have is None else self.have.union(new)
-            found = map_batches(self.docs, self._reader(_bloom(new)), "node bigint, packed binary")
-            once = found.join(new, "node").groupBy("node").agg(F.first("packed").alias("packed"))
-            self.parts.append(written(once, "sets"))
-        out = self.parts[0]
-        for part in self.parts[1:]:
-            out = out.union(part)
-        return out
-
-    def _reader(self, table: np.ndarray):
-        bits = self.docs.sparkSession.sparkContext.broadcast(table)
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node, packed``: the whole sets of these nodes, 5 bytes a shingle (written); reads the texts once more."""
+    wanted = written(wanted, "wanted")
+    bits = docs.sparkSession.sparkContext.broadcast(_bloom(wanted))
 
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hasher, table = Hasher(), bits.value
-            for batch in merged(batches, BATCH_BYTES):
-                own = {node_of(s): s for s in hasher.sets(_raw(batch)) if len(s)}
-                ids = np.fromiter(own, np.uint64, len(own))
-                maybe = _perhaps(table, ids)
-                packed = [_packed(own[i]) for i in ids[maybe].tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(ids[maybe])), pa.array(packed, pa.binary())], ["node", "packed"]
-                )
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, table = Hasher(), bits.value
+        for batch in merged(batches, BATCH_BYTES):
+            own = {node_of(s): s for s in hasher.sets(_raw(batch)) if len(s)}
+            ids = np.fromiter(own, np.uint64, len(own))
+            maybe = _perhaps(table, ids)
+            packed = [_packed(own[i]) for i in ids[maybe].tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(ids[maybe])), pa.array(packed, pa.binary())], ["node", "packed"])
 
-        return work
+    found = map_batches(pick(docs, "text"), work, "node bigint, packed binary")
+    return written(found.join(wanted, "node").groupBy("node").agg(F.first("packed").alias("packed")), "sets")
 
 
 def _packed(shingles: np.ndarray) -> bytes:
@@ -445,11 +564,19 @@ def _codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.repeat(np.arange(len(raw), dtype=np.uint64), n) << np.uint64(40)) + wide.view(np.uint64).ravel(), n
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of few shingles, as long texts make large ones, which are slow to sort."""
+    size = np.cumsum(sum(pc.binary_length(batch.column(c)).to_numpy().astype(np.int64) for c in ("pa", "pb")))
+    at = np.flatnonzero(np.append(True, np.diff(size // PIECE_BYTES) > 0)) if len(size) else []
+    for begin, end in zip(at, [*at[1:], batch.num_rows], strict=True):
+        yield batch.slice(begin, end - begin)
+
+
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that link, by the product of their whole rows: ``a, b`` (written)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in itertools.chain.from_iterable(map(_pieces, batches)):
             (x, n), (y, m) = _codes(batch.column("pa")), _codes(batch.column("pb"))
             both = np.bincount((x[np.isin(x, y, assume_unique=False, kind="sort")] >> np.uint64(40)).astype(np.int64), minlength=len(n))
             links = 100 * both >= 75 * (n + m - both)
@@ -472,33 +599,36 @@ def link_nodes(docs: DataFrame, met: DataFrame) -> DataFrame:
     """``node, component`` of the nodes that links touch (written)."""
     none = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
     met = written(met.join(met.groupBy("node").agg(F.sum("columns").alias("most")), "node"), "met")
-    tested, many, reached, sets, joining = none, 0, None, Sets(docs), True
+    tested, many, reached, sets, loose, joining = none, 0, None, None, None, True
     for turn in range(STAR_ROUNDS + 1):
         own = F.col("node") if reached is None else F.coalesce("component", "node")
         here = (met if reached is None else met.join(reached, "node", "left")).withColumn("component", own)
         torn = here.groupBy("meeting").agg(
-            F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members")
+            F.min("component").alias("x"),
+            F.max("component").alias("y"),
+            F.count("*").alias("members"),
+            F.sum(_thick().cast("int")).alias("thick"),
         ).where("x != y")
-        apart = written(here.join(torn.select("meeting", "members"), "meeting"), "apart")
+        apart = written(here.join(torn.select("meeting", "members", "thick"), "meeting"), "apart")
         last = turn == STAR_ROUNDS or not joining
-        pairs = _all_apart(apart) if last else _led(apart, met, turn)
-        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        wanted = _nodes_of(pairs)
-        if not turn:  # these are likely to be asked for later
-            wanted = wanted.union(_nodes_of(_all_apart(apart.where(F.col("members") <= SMALL_MEETING))))
-        if some := pairs.count():
-            found = _linked(pairs, sets.of(wanted.distinct()))
-            # Other leaders are worth a turn while they join more than a few nodes.
-            joining = turn == 0 and STAR_ROUNDS > 1 or found.count() * 20 > many
-            # What is joined already stands for its links.
-            known = none if reached is None else reached.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            tested, many = tested.union(pairs.select("a", "b")), many + some
-            reached = written(components(known.union(found)), "reached")
-        else:
-            joining = False
+        if loose is None:
+            loose = written(_loose_pairs(apart), "loose-pairs")
+        pairs = _still_apart(loose, reached) if last else _led(apart, met, turn)
+        pairs = written(pairs.select("a", "b").join(tested, ["a", "b"], "left_anti"), "pairs")
+        if sets is None:  # of all nodes that any turn asks for
+            sets = _sets(docs, _nodes_of(pairs).union(_nodes_of(loose)).union(apart.where(_dense()).select("node")).distinct())
+        found = _linked(pairs, sets) if (some := pairs.count()) else none
+        if last:
+            found = found.union(_dense_links(apart, sets))
+        # Other leaders are worth a turn while they join more than a few nodes.
+        joining = some > 0 and (turn == 0 and STAR_ROUNDS > 1 or found.count() * 20 > many)
+        # What is joined already stands for its links.
+        known = none if reached is None else reached.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        tested, many = tested.union(pairs), many + some
+        reached = written(components(known.union(found)), "reached")
         if last:
             break
-    return none.toDF("node", "component") if reached is None else reached
+    return reached
 
 
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

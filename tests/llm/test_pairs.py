@@ -221,6 +221,38 @@ def test_groups_that_share_passages(make):
     assert group_rows(jaccard.groups(make(rows, DOCS))) == expected_groups(rows)
 
 
+def edited_copies(n, words=300, edits=5, seed=11):
+    """Copies of one text with so many words changed at random places: few of them link, all of them meet."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        text = [f"b{k}" for k in range(words)]
+        for k in rng.sample(range(words), edits + i % 6):
+            text[k] = f"e{i}-{k}"
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("shingles_a_block", [None, 1 << 12])
+def test_pairs_of_a_large_group_are_no_rows(make, monkeypatch, shingles_a_block):
+    """Pairs written grow with a group of edited copies, not with its square; what is outside the group is paired as before."""
+    rows = edited_copies(240) + [(1000 + k, t) for k, t in edited_copies(40, words=80, edits=1, seed=3)] + ODD
+    passage = " ".join(f"b{k}" for k in range(60))
+    rows += [(2000 + i, " ".join([*(f"u{i}-{k}" for k in range(10 + 2 * i)), passage])) for i in range(90)]
+    written, kept = {}, jaccard.written
+
+    def counted(df, name):
+        out = kept(df, name)
+        written[name] = max(written.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    if shingles_a_block:
+        monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", shingles_a_block)
+    assert group_rows(jaccard.groups(make(rows, DOCS))) == expected_groups(rows)
+    assert written["pairs"] < 16 * len(rows)
+
+
 def test_groups_of_documents(spark, sf_dir):
     rows = [tuple(r) for r in table(spark, sf_dir, "documents").select("doc_id", "text").collect()]
     assert group_rows(queries.QUERIES["op8_jaccard_join"](spark, sf_dir)) == expected_groups(rows)
