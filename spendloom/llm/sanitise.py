@@ -221,11 +221,12 @@ def find(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """
     rows = pick(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     rows = rows.select("doc_id", "text", F.xxhash64("text").alias("digest"), base_spans(F.col("text")).alias("base"))
-    # Only texts with entities keep their words.
+    # Only texts with entities keep their words.  All are written with their base spans, which take long to find.
     own = F.when(F.size("base") > 0, vocabulary(F.col("text"), F.col("base")))
-    found = written(rows.select("doc_id", "digest", "base", own.alias("words")), "entities")
+    rows = written(rows.select("doc_id", "digest", "base", own.alias("words"), "text"), "entities")
+    found = rows.drop("text")
     # Outer, as a filter on the words' number would make them twice.
-    words = rows.select("doc_id", "digest", F.explode_outer(vocabulary(F.col("text"), F.col("base"))).alias("term"))
+    words = rows.select("doc_id", "digest", F.explode_outer(F.coalesce("words", vocabulary(F.col("text"), F.col("base")))).alias("term"))
     risky = _risky(words, found, alpha)
     if risky.isEmpty():
         return found.select("doc_id", "digest", F.col("base").alias("spans"))

@@ -244,6 +244,24 @@ TRICKY = [
 ]
 
 
+def test_base_spans_are_looked_for_once(make, monkeypatch):
+    """No later step searches all texts for base spans again."""
+    near = lambda i: " ".join(f"w{i}x{k}" for k in range(40)) + " codename zebra mail a.b@c.example now"
+    rows = [(i, near(i)) for i in range(8)] + [(100 + i, f"plain text w{i} here {i}") for i in range(300)] + [(500, "the zebra sleeps")]
+    plans, kept = {}, sanitise.written
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return kept(df, name)
+
+    monkeypatch.setattr(sanitise, "written", seen)
+    spans = {r.doc_id: [s.kind for s in r.spans] for r in sanitise.find(make(rows, DOCS)).collect()}
+    assert spans[500] == [4] and spans[0] == [4, 4, 4, 0, 4] and spans[100] == []
+    pattern = sanitise.PATTERNS["ip"]
+    assert pattern in plans["entities"]
+    assert not [n for n in ("vocabulary", "texts-told", "texts-marked") if pattern in plans[n]]
+
+
 def test_base_spans_of_tricky_texts(make):
     rows = [(i, t) for i, t in enumerate(TRICKY)] + ODD
     got = make(rows, DOCS).select("text", sanitise.joined_spans(sanitise.base_spans(F.coalesce("text", F.lit("")))).alias("s")).collect()
