@@ -411,15 +411,28 @@ def _sides(shard: pa.Table) -> tuple[pa.Table, int]:
 
 
 def _hopeful(shard: pa.Table) -> pa.Table:
-    """Nodes that may link to one of the other block, or of their own if that is both, from another component."""
+    """Nodes that may link to one of the other block, or of their own if that is both, from another component.
+
+    Columns that two nodes share are those of the meetings that they share, in ``codes``, and no more than ``few`` others.
+    """
     rows, one = _sides(shard)
     first = 0 if one == rows.num_rows else one
-    (sx, sy), (mx, my), (cx, cy) = (
-        (values[:one, None], values[None, first:]) for values in (rows.column(c).to_numpy() for c in ("size", "most", "component"))
+    (sx, sy), (fx, fy), (cx, cy) = (
+        (values[:one, None], values[None, first:]) for values in (rows.column(c).to_numpy() for c in ("size", "few", "component"))
     )
+    lists = rows.column("codes").combine_chunks()
+    row = np.repeat(np.arange(rows.num_rows), pc.list_value_length(lists).to_numpy())
+    codes, at = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    weight = (codes & 16777215).astype(np.float32)
+    shared = np.zeros((one, rows.num_rows - first), np.float32)
+    for begin in range(0, len(codes), DENSE):
+        part = np.flatnonzero((at >= begin) & (at < begin + DENSE))
+        dense = np.zeros((rows.num_rows, min(DENSE, len(codes) - begin)), np.float32)
+        dense[row[part], at[part] - begin] = 1
+        shared += (dense[:one] * weight[begin : begin + DENSE]) @ dense[first:].T
     less, more = np.minimum(sx, sy), np.maximum(sx, sy)
     asked = (3 * (sx + sy) + 6) // 7 - ((3 * more + 3) // 4 - 1)
-    may = (cx != cy) & (4 * less >= 3 * more) & (np.minimum(mx, my) >= asked)
+    may = (cx != cy) & (4 * less >= 3 * more) & (shared > 0) & (shared + np.minimum(fx, fy) >= asked)
     kept = np.zeros(rows.num_rows, bool)
     kept[:one] = may.any(1)
     kept[first:] |= may.any(0)
@@ -481,11 +494,14 @@ def _dense_links(apart: DataFrame, sets: DataFrame) -> DataFrame:
     """
     large = apart.where(_dense())
     band = F.floor(F.log("size") / F.log(F.lit(4 / 3)))
-    own = large.groupBy("node", "size", "most", "component").agg(F.max_by("meeting", F.struct("thick", "meeting")).alias("home"))
+    code = F.expr("(meeting & ~16777215L) | least(columns, 16777215L)")
+    own = large.groupBy("node", "size", "most", "component").agg(
+        F.max_by("meeting", F.struct("thick", "meeting")).alias("home"), F.collect_list(code).alias("codes"), F.sum("columns").alias("listed")
+    )
     own = own.withColumn("band", band)
     parts = own.groupBy("home", "band").agg((1 + F.expr(f"sum(size) div {BLOCK_SHINGLES}")).alias("parts"))
     block = F.xxhash64("home", "band", F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")))
-    own = written(own.join(parts, ["home", "band"]).select("node", "size", "most", "component", block.alias("block")), "blocks")
+    own = written(own.join(parts, ["home", "band"]).select("node", "size", "component", F.expr("most - listed AS few"), "codes", block.alias("block")), "blocks")
     ends = own.groupBy("block").agg(
         F.min("size").alias("less"), F.max("size").alias("more"), F.min("component").alias("x"), F.max("component").alias("y")
     )
@@ -497,7 +513,7 @@ def _dense_links(apart: DataFrame, sets: DataFrame) -> DataFrame:
     two = two.where("4 * more_p >= 3 * less_q AND 4 * more_q >= 3 * less_p AND (x_p != y_p OR x_q != y_q OR x_p != x_q)")
     dealt = two.select("p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("block"))
     # Sets are shuffled to those pairs of blocks alone in which their nodes may link.
-    hopeful = dealt.join(own, "block").select("p", "q", "block", "node", "size", "most", "component").groupBy("p", "q").applyInArrow(
+    hopeful = dealt.join(own, "block").select("p", "q", "block", "node", "size", "component", "few", "codes").groupBy("p", "q").applyInArrow(
         _hopeful, "p bigint, q bigint, block bigint, node bigint, component bigint"
     )
     rows = hopeful.join(sets, "node").select("p", "q", "block", "node", "component", "packed")
